@@ -1,0 +1,42 @@
+"""Join-side policy: broadcast only what is proven small.
+
+``bounded_broadcast`` adds a broadcast hint only when the optimizer's size
+estimate for the side is under a bound; otherwise the side is returned as is
+and the planner (sort-merge join, or an adaptive switch to broadcast once
+the real shuffle size is known) decides. The bound defaults to
+``spark.sql.autoBroadcastJoinThreshold`` raised to at least 64 MiB, so a hint
+never broadcasts more than a few tens of MiB to every executor.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BOUND = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Optimizer size estimate of ``df`` in bytes, or None when unavailable."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # e.g. Spark Connect sessions expose no JVM plan
+        return None
+
+
+def broadcast_bound(df: DataFrame) -> int:
+    conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        auto = int(str(conf).lower().rstrip("b"))
+    except ValueError:
+        auto = 10 * 1024 * 1024
+    return max(auto, DEFAULT_BOUND)
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``F.broadcast(df)`` if its estimated size is at most ``max_bytes``, else ``df``."""
+    size = estimated_bytes(df)
+    bound = max_bytes if max_bytes is not None else broadcast_bound(df)
+    if size is not None and size <= bound:
+        return F.broadcast(df)
+    return df
