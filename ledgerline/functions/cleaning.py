@@ -23,8 +23,10 @@ DATE_FORMATS = ("d/M/yyyy", "d/M/yy", "d-M-yyyy", "d.M.yyyy", "yyyy-MM-dd",
                 "d-MMM-yyyy", "d-MMM-yy", "d MMM yyyy", "d MMMM yyyy")
 DATETIME_FORMATS = ("d/M/yyyy H:mm", "d/M/yyyy H:mm:ss", "yyyy-MM-dd HH:mm:ss")
 
-# Unicode-aware whitespace (covers NBSP, which latin-1 files can hold).
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# Whitespace exactly as Python's ``str.strip()`` / ``re`` ``\s`` see it (NBSP,
+# which latin-1 files hold, included), derived from the rule, not listed.
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+_WS_RUN = r"(?U)[\s\x1c-\x1f]+"  # Unicode \s plus the separators Python also counts
 
 
 def null_tokens(c: Column) -> Column:
@@ -34,7 +36,7 @@ def null_tokens(c: Column) -> Column:
 
 def strip_ws(c: Column) -> Column:
     """Strip any Unicode whitespace at both ends."""
-    return F.regexp_replace(c, _EDGE_WS, "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def parse_amount(c: Column) -> Column:
@@ -67,7 +69,7 @@ def normalize_supplier(c: Column) -> Column:
     """
     s = F.upper(strip_ws(c))
     s = F.regexp_replace(s, r"(?U)\bLIMITED\b", "LTD")
-    s = F.regexp_replace(s, r"(?U)\s+", " ")
+    s = F.regexp_replace(s, _WS_RUN, " ")
     return strip_ws(s)
 
 

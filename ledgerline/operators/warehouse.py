@@ -14,6 +14,7 @@ and none fans out (each dimension is unique on its join key).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -129,9 +130,13 @@ def materialize_warehouse(spark: SparkSession, staging: DataFrame, location: str
     """
     base = location or new_location(spark, "warehouse")
     stg = write_table(staging, f"{base}/stg_transactions")
-    dsup = write_table(build_dim_supplier(stg), f"{base}/dim_supplier")
-    dexp = write_table(build_dim_expense(stg), f"{base}/dim_expense")
-    dent = write_table(build_dim_entity(stg), f"{base}/dim_entity")
-    ddate = write_table(build_dim_date(stg), f"{base}/dim_date")
+    builders = {"dim_supplier": build_dim_supplier, "dim_expense": build_dim_expense,
+                "dim_entity": build_dim_entity, "dim_date": build_dim_date}
+    # the four dimension jobs are independent: submit them together so their
+    # scans and aggregations share the cluster instead of running back to back
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        futures = {n: pool.submit(write_table, b(stg), f"{base}/{n}") for n, b in builders.items()}
+        dims = {n: f.result() for n, f in futures.items()}
+    dsup, dexp, dent, ddate = (dims[n] for n in builders)
     fact = write_table(build_fact(stg, dsup, dexp, dent), f"{base}/fact_transactions")
     return Tables(fact, ddate, dsup, dexp, dent, stg)

@@ -19,7 +19,8 @@ DEFAULT_BOUND = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of ``df`` in bytes, or None when unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
     except Exception:  # e.g. Spark Connect sessions expose no JVM plan
         return None
 
@@ -33,10 +34,13 @@ def broadcast_bound(df: DataFrame) -> int:
     return max(auto, DEFAULT_BOUND)
 
 
-def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` if its estimated size is at most ``max_bytes``, else ``df``."""
+def is_bounded(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """True when the optimizer's size estimate of ``df`` is known and at most the bound."""
     size = estimated_bytes(df)
     bound = max_bytes if max_bytes is not None else broadcast_bound(df)
-    if size is not None and size <= bound:
-        return F.broadcast(df)
-    return df
+    return size is not None and size <= bound
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``F.broadcast(df)`` if its estimated size is at most ``max_bytes``, else ``df``."""
+    return F.broadcast(df) if is_bounded(df, max_bytes) else df

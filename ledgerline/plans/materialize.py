@@ -34,3 +34,16 @@ def local_path(path: str) -> str:
 
 def exists(path: str) -> bool:
     return os.path.exists(os.path.join(local_path(path), "_SUCCESS"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over all cores when its scan yields fewer splits than cores.
+
+    Small files with few row groups give few splits, which leaves most cores
+    idle during CPU-heavy cleaning. Large inputs already have many splits and
+    are returned unchanged, so no shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)

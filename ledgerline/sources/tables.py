@@ -38,7 +38,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.staging import apply_null_tokens
-from ledgerline.plans.joins import bounded_broadcast
+from ledgerline.plans.joins import is_bounded
+from ledgerline.plans.materialize import spread
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -47,18 +48,22 @@ def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw payment rows (text columns + ``_source_file`` + ``_row_idx``)."""
-    li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+    li = spread(_read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-               "l_linestatus", "l_shipdate")
+               "l_linestatus", "l_shipdate"))
     sup = _read(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     part = _read(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
     nation = _read(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     region = _read(spark, sf_dir, "region", "r_regionkey", "r_name")
 
-    # nation and region have a fixed size (25 and 5 rows) at every scale factor;
-    # supplier and part grow with the data, so their joins are left to the planner.
-    geo = (sup.join(bounded_broadcast(nation), sup.s_nationkey == nation.n_nationkey, "left")
-              .join(bounded_broadcast(region), F.col("n_regionkey") == region.r_regionkey, "left"))
+    # nation and region have a fixed size (25 and 5 rows) at every scale factor.
+    geo = (sup.join(F.broadcast(nation), sup.s_nationkey == nation.n_nationkey, "left")
+              .join(F.broadcast(region), F.col("n_regionkey") == region.r_regionkey, "left"))
+    # supplier and part grow with the data: broadcast only while their scans are
+    # under the bound (the many-to-one nation/region joins add no rows), else
+    # shuffle joins, with adaptive skew splitting for hot keys.
+    geo = F.broadcast(geo) if is_bounded(sup) else geo
+    part = F.broadcast(part) if is_bounded(part) else part
     x = (li.join(geo, li.l_suppkey == geo.s_suppkey, "left")
            .join(part, li.l_partkey == part.p_partkey, "left"))
 
