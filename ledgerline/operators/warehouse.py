@@ -140,3 +140,15 @@ def materialize_warehouse(spark: SparkSession, staging: DataFrame, location: str
     dsup, dexp, dent, ddate = (dims[n] for n in builders)
     fact = write_table(build_fact(stg, dsup, dexp, dent), f"{base}/fact_transactions")
     return Tables(fact, ddate, dsup, dexp, dent, stg)
+
+
+def fact_with_natural_keys(t: Tables) -> DataFrame:
+    """Fact rows with each surrogate key replaced by the natural key it resolved to."""
+    sup = bounded_broadcast(t.dim_supplier.select("supplier_key", "supplier_name_raw", "supplier_postcode"))
+    exp = bounded_broadcast(t.dim_expense.select("expense_key", "expense_type", "expense_area"))
+    ent = bounded_broadcast(t.dim_entity.select("entity_key", "entity_name"))
+    f = (t.fact.join(sup, "supplier_key", "left").join(exp, "expense_key", "left")
+               .join(ent, "entity_key", "left"))
+    return f.select("row_id", "date_key", "supplier_name_raw", "supplier_postcode", "expense_type",
+                    "expense_area", "entity_name", "transaction_number",
+                    F.col("amount").cast("double").alias("amount"), "is_refund", "description", "source_file")
