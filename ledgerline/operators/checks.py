@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.common import ONE, as_double, dim, money, when_refund
+from ledgerline.operators.common import one, as_double, dim, money, when_refund
 from ledgerline.operators.warehouse import Tables
 
 c = F.col
@@ -15,14 +15,14 @@ KEYS = ("date_key", "supplier_key", "expense_key", "entity_key")
 def k1_warehouse_counts(t: Tables) -> DataFrame:
     """Row counts of the five tables, NULL date / supplier / expense keys and refund rows."""
     fact = t.fact.agg(
-        F.count(ONE).alias("fact_rows"),
+        F.count(one()).alias("fact_rows"),
         F.count_if(c("date_key").isNull()).alias("null_date_keys"),
         F.count_if(c("supplier_key").isNull()).alias("null_supplier_keys"),
         F.count_if(c("expense_key").isNull()).alias("null_expense_keys"),
         F.count_if(c("is_refund") == 1).alias("refund_rows"))
     out = fact
     for name in ("dim_date", "dim_supplier", "dim_expense", "dim_entity"):
-        out = out.crossJoin(getattr(t, name).agg(F.count(ONE).alias(f"{name}_rows")))
+        out = out.crossJoin(getattr(t, name).agg(F.count(one()).alias(f"{name}_rows")))
     return out.select("fact_rows", "dim_date_rows", "dim_supplier_rows", "dim_expense_rows",
                       "dim_entity_rows", "null_date_keys", "null_supplier_keys", "null_expense_keys",
                       "refund_rows")
@@ -35,7 +35,7 @@ def k2_unresolved_keys(t: Tables) -> DataFrame:
 
 def k3_top5_net(t: Tables, top: int = 5) -> DataFrame:
     """Top suppliers by *net* spend (refunds included)."""
-    per_key = t.fact.groupBy("supplier_key").agg(F.sum("amount").alias("net"), F.count(ONE).alias("n"))
+    per_key = t.fact.groupBy("supplier_key").agg(F.sum("amount").alias("net"), F.count(one()).alias("n"))
     g = (per_key.join(dim(t.dim_supplier, "supplier_key", "supplier_name_clean"), "supplier_key")
                 .groupBy("supplier_name_clean").agg(F.sum("net").alias("net"), F.sum("n").alias("n")))
     return (g.orderBy(c("net").desc_nulls_last(), c("supplier_name_clean").asc_nulls_first()).limit(top)
@@ -44,7 +44,7 @@ def k3_top5_net(t: Tables, top: int = 5) -> DataFrame:
 
 def k4_quarter_net(t: Tables) -> DataFrame:
     """Transactions and net spend per fiscal year and quarter."""
-    per_key = t.fact.groupBy("date_key").agg(F.count(ONE).alias("n"), F.sum("amount").alias("net"))
+    per_key = t.fact.groupBy("date_key").agg(F.count(one()).alias("n"), F.sum("amount").alias("net"))
     g = (per_key.join(dim(t.dim_date, "date_key", "uk_fiscal_year", "uk_fiscal_quarter"), "date_key")
                 .groupBy("uk_fiscal_year", "uk_fiscal_quarter")
                 .agg(F.sum("n").alias("transactions"), F.sum("net").alias("net")))
@@ -55,7 +55,7 @@ def k4_quarter_net(t: Tables) -> DataFrame:
 def k5_load_totals(staging: DataFrame) -> DataFrame:
     """Staging control totals: rows, non-refund (gross) spend, refund rows."""
     return staging.agg(
-        F.count(ONE).alias("rows"),
+        F.count(one()).alias("rows"),
         as_double(F.sum(F.when(~c("is_refund"), c("amount")))).alias("gross_spend"),
         F.count_if(c("is_refund")).alias("refund_rows"))
 
@@ -65,7 +65,7 @@ def k6_load_quality(staging: DataFrame, raw_counts: DataFrame | None = None) ->
     and dates, net spend. ``raw_counts`` holds (``_source_file``, ``raw_rows``) counted before
     blank rows were dropped; without it every staged row counts as a raw row."""
     g = staging.groupBy("_source_file").agg(
-        F.count(ONE).alias("clean_rows"), F.count_if(c("is_refund")).alias("refunds"),
+        F.count(one()).alias("clean_rows"), F.count_if(c("is_refund")).alias("refunds"),
         F.count_if(c("amount").isNull()).alias("null_amounts"),
         F.count_if(c("payment_date").isNull()).alias("bad_dates"),
         F.sum("amount").alias("net"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.plans.joins import bounded_broadcast
 
-ONE = F.lit(1)
+def one() -> Column:
+    """Literal 1 (built lazily: no Spark context is needed at import time)."""
+    return F.lit(1)
 
 
 def money(c: Column) -> Column:

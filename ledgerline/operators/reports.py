@@ -16,7 +16,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.common import (ONE, as_double, count_if_refund, dim, money, pct, ratio,
+from ledgerline.operators.common import (one, as_double, count_if_refund, dim, money, pct, ratio,
                                          when_refund)
 from ledgerline.operators.warehouse import Tables
 
@@ -38,7 +38,7 @@ def _non_refund(t: Tables) -> DataFrame:
 def _supplier_spend(t: Tables, by: list[str]) -> DataFrame:
     """Non-refund count and spend per supplier attribute set ``by``."""
     per_key = _non_refund(t).groupBy("supplier_key").agg(
-        F.count(ONE).alias("n"), F.sum("amount").alias("spend"))
+        F.count(one()).alias("n"), F.sum("amount").alias("spend"))
     sup = dim(t.dim_supplier, "supplier_key", *sorted(set(by)))
     return per_key.join(sup, "supplier_key").groupBy(*by).agg(
         F.sum("n").alias("n"), F.sum("spend").alias("spend"))
@@ -91,7 +91,7 @@ def q1c_supplier_quarter(t: Tables, top: int = 10) -> DataFrame:
                .orderBy(c("spend").desc_nulls_last(), c("supplier_name_clean").asc_nulls_first())
                .limit(top).select("supplier_name_clean"))
     per_key = _non_refund(t).groupBy("supplier_key", "date_key").agg(
-        F.count(ONE).alias("n"), F.sum("amount").alias("spend"))
+        F.count(one()).alias("n"), F.sum("amount").alias("spend"))
     sup = dim(t.dim_supplier, "supplier_key", "supplier_name_clean").join(
         F.broadcast(leaders), "supplier_name_clean", "left_semi")  # `top` rows: bounded
     rows = (per_key.join(sup, "supplier_key")
@@ -105,7 +105,7 @@ def q1c_supplier_quarter(t: Tables, top: int = 10) -> DataFrame:
 
 def _expense_key_totals(t: Tables, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     return _non_refund(t).groupBy("expense_key", *extra_keys).agg(
-        F.count(ONE).alias("n"), F.sum("amount").alias("spend"),
+        F.count(one()).alias("n"), F.sum("amount").alias("spend"),
         F.count("amount").alias("n_amount"), F.max("amount").alias("largest"))
 
 
@@ -161,7 +161,7 @@ def q2b_half_year_pattern(t: Tables, limit: int | None = 20,
 def q2c_entity_groups(t: Tables) -> DataFrame:
     """2C: spend by entity group (cost-centre parent)."""
     per_key = _non_refund(t).groupBy("entity_key").agg(
-        F.count(ONE).alias("n"), F.sum("amount").alias("spend"), F.count("amount").alias("n_amount"))
+        F.count(one()).alias("n"), F.sum("amount").alias("spend"), F.count("amount").alias("n_amount"))
     ent = dim(t.dim_entity, "entity_key", "entity_group", "entity_name")
     g = per_key.join(ent, "entity_key").groupBy("entity_group").agg(
         F.count_distinct("entity_name").alias("cost_centers"), F.sum("n").alias("n"),
@@ -179,7 +179,7 @@ def q2c_entity_groups(t: Tables) -> DataFrame:
 def q3a_monthly_trend(t: Tables) -> DataFrame:
     """3A: monthly net spend (refunds included), refund amount and month-on-month change."""
     per_key = t.fact.where(c("amount").isNotNull()).groupBy("date_key").agg(
-        F.count(ONE).alias("n"), F.sum("amount").alias("spend"),
+        F.count(one()).alias("n"), F.sum("amount").alias("spend"),
         F.sum(when_refund(c("amount"), 1)).alias("refund"))
     dd = dim(t.dim_date, "date_key", "year", "month", "month_name", "uk_fiscal_year",
              "uk_fiscal_quarter")
@@ -257,7 +257,7 @@ def q4b_monthly_anomaly(t: Tables) -> DataFrame:
 def q5_executive_quarter(t: Tables) -> DataFrame:
     """5: per fiscal year and quarter: volume, distinct suppliers, gross, refunds, net, refund rate."""
     per_key = t.fact.groupBy("date_key", "supplier_key").agg(
-        F.count(ONE).alias("n"), F.sum(when_refund(c("amount"), 0)).alias("gross"),
+        F.count(one()).alias("n"), F.sum(when_refund(c("amount"), 0)).alias("gross"),
         F.sum(when_refund(c("amount"), 1)).alias("refunds"), F.sum("amount").alias("net"),
         F.sum("is_refund").alias("refund_count"))
     rows = (per_key.join(dim(t.dim_date, "date_key", "uk_fiscal_year", "uk_fiscal_quarter"), "date_key")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.common import (ONE, as_double, count_if_refund, dim, pct, ratio,
+from ledgerline.operators.common import (one, as_double, count_if_refund, dim, pct, ratio,
                                          when_refund)
 from ledgerline.operators.reports import _supplier_spend
 from ledgerline.operators.warehouse import Tables
@@ -20,7 +20,7 @@ c = F.col
 
 def _flow_aggs() -> list:
     """Partial aggregates of the money flows, re-summable after a join."""
-    return [F.count(ONE).alias("n"), count_if_refund(0).alias("n_pay"), count_if_refund(1).alias("n_ref"),
+    return [F.count(one()).alias("n"), count_if_refund(0).alias("n_pay"), count_if_refund(1).alias("n_ref"),
             F.sum(when_refund(c("amount"), 0)).alias("gross"),
             F.sum(when_refund(c("amount"), 1)).alias("refunds"),
             F.sum("amount").alias("net"), F.sum("is_refund").alias("refund_sum")]
@@ -140,7 +140,7 @@ def register_views(t: Tables, count: bool = False) -> dict[str, int | None]:
 
 def d1_kpis(t: Tables) -> DataFrame:
     """KPI cards: net spend, transactions, unique suppliers, refunds issued (count and amount)."""
-    totals = t.fact.agg(F.sum("amount").alias("net"), F.count(ONE).alias("n"),
+    totals = t.fact.agg(F.sum("amount").alias("net"), F.count(one()).alias("n"),
                         F.sum("is_refund").alias("refund_count"),
                         F.sum(when_refund(c("amount"), 1)).alias("refunds"))
     sup = (t.fact.where(c("supplier_key").isNotNull()).select("supplier_key").distinct()
@@ -173,7 +173,7 @@ def d5_topn_share(t: Tables, n: int = 5) -> DataFrame:
     """Share of total non-refund spend held by suppliers ranked <= n (ties included)."""
     spend = _supplier_spend(t, ["supplier_name_clean"])
     ranked = spend.withColumn("rnk", F.rank().over(Window.orderBy(c("spend").desc_nulls_last())))
-    top = ranked.where(c("rnk") <= n).agg(F.count(ONE).alias("suppliers"), F.sum("spend").alias("top_spend"))
+    top = ranked.where(c("rnk") <= n).agg(F.count(one()).alias("suppliers"), F.sum("spend").alias("top_spend"))
     total = spend.agg(F.sum("spend").alias("grand_total"))
     return top.crossJoin(total).select(
         F.lit(n).alias("top_n"), "suppliers", as_double(c("top_spend")).alias("top_spend"),
