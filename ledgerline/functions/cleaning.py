@@ -17,11 +17,27 @@ NA_TOKENS = (
     "n/a", "nan", "null",
 )
 
-# Day-first date layouts accepted for the payment date, tried in
-# this order; the first that parses wins.
-DATE_FORMATS = ("d/M/yyyy", "d/M/yy", "d-M-yyyy", "d.M.yyyy", "yyyy-MM-dd",
-                "d-MMM-yyyy", "d-MMM-yy", "d MMM yyyy", "d MMMM yyyy")
-DATETIME_FORMATS = ("d/M/yyyy H:mm", "d/M/yyyy H:mm:ss", "yyyy-MM-dd HH:mm:ss")
+# Day-first date layouts accepted for the payment date, each
+# with the text shape it applies to; a text is parsed only by the layout
+# whose shape it has (a failed parse is costly, so none is tried blindly).
+DATE_LAYOUTS = (
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy"),
+    (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{2}$", "d-MMM-yy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
+)
+DATETIME_LAYOUTS = (
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "d/M/yyyy H:mm"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "d/M/yyyy H:mm:ss"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}:\d{2}$", "yyyy-M-d H:mm:ss"),
+)
+# Shape of a plain decimal number (what the money cast accepts).
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 # Whitespace exactly as Python's ``str.strip()`` / ``re`` ``\s`` see it (NBSP,
 # which latin-1 files hold, included), derived from the rule, not listed.
@@ -45,15 +61,23 @@ def parse_amount(c: Column) -> Column:
     ``1,234.50`` -> 1234.50, `` -5 `` -> -5.00; ``£5``, ``(5)``, ``12d`` -> NULL.
     Parsed straight into DECIMAL(18,2) so sums are exact and order-independent.
     """
-    return strip_ws(F.replace(c, F.lit(","), F.lit(""))).try_cast("decimal(18,2)")
+    s = strip_ws(F.replace(c, F.lit(","), F.lit("")))
+    return F.when(s.rlike(_NUMBER), s.try_cast("decimal(18,2)"))
 
 
 def parse_uk_date(c: Column) -> Column:
-    """Day-first date text -> DATE; unparseable (``31/02/2015``, ``abc``) -> NULL."""
+    """Day-first date text -> DATE; unparseable (``31/02/2015``, ``abc``) -> NULL.
+
+    Two-digit years read as 20yy.
+    """
     s = strip_ws(c)
-    tries = [F.try_to_date(s, f) for f in DATE_FORMATS]
-    tries += [F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in DATETIME_FORMATS]
-    return F.coalesce(*tries)
+    out = None
+    for shape, fmt in DATE_LAYOUTS:
+        parsed = F.try_to_date(s, fmt)
+        out = F.when(s.rlike(shape), parsed) if out is None else out.when(s.rlike(shape), parsed)
+    for shape, fmt in DATETIME_LAYOUTS:
+        out = out.when(s.rlike(shape), F.to_date(F.try_to_timestamp(s, F.lit(fmt))))
+    return out
 
 
 def refund_flag(amount: Column) -> Column:

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import calendar as cal
 from ledgerline.functions import cleaning as cl
+from ledgerline.plans.materialize import spread
 
 c = F.col
 
 
 def _li(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*cols)
+    return spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*cols))
 
 
 def amount_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
