@@ -47,3 +47,8 @@ def count_if_refund(refund: int) -> Column:
 def dim(df: DataFrame, *cols: str) -> DataFrame:
     """Project a dimension to the needed columns and broadcast it if proven small."""
     return bounded_broadcast(df.select(*cols))
+
+
+def formatted(df: DataFrame, money_cols: list[str], digits: int = 2) -> DataFrame:
+    """Display copy with thousands separators on money columns (presentation only)."""
+    return df.withColumns({m: F.format_number(F.col(m), digits) for m in money_cols})

@@ -288,3 +288,17 @@ REPORTS = {
     "q4b_monthly_anomaly": q4b_monthly_anomaly,
     "q5_executive_quarter": q5_executive_quarter,
 }
+
+
+def run_all(t: Tables, names: list[str] | None = None, **params) -> dict[str, DataFrame | Exception]:
+    """Build every named report; a report that fails is returned as its error, the rest still run.
+
+    ``params`` maps a report name to its keyword arguments, e.g. ``q1a_top_suppliers={"limit": 15}``.
+    """
+    out: dict[str, DataFrame | Exception] = {}
+    for name in names or list(REPORTS):
+        try:
+            out[name] = REPORTS[name](t, **params.get(name, {}))
+        except Exception as e:  # noqa: BLE001 - isolate one report's failure
+            out[name] = e
+    return out

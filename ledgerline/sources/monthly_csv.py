@@ -84,6 +84,12 @@ def read_monthly(spark: SparkSession, src_dir: str) -> Ingest:
     files = list_csv_files(spark, src_dir)
     if not files:
         raise FileNotFoundError(f"no *.csv files under {src_dir}")
+    return read_files(spark, files)
+
+
+def read_files(spark: SparkSession, files: list[str]) -> Ingest:
+    """Raw rows of the given CSV files (any order; load order is by file name)."""
+    files = sorted(files, key=lambda p: (posixpath.basename(p), p))
     raw_headers = read_headers(spark, files)
     groups: dict[tuple[str, ...], list[str]] = {}
     for f in files:
@@ -117,3 +123,15 @@ def header_audit(ingest: Ingest) -> DataFrame:
 def write_summary_csv(summary: DataFrame, path: str) -> None:
     """Per-file load summary as one CSV with a header (one row per file: tiny)."""
     summary.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_staging(staging: DataFrame, path: str, replace_files_only: bool = True) -> None:
+    """Write staging partitioned by source file.
+
+    With ``replace_files_only`` a load replaces just the files it contains
+    (dynamic partition overwrite), so re-delivering one month rewrites only it.
+    """
+    spark = staging.sparkSession
+    if replace_files_only:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    staging.write.mode("overwrite").partitionBy("_source_file").parquet(path)
