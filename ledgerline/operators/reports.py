@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.common import (one, as_double, count_if_refund, dim, money, pct, ratio,
                                          when_refund)
+from ledgerline.operators.ranking import with_rank
 from ledgerline.operators.warehouse import Tables
 
 c = F.col
@@ -57,15 +58,16 @@ def q1a_top_suppliers(t: Tables, limit: int | None = 25) -> DataFrame:
     g = g.withColumn("refunds", F.lit(0).cast("decimal(28,2)"))
     order = [c("spend").desc_nulls_last(), c("supplier_name_clean").asc_nulls_first(),
              c("supplier_type").asc_nulls_first()]
+    # with a limit the rank is computed on the top rows only (it depends only on
+    # the rows above); without one, over all suppliers (distributed when large)
     top = g.orderBy(*order).limit(limit) if limit else g
-    out = top.crossJoin(_grand_total(g, "spend")).select(
+    out = with_rank(top, "spend", "spend_rank").crossJoin(_grand_total(g, "spend")).select(
         "supplier_name_clean", "supplier_type",
         c("n").alias("transaction_count"),
         as_double(c("spend")).alias("gross_spend"),
         as_double(c("refunds")).alias("total_refunds"),
         as_double(c("spend") - F.abs(c("refunds"))).alias("net_spend"),
-        pct(c("spend"), c("grand_total"), 2).alias("pct_of_total_spend"),
-        F.rank().over(Window.orderBy(c("spend").desc_nulls_last())).cast("long").alias("spend_rank"),
+        pct(c("spend"), c("grand_total"), 2).alias("pct_of_total_spend"), "spend_rank",
     )
     return out.orderBy(c("gross_spend").desc_nulls_last(), "supplier_name_clean", "supplier_type")
 

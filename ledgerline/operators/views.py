@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.common import (one, as_double, count_if_refund, dim, pct, ratio,
                                          when_refund)
+from ledgerline.operators.ranking import with_rank
 from ledgerline.operators.reports import _supplier_spend
 from ledgerline.operators.warehouse import Tables
 
@@ -48,13 +49,13 @@ def v2_supplier_summary(t: Tables) -> DataFrame:
     per_key = t.fact.groupBy("supplier_key").agg(*_flow_aggs())
     sup = dim(t.dim_supplier, "supplier_key", "supplier_name_raw", "supplier_postcode",
               "supplier_name_clean", "supplier_type")
-    g = per_key.join(sup, "supplier_key").crossJoin(total)  # one-row total
+    g = with_rank(per_key.join(sup, "supplier_key").crossJoin(total), "gross", "spend_rank")  # one-row total
     return g.select(
         "supplier_key", "supplier_name_clean", "supplier_type", "supplier_name_raw", "supplier_postcode",
         c("n_pay").alias("payment_count"), c("n_ref").alias("refund_count"),
         as_double(c("gross")).alias("gross_spend"), as_double(F.abs(c("refunds"))).alias("total_refunded"),
         as_double(c("net")).alias("net_spend"), pct(c("gross"), c("grand_total"), 4).alias("pct_of_total"),
-        F.rank().over(Window.orderBy(c("gross").desc_nulls_last())).cast("long").alias("spend_rank"))
+        "spend_rank")
 
 
 def v3_expense_summary(t: Tables) -> DataFrame:
