@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.common import one, as_double, dim, money, when_refund
+from ledgerline.operators.common import as_double, by_keys, dim, m_count, m_sum, money, one
 from ledgerline.operators.warehouse import Tables
 
 c = F.col
@@ -35,8 +35,9 @@ def k2_unresolved_keys(t: Tables) -> DataFrame:
 
 def k3_top5_net(t: Tables, top: int = 5) -> DataFrame:
     """Top suppliers by *net* spend (refunds included)."""
-    per_key = t.fact.groupBy("supplier_key").agg(F.sum("amount").alias("net"), F.count(one()).alias("n"))
-    g = (per_key.join(dim(t.dim_supplier, "supplier_key", "supplier_name_clean"), "supplier_key")
+    sup = dim(t.dim_supplier, "supplier_key", "supplier_name_clean")
+    per_key = by_keys(t.fact, ["supplier_key"], {"net": m_sum(c("amount")), "n": m_count()}, [sup])
+    g = (per_key.join(sup, "supplier_key")
                 .groupBy("supplier_name_clean").agg(F.sum("net").alias("net"), F.sum("n").alias("n")))
     return (g.orderBy(c("net").desc_nulls_last(), c("supplier_name_clean").asc_nulls_first()).limit(top)
              .select("supplier_name_clean", money(c("net")).alias("net_spend"), c("n").alias("transactions")))
@@ -44,8 +45,9 @@ def k3_top5_net(t: Tables, top: int = 5) -> DataFrame:
 
 def k4_quarter_net(t: Tables) -> DataFrame:
     """Transactions and net spend per fiscal year and quarter."""
-    per_key = t.fact.groupBy("date_key").agg(F.count(one()).alias("n"), F.sum("amount").alias("net"))
-    g = (per_key.join(dim(t.dim_date, "date_key", "uk_fiscal_year", "uk_fiscal_quarter"), "date_key")
+    dd = dim(t.dim_date, "date_key", "uk_fiscal_year", "uk_fiscal_quarter")
+    per_key = by_keys(t.fact, ["date_key"], {"n": m_count(), "net": m_sum(c("amount"))}, [dd])
+    g = (per_key.join(dd, "date_key")
                 .groupBy("uk_fiscal_year", "uk_fiscal_quarter")
                 .agg(F.sum("n").alias("transactions"), F.sum("net").alias("net")))
     return g.select("uk_fiscal_year", "uk_fiscal_quarter", "transactions",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import bounded_broadcast
+from ledgerline.plans.joins import bounded_broadcast, is_bounded
 
 def one() -> Column:
     """Literal 1 (built lazily: no Spark context is needed at import time)."""
@@ -52,3 +52,42 @@ def dim(df: DataFrame, *cols: str) -> DataFrame:
 def formatted(df: DataFrame, money_cols: list[str], digits: int = 2) -> DataFrame:
     """Display copy with thousands separators on money columns (presentation only)."""
     return df.withColumns({m: F.format_number(F.col(m), digits) for m in money_cols})
+
+
+# ---------------------------------------------------------------- eager aggregation
+# A measure is (aggregate over a key group, equivalent value of a single row).
+# Re-summing either form with F.sum / F.max gives the same result.
+
+def m_count() -> tuple[Column, Column]:
+    return F.count(F.lit(1)), F.lit(1).cast("long")
+
+
+def m_sum(x: Column) -> tuple[Column, Column]:
+    return F.sum(x), x
+
+
+def m_count_of(x: Column) -> tuple[Column, Column]:
+    return F.count(x), F.when(x.isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
+
+
+def m_count_if(cond: Column) -> tuple[Column, Column]:
+    return F.count_if(cond), F.coalesce(cond, F.lit(False)).cast("long")
+
+
+def m_max(x: Column) -> tuple[Column, Column]:
+    return F.max(x), x
+
+
+def by_keys(fact: DataFrame, keys: list[str], measures: dict[str, tuple[Column, Column]],
+            dims: list[DataFrame]) -> DataFrame:
+    """Fact measures per dimension-key combination, ready to join to ``dims``.
+
+    When every dimension is broadcast (proven small), the join happens map-side
+    and the attribute-level partial aggregate after it already collapses rows,
+    so the fact rows pass through unaggregated (one shuffle fewer). Otherwise
+    the fact is aggregated on the keys first, shrinking the shuffle join's input
+    from one row per transaction to one row per key combination.
+    """
+    if all(is_bounded(d) for d in dims):
+        return fact.select(*keys, *[row.alias(n) for n, (_, row) in measures.items()])
+    return fact.groupBy(*keys).agg(*[agg.alias(n) for n, (agg, _) in measures.items()])

@@ -16,8 +16,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.common import (one, as_double, count_if_refund, dim, money, pct, ratio,
-                                         when_refund)
+from ledgerline.operators.common import (as_double, by_keys, dim, m_count, m_count_if, m_count_of, m_max,
+                                         m_sum, money, pct, ratio, when_refund)
 from ledgerline.operators.ranking import with_rank
 from ledgerline.operators.warehouse import Tables
 
@@ -38,9 +38,8 @@ def _non_refund(t: Tables) -> DataFrame:
 
 def _supplier_spend(t: Tables, by: list[str]) -> DataFrame:
     """Non-refund count and spend per supplier attribute set ``by``."""
-    per_key = _non_refund(t).groupBy("supplier_key").agg(
-        F.count(one()).alias("n"), F.sum("amount").alias("spend"))
     sup = dim(t.dim_supplier, "supplier_key", *sorted(set(by)))
+    per_key = by_keys(_non_refund(t), ["supplier_key"], {"n": m_count(), "spend": m_sum(c("amount"))}, [sup])
     return per_key.join(sup, "supplier_key").groupBy(*by).agg(
         F.sum("n").alias("n"), F.sum("spend").alias("spend"))
 
@@ -92,12 +91,12 @@ def q1c_supplier_quarter(t: Tables, top: int = 10) -> DataFrame:
     leaders = (_supplier_spend(t, ["supplier_name_clean"])
                .orderBy(c("spend").desc_nulls_last(), c("supplier_name_clean").asc_nulls_first())
                .limit(top).select("supplier_name_clean"))
-    per_key = _non_refund(t).groupBy("supplier_key", "date_key").agg(
-        F.count(one()).alias("n"), F.sum("amount").alias("spend"))
     sup = dim(t.dim_supplier, "supplier_key", "supplier_name_clean").join(
         F.broadcast(leaders), "supplier_name_clean", "left_semi")  # `top` rows: bounded
-    rows = (per_key.join(sup, "supplier_key")
-                   .join(dim(t.dim_date, "date_key", "uk_fiscal_quarter"), "date_key"))
+    dd = dim(t.dim_date, "date_key", "uk_fiscal_quarter")
+    per_key = by_keys(_non_refund(t), ["supplier_key", "date_key"],
+                      {"n": m_count(), "spend": m_sum(c("amount"))}, [t.dim_supplier, dd])
+    rows = per_key.join(sup, "supplier_key").join(dd, "date_key")
     return rows.groupBy("supplier_name_clean", "uk_fiscal_quarter").agg(
         F.sum("n").alias("transactions"), money(F.sum("spend")).alias("quarterly_spend"),
     ).orderBy("supplier_name_clean", "uk_fiscal_quarter")
@@ -105,16 +104,16 @@ def q1c_supplier_quarter(t: Tables, top: int = 10) -> DataFrame:
 
 # --------------------------------------------------------------------- use case 2
 
-def _expense_key_totals(t: Tables, extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    return _non_refund(t).groupBy("expense_key", *extra_keys).agg(
-        F.count(one()).alias("n"), F.sum("amount").alias("spend"),
-        F.count("amount").alias("n_amount"), F.max("amount").alias("largest"))
+def _expense_key_totals(t: Tables, exp: DataFrame) -> DataFrame:
+    a = c("amount")
+    return by_keys(_non_refund(t), ["expense_key"], {"n": m_count(), "spend": m_sum(a),
+                                                      "n_amount": m_count_of(a), "largest": m_max(a)}, [exp])
 
 
 def q2a_expense_types(t: Tables, limit: int | None = 20) -> DataFrame:
     """2A: spend by expense type (non-null types), with average, largest and share."""
     exp = dim(t.dim_expense.where(c("expense_type").isNotNull()), "expense_key", "expense_type")
-    g = _expense_key_totals(t).join(exp, "expense_key").groupBy("expense_type").agg(
+    g = _expense_key_totals(t, exp).join(exp, "expense_key").groupBy("expense_type").agg(
         F.sum("n").alias("n"), F.sum("spend").alias("spend"),
         F.sum("n_amount").alias("n_amount"), F.max("largest").alias("largest"))
     order = [c("spend").desc_nulls_last(), c("expense_type").asc_nulls_first()]
@@ -130,8 +129,9 @@ def q2a_expense_types(t: Tables, limit: int | None = 20) -> DataFrame:
 
 def _half_year_pivot(t: Tables) -> DataFrame:
     exp = dim(t.dim_expense.where(c("expense_type").isNotNull()), "expense_key", "expense_type")
-    per_key = _non_refund(t).groupBy("expense_key", "date_key").agg(F.sum("amount").alias("spend"))
-    hy = (per_key.join(exp, "expense_key").join(dim(t.dim_date, "date_key", "half_year"), "date_key")
+    dd = dim(t.dim_date, "date_key", "half_year")
+    per_key = by_keys(_non_refund(t), ["expense_key", "date_key"], {"spend": m_sum(c("amount"))}, [exp, dd])
+    hy = (per_key.join(exp, "expense_key").join(dd, "date_key")
                  .groupBy("expense_type", "half_year").agg(F.sum("spend").alias("spend")))
     return hy.groupBy("expense_type").agg(
         F.sum(F.when(c("half_year") == "H1", c("spend")).otherwise(F.lit(0))).alias("h1"),
@@ -162,9 +162,9 @@ def q2b_half_year_pattern(t: Tables, limit: int | None = 20,
 
 def q2c_entity_groups(t: Tables) -> DataFrame:
     """2C: spend by entity group (cost-centre parent)."""
-    per_key = _non_refund(t).groupBy("entity_key").agg(
-        F.count(one()).alias("n"), F.sum("amount").alias("spend"), F.count("amount").alias("n_amount"))
     ent = dim(t.dim_entity, "entity_key", "entity_group", "entity_name")
+    per_key = by_keys(_non_refund(t), ["entity_key"], {"n": m_count(), "spend": m_sum(c("amount")),
+                                                        "n_amount": m_count_of(c("amount"))}, [ent])
     g = per_key.join(ent, "entity_key").groupBy("entity_group").agg(
         F.count_distinct("entity_name").alias("cost_centers"), F.sum("n").alias("n"),
         F.sum("spend").alias("spend"), F.sum("n_amount").alias("n_amount"))
@@ -180,11 +180,11 @@ def q2c_entity_groups(t: Tables) -> DataFrame:
 
 def q3a_monthly_trend(t: Tables) -> DataFrame:
     """3A: monthly net spend (refunds included), refund amount and month-on-month change."""
-    per_key = t.fact.where(c("amount").isNotNull()).groupBy("date_key").agg(
-        F.count(one()).alias("n"), F.sum("amount").alias("spend"),
-        F.sum(when_refund(c("amount"), 1)).alias("refund"))
     dd = dim(t.dim_date, "date_key", "year", "month", "month_name", "uk_fiscal_year",
              "uk_fiscal_quarter")
+    per_key = by_keys(t.fact.where(c("amount").isNotNull()), ["date_key"],
+                      {"n": m_count(), "spend": m_sum(c("amount")),
+                       "refund": m_sum(when_refund(c("amount"), 1))}, [dd])
     m = per_key.join(dd, "date_key").groupBy(
         "year", "month", "month_name", "uk_fiscal_year", "uk_fiscal_quarter").agg(
         F.sum("n").alias("n"), F.sum("spend").alias("spend"), F.sum("refund").alias("refund"))
@@ -199,9 +199,9 @@ def q3a_monthly_trend(t: Tables) -> DataFrame:
 
 def q3b_entity_rank_movement(t: Tables, max_rank: int = 10) -> DataFrame:
     """3B: top cost centres per month, with rank movement vs the previous top-k month."""
-    per_key = _non_refund(t).groupBy("entity_key", "date_key").agg(F.sum("amount").alias("spend"))
     dd = dim(t.dim_date, "date_key", "year", "month", "month_name")
     ent = dim(t.dim_entity, "entity_key", "entity_name", "entity_group")
+    per_key = by_keys(_non_refund(t), ["entity_key", "date_key"], {"spend": m_sum(c("amount"))}, [dd, ent])
     m = (per_key.join(dd, "date_key").join(ent, "entity_key")
                 .groupBy("year", "month", "month_name", "entity_name", "entity_group")
                 .agg(F.sum("spend").alias("spend")))
@@ -219,11 +219,11 @@ def q3b_entity_rank_movement(t: Tables, max_rank: int = 10) -> DataFrame:
 
 def q4a_refund_risk(t: Tables, limit: int | None = 15) -> DataFrame:
     """4A: refund rate per supplier with a risk flag (suppliers with spend and refunds)."""
-    per_key = t.fact.groupBy("supplier_key").agg(
-        F.sum(when_refund(c("amount"), 0)).alias("gross"),
-        F.sum(when_refund(F.abs(c("amount")), 1)).alias("refunded"),
-        count_if_refund(1).alias("refund_count"))
-    g = (per_key.join(dim(t.dim_supplier, "supplier_key", "supplier_name_clean"), "supplier_key")
+    sup = dim(t.dim_supplier, "supplier_key", "supplier_name_clean")
+    per_key = by_keys(t.fact, ["supplier_key"], {
+        "gross": m_sum(when_refund(c("amount"), 0)), "refunded": m_sum(when_refund(F.abs(c("amount")), 1)),
+        "refund_count": m_count_if(c("is_refund") == 1)}, [sup])
+    g = (per_key.join(sup, "supplier_key")
                 .groupBy("supplier_name_clean")
                 .agg(F.sum("gross").alias("gross"), F.sum("refunded").alias("refunded"),
                      F.sum("refund_count").alias("refund_count"))
@@ -241,8 +241,9 @@ def q4a_refund_risk(t: Tables, limit: int | None = 15) -> DataFrame:
 
 def q4b_monthly_anomaly(t: Tables) -> DataFrame:
     """4B: monthly non-refund spend vs the average month (SPIKE > 1.5x, LOW < 0.6x)."""
-    per_key = _non_refund(t).groupBy("date_key").agg(F.sum("amount").alias("spend"))
-    m = (per_key.join(dim(t.dim_date, "date_key", "year", "month", "month_name"), "date_key")
+    dd = dim(t.dim_date, "date_key", "year", "month", "month_name")
+    per_key = by_keys(_non_refund(t), ["date_key"], {"spend": m_sum(c("amount"))}, [dd])
+    m = (per_key.join(dd, "date_key")
                 .groupBy("year", "month", "month_name").agg(F.sum("spend").alias("spend")))
     s = m.agg((F.sum("spend").cast("double") / F.count("spend")).alias("avg_s"))
     spend = c("spend").cast("double")
@@ -258,12 +259,13 @@ def q4b_monthly_anomaly(t: Tables) -> DataFrame:
 
 def q5_executive_quarter(t: Tables) -> DataFrame:
     """5: per fiscal year and quarter: volume, distinct suppliers, gross, refunds, net, refund rate."""
-    per_key = t.fact.groupBy("date_key", "supplier_key").agg(
-        F.count(one()).alias("n"), F.sum(when_refund(c("amount"), 0)).alias("gross"),
-        F.sum(when_refund(c("amount"), 1)).alias("refunds"), F.sum("amount").alias("net"),
-        F.sum("is_refund").alias("refund_count"))
-    rows = (per_key.join(dim(t.dim_date, "date_key", "uk_fiscal_year", "uk_fiscal_quarter"), "date_key")
-                   .join(dim(t.dim_supplier, "supplier_key", "supplier_name_clean"), "supplier_key"))
+    dd = dim(t.dim_date, "date_key", "uk_fiscal_year", "uk_fiscal_quarter")
+    sup = dim(t.dim_supplier, "supplier_key", "supplier_name_clean")
+    per_key = by_keys(t.fact, ["date_key", "supplier_key"], {
+        "n": m_count(), "gross": m_sum(when_refund(c("amount"), 0)),
+        "refunds": m_sum(when_refund(c("amount"), 1)), "net": m_sum(c("amount")),
+        "refund_count": m_sum(c("is_refund"))}, [dd, sup])
+    rows = per_key.join(dd, "date_key").join(sup, "supplier_key")
     g = rows.groupBy("uk_fiscal_year", "uk_fiscal_quarter").agg(
         F.sum("n").alias("n"), F.count_distinct("supplier_name_clean").alias("unique_suppliers"),
         F.sum("gross").alias("gross"), F.sum("refunds").alias("refunds"), F.sum("net").alias("net"),

@@ -7,11 +7,11 @@ under its view name, with row counts reported like a view build log.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.common import (one, as_double, count_if_refund, dim, pct, ratio,
-                                         when_refund)
+from ledgerline.operators.common import (as_double, by_keys, dim, m_count, m_count_if, m_count_of, m_sum,
+                                         one, pct, ratio, when_refund)
 from ledgerline.operators.ranking import with_rank
 from ledgerline.operators.reports import _supplier_spend
 from ledgerline.operators.warehouse import Tables
@@ -19,12 +19,12 @@ from ledgerline.operators.warehouse import Tables
 c = F.col
 
 
-def _flow_aggs() -> list:
-    """Partial aggregates of the money flows, re-summable after a join."""
-    return [F.count(one()).alias("n"), count_if_refund(0).alias("n_pay"), count_if_refund(1).alias("n_ref"),
-            F.sum(when_refund(c("amount"), 0)).alias("gross"),
-            F.sum(when_refund(c("amount"), 1)).alias("refunds"),
-            F.sum("amount").alias("net"), F.sum("is_refund").alias("refund_sum")]
+def _flows() -> dict:
+    """Measures of the money flows, re-summable after a join."""
+    a = c("amount")
+    return {"n": m_count(), "n_pay": m_count_if(c("is_refund") == 0), "n_ref": m_count_if(c("is_refund") == 1),
+            "gross": m_sum(when_refund(a, 0)), "refunds": m_sum(when_refund(a, 1)), "net": m_sum(a),
+            "refund_sum": m_sum(c("is_refund"))}
 
 
 def _resum() -> list:
@@ -33,11 +33,12 @@ def _resum() -> list:
 
 def v1_daily_trend(t: Tables) -> DataFrame:
     """vw_monthly_spend_trend: one row per payment *day* with all date attributes."""
-    per_key = t.fact.groupBy("date_key").agg(*_flow_aggs())
     dd = dim(t.dim_date, "date_key", "full_date", "year", "month", "month_name", "uk_fiscal_year",
              "uk_fiscal_quarter", "half_year")
-    return per_key.join(dd, "date_key").select(
-        "full_date", "year", "month", "month_name", "uk_fiscal_year", "uk_fiscal_quarter", "half_year",
+    keys = ["full_date", "year", "month", "month_name", "uk_fiscal_year", "uk_fiscal_quarter", "half_year"]
+    per_key = by_keys(t.fact, ["date_key"], _flows(), [dd])
+    return per_key.join(dd, "date_key").groupBy(*keys).agg(*_resum()).select(
+        *keys,
         c("n").alias("transaction_count"), as_double(c("gross")).alias("gross_spend"),
         as_double(F.abs(c("refunds"))).alias("total_refunds"), as_double(c("net")).alias("net_spend"),
         c("refund_sum").cast("long").alias("refund_count"))
@@ -46,10 +47,11 @@ def v1_daily_trend(t: Tables) -> DataFrame:
 def v2_supplier_summary(t: Tables) -> DataFrame:
     """vw_supplier_summary: per supplier key; share of the grand total over *all* facts."""
     total = t.fact.agg(F.sum(when_refund(c("amount"), 0)).alias("grand_total"))
-    per_key = t.fact.groupBy("supplier_key").agg(*_flow_aggs())
     sup = dim(t.dim_supplier, "supplier_key", "supplier_name_raw", "supplier_postcode",
               "supplier_name_clean", "supplier_type")
-    g = with_rank(per_key.join(sup, "supplier_key").crossJoin(total), "gross", "spend_rank")  # one-row total
+    per_key = by_keys(t.fact, ["supplier_key"], _flows(), [sup])
+    g = per_key.join(sup, "supplier_key").groupBy(*sup.columns).agg(*_resum())
+    g = with_rank(g.crossJoin(total), "gross", "spend_rank")  # one-row total
     return g.select(
         "supplier_key", "supplier_name_clean", "supplier_type", "supplier_name_raw", "supplier_postcode",
         c("n_pay").alias("payment_count"), c("n_ref").alias("refund_count"),
@@ -60,10 +62,10 @@ def v2_supplier_summary(t: Tables) -> DataFrame:
 
 def v3_expense_summary(t: Tables) -> DataFrame:
     """vw_expense_summary: expense key x month attributes."""
-    per_key = t.fact.groupBy("expense_key", "date_key").agg(*_flow_aggs())
     exp = dim(t.dim_expense, "expense_key", "expense_type", "expense_area")
     dd = dim(t.dim_date, "date_key", "uk_fiscal_year", "uk_fiscal_quarter", "half_year", "month",
              "month_name", "year")
+    per_key = by_keys(t.fact, ["expense_key", "date_key"], _flows(), [exp, dd])
     keys = ["expense_key", "expense_type", "expense_area", "uk_fiscal_year", "uk_fiscal_quarter",
             "half_year", "month", "month_name", "year"]
     g = per_key.join(exp, "expense_key").join(dd, "date_key").groupBy(*keys).agg(*_resum())
@@ -73,10 +75,10 @@ def v3_expense_summary(t: Tables) -> DataFrame:
 
 def v4_entity_monthly(t: Tables) -> DataFrame:
     """vw_entity_monthly: cost centre x month, ranked within the month by gross spend."""
-    per_key = t.fact.groupBy("entity_key", "date_key").agg(*_flow_aggs())
     ent = dim(t.dim_entity, "entity_key", "entity_name", "entity_group", "entity_subgroup")
     dd = dim(t.dim_date, "date_key", "year", "month", "month_name", "uk_fiscal_year",
              "uk_fiscal_quarter", "half_year")
+    per_key = by_keys(t.fact, ["entity_key", "date_key"], _flows(), [ent, dd])
     keys = ["entity_key", "entity_name", "entity_group", "entity_subgroup", "year", "month", "month_name",
             "uk_fiscal_year", "uk_fiscal_quarter", "half_year"]
     g = per_key.join(ent, "entity_key").join(dd, "date_key").groupBy(*keys).agg(*_resum())
@@ -99,12 +101,12 @@ def v5_refund_rows(t: Tables) -> DataFrame:
 
 def v6_executive_summary(t: Tables) -> DataFrame:
     """vw_executive_summary: fiscal year x quarter x half, over rows with date, supplier and entity."""
-    per_key = t.fact.groupBy("date_key", "supplier_key", "entity_key").agg(
-        *_flow_aggs(), F.count(F.when(c("is_refund") == 0, c("amount"))).alias("n_pay_amount"))
-    rows = (per_key.join(dim(t.dim_date, "date_key", "uk_fiscal_year", "uk_fiscal_quarter", "half_year"),
-                         "date_key")
-                   .join(dim(t.dim_supplier, "supplier_key", "supplier_name_clean"), "supplier_key")
-                   .join(dim(t.dim_entity, "entity_key", "entity_name"), "entity_key"))
+    dd = dim(t.dim_date, "date_key", "uk_fiscal_year", "uk_fiscal_quarter", "half_year")
+    sup = dim(t.dim_supplier, "supplier_key", "supplier_name_clean")
+    ent = dim(t.dim_entity, "entity_key", "entity_name")
+    measures = {**_flows(), "n_pay_amount": m_count_of(F.when(c("is_refund") == 0, c("amount")))}
+    per_key = by_keys(t.fact, ["date_key", "supplier_key", "entity_key"], measures, [dd, sup, ent])
+    rows = per_key.join(dd, "date_key").join(sup, "supplier_key").join(ent, "entity_key")
     g = rows.groupBy("uk_fiscal_year", "uk_fiscal_quarter", "half_year").agg(
         *_resum(), F.sum("n_pay_amount").alias("n_pay_amount"),
         F.count_distinct("supplier_name_clean").alias("unique_suppliers"),

@@ -34,12 +34,23 @@ def test_filters_pushed_and_columns_pruned(tables):
                for s in fact_scans)
 
 
-def test_fact_aggregated_before_dimension_join(tables):
+def test_broadcast_dims_join_map_side(tables):
     plan = executed(reports.q5_executive_quarter(tables))
     lines = plan.splitlines()
     join = next(i for i, s in enumerate(lines) if "BroadcastHashJoin" in s)
-    assert any("HashAggregate" in s for s in lines[join:])  # an aggregate sits below the join
+    # the fact scan feeds the broadcast joins directly: no aggregate or shuffle below them
+    below = [s for s in lines[join:] if "BroadcastExchange" not in s]
     assert "SortMergeJoin" not in plan
+    assert any("FileScan parquet" in s and "is_refund" in s for s in below)
+
+
+def test_fact_aggregated_before_large_dimension_join(tables, monkeypatch):
+    import ledgerline.operators.common as common
+    monkeypatch.setattr(common, "is_bounded", lambda df, max_bytes=None: False)
+    plan = reports.q5_executive_quarter(tables)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    join = next(i for i, s in enumerate(lines) if "Join Inner" in s)
+    assert any("Aggregate [date_key" in s for s in lines[join:])  # fact aggregated on the keys first
 
 
 def test_bounded_broadcast(spark, tables):
