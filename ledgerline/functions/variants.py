@@ -19,7 +19,7 @@ c = F.col
 
 
 def _li(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*cols))
+    return spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*cols), "l_orderkey", "l_linenumber")
 
 
 def amount_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

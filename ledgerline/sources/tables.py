@@ -50,7 +50,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw payment rows (text columns + ``_source_file`` + ``_row_idx``)."""
     li = spread(_read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-               "l_linestatus", "l_shipdate"))
+               "l_linestatus", "l_shipdate"), "l_orderkey", "l_linenumber", "l_partkey")
     sup = _read(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     part = _read(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
     nation = _read(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
@@ -72,8 +72,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.format_number(F.col("l_extendedprice"), 2)
     col = F.col
     out = x.select(
-        F.concat(F.lower(F.date_format(ship, "MMMM")), F.lit("_"),
-                 F.year(ship).cast("string"), F.lit(".csv")).alias("_source_file"),
+        _source_file(ship).alias("_source_file"),
         (col("l_orderkey") * 8 + col("l_linenumber")).alias("_row_idx"),
         col("r_name").alias("department"),
         col("n_name").alias("entity"),
@@ -99,3 +98,14 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         col("p_name").alias("description"),
     )
     return apply_null_tokens(out)
+
+
+def _source_file(ship):
+    return F.concat(F.lower(F.date_format(ship, "MMMM")), F.lit("_"), F.year(ship).cast("string"), F.lit(".csv"))
+
+
+def raw_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows per source file: one payment per line item, counted from line items alone."""
+    li = _read(spark, sf_dir, "lineitem", "l_shipdate")
+    return li.groupBy(_source_file(F.to_date("l_shipdate")).alias("_source_file")).agg(
+        F.count(F.lit(1)).alias("raw_rows"))
