@@ -135,3 +135,10 @@ def write_staging(staging: DataFrame, path: str, replace_files_only: bool = True
     if replace_files_only:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     staging.write.mode("overwrite").partitionBy("_source_file").parquet(path)
+
+
+def columns_added(ingest: Ingest) -> DataFrame:
+    """Per file: canonical columns its header lacks (added as NULL by reconciliation)."""
+    present = (ingest.headers.where(F.col("canonical").isNotNull())
+                     .groupBy("file").agg(F.count_distinct("canonical").alias("present")))
+    return present.select("file", (F.lit(len(CANONICAL_COLS)) - F.col("present")).alias("columns_added"))

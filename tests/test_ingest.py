@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from ledgerline.operators import checks
 from ledgerline.operators.warehouse import materialize_warehouse
-from ledgerline.sources.monthly_csv import header_audit, normalise_header, read_monthly
+from ledgerline.sources.monthly_csv import columns_added, header_audit, normalise_header, read_monthly
 
 APRIL = (
     b' Department ,ENTITY,Date of Payment,Expense Type,Expense Area,Supplier,Transaction Number,'
@@ -72,6 +72,8 @@ def test_ingest_fixtures(spark, tmpdir_path):
     quality = {r.file: r for r in checks.k6_load_quality(stg, ing.raw_counts).collect()}
     assert quality["may_2015.csv"].raw_rows == 6 and quality["may_2015.csv"].dropped == 3
     assert quality["april_2015.csv"].null_amounts == 1 and quality["april_2015.csv"].bad_dates == 1
+    added = {r.file: r.columns_added for r in columns_added(ing).collect()}
+    assert added == {"april_2015.csv": 0, "august_2015.csv": 2, "may_2015.csv": 0}
     audit = {r.column: r.files for r in header_audit(ing).collect()}
     assert audit["contract number"] == 2 and audit["amount"] == 3
 
