@@ -35,6 +35,21 @@ def _norm(v):
     return v
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+          "boolean": "BOOLEAN", "smallint": "SMALLINT", "float": "FLOAT"}
+
+
+def type_mismatches(df, cur) -> list[str]:
+    """Columns whose Spark type differs from the DuckDB result type."""
+    duck = {d[0]: str(d[1]).upper() for d in cur.description}
+    bad = []
+    for name, typ in df.dtypes:
+        want = _TYPES.get(typ, typ.upper())
+        if name in duck and duck[name] != want:
+            bad.append(f"{name}: spark {typ} vs sql {duck[name]}")
+    return bad
+
+
 def rows_key(rows):
     return sorted((tuple(_norm(v) for v in r) for r in rows), key=repr)
 
@@ -64,7 +79,10 @@ def compare(spark, sf_dir: str, names=None, verbose=True):
             print(f"{name:32s} COLUMN MISMATCH spark={cols} sql={sorted(ocols)}", flush=True)
             continue
         exp = rows_key([tuple(r[i] for i in idx) for r in orows])
-        ok = got == exp
+        types = type_mismatches(df, cur)
+        ok = got == exp and not types
+        if types:
+            print(f"  {name} type mismatch: {types}")
         results[name] = ("ok" if ok else "diff", len(got), len(exp))
         if verbose:
             print(f"{name:32s} {'OK  ' if ok else 'DIFF'} spark={len(got)} sql={len(exp)} {dt:.2f}s",
