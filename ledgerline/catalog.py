@@ -32,3 +32,19 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Tables:
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored staging table behind :func:`warehouse`."""
     return warehouse(spark, sf_dir).staging
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw payment rows written as CSV files (two header variants), read back by the CSV
+    ingest and cleaned; load-order columns are dropped (file names are part-file names)."""
+    from ledgerline.plans.materialize import new_location
+    from ledgerline.schema import STAGING_COLS
+    from ledgerline.sources.csv_export import export_csv
+    from ledgerline.sources.monthly_csv import read_monthly
+
+    path = new_location(spark, "csv-roundtrip")
+    raw = raw_payments(spark, sf_dir, null_markers=True)
+    export_csv(raw, path, variant=F.col("_row_idx") % 2 == 1)
+    stg = read_monthly(spark, path).staging()
+    skip = {"row_id", "_source_file", "_load_timestamp"}
+    return stg.select(*[c for c in STAGING_COLS if c not in skip])

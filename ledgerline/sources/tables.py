@@ -46,8 +46,12 @@ def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
 
 
-def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw payment rows (text columns + ``_source_file`` + ``_row_idx``)."""
+def raw_payments(spark: SparkSession, sf_dir: str, null_markers: bool = False) -> DataFrame:
+    """Raw payment rows (text columns + ``_source_file`` + ``_row_idx``).
+
+    Missing-value markers (``NA``, ``n/a``) become NULL as a CSV reader would
+    treat them, unless ``null_markers`` keeps them as text (for writing files).
+    """
     li = spread(_read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
                "l_linestatus", "l_shipdate"), "l_orderkey", "l_linenumber", "l_partkey")
@@ -97,7 +101,8 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(refund, F.concat(F.lit("-"), price)).otherwise(price).alias("amount"),
         col("p_name").alias("description"),
     )
-    return apply_null_tokens(out)
+    return out.withColumns({"contract_number": F.lit("NA"), "project_code": F.lit(None).cast("string")}) \
+        if null_markers else apply_null_tokens(out)
 
 
 def _source_file(ship):
