@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.plans.joins import bounded_broadcast, is_bounded
@@ -91,3 +91,26 @@ def by_keys(fact: DataFrame, keys: list[str], measures: dict[str, tuple[Column,
     if all(is_bounded(d) for d in dims):
         return fact.select(*keys, *[row.alias(n) for n, (_, row) in measures.items()])
     return fact.groupBy(*keys).agg(*[agg.alias(n) for n, (agg, _) in measures.items()])
+
+
+SINGLE_TASK_BYTES = 64 * 1024 * 1024
+
+
+def with_total(g: DataFrame, col: str, name: str = "grand_total", bound: DataFrame | None = None) -> DataFrame:
+    """``g`` plus the sum of ``col`` over all its rows, computing ``g`` only once.
+
+    A grouped result proven small gets the total from a window over all rows.
+    A larger one is materialised with a reliable checkpoint first, so the total
+    (a one-row aggregate, broadcast back) reads the stored groups instead of
+    scanning and aggregating the fact a second time.
+
+    ``bound`` is a stored table at least as large as ``g`` (grouped rows never
+    outnumber the fact rows they come from); without statistics the optimizer
+    sizes a join as the product of its inputs, which proves nothing small.
+    """
+    if is_bounded(bound if bound is not None else g, SINGLE_TASK_BYTES):
+        return g.withColumn(name, F.sum(col).over(Window.partitionBy()))
+    from ledgerline.session import scratch_dir
+    scratch_dir(g.sparkSession)
+    g = g.checkpoint(eager=True)
+    return g.crossJoin(F.broadcast(g.agg(F.sum(col).alias(name))))

@@ -23,10 +23,13 @@ _LOW_BITS = (1 << 33) - 1
 
 
 def with_rank(df: DataFrame, value: str, name: str = "rank", descending: bool = True,
-              single_task_bytes: int = SINGLE_TASK_BYTES) -> DataFrame:
-    """``df`` plus ``name`` = RANK() OVER (ORDER BY value [DESC] NULLS LAST)."""
+              single_task_bytes: int = SINGLE_TASK_BYTES, bound: DataFrame | None = None) -> DataFrame:
+    """``df`` plus ``name`` = RANK() OVER (ORDER BY value [DESC] NULLS LAST).
+
+    ``bound``: a stored table at least as large as ``df`` (see ``common.with_total``).
+    """
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    if is_bounded(df, single_task_bytes):
+    if is_bounded(bound if bound is not None else df, single_task_bytes):
         return df.withColumn(name, F.rank().over(Window.orderBy(order)).cast("long"))
     return distributed_rank(df, value, name, descending)
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.common import (as_double, by_keys, dim, m_count, m_count_if, m_count_of, m_max,
-                                         m_sum, money, pct, ratio, when_refund)
+                                         m_sum, money, pct, ratio, when_refund, with_total)
 from ledgerline.operators.ranking import with_rank
 from ledgerline.operators.warehouse import Tables
 
@@ -44,10 +44,6 @@ def _supplier_spend(t: Tables, by: list[str]) -> DataFrame:
         F.sum("n").alias("n"), F.sum("spend").alias("spend"))
 
 
-def _grand_total(df: DataFrame, col: str, name: str = "grand_total") -> DataFrame:
-    return df.agg(F.sum(col).alias(name))
-
-
 # --------------------------------------------------------------------- use case 1
 
 def q1a_top_suppliers(t: Tables, limit: int | None = 25) -> DataFrame:
@@ -59,8 +55,9 @@ def q1a_top_suppliers(t: Tables, limit: int | None = 25) -> DataFrame:
              c("supplier_type").asc_nulls_first()]
     # with a limit the rank is computed on the top rows only (it depends only on
     # the rows above); without one, over all suppliers (distributed when large)
+    g = with_total(g, "spend", bound=t.fact)
     top = g.orderBy(*order).limit(limit) if limit else g
-    out = with_rank(top, "spend", "spend_rank").crossJoin(_grand_total(g, "spend")).select(
+    out = with_rank(top, "spend", "spend_rank", bound=t.fact).select(
         "supplier_name_clean", "supplier_type",
         c("n").alias("transaction_count"),
         as_double(c("spend")).alias("gross_spend"),
@@ -73,9 +70,10 @@ def q1a_top_suppliers(t: Tables, limit: int | None = 25) -> DataFrame:
 
 def q1b_concentration(t: Tables, max_rank: int = 25) -> DataFrame:
     """1B: supplier concentration: rank, share and cumulative share for rank <= max_rank."""
-    spend = _supplier_spend(t, ["supplier_name_clean"]).select("supplier_name_clean", "spend")
+    spend = with_total(_supplier_spend(t, ["supplier_name_clean"]).select("supplier_name_clean", "spend"),
+                       "spend", bound=t.fact)
     ranked = spend.withColumn("rnk", F.rank().over(Window.orderBy(c("spend").desc_nulls_last())))
-    top = ranked.where(c("rnk") <= max_rank).crossJoin(_grand_total(spend, "spend"))
+    top = ranked.where(c("rnk") <= max_rank)
     running = F.sum("spend").over(
         Window.orderBy("rnk").rangeBetween(Window.unboundedPreceding, Window.currentRow))
     return top.select(
@@ -117,8 +115,9 @@ def q2a_expense_types(t: Tables, limit: int | None = 20) -> DataFrame:
         F.sum("n").alias("n"), F.sum("spend").alias("spend"),
         F.sum("n_amount").alias("n_amount"), F.max("largest").alias("largest"))
     order = [c("spend").desc_nulls_last(), c("expense_type").asc_nulls_first()]
+    g = with_total(g, "spend", bound=t.fact)
     top = g.orderBy(*order).limit(limit) if limit else g
-    return top.crossJoin(_grand_total(g, "spend")).select(
+    return top.select(
         "expense_type", c("n").alias("transaction_count"),
         money(c("spend")).alias("total_spend"),
         ratio(c("spend"), c("n_amount"), 2).alias("avg_transaction"),
@@ -168,7 +167,7 @@ def q2c_entity_groups(t: Tables) -> DataFrame:
     g = per_key.join(ent, "entity_key").groupBy("entity_group").agg(
         F.count_distinct("entity_name").alias("cost_centers"), F.sum("n").alias("n"),
         F.sum("spend").alias("spend"), F.sum("n_amount").alias("n_amount"))
-    return g.crossJoin(_grand_total(g, "spend")).select(
+    return with_total(g, "spend", bound=t.fact).select(
         "entity_group", "cost_centers", c("n").alias("transactions"),
         money(c("spend")).alias("total_spend"),
         ratio(c("spend"), c("n_amount"), 2).alias("avg_per_transaction"),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.common import (as_double, by_keys, dim, m_count, m_count_if, m_count_of, m_sum,
-                                         one, pct, ratio, when_refund)
+                                         one, pct, ratio, when_refund, with_total)
 from ledgerline.operators.ranking import with_rank
 from ledgerline.operators.reports import _supplier_spend
 from ledgerline.operators.warehouse import Tables
@@ -51,7 +51,7 @@ def v2_supplier_summary(t: Tables) -> DataFrame:
               "supplier_name_clean", "supplier_type")
     per_key = by_keys(t.fact, ["supplier_key"], _flows(), [sup])
     g = per_key.join(sup, "supplier_key").groupBy(*sup.columns).agg(*_resum())
-    g = with_rank(g.crossJoin(total), "gross", "spend_rank")  # one-row total
+    g = with_rank(g.crossJoin(total), "gross", "spend_rank", bound=t.fact)  # one-row total
     return g.select(
         "supplier_key", "supplier_name_clean", "supplier_type", "supplier_name_raw", "supplier_postcode",
         c("n_pay").alias("payment_count"), c("n_ref").alias("refund_count"),
@@ -157,9 +157,8 @@ def d1_kpis(t: Tables) -> DataFrame:
 
 def d2_type_share(t: Tables) -> DataFrame:
     """Non-refund spend share by supplier type."""
-    g = _supplier_spend(t, ["supplier_type"])
-    total = g.agg(F.sum("spend").alias("grand_total"))
-    return g.crossJoin(total).select(
+    g = with_total(_supplier_spend(t, ["supplier_type"]), "spend", bound=t.fact)
+    return g.select(
         "supplier_type", c("n").alias("transaction_count"), as_double(c("spend")).alias("gross_spend"),
         pct(c("spend"), c("grand_total"), 2).alias("pct_of_total"))
 
@@ -174,11 +173,11 @@ def d3_top10(t: Tables, top: int = 10) -> DataFrame:
 
 def d5_topn_share(t: Tables, n: int = 5) -> DataFrame:
     """Share of total non-refund spend held by suppliers ranked <= n (ties included)."""
-    spend = _supplier_spend(t, ["supplier_name_clean"])
+    spend = with_total(_supplier_spend(t, ["supplier_name_clean"]), "spend", bound=t.fact)
     ranked = spend.withColumn("rnk", F.rank().over(Window.orderBy(c("spend").desc_nulls_last())))
-    top = ranked.where(c("rnk") <= n).agg(F.count(one()).alias("suppliers"), F.sum("spend").alias("top_spend"))
-    total = spend.agg(F.sum("spend").alias("grand_total"))
-    return top.crossJoin(total).select(
+    top = ranked.where(c("rnk") <= n).agg(F.count(one()).alias("suppliers"), F.sum("spend").alias("top_spend"),
+                                          F.max("grand_total").alias("grand_total"))
+    return top.select(
         F.lit(n).alias("top_n"), "suppliers", as_double(c("top_spend")).alias("top_spend"),
         as_double(c("grand_total")).alias("grand_total"), pct(c("top_spend"), c("grand_total"), 2).alias("pct_of_total"))
 

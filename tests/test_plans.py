@@ -19,7 +19,10 @@ def tables(spark):
     return catalog.warehouse(spark, SF)
 
 
-def test_rank_filter_gets_window_group_limit(tables):
+def test_rank_filter_gets_window_group_limit(tables, monkeypatch):
+    # inputs not proven small: only the top rows of each partition reach the single-partition window
+    import ledgerline.operators.common as common
+    monkeypatch.setattr(common, "is_bounded", lambda df, max_bytes=None: False)
     plan = executed(reports.q1b_concentration(tables))
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
@@ -61,3 +64,22 @@ def test_bounded_broadcast(spark, tables):
     assert "BroadcastExchange" in plan
     unhinted = bounded_broadcast(tables.dim_entity, max_bytes=0)
     assert "ResolvedHint" not in unhinted._jdf.queryExecution().analyzed().toString()
+
+
+def test_large_group_path_matches_small(spark, tables, monkeypatch):
+    from ledgerline.operators import views
+    small = {n: sorted(map(tuple, f(tables).collect())) for n, f in
+             (("q1b", reports.q1b_concentration), ("q2c", reports.q2c_entity_groups),
+              ("d5", views.d5_topn_share), ("v2", views.v2_supplier_summary),
+              ("q1a", lambda t: reports.q1a_top_suppliers(t, limit=None)))}
+    import ledgerline.operators.common as common
+    import ledgerline.operators.ranking as ranking
+    monkeypatch.setattr(common, "is_bounded", lambda df, max_bytes=None: False)
+    monkeypatch.setattr(ranking, "is_bounded", lambda df, max_bytes=None: False)
+    large = {n: sorted(map(tuple, f(tables).collect())) for n, f in
+             (("q1b", reports.q1b_concentration), ("q2c", reports.q2c_entity_groups),
+              ("d5", views.d5_topn_share), ("v2", views.v2_supplier_summary),
+              ("q1a", lambda t: reports.q1a_top_suppliers(t, limit=None)))}
+    assert small == large
+    plan = executed(reports.q1b_concentration(tables))
+    assert "WindowGroupLimit" in plan
