@@ -79,16 +79,17 @@ def m_max(x: Column) -> tuple[Column, Column]:
 
 
 def by_keys(fact: DataFrame, keys: list[str], measures: dict[str, tuple[Column, Column]],
-            dims: list[DataFrame]) -> DataFrame:
+            dims: list[DataFrame], preaggregate: bool = False) -> DataFrame:
     """Fact measures per dimension-key combination, ready to join to ``dims``.
 
     When every dimension is broadcast (proven small), the join happens map-side
     and the attribute-level partial aggregate after it already collapses rows,
     so the fact rows pass through unaggregated (one shuffle fewer). Otherwise
     the fact is aggregated on the keys first, shrinking the shuffle join's input
-    from one row per transaction to one row per key combination.
+    from one row per transaction to one row per key combination. ``preaggregate``
+    forces the second form (for aggregates that multiply their input rows).
     """
-    if all(is_bounded(d) for d in dims):
+    if not preaggregate and all(is_bounded(d) for d in dims):
         return fact.select(*keys, *[row.alias(n) for n, (_, row) in measures.items()])
     return fact.groupBy(*keys).agg(*[agg.alias(n) for n, (agg, _) in measures.items()])
 
@@ -113,4 +114,4 @@ def with_total(g: DataFrame, col: str, name: str = "grand_total", bound: DataFra
     from ledgerline.session import scratch_dir
     scratch_dir(g.sparkSession)
     g = g.checkpoint(eager=True)
-    return g.crossJoin(F.broadcast(g.agg(F.sum(col).alias(name))))
+    return g.withColumn(name, g.agg(F.sum(col)).scalar())  # scalar subquery over the stored groups

@@ -96,7 +96,7 @@ def duplicate_counts(df: DataFrame, cols: list[str], key: str) -> DataFrame:
     """Rows beyond the first of each identical row, and of each repeated ``key`` value."""
     full = df.groupBy(*cols).agg(F.count(one()).alias("k")).agg(F.sum(c("k") - 1).alias("duplicate_rows"))
     keyed = df.groupBy(key).agg(F.count(one()).alias("k")).agg(F.sum(c("k") - 1).alias("duplicate_keys"))
-    return full.crossJoin(keyed)  # two one-row aggregates
+    return full.withColumn("duplicate_keys", keyed.scalar())  # two one-row aggregates
 
 
 def duplicate_members(df: DataFrame, key: str, cols: list[str], top: int = 8, order: str = "row_id") -> DataFrame:

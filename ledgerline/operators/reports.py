@@ -244,9 +244,11 @@ def q4b_monthly_anomaly(t: Tables) -> DataFrame:
     per_key = by_keys(_non_refund(t), ["date_key"], {"spend": m_sum(c("amount"))}, [dd])
     m = (per_key.join(dd, "date_key")
                 .groupBy("year", "month", "month_name").agg(F.sum("spend").alias("spend")))
-    s = m.agg((F.sum("spend").cast("double") / F.count("spend")).alias("avg_s"))
+    # one row per calendar month: a window over all months is bounded by the calendar
+    every = Window.partitionBy()
+    m = m.withColumn("avg_s", F.sum("spend").over(every).cast("double") / F.count("spend").over(every))
     spend = c("spend").cast("double")
-    return m.crossJoin(s).select(
+    return m.select(
         "year", "month", "month_name", money(c("spend")).alias("monthly_spend"),
         F.round(c("avg_s").cast("decimal(38,10)"), 2).cast("double").alias("avg_spend"),
         ratio(spend - c("avg_s"), c("avg_s"), 1, 100.0).alias("pct_vs_avg"),

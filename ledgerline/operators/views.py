@@ -51,7 +51,7 @@ def v2_supplier_summary(t: Tables) -> DataFrame:
               "supplier_name_clean", "supplier_type")
     per_key = by_keys(t.fact, ["supplier_key"], _flows(), [sup])
     g = per_key.join(sup, "supplier_key").groupBy(*sup.columns).agg(*_resum())
-    g = with_rank(g.crossJoin(total), "gross", "spend_rank", bound=t.fact)  # one-row total
+    g = with_rank(g.withColumn("grand_total", total.scalar()), "gross", "spend_rank", bound=t.fact)
     return g.select(
         "supplier_key", "supplier_name_clean", "supplier_type", "supplier_name_raw", "supplier_postcode",
         c("n_pay").alias("payment_count"), c("n_ref").alias("refund_count"),
@@ -105,7 +105,9 @@ def v6_executive_summary(t: Tables) -> DataFrame:
     sup = dim(t.dim_supplier, "supplier_key", "supplier_name_clean")
     ent = dim(t.dim_entity, "entity_key", "entity_name")
     measures = {**_flows(), "n_pay_amount": m_count_of(F.when(c("is_refund") == 0, c("amount")))}
-    per_key = by_keys(t.fact, ["date_key", "supplier_key", "entity_key"], measures, [dd, sup, ent])
+    # two distinct counts expand every input row: always aggregate on the keys first
+    per_key = by_keys(t.fact, ["date_key", "supplier_key", "entity_key"], measures, [dd, sup, ent],
+                      preaggregate=True)
     rows = per_key.join(dd, "date_key").join(sup, "supplier_key").join(ent, "entity_key")
     g = rows.groupBy("uk_fiscal_year", "uk_fiscal_quarter", "half_year").agg(
         *_resum(), F.sum("n_pay_amount").alias("n_pay_amount"),
@@ -149,7 +151,7 @@ def d1_kpis(t: Tables) -> DataFrame:
     sup = (t.fact.where(c("supplier_key").isNotNull()).select("supplier_key").distinct()
                  .join(dim(t.dim_supplier, "supplier_key", "supplier_name_clean"), "supplier_key")
                  .agg(F.count_distinct("supplier_name_clean").alias("unique_suppliers")))
-    return totals.crossJoin(sup).select(
+    return totals.withColumn("unique_suppliers", sup.scalar()).select(
         as_double(c("net")).alias("net_spend"), c("n").alias("transaction_count"), "unique_suppliers",
         c("refund_count").cast("long").alias("refunds_issued"),
         as_double(F.abs(c("refunds"))).alias("refund_amount"))
