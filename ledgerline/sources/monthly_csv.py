@@ -8,10 +8,10 @@ the groups are then unioned *by name*, which also adds missing canonical
 columns as NULL.
 
 Per file, rows whose core fields are all missing (blank and footer rows) are
-dropped, and every remaining row gets its 0-based position in the file. Files
-are read whole (``multiLine``, needed for quoted newlines), so a file lives in
-exactly one task; the position is the row's id within its task minus the
-file's smallest id, taken from a one-row-per-file aggregate.
+dropped, and every remaining row gets its 0-based position in the file,
+computed from per-split row counts (one row per split), so it stays exact
+whether a file is read whole (``multiLine``, needed for quoted newlines) or
+split across tasks.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -72,22 +72,48 @@ def read_headers(spark: SparkSession, files: list[str], parallelism: int = 16) -
         return dict(zip(files, pool.map(header, files)))
 
 
-def _read_group(spark: SparkSession, files: list[str], names: list[str]) -> DataFrame:
-    schema = StructType([StructField(f"_pos{i}", StringType()) for i in range(len(names))])
-    df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(files)
-    keep = [(f"_pos{i}", n) for i, n in enumerate(names) if n in CANONICAL_COLS]
+def _read_group(spark: SparkSession, files: list[str], names: list[str], multiline: bool) -> DataFrame:
+    schema = StructType([StructField(f"_col{i}", StringType()) for i in range(len(names))])
+    opts = {**CSV_OPTIONS, "multiLine": "true" if multiline else "false"}
+    df = spark.read.options(**opts).schema(schema).csv(files)
+    keep = [(f"_col{i}", n) for i, n in enumerate(names) if n in CANONICAL_COLS]
     return df.select(*[F.col(p).alias(n) for p, n in keep],
-                     F.col("_metadata.file_name").alias("_source_file"))
+                     F.col("_metadata.file_name").alias("_source_file"),
+                     F.col("_metadata.file_block_start").alias("_block"))
 
 
-def read_monthly(spark: SparkSession, src_dir: str) -> Ingest:
+def read_monthly(spark: SparkSession, src_dir: str, multiline: bool = True) -> Ingest:
+    """Raw rows of every ``*.csv`` file under ``src_dir``.
+
+    ``multiline`` (default) honours newlines inside quoted fields, which makes
+    each file one task. Files known to have none can be read with
+    ``multiline=False``: large files are then split across tasks and row
+    positions stay exact.
+    """
     files = list_csv_files(spark, src_dir)
     if not files:
         raise FileNotFoundError(f"no *.csv files under {src_dir}")
-    return read_files(spark, files)
+    return read_files(spark, files, multiline)
+
+
+def _row_positions(rows: DataFrame) -> DataFrame:
+    """0-based position of each row within its file, from ``_pos`` (ids increasing in file
+    order within a split) and ``_block`` (the split's start offset in the file).
+
+    Rows of one split are read in order by one task, so a row's position is the
+    number of rows in earlier splits of its file plus its id minus the split's
+    smallest id. The per-split table has one row per split (a bounded broadcast).
+    """
+    splits = rows.groupBy("_source_file", "_block").agg(F.min("_pos").alias("_pos0"),
+                                                       F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_source_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    return (rows.join(F.broadcast(splits.drop("_n")), ["_source_file", "_block"])
+                .withColumn("_row_idx", F.col("_before") + F.col("_pos") - F.col("_pos0"))
+                .drop("_pos", "_pos0", "_before", "_block"))
 
 
-def read_files(spark: SparkSession, files: list[str]) -> Ingest:
+def read_files(spark: SparkSession, files: list[str], multiline: bool = True) -> Ingest:
     """Raw rows of the given CSV files (any order; load order is by file name)."""
     files = sorted(files, key=lambda p: (posixpath.basename(p), p))
     raw_headers = read_headers(spark, files)
@@ -97,14 +123,11 @@ def read_files(spark: SparkSession, files: list[str]) -> Ingest:
 
     parts, counts = [], []
     for names, group_files in groups.items():
-        df = apply_null_tokens(_read_group(spark, group_files, list(names)))
+        df = apply_null_tokens(_read_group(spark, group_files, list(names), multiline))
         counts.append(df.groupBy("_source_file").agg(F.count(F.lit(1)).alias("raw_rows")))
         parts.append(drop_blank_rows(df).withColumn("_pos", F.monotonically_increasing_id()))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    # one row per file: a bounded broadcast
-    first = rows.groupBy("_source_file").agg(F.min("_pos").alias("_pos0"))
-    raw = (rows.join(F.broadcast(first), "_source_file")
-               .withColumn("_row_idx", F.col("_pos") - F.col("_pos0")).drop("_pos", "_pos0"))
+    raw = _row_positions(rows)
     raw_counts = reduce(lambda a, b: a.unionByName(b), counts)
 
     header_rows = [(posixpath.basename(f), i, h, COLUMN_MAP.get(h.strip().lower()))

@@ -89,3 +89,19 @@ def test_csv_to_warehouse_keep_first(spark, tmpdir_path):
     assert keys == 0  # NULL post codes resolve NULL-safely
     ent = {r.entity_name: (r.entity_group, r.entity_subgroup) for r in t.dim_entity.collect()}
     assert ent == {"Growth - Regional": ("Growth", "Regional"), "Growth": ("Growth", None)}
+
+
+def test_split_files_keep_exact_positions(spark, tmpdir_path):
+    """A file split across several tasks (no quoted newlines) keeps exact per-file positions."""
+    header = b"Department,Supplier,Amount,Date of Payment\n"
+    body = b"".join(b"BIS,S%d,%d,01/04/2015\n" % (i, i) for i in range(30000))
+    with open(os.path.join(tmpdir_path, "big_2015.csv"), "wb") as f:
+        f.write(header + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        ing = read_monthly(spark, tmpdir_path, multiline=False)
+        assert ing.raw.rdd.getNumPartitions() > 1
+        got = {r.supplier_name: r._row_idx for r in ing.raw.select("supplier_name", "_row_idx").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == 30000 and all(got[f"S{i}"] == i for i in range(30000))
