@@ -27,6 +27,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerline.operators.staging import apply_null_tokens, clean, drop_blank_rows
 from ledgerline.schema import CANONICAL_COLS, COLUMN_MAP
+from ledgerline.session import scratch_dir
 
 # Reader options that reproduce the usual CSV quoting rules
 # (doubled quotes inside quoted fields, newlines inside quotes).
@@ -46,13 +47,19 @@ class Ingest:
 
 
 def list_csv_files(spark: SparkSession, src_dir: str) -> list[str]:
-    """``*.csv`` paths under ``src_dir`` (case-sensitive suffix), sorted by file name.
+    """``*.csv`` paths under ``src_dir`` (case-sensitive suffix), sorted by file name."""
+    return list(csv_file_sizes(spark, src_dir))
 
-    Listed by a file-metadata scan: only paths are read, never file contents.
+
+def csv_file_sizes(spark: SparkSession, src_dir: str) -> dict[str, int]:
+    """``*.csv`` paths under ``src_dir`` with their sizes in bytes, sorted by file name.
+
+    Listed by a file-metadata scan: only paths and lengths are read, never contents.
     """
     rows = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-                 .load(src_dir).select("path").collect())
-    return sorted((r.path for r in rows), key=lambda p: (posixpath.basename(p), p))
+                 .load(src_dir).select("path", "length").collect())
+    ordered = sorted(rows, key=lambda r: (posixpath.basename(r.path), r.path))
+    return {r.path: r.length for r in ordered}
 
 
 def normalise_header(cols: list[str]) -> list[str]:
@@ -90,10 +97,10 @@ def read_monthly(spark: SparkSession, src_dir: str, multiline: bool = True) -> I
     ``multiline=False``: large files are then split across tasks and row
     positions stay exact.
     """
-    files = list_csv_files(spark, src_dir)
-    if not files:
+    sizes = csv_file_sizes(spark, src_dir)
+    if not sizes:
         raise FileNotFoundError(f"no *.csv files under {src_dir}")
-    return read_files(spark, files, multiline)
+    return read_files(spark, list(sizes), multiline, total_bytes=sum(sizes.values()))
 
 
 def _row_positions(rows: DataFrame) -> DataFrame:
@@ -113,7 +120,13 @@ def _row_positions(rows: DataFrame) -> DataFrame:
                 .drop("_pos", "_pos0", "_before", "_block"))
 
 
-def read_files(spark: SparkSession, files: list[str], multiline: bool = True) -> Ingest:
+# Above this input size the parsed rows are checkpointed once instead of parsing
+# the files twice (once for the per-split counts, once for the rows).
+PARSE_ONCE_BYTES = 1 << 30
+
+
+def read_files(spark: SparkSession, files: list[str], multiline: bool = True,
+               total_bytes: int | None = None) -> Ingest:
     """Raw rows of the given CSV files (any order; load order is by file name)."""
     files = sorted(files, key=lambda p: (posixpath.basename(p), p))
     raw_headers = read_headers(spark, files)
@@ -127,6 +140,9 @@ def read_files(spark: SparkSession, files: list[str], multiline: bool = True) ->
         counts.append(df.groupBy("_source_file").agg(F.count(F.lit(1)).alias("raw_rows")))
         parts.append(drop_blank_rows(df).withColumn("_pos", F.monotonically_increasing_id()))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if total_bytes is not None and total_bytes > PARSE_ONCE_BYTES:
+        scratch_dir(spark)
+        rows = rows.checkpoint(eager=True)
     raw = _row_positions(rows)
     raw_counts = reduce(lambda a, b: a.unionByName(b), counts)
 

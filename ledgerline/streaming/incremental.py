@@ -2,7 +2,7 @@
 
 A file-source stream over the landing folder tracks which ``*.csv`` files
 have been seen (in the stream's checkpoint, so a restarted job neither skips
-nor repeats a file). Each micro-batch carries only file *paths* (contents are
+nor repeats a file). Each micro-batch carries only file paths and sizes (contents are
 never read by the listing); ``foreachBatch`` runs the batch ingest on those
 files and writes their staging rows, replacing only their own source-file
 partitions. The warehouse is then rebuilt from the stored staging table.
@@ -27,10 +27,11 @@ _BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, con
 
 def _load_batch(staging_path: str):
     def load(batch: DataFrame, batch_id: int) -> None:
-        paths = [r.path for r in batch.select("path").collect()]  # bounded by maxFilesPerTrigger
-        if not paths:
+        files = batch.select("path", "length").collect()  # bounded by maxFilesPerTrigger
+        if not files:
             return
-        ingest = read_files(batch.sparkSession, paths)
+        ingest = read_files(batch.sparkSession, [r.path for r in files],
+                            total_bytes=sum(r.length for r in files))
         raw = ingest.raw.withColumn(
             "_row_key", F.monotonically_increasing_id() + F.lit(batch_id).cast("long") * (1 << _BATCH_SHIFT))
         write_staging(ingest_staging(raw), staging_path)
@@ -47,7 +48,7 @@ def load_new_files(spark: SparkSession, landing_dir: str, staging_path: str, che
     """Start (and, with ``available_now``, finish) the incremental load; returns the query."""
     files = (spark.readStream.format("binaryFile").schema(_BINARY_FILE_SCHEMA)
                   .option("pathGlobFilter", "*.csv")
-                  .option("maxFilesPerTrigger", max_files_per_batch).load(landing_dir).select("path"))
+                  .option("maxFilesPerTrigger", max_files_per_batch).load(landing_dir).select("path", "length"))
     writer = (files.writeStream.foreachBatch(_load_batch(staging_path))
                    .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -105,3 +105,12 @@ def test_split_files_keep_exact_positions(spark, tmpdir_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert len(got) == 30000 and all(got[f"S{i}"] == i for i in range(30000))
+
+
+def test_parse_once_path(spark, tmpdir_path, monkeypatch):
+    import ledgerline.sources.monthly_csv as mc
+    monkeypatch.setattr(mc, "PARSE_ONCE_BYTES", 0)  # force the checkpointed single parse
+    ing = read_monthly(spark, write_fixtures(tmpdir_path))
+    ids = sorted(r.row_id for r in ing.staging().collect())
+    assert ids == ["april_2015_0", "april_2015_1", "april_2015_2", "august_2015_0",
+                   "may_2015_0", "may_2015_1", "may_2015_2"]
