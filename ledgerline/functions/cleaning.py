@@ -68,18 +68,27 @@ def parse_amount(c: Column) -> Column:
 def parse_uk_date(c: Column) -> Column:
     """Day-first date text -> DATE; unparseable (``31/02/2015``, ``abc``) -> NULL.
 
-    Two-digit years read as 20yy.
+    A two-digit year takes the century that puts it within 50 years of today
+    (``1/4/95`` -> 1995, ``1/4/15`` -> 2015).
     """
     s = strip_ws(c)
     out = None
     for shape, fmt in DATE_LAYOUTS:
         parsed = F.try_to_date(s, fmt)
+        if fmt.endswith("yy") and not fmt.endswith("yyyy"):
+            parsed = _nearest_century(parsed)
         out = F.when(s.rlike(shape), parsed) if out is None else out.when(s.rlike(shape), parsed)
     for shape, fmt in DATETIME_LAYOUTS:
         out = out.when(s.rlike(shape), F.to_date(F.try_to_timestamp(s, F.lit(fmt))))
     return out
 
 
+def _nearest_century(d: Column) -> Column:
+    """Dates parsed as 20yy moved back a century when 50 or more years ahead of today."""
+    ahead = F.year(d) >= F.year(F.current_date()) + 50
+    return F.when(ahead, F.add_months(d, -1200)).otherwise(d)
+
+
 def refund_flag(amount: Column) -> Column:
     """``amount < 0``; NULL and zero amounts are not refunds."""
     return F.coalesce(amount < 0, F.lit(False))

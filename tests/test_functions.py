@@ -22,6 +22,8 @@ def test_parse_uk_date(spark):
                           "03-Apr-2015", "3/4/2015 10:30"], LF.parse_uk_date)
     d = dt.date(2015, 4, 3)
     assert got == [d, d, None, None, None, d, d, d]
+    assert one_col(spark, ["1/4/95", "1/4/15", "03-Apr-99"], LF.parse_uk_date) == [
+        dt.date(1995, 4, 1), dt.date(2015, 4, 1), dt.date(1999, 4, 3)]
 
 
 def test_fiscal_calendar(spark):
