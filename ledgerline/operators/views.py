@@ -105,9 +105,9 @@ def v6_executive_summary(t: Tables) -> DataFrame:
     sup = dim(t.dim_supplier, "supplier_key", "supplier_name_clean")
     ent = dim(t.dim_entity, "entity_key", "entity_name")
     measures = {**_flows(), "n_pay_amount": m_count_of(F.when(c("is_refund") == 0, c("amount")))}
-    # two distinct counts expand every input row: always aggregate on the keys first
-    per_key = by_keys(t.fact, ["date_key", "supplier_key", "entity_key"], measures, [dd, sup, ent],
-                      preaggregate=True)
+    # with broadcast dimensions the distinct-count expansion happens in memory and
+    # is combined map-side into a few groups: cheaper than shuffling every key triple
+    per_key = by_keys(t.fact, ["date_key", "supplier_key", "entity_key"], measures, [dd, sup, ent])
     rows = per_key.join(dd, "date_key").join(sup, "supplier_key").join(ent, "entity_key")
     g = rows.groupBy("uk_fiscal_year", "uk_fiscal_quarter", "half_year").agg(
         *_resum(), F.sum("n_pay_amount").alias("n_pay_amount"),
