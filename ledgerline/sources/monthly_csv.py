@@ -170,10 +170,9 @@ def write_staging(staging: DataFrame, path: str, replace_files_only: bool = True
     With ``replace_files_only`` a load replaces just the files it contains
     (dynamic partition overwrite), so re-delivering one month rewrites only it.
     """
-    spark = staging.sparkSession
-    if replace_files_only:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    staging.write.mode("overwrite").partitionBy("_source_file").parquet(path)
+    mode = "dynamic" if replace_files_only else "static"
+    (staging.write.mode("overwrite").option("partitionOverwriteMode", mode)
+            .partitionBy("_source_file").parquet(path))
 
 
 def columns_added(ingest: Ingest) -> DataFrame:

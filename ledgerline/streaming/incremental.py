@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators.staging import clean
 from ledgerline.operators.warehouse import Tables, materialize_warehouse
 from ledgerline.sources.monthly_csv import read_files, write_staging
 
@@ -34,15 +35,10 @@ def _load_batch(staging_path: str):
                             total_bytes=sum(r.length for r in files))
         raw = ingest.raw.withColumn(
             "_row_key", F.monotonically_increasing_id() + F.lit(batch_id).cast("long") * (1 << _BATCH_SHIFT))
-        write_staging(ingest_staging(raw), staging_path)
+        write_staging(clean(raw), staging_path)
     return load
 
 
-def ingest_staging(raw: DataFrame) -> DataFrame:
-    from ledgerline.operators.staging import clean
-    return clean(raw)
-
-
 def load_new_files(spark: SparkSession, landing_dir: str, staging_path: str, checkpoint: str,
                    max_files_per_batch: int = 12, available_now: bool = True):
     """Start (and, with ``available_now``, finish) the incremental load; returns the query."""
