@@ -25,20 +25,31 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_bound(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def _bytes(text: str) -> int | None:
+    t = str(text).strip().lower()
+    digits = t.lstrip("-0123456789")
     try:
-        auto = int(str(conf).lower().rstrip("b"))
-    except ValueError:
-        auto = 10 * 1024 * 1024
-    return max(auto, DEFAULT_BOUND)
+        return int(t[: len(t) - len(digits)]) * _UNITS[digits]
+    except (ValueError, KeyError):
+        return None
+
+
+def broadcast_bound(df: DataFrame) -> int:
+    """The bound for hinted broadcasts; negative (never) when broadcasting is switched off."""
+    auto = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
+    if auto is not None and auto < 0:
+        return -1
+    return max(auto or 10 * 1024 * 1024, DEFAULT_BOUND)
 
 
 def is_bounded(df: DataFrame, max_bytes: int | None = None) -> bool:
     """True when the optimizer's size estimate of ``df`` is known and at most the bound."""
     size = estimated_bytes(df)
     bound = max_bytes if max_bytes is not None else broadcast_bound(df)
-    return size is not None and size <= bound
+    return bound >= 0 and size is not None and size <= bound
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:

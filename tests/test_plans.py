@@ -83,3 +83,14 @@ def test_large_group_path_matches_small(spark, tables, monkeypatch):
     assert small == large
     plan = executed(reports.q1b_concentration(tables))
     assert "WindowGroupLimit" in plan
+
+
+def test_broadcast_bound_respects_config(spark, tables):
+    from ledgerline.plans.joins import _bytes, broadcast_bound
+    assert _bytes("10MB") == 10 << 20 and _bytes("-1") == -1 and _bytes("2g") == 2 << 30
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert broadcast_bound(tables.dim_entity) == -1 and not is_bounded(tables.dim_entity)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert is_bounded(tables.dim_entity)
