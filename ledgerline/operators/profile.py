@@ -117,3 +117,9 @@ def date_range(df: DataFrame, col: str = "payment_date") -> DataFrame:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def dtypes(df: DataFrame) -> DataFrame:
+    """Column names and types (schema metadata: one row per column)."""
+    rows = [(i, name, typ) for i, (name, typ) in enumerate(df.dtypes)]
+    return df.sparkSession.createDataFrame(rows, "ordinal int, column_name string, data_type string")

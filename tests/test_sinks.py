@@ -47,3 +47,10 @@ def test_display_formatting(spark):
     df = reports.q1a_top_suppliers(small_tables(spark))
     row = formatted(df, ["gross_spend"]).first()
     assert row.gross_spend == "1,000.50"
+
+
+def test_profile_dtypes(spark):
+    from ledgerline.operators.profile import dtypes
+    t = small_tables(spark)
+    got = {r.column_name: r.data_type for r in dtypes(t.fact).collect()}
+    assert got["amount"] == "decimal(18,2)" and got["date_key"] == "int" and len(got) == 12
