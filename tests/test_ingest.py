@@ -11,23 +11,23 @@ from ledgerline.sources.monthly_csv import columns_added, header_audit, normalis
 APRIL = (
     b' Department ,ENTITY,Date of Payment,Expense Type,Expense Area,Supplier,Transaction Number,'
     b'Amount,Description,Supplier Post Code,Supplier Type,Contract Number,Project Code,Expenditure Type\r\n'
-    b'BIS,Core,03/04/2015,it\'s non-pay,Growth - Regional,\xa0Acme  Limited\xa0,T1,"1,234.50",'
+    b'DEPT,Core,03/04/2015,it\'s non-pay,Growth - Regional,\xa0Acme  Limited\xa0,T1,"1,234.50",'
     b'"Desk, chairs",AB1 2CD,Private,,,Capital\r\n'
-    b'BIS,Core,3/4/2015,staff,Growth,"Caf\xe9 ""Bar"" Ltd",T2,-5,"line one\nline two",,Public,,,Resource\r\n'
-    b'BIS,Core,31/02/2015,staff,,Acme Limited,T3,NA,x,AB1 2CD,Private,,,Capital\r\n'
+    b'DEPT,Core,3/4/2015,staff,Growth,"Caf\xe9 ""Bar"" Ltd",T2,-5,"line one\nline two",,Public,,,Resource\r\n'
+    b'DEPT,Core,31/02/2015,staff,,Acme Limited,T3,NA,x,AB1 2CD,Private,,,Capital\r\n'
 )
 AUGUST = (
     b'Supplier,Amount,Date of Payment,Department,Entity,Expense Type,Expense Area,Transaction Number,'
     b'Description,Supplier Post Code,Supplier Type,Expenditure Type\n'
-    b'Acme Limited,100,01/08/2015,BIS,Core,staff,Growth - Regional,T9,y,AB1 2CD,Other,Capital\n'
+    b'Acme Limited,100,01/08/2015,DEPT,Core,staff,Growth - Regional,T9,y,AB1 2CD,Other,Capital\n'
 )
 MAY = (
     b'Department,Entity,Date of Payment,Expense Type,Expense Area,Supplier,Transaction Number,Amount,'
     b'Description,Supplier Post Code,Supplier Type,Contract Number,Project Code,Expenditure Type,\n'
-    b'BIS,Core,05/05/2015,staff,Growth,Beta plc,T5,10,a,N/A,Private,NULL,nan,Capital,\n'
+    b'DEPT,Core,05/05/2015,staff,Growth,Beta plc,T5,10,a,N/A,Private,NULL,nan,Capital,\n'
     b',,,,,,,,,,,,,,\n'
-    b'BIS,Core,06/05/2015,staff,Growth,Beta plc,T5,20,b,,Private,,,Capital,\n'
-    b'BIS,Core,06/05/2015,staff,Growth,Beta plc,T5,20,b,,Private,,,Capital,\n'
+    b'DEPT,Core,06/05/2015,staff,Growth,Beta plc,T5,20,b,,Private,,,Capital,\n'
+    b'DEPT,Core,06/05/2015,staff,Growth,Beta plc,T5,20,b,,Private,,,Capital,\n'
     b',,,,,,,,,,,,,,\n'
     b',,,,,,,,,,,,,,\n'
 )
@@ -55,7 +55,7 @@ def test_ingest_fixtures(spark, tmpdir_path):
     assert sorted(rows) == ["april_2015_0", "april_2015_1", "april_2015_2", "august_2015_0",
                             "may_2015_0", "may_2015_1", "may_2015_2"]
     a0, a1, a2 = rows["april_2015_0"], rows["april_2015_1"], rows["april_2015_2"]
-    assert a0.department == "BIS" and a0.entity == "Core"
+    assert a0.department == "DEPT" and a0.entity == "Core"
     assert a0.amount == Decimal("1234.50") and a0.description == "Desk, chairs"
     assert a0.supplier_name == "\xa0Acme  Limited\xa0" and a0.supplier_name_clean == "ACME LTD"
     assert a0.expense_type == "It'S Non-Pay" and a0.expense_area == "Growth - Regional"
@@ -94,7 +94,7 @@ def test_csv_to_warehouse_keep_first(spark, tmpdir_path):
 def test_split_files_keep_exact_positions(spark, tmpdir_path):
     """A file split across several tasks (no quoted newlines) keeps exact per-file positions."""
     header = b"Department,Supplier,Amount,Date of Payment\n"
-    body = b"".join(b"BIS,S%d,%d,01/04/2015\n" % (i, i) for i in range(30000))
+    body = b"".join(b"DEPT,S%d,%d,01/04/2015\n" % (i, i) for i in range(30000))
     with open(os.path.join(tmpdir_path, "big_2015.csv"), "wb") as f:
         f.write(header + body)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
