@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, decontaminate, licences, minhash, shards, token_files
+from ledgerline.llm import byte_bpe, decontaminate, licences, minhash, shards, suffix_dedup, token_files
 from ledgerline.llm.common import table
 
 #: Production parameters.
@@ -17,6 +17,10 @@ WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SHARD_TREE = shards.tree(regions=2, racks=3, shards=4)
 
 
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
@@ -43,7 +47,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe, op3_decontaminate, op6_minhash, op7_hash_tree, op9_token_files,
+    return {f.__name__: f for f in (op1_suffix_array, op2_byte_bpe, op3_decontaminate, op6_minhash, op7_hash_tree, op9_token_files,
                                     op10_licences)}
 
 
