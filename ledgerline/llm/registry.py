@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, decontaminate, licences, minhash, shards, suffix_dedup, token_files
-from ledgerline.llm.common import table
+from ledgerline.llm import (byte_bpe, cover_tree, decontaminate, licences, lm_score, minhash, shards, suffix_dedup,
+                            token_files, toxicity)
+from ledgerline.llm.common import table, texts
 
 #: Production parameters.
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -30,6 +31,16 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"))
 
 
+def op4_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_pairs(table(spark, sf_dir, "embeddings"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(texts(docs), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.groups(table(spark, sf_dir, "documents"), n=4).drop("text_key")
 
@@ -38,6 +49,13 @@ def op7_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"), SHARD_TREE)
 
 
+def op8_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = table(spark, sf_dir, "labels").where("quality = 1")
+    scores = lm_score.score(table(spark, sf_dir, "documents"), target)
+    return scores.select("doc_id", "n_tokens", *[(F.round(c, 6) + F.lit(0.0)).alias(c)
+                                                 for c in ("target_loss", "background_loss", "score")])
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.roundtrip(spark, table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
@@ -47,9 +65,10 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_array, op2_byte_bpe, op3_decontaminate, op6_minhash, op7_hash_tree, op9_token_files,
-                                    op10_licences)}
+    return {f.__name__: f for f in (
+        op1_suffix_array, op2_byte_bpe, op3_decontaminate, op4_cover_tree, op5_toxicity, op6_minhash, op7_hash_tree,
+        op8_cross_entropy, op9_token_files, op10_licences)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_licences": licences.report_sql()}
+    return {"op8_cross_entropy": lm_score.score_sql(), "op10_licences": licences.report_sql()}
