@@ -1,11 +1,11 @@
 """Token ids in flat binary files with 64-bit document offsets, read back through memory maps.
 
 Layout of a folder: every part ``k`` has ``k.tokens`` (unsigned little-endian
-ids, four bytes each, document after document), ``k.offsets`` (n + 1 unsigned
-64-bit positions in ids, from 0) and ``k.docs`` (n signed 64-bit document ids). The
-manifest, a small table with one row a part, holds the part's order, its number
-of documents and ids, how many of its first documents have a null id, and its
-base: the ids in all parts before it, by a prefix sum over the manifest.
+ids, document after document, two bytes each if the vocabulary fits, else four), ``k.offsets``
+(n + 1 unsigned 64-bit positions in ids, from 0) and ``k.docs`` (n signed 64-bit document
+ids). The manifest, a small table with one row a part, holds the part's order, its
+number of documents and ids, the bytes of an id, how many of its first documents have a null
+id, and its base: the ids in all parts before it, by a prefix sum over the manifest.
 
 Parts hold ranges of ascending document ids (nulls first), so the folder reads
 as one long array. A part is written under a temporary name and then renamed;
@@ -32,7 +32,10 @@ from ledgerline.llm.common import arrow_map, flat, slices, stored, texts
 from ledgerline.llm.words import span_hashes, word_spans
 from ledgerline.plans.materialize import new_location
 
-MANIFEST = "part string, first_id long, n_docs long, n_tokens long, n_null long"
+MANIFEST = "part string, first_id long, n_docs long, n_tokens long, n_null long, id_bytes int"
+
+#: Words whose ids a worker remembers at most; then it starts anew.
+REMEMBERED = 2_000_000
 
 
 def local_folder(location: str) -> str:
@@ -52,32 +55,61 @@ def tokenizer(path: str) -> Tokenizer:
 
 
 def _ids_of(t: Tokenizer, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    coded = [e.ids for e in t.encode_batch_fast(strings, add_special_tokens=False)]
-    counts = np.array([len(x) for x in coded], np.int64)
-    return np.fromiter((i for x in coded for i in x), np.uint32, int(counts.sum())), counts
+    ids, counts = [np.zeros(0, np.uint32)], []
+    for i in range(0, len(strings), 2000):
+        coded = [e.ids for e in t.encode_batch_fast(strings[i:i + 2000], add_special_tokens=False)]
+        counts += map(len, coded)
+        ids.append(np.fromiter((x for own in coded for x in own), np.uint32, sum(map(len, coded))))
+    return np.concatenate(ids), np.array(counts, np.int64)
+
+
+class Known:
+    """Ids of the words that a worker has met, by hash; a second hash tells whether two words share the first."""
+
+    def __init__(self):
+        self.key = self.again = np.zeros(0, np.uint64)
+        self.begin = self.count = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.key, key)
+        inside = np.minimum(at, max(0, len(self.key) - 1))
+        return at, (self.key[inside] == key) if len(self.key) else np.zeros(len(key), bool)
+
+    def add(self, at: np.ndarray, key: np.ndarray, again: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        begin = len(self.ids) + np.cumsum(counts) - counts
+        self.key, self.again = np.insert(self.key, at, key), np.insert(self.again, at, again)
+        self.begin, self.count = np.insert(self.begin, at, begin), np.insert(self.count, at, counts)
+        self.ids = np.concatenate([self.ids, ids])
+
+
+@functools.lru_cache(maxsize=2)
+def known_words(path: str) -> Known:
+    return Known()
 
 
-def encode_column(t: Tokenizer, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def encode_column(t: Tokenizer, known: Known, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts of a column, text after text, and how many each has.
 
-    The tokenizer drops white space and never joins words across it, so each
-    distinct word of the column is encoded once and its ids are put in place of
-    every occurrence. Two hashes decide which words are the same; should they
-    disagree, the column is encoded text by text.
+    The tokenizer drops white space and never joins words across it, so a word is encoded when it is
+    first met and its ids are put in place of every occurrence. Two hashes decide which
+    words are the same; should they disagree, the column is encoded text by text.
     """
     starts, ends, firsts = word_spans(data, offsets)
-    keys = span_hashes(data, starts, lower=False)
-    _, first, which = np.unique(keys, return_index=True, return_inverse=True)
-    again = span_hashes(data, starts, lower=False, base=0xA0761D6478BD642F)
-    length = ends - starts
-    if (again != again[first][which]).any() or (length != length[first][which]).any():
+    keys, again = (span_hashes(data, starts, lower=False, base=b) for b in (0x9E3779B97F4A7C15, 0xA0761D6478BD642F))
+    key, first, which = np.unique(keys, return_index=True, return_inverse=True)
+    if len(known.key) + len(key) > REMEMBERED:
+        known.__init__()
+    at, have = known.find(key)
+    if (again != again[first][which]).any() or (known.again[at[have]] != again[first][have]).any():
         return _ids_of(t, [bytes(data[a:b]).decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:])])
-    raw = data.tobytes()
-    ids, counts = _ids_of(t, [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[first], ends[first])])
-    begins = np.concatenate([[0], np.cumsum(counts)])[:-1]
-    n = counts[which]
+    raw, new = data.tobytes(), first[~have]
+    ids, counts = _ids_of(t, [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[new], ends[new])])
+    known.add(at[~have], key[~have], again[new], ids, counts)
+    at, _ = known.find(key)
+    n = known.count[at][which]
     upto = np.concatenate([[0], np.cumsum(n)])
-    out = ids[np.arange(upto[-1]) + np.repeat(begins[which] - upto[:-1], n)]
+    out = known.ids[np.arange(upto[-1]) + np.repeat(known.begin[at][which] - upto[:-1], n)]
     return out, upto[firsts[1:]] - upto[firsts[:-1]]
 
 
@@ -92,7 +124,8 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, location: str,
     folder = local_folder(location)
 
     def run(batches):
-        t = tokenizer(tokenizer_path)
+        t, known = tokenizer(tokenizer_path), known_words(tokenizer_path)
+        kind = "<u2" if max(t.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         part = f"{TaskContext.get().partitionId():06d}"
         tag, own, n_docs, n_tokens, n_null, first_id = f".{uuid.uuid4().hex}", {}, 0, 0, 0, None
         for batch in batches:
@@ -102,11 +135,11 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, location: str,
                 own["offsets"].write(np.zeros(1, "<u8").tobytes())
             ids = batch.column(0)
             data, offsets = flat(batch.column(1))
-            for i, j in slices(offsets, 8 << 20):
-                tokens, counts = encode_column(t, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            for i, j in slices(offsets, 4 << 20):
+                tokens, counts = encode_column(t, known, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 with_end = counts + 1
                 ends = np.cumsum(with_end)
-                out = np.empty(int(ends[-1]), "<u4")
+                out = np.empty(int(ends[-1]), kind)
                 last = np.zeros(len(out), bool)
                 last[ends - 1] = True
                 out[last], out[~last] = end_id, tokens
@@ -124,7 +157,8 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, location: str,
             os.replace(f.name, f"{folder}/{part}.{k}")
         if own:
             yield pa.RecordBatch.from_pydict({"part": [part], "first_id": pa.array([first_id], pa.int64()),
-                                              "n_docs": [n_docs], "n_tokens": [n_tokens], "n_null": [n_null]})
+                                              "n_docs": [n_docs], "n_tokens": [n_tokens], "n_null": [n_null],
+                                              "id_bytes": pa.array([int(kind[2])], pa.int32())})
 
     rows = texts(docs, id_col, text_col).withColumn("__h", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc_id", "__h").sortWithinPartitions("doc_id", "__h", "text")
@@ -142,7 +176,7 @@ def read(manifest: DataFrame, location: str) -> DataFrame:
             for row in batch.to_pylist():
                 if not row["n_docs"]:
                     continue
-                tokens = np.memmap(f"{folder}/{row['part']}.tokens", "<u4", "r")
+                tokens = np.memmap(f"{folder}/{row['part']}.tokens", f"<u{row['id_bytes']}", "r")
                 offsets = np.memmap(f"{folder}/{row['part']}.offsets", "<u8", "r")
                 ids = np.memmap(f"{folder}/{row['part']}.docs", "<i8", "r")
                 for i in range(0, row["n_docs"], 10_000):
@@ -152,7 +186,7 @@ def read(manifest: DataFrame, location: str) -> DataFrame:
                     yield pa.RecordBatch.from_pydict({
                         "doc_id": pa.array(own, mask=null), "start": pa.array(at[:-1] + row["base"]),
                         "n_tokens": pa.array(np.diff(at)),
-                        "ids_crc32": pa.array([zlib.crc32(tokens[a:b]) for a, b in zip(at[:-1], at[1:])], pa.int64())})
+                        "ids_crc32": pa.array([zlib.crc32(tokens[a:b].astype("<u4")) for a, b in zip(at[:-1], at[1:])], pa.int64())})
 
     return arrow_map(manifest.repartition("part"), run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
