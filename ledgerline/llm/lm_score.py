@@ -113,7 +113,8 @@ def score(docs: DataFrame, target: DataFrame, size: int = VOCABULARY,
     own = texts(docs, id_col, text_col)
     words = frequent_words(own, size)
     ids = _Ids(words)
-    wanted = target.select(F.col(id_col).cast("long").alias("doc_id")).distinct()
+    # target ids grow with the corpus: one plan at every size, never a broadcast
+    wanted = target.select(F.col(id_col).cast("long").alias("doc_id")).distinct().hint("merge")
     models = docs.sparkSession.sparkContext.broadcast(
         tuple(log_probabilities(_bigrams(part, ids, size)).ravel()
               for part in (own.join(wanted, "doc_id", "left_semi"), own)))
