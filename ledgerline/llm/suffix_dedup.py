@@ -306,12 +306,14 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     keyed = texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
     every = stored(_read_anchors(keyed), "anchors")
-    shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    # stored before the join, so that both its sides are plain shuffles, whose hot buckets Spark can split
+    shared = stored(every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"),
+                    "shared-buckets")
     kept = stored(every.join(shared, "bucket", "left_semi").withColumn(
         "tag", F.xxhash64("doc_id", "text_key", "first", "shape")), "shared-anchors")
     contexts = kept.groupBy("bucket", "context").agg(F.count(F.lit(1)).alias("n"), F.min("tag").alias("pick"))
     contexts = stored(contexts, "context-counts")
-    several = contexts.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    several = stored(contexts.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "mixed-buckets")
     # what sorting must see: one of each context of buckets with several
     sorted_ = contexts.join(several, "bucket").withColumn("pieces", F.ceil(F.col("kinds") / SPLIT).cast("int"))
     marked = kept.join(contexts.where("n > 1").select("bucket", "context"), ["bucket", "context"], "left_semi")
@@ -324,7 +326,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     cut = keyed.join(per_doc, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")))
     cut = cut.select("doc_id", "text", "text_key", "asks")
     found = stored(_sort_buckets(_contexts(cut)), "sorted")
-    between = found.where("w1 is not null").groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    between = stored(found.where("w1 is not null").groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
+                     "split-repeats")
     crossed = found.where("alone").join(between, ["w1", "w2"], "left_semi")
     cols = ["doc_id", "text_key", "first", "last"]
     return stored(whole.unionAll(found.where("w1 is null").select(*cols)).unionAll(crossed.select(*cols)), "ranges")
