@@ -314,10 +314,10 @@ def near_pairs(vectors: DataFrame, percent: int = 90, id_col: str = "vec_id", ve
     found = _traverse(classes, percent / 100, int(dim), n)
     sums = found.groupBy("cid").agg(F.sum("links").alias("links"))
     roots = components(found.where("cid <> mate").select(F.col("cid").alias("a"), F.col("mate").alias("b")))
-    named = (classes.select("cid", "k1", "k2", "low", "copies").join(sums, "cid", "left")
+    named = stored(classes.select("cid", "k1", "k2", "low", "copies").join(sums, "cid", "left")
              .join(roots.withColumnRenamed("node", "cid"), "cid", "left")
-             .withColumn("root", F.coalesce("root", "cid")))
-    lows = named.groupBy("root").agg(F.min("low").alias("component"))
+             .withColumn("root", F.coalesce("root", "cid")), "named")
+    lows = stored(named.groupBy("root").agg(F.min("low").alias("component")), "components")
     named = named.join(lows, "root").select(
         "k1", "k2", "component", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("links"))
     linked = rows.where("embedding is not null").select("vec_id", *key).join(named, ["k1", "k2"])

@@ -29,10 +29,11 @@ def components(edges: DataFrame) -> DataFrame:
     state = _state(now)
     while state[0]:
         both = now.select("u", "v").unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # minima are stored before each join, so that both sides are plain shuffles, whose hot nodes Spark can split
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-low")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        small = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large.where("u <> v").distinct(), "cc-large")
+        small = stored(large.groupBy("u").agg(F.min("v").alias("m")), "cc-small")
         linked = large.join(small, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = stored(linked.unionAll(small.select("u", F.col("m").alias("v"))).distinct(), "cc")
         new_state = _state(after)
@@ -40,4 +41,5 @@ def components(edges: DataFrame) -> DataFrame:
         if new_state == last:
             break
     tops = now.select(F.col("v").alias("node")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(tops.select("node", F.col("node").alias("root")))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
+        tops.select("node", F.col("node").alias("root")))
