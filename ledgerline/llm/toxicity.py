@@ -27,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import arrow_map, flat, slices, stored, texts
+from ledgerline.llm.common import arrow_map, flat, lists, slices, stored, texts
 from ledgerline.llm.words import mix, shingles, span_hashes, word_spans
 
 #: Labelled documents that are learned from (about; chosen by a hash of the id), terms and stems kept at most.
 SAMPLE, MAX_TERMS, MAX_STEMS, MAX_CANDIDATES = 20_000, 400, 60, 4_000
 #: What a match with one or two edits and a quoted match count, and the characters looked at on either side.
 EDITED, QUOTED, WINDOW = (1.0, 0.7, 0.5), 0.12, 48
+#: Minima that tell near copies in the sample.
+COPY_MINIMA = 8
 #: Expected number of lexicon entries that owe their place to chance.
 CHANCE = 0.05
 _MAX_WEIGHT = 6.0
@@ -151,7 +153,7 @@ class Automaton:
                         out.append((kid, e + 1))
                 if e < reach[node]:
                     out.append((node, e + 1))
-                if ends[node] and ends[node][2]:
+                if ends[node] and ends[node][2] and e <= ends[node][1]:
                     out.append((-1 - ends[node][0], e))
             return closed(out)
 
@@ -245,7 +247,7 @@ def held_out(id_col: str = "doc_id"):
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic, g0, g1, g2) of about SAMPLE labelled documents; g: minima of word shingles."""
+    """(doc_id, text, toxic, minima) of about SAMPLE labelled documents; minima of hashes of their word shingles."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")) \
         .where("doc_id is not null and toxic is not null").where(~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -260,24 +262,24 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 own = data[offsets[i]:offsets[j]]
                 starts, _, words = word_spans(own, offsets[i:j + 1] - offsets[i])
                 hashes, at = shingles(span_hashes(own, starts), words, 5)
-                lows = np.zeros((3, j - i), np.int64)
+                lows = np.zeros((j - i, COPY_MINIMA), np.int64)
                 full = np.flatnonzero(np.diff(at))
-                for k in range(3):
-                    if len(full):
-                        lows[k, full] = np.minimum.reduceat(mix(hashes + np.uint64(k + 1)), at[full]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([*batch.slice(i, j - i).columns, *map(pa.array, lows)],
-                                                 names=["doc_id", "text", "toxic", "g0", "g1", "g2"])
+                for k in range(COPY_MINIMA if len(full) else 0):
+                    lows[full, k] = np.minimum.reduceat(mix(hashes + np.uint64(k + 1)), at[full]).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(i, j - i).columns, lists(pa.array(lows.ravel()), np.arange(j - i + 1) * COPY_MINIMA)],
+                    names=["doc_id", "text", "toxic", "minima"])
 
     joined = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
-    return stored(arrow_map(joined, run, "doc_id long, text binary, toxic int, g0 long, g1 long, g2 long"), "toxic-sample")
+    return stored(arrow_map(joined, run, "doc_id long, text binary, toxic int, minima array<long>"), "toxic-sample")
 
 
 def _without_copies(sample: DataFrame) -> DataFrame:
-    """Of near copies nearly all go: a document stays if it is the first in all of its three groups."""
-    for g in ("g0", "g1", "g2"):
-        first = sample.groupBy(g).agg(F.min("doc_id").alias("first"))
-        sample = sample.join(first.select(g, F.col("first").alias("doc_id")), [g, "doc_id"], "left_semi")
-    return sample
+    """Of near copies nearly all go: a document stays if it is the first of all that share any of its minima."""
+    groups = sample.select("doc_id", F.posexplode("minima").alias("k", "low"))
+    first = groups.groupBy("k", "low").agg(F.min("doc_id").alias("doc_id"))
+    alone = first.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == COPY_MINIMA)
+    return sample.join(alone, "doc_id", "left_semi")
 
 
 def _log_chance(toxic: float, clean: float, base: float) -> float:
@@ -356,14 +358,21 @@ def _unreliable(sample: DataFrame, model: Model) -> frozenset:
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Bias and slope of a logistic regression on one feature, with a small penalty (Newton's method)."""
-    design, beta = np.column_stack([np.ones_like(x), x]), np.zeros(2)
-    for _ in range(50):
+    """Bias and slope of a logistic regression on one feature, with a small penalty (Newton's method, halved steps)."""
+    design, beta, penalty = np.column_stack([np.ones_like(x), x]), np.zeros(2), 1e-2
+
+    def loss(b):
+        z = design @ b
+        return np.logaddexp(0, z).sum() - y @ z + penalty / 2 * b @ b
+
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        grad = design.T @ (y - p) - 1e-3 * beta
-        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2), grad)
-        beta = beta + np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
+        grad = design.T @ (y - p) - penalty * beta
+        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + penalty * np.eye(2), grad)
+        while np.abs(step).max() > 1e-9 and loss(beta + step) > loss(beta):
+            step = step / 2
+        beta = beta + step
+        if np.abs(step).max() < 1e-6:
             break
     return float(beta[0]), float(beta[1])
 
