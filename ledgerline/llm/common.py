@@ -47,7 +47,12 @@ def arrow_map(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``df.mapInArrow``, after this package's code was sent to the executors (once an application)."""
     sc = df.sparkSession.sparkContext
     _shipped(sc.applicationId, sc.addPyFile)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()  # the worker lives on and serves other operators
+
+    return df.mapInArrow(run, schema)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -46,7 +46,7 @@ def powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
     """``base**i`` and its inverse modulo 2**64 for i < n."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, 1 << 21)
+        size = -(-n // (1 << 16)) << 16
         p, q = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
         p[0] = q[0] = 1
         have = _POWERS[base] = np.multiply.accumulate(p), np.multiply.accumulate(q)
