@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import SLICE_BYTES, arrow_map, flat, lists, slices, text_of
+from ledgerline.llm.common import SLICE_BYTES, arrow_map, flat, lists, own_prefix, slices, text_of
 
 #: Characters after which a long text is cut at the next safe boundary.
 CHUNK_CHARS = 1 << 16
@@ -85,7 +85,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([*part.columns[:text_at], column], names=schema.names)
 
-    return arrow_map(kept.withColumn("__text", text_of(text_col).cast("binary")), run, schema)
+    return arrow_map(kept.withColumn(f"{own_prefix(kept)}text", text_of(text_col).cast("binary")), run, schema)
 
 
 def decode(tokens: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

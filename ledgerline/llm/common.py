@@ -28,6 +28,14 @@ def text_of(text_col: str = "text") -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
 
+def own_prefix(df: DataFrame) -> str:
+    """A prefix that no column of ``df`` has, for helper columns beside the caller's."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and the UTF-8 bytes of ``text``; every other column is left behind, so none can clash."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).cast("binary").alias("text"))

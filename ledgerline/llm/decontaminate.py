@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import arrow_map, flat, lists, longs, slices, stored, texts
+from ledgerline.llm.common import arrow_map, flat, lists, longs, own_prefix, slices, stored, texts
 from ledgerline.llm.words import shingle_set, shingles, span_hashes, word_list, word_spans
 
 #: Bits of the fixed-size filter over sketch values (one MiB, whatever the size of the benchmark).
@@ -174,6 +174,8 @@ def contained_items(docs: DataFrame, items: DataFrame, n: int = 5, percent: int
 
 def clean(docs: DataFrame, items: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; rows and columns are otherwise unchanged."""
-    bad = contained_items(docs, items, n, percent).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    p = own_prefix(docs)
+    bad = contained_items(docs, items, n, percent).select(
+        F.col("doc_id").alias(f"{p}id"), F.col("text_key").alias(f"{p}key"))
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
-    return docs.join(bad.distinct(), F.col("doc_id").eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left_anti")
+    return docs.join(bad.distinct(), F.col("doc_id").eqNullSafe(F.col(f"{p}id")) & (key == F.col(f"{p}key")), "left_anti")

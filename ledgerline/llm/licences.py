@@ -18,7 +18,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import text_of
+from ledgerline.llm.common import own_prefix, text_of
 
 # Known licence sentences (wording of the licences and of their usual notices).
 SENTENCES = {
@@ -124,9 +124,11 @@ def scan(docs: DataFrame, sentences: dict[int, str] | None = None,
     none = F.array().cast("array<int>")
     by_line = F.when(likely, _ids(text, known)).otherwise(none)
     unwrapped = F.when(likely, _ids(F.regexp_replace(text, "[ \t\r]*\n[ \t\r]*", " "), known)).otherwise(none)
-    out = docs.drop(ids_col, out_col).withColumn(ids_col, by_line).withColumn("__unwrapped", unwrapped)
-    found = F.array_sort(F.array_distinct(F.concat(_matched(F.col(ids_col), rules), _matched(F.col("__unwrapped"), rules))))
-    return out.withColumn(out_col, found).drop("__unwrapped")
+    out = docs.drop(ids_col, out_col).withColumn(ids_col, by_line)
+    loose = f"{own_prefix(docs)}unwrapped"
+    out = out.withColumn(loose, unwrapped)
+    found = F.array_sort(F.array_distinct(F.concat(_matched(F.col(ids_col), rules), _matched(F.col(loose), rules))))
+    return out.withColumn(out_col, found).drop(loose)
 
 
 def report(docs: DataFrame) -> DataFrame:

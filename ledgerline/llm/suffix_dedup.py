@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import arrow_map, binary, flat, longs, slices, stored, text_of, texts
+from ledgerline.llm.common import arrow_map, binary, flat, longs, own_prefix, slices, stored, text_of, texts
 from ledgerline.llm.words import mix, powers
 
 WIDTH = 200
@@ -339,14 +339,15 @@ def cut_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     ``kept`` are the bytes outside the spans. Input columns of these names are replaced; all other
     columns and every row stay. A null text counts as empty: no span, no bytes.
     """
+    p = own_prefix(docs)
     ranges = repeats(docs, id_col, text_col).groupBy("doc_id", "text_key").agg(
-        F.collect_list(F.struct("first", "last")).alias("__ranges")).select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__k"), "__ranges")
+        F.collect_list(F.struct("first", "last")).alias(f"{p}ranges")).select(
+        F.col("doc_id").alias(f"{p}id"), F.col("text_key").alias(f"{p}k"), f"{p}ranges")
     own = docs.drop("spans", "kept")
-    body = own.withColumn("__text", text_of(text_col).cast("binary"))
-    body = body.withColumn("__key", F.xxhash64("__text"))
-    joined = body.join(ranges, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__k")),
-                       "left").select(*[F.col(f"`{c}`") for c in own.columns], "__text", "__ranges")
+    body = own.withColumn(f"{p}text", text_of(text_col).cast("binary"))
+    body = body.withColumn(f"{p}key", F.xxhash64(f"{p}text"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(f"{p}id")) & (F.col(f"{p}key") == F.col(f"{p}k"))
+    joined = body.join(ranges, same, "left").select(*[F.col(f"`{c}`") for c in own.columns], f"{p}text", f"{p}ranges")
     span = T.StructType([T.StructField("start", T.LongType(), False), T.StructField("end", T.LongType(), False)])
     schema = T.StructType([*own.schema.fields, T.StructField("spans", T.ArrayType(span, False), False),
                            T.StructField("kept", T.BinaryType(), False)])
@@ -395,8 +396,10 @@ def clean(docs: DataFrame) -> DataFrame:
     Where a cut has split a character, the replacement character stands for the rest of it; a
     null text stays null. Columns and rows are otherwise unchanged.
     """
-    out = cut_out(docs)
+    p = own_prefix(docs)
+    named = docs.withColumnsRenamed({c: f"{p}{c}" for c in ("spans", "kept")})  # the caller's own, if any
+    out = cut_out(named)
     out = out.withColumn("text", F.when(F.col("text").isNotNull(), F.make_valid_utf8(F.col("kept").cast("string"))))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.drop("spans", "kept").withColumnsRenamed({f"{p}{c}": c for c in ("spans", "kept")}).select(*docs.columns)

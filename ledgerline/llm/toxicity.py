@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import arrow_map, flat, lists, slices, stored, texts
+from ledgerline.llm.common import arrow_map, flat, lists, own_prefix, slices, stored, texts
 from ledgerline.llm.words import mix, shingles, span_hashes, word_spans
 
 #: Labelled documents that are learned from (about; chosen by a hash of the id), terms and stems kept at most.
@@ -444,4 +444,4 @@ def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 yield part.filter(pa.array(keep))
 
     body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    return arrow_map(docs.withColumn("__text", body), run, schema)
+    return arrow_map(docs.withColumn(f"{own_prefix(docs)}text", body), run, schema)
