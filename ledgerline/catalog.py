@@ -29,6 +29,13 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Tables:
         return _BUILT[key]
 
 
+def forget(sf_dir: str) -> None:
+    """Build the warehouse of ``sf_dir`` anew when it is next asked for (its tables have changed)."""
+    with _LOCK:
+        for key in [k for k in _BUILT if k[1] == sf_dir.rstrip("/")]:
+            del _BUILT[key]
+
+
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored staging table behind :func:`warehouse`."""
     return warehouse(spark, sf_dir).staging

@@ -36,7 +36,7 @@ def k2_unresolved_keys(t: Tables) -> DataFrame:
 def k3_top5_net(t: Tables, top: int = 5) -> DataFrame:
     """Top suppliers by *net* spend (refunds included)."""
     sup = dim(t.dim_supplier, "supplier_key", "supplier_name_clean")
-    per_key = by_keys(t.fact, ["supplier_key"], {"net": m_sum(c("amount")), "n": m_count()}, [sup])
+    per_key = by_keys(t.fact, ["supplier_key"], {"net": m_sum(c("amount")), "n": m_count()})
     g = (per_key.join(sup, "supplier_key")
                 .groupBy("supplier_name_clean").agg(F.sum("net").alias("net"), F.sum("n").alias("n")))
     return (g.orderBy(c("net").desc_nulls_last(), c("supplier_name_clean").asc_nulls_first()).limit(top)
@@ -46,7 +46,7 @@ def k3_top5_net(t: Tables, top: int = 5) -> DataFrame:
 def k4_quarter_net(t: Tables) -> DataFrame:
     """Transactions and net spend per fiscal year and quarter."""
     dd = dim(t.dim_date, "date_key", "uk_fiscal_year", "uk_fiscal_quarter")
-    per_key = by_keys(t.fact, ["date_key"], {"n": m_count(), "net": m_sum(c("amount"))}, [dd])
+    per_key = by_keys(t.fact, ["date_key"], {"n": m_count(), "net": m_sum(c("amount"))})
     g = (per_key.join(dd, "date_key")
                 .groupBy("uk_fiscal_year", "uk_fiscal_quarter")
                 .agg(F.sum("n").alias("transactions"), F.sum("net").alias("net")))

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import bounded_broadcast, is_bounded
 
 def one() -> Column:
     """Literal 1 (built lazily: no Spark context is needed at import time)."""
@@ -40,13 +39,9 @@ def when_refund(c: Column, refund: int) -> Column:
     return F.when(F.col("is_refund") == refund, c).otherwise(F.lit(0))
 
 
-def count_if_refund(refund: int) -> Column:
-    return F.count_if(F.col("is_refund") == refund)
-
-
 def dim(df: DataFrame, *cols: str) -> DataFrame:
-    """Project a dimension to the needed columns and broadcast it if proven small."""
-    return bounded_broadcast(df.select(*cols))
+    """The needed columns of a dimension; the planner and adaptive execution choose how it is joined."""
+    return df.select(*cols)
 
 
 def formatted(df: DataFrame, money_cols: list[str], digits: int = 2) -> DataFrame:
@@ -78,39 +73,15 @@ def m_max(x: Column) -> tuple[Column, Column]:
     return F.max(x), x
 
 
-def by_keys(fact: DataFrame, keys: list[str], measures: dict[str, tuple[Column, Column]],
-            dims: list[DataFrame]) -> DataFrame:
-    """Fact measures per dimension-key combination, ready to join to ``dims``.
+def by_keys(fact: DataFrame, keys: list[str], measures: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Fact measures per dimension-key combination, ready to join to the dimensions.
 
-    When every dimension is broadcast (proven small), the join happens map-side
-    and the attribute-level partial aggregate after it already collapses rows,
-    so the fact rows pass through unaggregated (one shuffle fewer). Otherwise
-    the fact is aggregated on the keys first, shrinking the shuffle join's input
-    from one row per transaction to one row per key combination.
+    The fact is aggregated on the keys first (combined map-side), so a join sees one row
+    per key combination instead of one per transaction, and a hot key is one row.
     """
-    if all(is_bounded(d) for d in dims):
-        return fact.select(*keys, *[row.alias(n) for n, (_, row) in measures.items()])
     return fact.groupBy(*keys).agg(*[agg.alias(n) for n, (agg, _) in measures.items()])
 
 
-SINGLE_TASK_BYTES = 64 * 1024 * 1024
-
-
-def with_total(g: DataFrame, col: str, name: str = "grand_total", bound: DataFrame | None = None) -> DataFrame:
-    """``g`` plus the sum of ``col`` over all its rows, computing ``g`` only once.
-
-    A grouped result proven small gets the total from a window over all rows.
-    A larger one is materialised with a reliable checkpoint first, so the total
-    (a one-row aggregate, broadcast back) reads the stored groups instead of
-    scanning and aggregating the fact a second time.
-
-    ``bound`` is a stored table at least as large as ``g`` (grouped rows never
-    outnumber the fact rows they come from); without statistics the optimizer
-    sizes a join as the product of its inputs, which proves nothing small.
-    """
-    if is_bounded(bound if bound is not None else g, SINGLE_TASK_BYTES):
-        return g.withColumn(name, F.sum(col).over(Window.partitionBy()))
-    from ledgerline.session import scratch_dir
-    scratch_dir(g.sparkSession)
-    g = g.checkpoint(eager=True)
-    return g.withColumn(name, g.agg(F.sum(col)).scalar())  # scalar subquery over the stored groups
+def with_total(g: DataFrame, col: str, name: str = "grand_total") -> DataFrame:
+    """``g`` plus the sum of ``col`` over all its rows, as a scalar subquery (one row, no window over all groups)."""
+    return g.withColumn(name, g.agg(F.sum(col)).scalar())

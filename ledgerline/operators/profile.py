@@ -8,7 +8,6 @@ lookup by name fragment mirrors how the profiling found its columns
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,21 +67,19 @@ def sign_counts(df: DataFrame, col: str = "amount") -> DataFrame:
 def describe(df: DataFrame, col: str = "amount") -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (exact, linear), max of a money column."""
     x = c(col)
-    s = df.agg(F.count(x).alias("n"), F.sum(x).alias("s1"), F.sum(x * x).alias("s2"),
+    s = df.agg(F.count(x).alias("n"), F.sum(x).alias("s1"), F.stddev_samp(x.cast("double")).alias("std"),
                F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max")).first()
     n = s["n"]
     qs = exact_quantiles(df, col, [0.25, 0.5, 0.75], n)
     spark = df.sparkSession
     row = spark.createDataFrame(
-        [(n, s["s1"], s["s2"], s["min"], qs[0], qs[1], qs[2], s["max"])],
-        "n long, s1 decimal(38,2), s2 decimal(38,4), min double, p25 double, p50 double, p75 double, "
+        [(n, s["s1"], s["std"], s["min"], qs[0], qs[1], qs[2], s["max"])],
+        "n long, s1 decimal(38,2), std double, min double, p25 double, p50 double, p75 double, "
         "max double")
-    var = (c("s2").cast("double") - c("s1").cast("double") * c("s1").cast("double") / c("n")) / (c("n") - 1)
     r4 = lambda e: F.round(e.cast("decimal(38,10)"), 4).cast("double")
     return row.select(
         c("n").alias("count"), ratio(c("s1"), c("n"), 4).alias("mean"),
-        F.round(F.sqrt(F.when(c("n") > 1, var)).cast("decimal(38,10)"), 4).cast("double").alias("std"),
-        "min", r4(c("p25")).alias("p25"), r4(c("p50")).alias("p50"), r4(c("p75")).alias("p75"), "max")
+        r4(c("std")).alias("std"), "min", r4(c("p25")).alias("p25"), r4(c("p50")).alias("p50"), r4(c("p75")).alias("p75"), "max")
 
 
 def top_groups(df: DataFrame, key: str, value: str = "amount", top: int = 10) -> DataFrame:
@@ -115,10 +112,6 @@ def date_range(df: DataFrame, col: str = "payment_date") -> DataFrame:
                   F.count_if(c(col).isNull()).alias("null_dates"))
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
 def dtypes(df: DataFrame) -> DataFrame:
     """Column names and types (schema metadata: one row per column)."""
     rows = [(i, name, typ) for i, (name, typ) in enumerate(df.dtypes)]

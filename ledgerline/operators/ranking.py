@@ -1,13 +1,11 @@
-"""Global ``RANK()`` without funnelling every row through one task.
-
-A window with an ORDER BY but no PARTITION BY sorts all rows in a single
-task. When the input is not proven small, the rank is computed distributed:
-rows are range-partitioned and sorted on the ranking value (equal values land
-in the same partition), cut from lineage with a reliable checkpoint, and each
-row's global position is its position in its partition plus the sizes of the
-partitions before it (one row per partition, broadcast). ``RANK()`` of a value
-is one plus the position of its first row, taken from an aggregate per value
-and joined back. Ties share a rank and leave gaps, as ``RANK()`` does.
+"""Global ``RANK()`` without funnelling every row through one task, one lazy plan at every size.
+
+A window with an ORDER BY but no PARTITION BY sorts all rows in a single task. Here equal
+values are counted first (a hot tie becomes one row), and values are put into slots by
+a monotone function of their size (sign and sixteenths of a power of two: a few thousand
+slots at most). A value's rank is one plus the rows in slots before its own (a window over
+the slots) plus the rows with smaller places in its slot (a window per slot). Ties share a
+rank and leave gaps, as ``RANK()`` does; NULL comes last.
 """
 
 from __future__ import annotations
@@ -15,37 +13,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import bounded_broadcast, is_bounded
-from ledgerline.session import scratch_dir
-
-SINGLE_TASK_BYTES = 64 * 1024 * 1024
-_LOW_BITS = (1 << 33) - 1
-
-
-def with_rank(df: DataFrame, value: str, name: str = "rank", descending: bool = True,
-              single_task_bytes: int = SINGLE_TASK_BYTES, bound: DataFrame | None = None) -> DataFrame:
-    """``df`` plus ``name`` = RANK() OVER (ORDER BY value [DESC] NULLS LAST).
 
-    ``bound``: a stored table at least as large as ``df`` (see ``common.with_total``).
-    """
-    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    if is_bounded(bound if bound is not None else df, single_task_bytes):
-        return df.withColumn(name, F.rank().over(Window.orderBy(order)).cast("long"))
-    return distributed_rank(df, value, name, descending)
+def with_rank(df: DataFrame, value: str, name: str = "rank", descending: bool = True) -> DataFrame:
+    """``df`` plus ``name`` = RANK() OVER (ORDER BY value [DESC] NULLS LAST)."""
+    def order(col: str):
+        return F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_last()
 
+    def before(window):
+        return window.rowsBetween(Window.unboundedPreceding, -1)
 
-def distributed_rank(df: DataFrame, value: str, name: str = "rank", descending: bool = True) -> DataFrame:
-    scratch_dir(df.sparkSession)
-    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    ordered = (df.repartitionByRange(order).sortWithinPartitions(order)
-                 .withColumn("_id", F.monotonically_increasing_id()).checkpoint(eager=True))
-    pid = F.shiftright("_id", 33)
-    counts = ordered.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    pos = (ordered.join(F.broadcast(offsets), pid == F.col("_pid"))  # one row per partition
-                  .withColumn("_pos", F.col("_off") + F.col("_id").bitwiseAND(F.lit(_LOW_BITS)))
-                  .drop("_id", "_pid", "_n", "_off"))
-    first = pos.groupBy(F.col(value).alias("_v")).agg(F.min("_pos").alias("_first"))
-    ranked = pos.join(bounded_broadcast(first), F.col(value).eqNullSafe(F.col("_v")))
-    return ranked.withColumn(name, (F.col("_first") + 1).cast("long")).drop("_v", "_first", "_pos")
+    size = F.col("_v").cast("double")
+    slot = (F.signum(size) * F.floor(F.log2(F.abs(size) + 1) * 16)).cast("long")
+    counts = df.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_slot", slot)
+    slots = counts.groupBy(F.col("_slot").alias("_s")).agg(F.sum("_n").alias("_m"))
+    slots = slots.withColumn("_earlier", F.coalesce(F.sum("_m").over(before(Window.orderBy(order("_s")))), F.lit(0)))
+    inside = F.coalesce(F.sum("_n").over(before(Window.partitionBy("_slot").orderBy(order("_v")))), F.lit(0))
+    ranks = counts.withColumn("_inside", inside).join(slots, F.col("_slot").eqNullSafe(F.col("_s")))
+    ranks = ranks.select("_v", (F.col("_earlier") + F.col("_inside") + 1).cast("long").alias(name))
+    return df.join(ranks, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")

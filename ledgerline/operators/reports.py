@@ -39,7 +39,7 @@ def _non_refund(t: Tables) -> DataFrame:
 def _supplier_spend(t: Tables, by: list[str]) -> DataFrame:
     """Non-refund count and spend per supplier attribute set ``by``."""
     sup = dim(t.dim_supplier, "supplier_key", *sorted(set(by)))
-    per_key = by_keys(_non_refund(t), ["supplier_key"], {"n": m_count(), "spend": m_sum(c("amount"))}, [sup])
+    per_key = by_keys(_non_refund(t), ["supplier_key"], {"n": m_count(), "spend": m_sum(c("amount"))})
     return per_key.join(sup, "supplier_key").groupBy(*by).agg(
         F.sum("n").alias("n"), F.sum("spend").alias("spend"))
 
@@ -53,11 +53,14 @@ def q1a_top_suppliers(t: Tables, limit: int | None = 25) -> DataFrame:
     g = g.withColumn("refunds", F.lit(0).cast("decimal(28,2)"))
     order = [c("spend").desc_nulls_last(), c("supplier_name_clean").asc_nulls_first(),
              c("supplier_type").asc_nulls_first()]
-    # with a limit the rank is computed on the top rows only (it depends only on
-    # the rows above); without one, over all suppliers (distributed when large)
-    g = with_total(g, "spend", bound=t.fact)
+    # with a limit the rank is computed on these few rows (it depends only on the
+    # rows above); without one, over all suppliers, distributed
+    g = with_total(g, "spend")
     top = g.orderBy(*order).limit(limit) if limit else g
-    out = with_rank(top, "spend", "spend_rank", bound=t.fact).select(
+    by_spend = Window.orderBy(c("spend").desc_nulls_last())
+    ranked = (top.withColumn("spend_rank", F.rank().over(by_spend).cast("long")) if limit
+              else with_rank(top, "spend", "spend_rank"))
+    out = ranked.select(
         "supplier_name_clean", "supplier_type",
         c("n").alias("transaction_count"),
         as_double(c("spend")).alias("gross_spend"),
@@ -71,7 +74,7 @@ def q1a_top_suppliers(t: Tables, limit: int | None = 25) -> DataFrame:
 def q1b_concentration(t: Tables, max_rank: int = 25) -> DataFrame:
     """1B: supplier concentration: rank, share and cumulative share for rank <= max_rank."""
     spend = with_total(_supplier_spend(t, ["supplier_name_clean"]).select("supplier_name_clean", "spend"),
-                       "spend", bound=t.fact)
+                       "spend")
     ranked = spend.withColumn("rnk", F.rank().over(Window.orderBy(c("spend").desc_nulls_last())))
     top = ranked.where(c("rnk") <= max_rank)
     running = F.sum("spend").over(
@@ -93,7 +96,7 @@ def q1c_supplier_quarter(t: Tables, top: int = 10) -> DataFrame:
         F.broadcast(leaders), "supplier_name_clean", "left_semi")  # `top` rows: bounded
     dd = dim(t.dim_date, "date_key", "uk_fiscal_quarter")
     per_key = by_keys(_non_refund(t), ["supplier_key", "date_key"],
-                      {"n": m_count(), "spend": m_sum(c("amount"))}, [t.dim_supplier, dd])
+                      {"n": m_count(), "spend": m_sum(c("amount"))})
     rows = per_key.join(sup, "supplier_key").join(dd, "date_key")
     return rows.groupBy("supplier_name_clean", "uk_fiscal_quarter").agg(
         F.sum("n").alias("transactions"), money(F.sum("spend")).alias("quarterly_spend"),
@@ -105,7 +108,7 @@ def q1c_supplier_quarter(t: Tables, top: int = 10) -> DataFrame:
 def _expense_key_totals(t: Tables, exp: DataFrame) -> DataFrame:
     a = c("amount")
     return by_keys(_non_refund(t), ["expense_key"], {"n": m_count(), "spend": m_sum(a),
-                                                      "n_amount": m_count_of(a), "largest": m_max(a)}, [exp])
+                                                      "n_amount": m_count_of(a), "largest": m_max(a)})
 
 
 def q2a_expense_types(t: Tables, limit: int | None = 20) -> DataFrame:
@@ -115,7 +118,7 @@ def q2a_expense_types(t: Tables, limit: int | None = 20) -> DataFrame:
         F.sum("n").alias("n"), F.sum("spend").alias("spend"),
         F.sum("n_amount").alias("n_amount"), F.max("largest").alias("largest"))
     order = [c("spend").desc_nulls_last(), c("expense_type").asc_nulls_first()]
-    g = with_total(g, "spend", bound=t.fact)
+    g = with_total(g, "spend")
     top = g.orderBy(*order).limit(limit) if limit else g
     return top.select(
         "expense_type", c("n").alias("transaction_count"),
@@ -129,7 +132,7 @@ def q2a_expense_types(t: Tables, limit: int | None = 20) -> DataFrame:
 def _half_year_pivot(t: Tables) -> DataFrame:
     exp = dim(t.dim_expense.where(c("expense_type").isNotNull()), "expense_key", "expense_type")
     dd = dim(t.dim_date, "date_key", "half_year")
-    per_key = by_keys(_non_refund(t), ["expense_key", "date_key"], {"spend": m_sum(c("amount"))}, [exp, dd])
+    per_key = by_keys(_non_refund(t), ["expense_key", "date_key"], {"spend": m_sum(c("amount"))})
     hy = (per_key.join(exp, "expense_key").join(dd, "date_key")
                  .groupBy("expense_type", "half_year").agg(F.sum("spend").alias("spend")))
     return hy.groupBy("expense_type").agg(
@@ -163,11 +166,11 @@ def q2c_entity_groups(t: Tables) -> DataFrame:
     """2C: spend by entity group (cost-centre parent)."""
     ent = dim(t.dim_entity, "entity_key", "entity_group", "entity_name")
     per_key = by_keys(_non_refund(t), ["entity_key"], {"n": m_count(), "spend": m_sum(c("amount")),
-                                                        "n_amount": m_count_of(c("amount"))}, [ent])
+                                                        "n_amount": m_count_of(c("amount"))})
     g = per_key.join(ent, "entity_key").groupBy("entity_group").agg(
         F.count_distinct("entity_name").alias("cost_centers"), F.sum("n").alias("n"),
         F.sum("spend").alias("spend"), F.sum("n_amount").alias("n_amount"))
-    return with_total(g, "spend", bound=t.fact).select(
+    return with_total(g, "spend").select(
         "entity_group", "cost_centers", c("n").alias("transactions"),
         money(c("spend")).alias("total_spend"),
         ratio(c("spend"), c("n_amount"), 2).alias("avg_per_transaction"),
@@ -183,7 +186,7 @@ def q3a_monthly_trend(t: Tables) -> DataFrame:
              "uk_fiscal_quarter")
     per_key = by_keys(t.fact.where(c("amount").isNotNull()), ["date_key"],
                       {"n": m_count(), "spend": m_sum(c("amount")),
-                       "refund": m_sum(when_refund(c("amount"), 1))}, [dd])
+                       "refund": m_sum(when_refund(c("amount"), 1))})
     m = per_key.join(dd, "date_key").groupBy(
         "year", "month", "month_name", "uk_fiscal_year", "uk_fiscal_quarter").agg(
         F.sum("n").alias("n"), F.sum("spend").alias("spend"), F.sum("refund").alias("refund"))
@@ -200,7 +203,7 @@ def q3b_entity_rank_movement(t: Tables, max_rank: int = 10) -> DataFrame:
     """3B: top cost centres per month, with rank movement vs the previous top-k month."""
     dd = dim(t.dim_date, "date_key", "year", "month", "month_name")
     ent = dim(t.dim_entity, "entity_key", "entity_name", "entity_group")
-    per_key = by_keys(_non_refund(t), ["entity_key", "date_key"], {"spend": m_sum(c("amount"))}, [dd, ent])
+    per_key = by_keys(_non_refund(t), ["entity_key", "date_key"], {"spend": m_sum(c("amount"))})
     m = (per_key.join(dd, "date_key").join(ent, "entity_key")
                 .groupBy("year", "month", "month_name", "entity_name", "entity_group")
                 .agg(F.sum("spend").alias("spend")))
@@ -221,7 +224,7 @@ def q4a_refund_risk(t: Tables, limit: int | None = 15) -> DataFrame:
     sup = dim(t.dim_supplier, "supplier_key", "supplier_name_clean")
     per_key = by_keys(t.fact, ["supplier_key"], {
         "gross": m_sum(when_refund(c("amount"), 0)), "refunded": m_sum(when_refund(F.abs(c("amount")), 1)),
-        "refund_count": m_count_if(c("is_refund") == 1)}, [sup])
+        "refund_count": m_count_if(c("is_refund") == 1)})
     g = (per_key.join(sup, "supplier_key")
                 .groupBy("supplier_name_clean")
                 .agg(F.sum("gross").alias("gross"), F.sum("refunded").alias("refunded"),
@@ -241,7 +244,7 @@ def q4a_refund_risk(t: Tables, limit: int | None = 15) -> DataFrame:
 def q4b_monthly_anomaly(t: Tables) -> DataFrame:
     """4B: monthly non-refund spend vs the average month (SPIKE > 1.5x, LOW < 0.6x)."""
     dd = dim(t.dim_date, "date_key", "year", "month", "month_name")
-    per_key = by_keys(_non_refund(t), ["date_key"], {"spend": m_sum(c("amount"))}, [dd])
+    per_key = by_keys(_non_refund(t), ["date_key"], {"spend": m_sum(c("amount"))})
     m = (per_key.join(dd, "date_key")
                 .groupBy("year", "month", "month_name").agg(F.sum("spend").alias("spend")))
     # one row per calendar month: a window over all months is bounded by the calendar
@@ -265,7 +268,7 @@ def q5_executive_quarter(t: Tables) -> DataFrame:
     per_key = by_keys(t.fact, ["date_key", "supplier_key"], {
         "n": m_count(), "gross": m_sum(when_refund(c("amount"), 0)),
         "refunds": m_sum(when_refund(c("amount"), 1)), "net": m_sum(c("amount")),
-        "refund_count": m_sum(c("is_refund"))}, [dd, sup])
+        "refund_count": m_sum(c("is_refund"))})
     rows = per_key.join(dd, "date_key").join(sup, "supplier_key")
     g = rows.groupBy("uk_fiscal_year", "uk_fiscal_quarter").agg(
         F.sum("n").alias("n"), F.count_distinct("supplier_name_clean").alias("unique_suppliers"),
@@ -295,15 +298,19 @@ REPORTS = {
 }
 
 
-def run_all(t: Tables, names: list[str] | None = None, **params) -> dict[str, DataFrame | Exception]:
-    """Build every named report; a report that fails is returned as its error, the rest still run.
+def run_all(t: Tables, names: list[str] | None = None, action=None, **params) -> dict:
+    """Run every named report; one that fails is returned as its error, the rest still run.
+
+    ``action`` (for instance ``lambda df: df.collect()``) runs a report, inside the same guard, and its result is
+    returned; without it the lazy DataFrames are.
 
     ``params`` maps a report name to its keyword arguments, e.g. ``q1a_top_suppliers={"limit": 15}``.
     """
-    out: dict[str, DataFrame | Exception] = {}
+    out: dict = {}
     for name in names or list(REPORTS):
         try:
-            out[name] = REPORTS[name](t, **params.get(name, {}))
+            df = REPORTS[name](t, **params.get(name, {}))
+            out[name] = action(df) if action else df
         except Exception as e:  # noqa: BLE001 - isolate one report's failure
             out[name] = e
     return out

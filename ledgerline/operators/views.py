@@ -36,7 +36,7 @@ def v1_daily_trend(t: Tables) -> DataFrame:
     dd = dim(t.dim_date, "date_key", "full_date", "year", "month", "month_name", "uk_fiscal_year",
              "uk_fiscal_quarter", "half_year")
     keys = ["full_date", "year", "month", "month_name", "uk_fiscal_year", "uk_fiscal_quarter", "half_year"]
-    per_key = by_keys(t.fact, ["date_key"], _flows(), [dd])
+    per_key = by_keys(t.fact, ["date_key"], _flows())
     return per_key.join(dd, "date_key").groupBy(*keys).agg(*_resum()).select(
         *keys,
         c("n").alias("transaction_count"), as_double(c("gross")).alias("gross_spend"),
@@ -49,9 +49,9 @@ def v2_supplier_summary(t: Tables) -> DataFrame:
     total = t.fact.agg(F.sum(when_refund(c("amount"), 0)).alias("grand_total"))
     sup = dim(t.dim_supplier, "supplier_key", "supplier_name_raw", "supplier_postcode",
               "supplier_name_clean", "supplier_type")
-    per_key = by_keys(t.fact, ["supplier_key"], _flows(), [sup])
+    per_key = by_keys(t.fact, ["supplier_key"], _flows())
     g = per_key.join(sup, "supplier_key").groupBy(*sup.columns).agg(*_resum())
-    g = with_rank(g.withColumn("grand_total", total.scalar()), "gross", "spend_rank", bound=t.fact)
+    g = with_rank(g.withColumn("grand_total", total.scalar()), "gross", "spend_rank")
     return g.select(
         "supplier_key", "supplier_name_clean", "supplier_type", "supplier_name_raw", "supplier_postcode",
         c("n_pay").alias("payment_count"), c("n_ref").alias("refund_count"),
@@ -65,7 +65,7 @@ def v3_expense_summary(t: Tables) -> DataFrame:
     exp = dim(t.dim_expense, "expense_key", "expense_type", "expense_area")
     dd = dim(t.dim_date, "date_key", "uk_fiscal_year", "uk_fiscal_quarter", "half_year", "month",
              "month_name", "year")
-    per_key = by_keys(t.fact, ["expense_key", "date_key"], _flows(), [exp, dd])
+    per_key = by_keys(t.fact, ["expense_key", "date_key"], _flows())
     keys = ["expense_key", "expense_type", "expense_area", "uk_fiscal_year", "uk_fiscal_quarter",
             "half_year", "month", "month_name", "year"]
     g = per_key.join(exp, "expense_key").join(dd, "date_key").groupBy(*keys).agg(*_resum())
@@ -78,7 +78,7 @@ def v4_entity_monthly(t: Tables) -> DataFrame:
     ent = dim(t.dim_entity, "entity_key", "entity_name", "entity_group", "entity_subgroup")
     dd = dim(t.dim_date, "date_key", "year", "month", "month_name", "uk_fiscal_year",
              "uk_fiscal_quarter", "half_year")
-    per_key = by_keys(t.fact, ["entity_key", "date_key"], _flows(), [ent, dd])
+    per_key = by_keys(t.fact, ["entity_key", "date_key"], _flows())
     keys = ["entity_key", "entity_name", "entity_group", "entity_subgroup", "year", "month", "month_name",
             "uk_fiscal_year", "uk_fiscal_quarter", "half_year"]
     g = per_key.join(ent, "entity_key").join(dd, "date_key").groupBy(*keys).agg(*_resum())
@@ -105,9 +105,8 @@ def v6_executive_summary(t: Tables) -> DataFrame:
     sup = dim(t.dim_supplier, "supplier_key", "supplier_name_clean")
     ent = dim(t.dim_entity, "entity_key", "entity_name")
     measures = {**_flows(), "n_pay_amount": m_count_of(F.when(c("is_refund") == 0, c("amount")))}
-    # with broadcast dimensions the distinct-count expansion happens in memory and
-    # is combined map-side into a few groups: cheaper than shuffling every key triple
-    per_key = by_keys(t.fact, ["date_key", "supplier_key", "entity_key"], measures, [dd, sup, ent])
+    # the distinct-count expansion works on key combinations, not on fact rows
+    per_key = by_keys(t.fact, ["date_key", "supplier_key", "entity_key"], measures)
     rows = per_key.join(dd, "date_key").join(sup, "supplier_key").join(ent, "entity_key")
     g = rows.groupBy("uk_fiscal_year", "uk_fiscal_quarter", "half_year").agg(
         *_resum(), F.sum("n_pay_amount").alias("n_pay_amount"),
@@ -159,7 +158,7 @@ def d1_kpis(t: Tables) -> DataFrame:
 
 def d2_type_share(t: Tables) -> DataFrame:
     """Non-refund spend share by supplier type."""
-    g = with_total(_supplier_spend(t, ["supplier_type"]), "spend", bound=t.fact)
+    g = with_total(_supplier_spend(t, ["supplier_type"]), "spend")
     return g.select(
         "supplier_type", c("n").alias("transaction_count"), as_double(c("spend")).alias("gross_spend"),
         pct(c("spend"), c("grand_total"), 2).alias("pct_of_total"))
@@ -175,7 +174,7 @@ def d3_top10(t: Tables, top: int = 10) -> DataFrame:
 
 def d5_topn_share(t: Tables, n: int = 5) -> DataFrame:
     """Share of total non-refund spend held by suppliers ranked <= n (ties included)."""
-    spend = with_total(_supplier_spend(t, ["supplier_name_clean"]), "spend", bound=t.fact)
+    spend = with_total(_supplier_spend(t, ["supplier_name_clean"]), "spend")
     ranked = spend.withColumn("rnk", F.rank().over(Window.orderBy(c("spend").desc_nulls_last())))
     top = ranked.where(c("rnk") <= n).agg(F.count(one()).alias("suppliers"), F.sum("spend").alias("top_spend"),
                                           F.max("grand_total").alias("grand_total"))

@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import (date_key, fiscal_quarter, fiscal_year, half_year, month_name,
                                   quarter_name, split_group)
-from ledgerline.plans.joins import bounded_broadcast
 from ledgerline.plans.materialize import new_location, write_table
 
 
@@ -90,12 +89,12 @@ def build_dim_entity(stg: DataFrame) -> DataFrame:
 
 def build_fact(stg: DataFrame, dim_supplier: DataFrame, dim_expense: DataFrame,
                dim_entity: DataFrame) -> DataFrame:
-    sup = bounded_broadcast(dim_supplier.select(
+    sup = dim_supplier.select(
         "supplier_key", F.col("supplier_name_raw").alias("_s_raw"),
-        F.col("supplier_postcode").alias("_s_pc")))
-    exp = bounded_broadcast(dim_expense.select(
-        "expense_key", F.col("expense_type").alias("_e_type"), F.col("expense_area").alias("_e_area")))
-    ent = bounded_broadcast(dim_entity.select("entity_key", F.col("entity_name").alias("_n_area")))
+        F.col("supplier_postcode").alias("_s_pc"))
+    exp = dim_expense.select(
+        "expense_key", F.col("expense_type").alias("_e_type"), F.col("expense_area").alias("_e_area"))
+    ent = dim_entity.select("entity_key", F.col("entity_name").alias("_n_area"))
     s = F.col
     f = (stg.join(sup, s("supplier_name").eqNullSafe(s("_s_raw"))
                   & s("supplier_postcode").eqNullSafe(s("_s_pc")), "left")
@@ -144,9 +143,9 @@ def materialize_warehouse(spark: SparkSession, staging: DataFrame, location: str
 
 def fact_with_natural_keys(t: Tables) -> DataFrame:
     """Fact rows with each surrogate key replaced by the natural key it resolved to."""
-    sup = bounded_broadcast(t.dim_supplier.select("supplier_key", "supplier_name_raw", "supplier_postcode"))
-    exp = bounded_broadcast(t.dim_expense.select("expense_key", "expense_type", "expense_area"))
-    ent = bounded_broadcast(t.dim_entity.select("entity_key", "entity_name"))
+    sup = t.dim_supplier.select("supplier_key", "supplier_name_raw", "supplier_postcode")
+    exp = t.dim_expense.select("expense_key", "expense_type", "expense_area")
+    ent = t.dim_entity.select("entity_key", "entity_name")
     f = (t.fact.join(sup, "supplier_key", "left").join(exp, "expense_key", "left")
                .join(ent, "entity_key", "left"))
     return f.select("row_id", "date_key", "supplier_name_raw", "supplier_postcode", "expense_type",

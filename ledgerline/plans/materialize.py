@@ -7,7 +7,6 @@ Parquet scans.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +27,6 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.parquet(path)
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(os.path.join(local_path(path), "_SUCCESS"))
-
-
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spread ``df`` over all cores when its scan yields fewer splits than cores.
 

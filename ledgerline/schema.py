@@ -22,6 +22,7 @@ COLUMN_MAP = {
 CANONICAL_COLS = tuple(COLUMN_MAP.values())
 
 # Rows whose core fields are all missing are blank or footer rows.
+# The columns every source file has.
 CORE_COLS = ("department", "supplier_name", "amount", "payment_date")
 
 # Staging layout, in order.
@@ -40,8 +41,3 @@ STAGING_COLS = (
 # Load-order columns carried next to the staging layout: position of the row
 # within its source file (after blank rows are dropped) and a unique row key.
 ORDER_COLS = ("_row_idx", "_row_key")
-
-FACT_COLS = (
-    "transaction_key", "row_id", "date_key", "supplier_key", "expense_key", "entity_key",
-    "transaction_number", "amount", "is_refund", "description", "source_file", "load_timestamp",
-)

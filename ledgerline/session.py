@@ -39,12 +39,15 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for materialised tables: the cluster's checkpoint dir.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    is. Only when it is unset (local runs, tests) a private folder under the
-    system temp dir is created and registered as the checkpoint dir.
+    is. Only when it is unset in local mode (local runs, tests) a private folder under
+    the system temp dir is created and registered as the checkpoint dir; elsewhere an
+    unset location is an error, because machines do not see each other's temp folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

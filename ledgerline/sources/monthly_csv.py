@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ledgerline.functions.cleaning import strip_ws
 from ledgerline.operators.staging import apply_null_tokens, clean, drop_blank_rows
 from ledgerline.schema import CANONICAL_COLS, COLUMN_MAP
-from ledgerline.session import scratch_dir
 
 # Reader options that reproduce the usual CSV quoting rules
 # (doubled quotes inside quoted fields, newlines inside quotes).
@@ -71,10 +71,17 @@ def normalise_header(cols: list[str]) -> list[str]:
     return out
 
 
+def _as_written(cols: list[str]) -> list[str]:
+    """Headers without the position that the reader appends to a repeated one, if it is a known header."""
+    bases = [c.removesuffix(str(i)) if c.endswith(str(i)) else c for i, c in enumerate(cols)]
+    known = [b.strip().lower() in COLUMN_MAP for b in bases]
+    return [b if k and b != c and bases.count(b) > 1 else c for b, c, k in zip(bases, cols, known)]
+
+
 def read_headers(spark: SparkSession, files: list[str], parallelism: int = 16) -> dict[str, list[str]]:
     """Header row of every file (one small first-record read per file, run concurrently)."""
     def header(path: str) -> list[str]:
-        return spark.read.options(**CSV_OPTIONS).csv(path).columns
+        return _as_written(spark.read.options(**CSV_OPTIONS).csv(path).columns)
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(files)))) as pool:
         return dict(zip(files, pool.map(header, files)))
 
@@ -85,7 +92,7 @@ def _read_group(spark: SparkSession, files: list[str], names: list[str], multili
     df = spark.read.options(**opts).schema(schema).csv(files)
     keep = [(f"_col{i}", n) for i, n in enumerate(names) if n in CANONICAL_COLS]
     return df.select(*[F.col(p).alias(n) for p, n in keep],
-                     F.col("_metadata.file_name").alias("_source_file"),
+                     F.col("_metadata.file_name").alias("_source_file"), F.col("_metadata.file_path").alias("_path"),
                      F.col("_metadata.file_block_start").alias("_block"))
 
 
@@ -100,7 +107,7 @@ def read_monthly(spark: SparkSession, src_dir: str, multiline: bool = True) -> I
     sizes = csv_file_sizes(spark, src_dir)
     if not sizes:
         raise FileNotFoundError(f"no *.csv files under {src_dir}")
-    return read_files(spark, list(sizes), multiline, total_bytes=sum(sizes.values()))
+    return read_files(spark, list(sizes), multiline)
 
 
 def _row_positions(rows: DataFrame) -> DataFrame:
@@ -109,24 +116,18 @@ def _row_positions(rows: DataFrame) -> DataFrame:
 
     Rows of one split are read in order by one task, so a row's position is the
     number of rows in earlier splits of its file plus its id minus the split's
-    smallest id. The per-split table has one row per split (a bounded broadcast).
+    smallest id. Files are told by their whole path: names may repeat in other folders.
     """
-    splits = rows.groupBy("_source_file", "_block").agg(F.min("_pos").alias("_pos0"),
+    splits = rows.groupBy("_path", "_block").agg(F.min("_pos").alias("_pos0"),
                                                        F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("_source_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    return (rows.join(F.broadcast(splits.drop("_n")), ["_source_file", "_block"])
+    return (rows.join(splits.drop("_n"), ["_path", "_block"])
                 .withColumn("_row_idx", F.col("_before") + F.col("_pos") - F.col("_pos0"))
-                .drop("_pos", "_pos0", "_before", "_block"))
-
-
-# Above this input size the parsed rows are checkpointed once instead of parsing
-# the files twice (once for the per-split counts, once for the rows).
-PARSE_ONCE_BYTES = 1 << 30
+                .drop("_pos", "_pos0", "_before", "_block", "_path"))
 
 
-def read_files(spark: SparkSession, files: list[str], multiline: bool = True,
-               total_bytes: int | None = None) -> Ingest:
+def read_files(spark: SparkSession, files: list[str], multiline: bool = True) -> Ingest:
     """Raw rows of the given CSV files (any order; load order is by file name)."""
     files = sorted(files, key=lambda p: (posixpath.basename(p), p))
     raw_headers = read_headers(spark, files)
@@ -140,9 +141,6 @@ def read_files(spark: SparkSession, files: list[str], multiline: bool = True,
         counts.append(df.groupBy("_source_file").agg(F.count(F.lit(1)).alias("raw_rows")))
         parts.append(drop_blank_rows(df).withColumn("_pos", F.monotonically_increasing_id()))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    if total_bytes is not None and total_bytes > PARSE_ONCE_BYTES:
-        scratch_dir(spark)
-        rows = rows.checkpoint(eager=True)
     raw = _row_positions(rows)
     raw_counts = reduce(lambda a, b: a.unionByName(b), counts)
 
@@ -154,7 +152,7 @@ def read_files(spark: SparkSession, files: list[str], multiline: bool = True,
 
 def header_audit(ingest: Ingest) -> DataFrame:
     """Distinct normalised header names over all files, with how many files carry each."""
-    norm = F.lower(F.trim(F.col("column")))
+    norm = F.lower(strip_ws(F.col("column")))
     return (ingest.headers.groupBy(norm.alias("column"))
                   .agg(F.count_distinct("file").alias("files")).orderBy("column"))
 

@@ -38,7 +38,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.staging import apply_null_tokens
-from ledgerline.plans.joins import is_bounded
 from ledgerline.plans.materialize import spread
 
 
@@ -63,11 +62,7 @@ def raw_payments(spark: SparkSession, sf_dir: str, null_markers: bool = False) -
     # nation and region have a fixed size (25 and 5 rows) at every scale factor.
     geo = (sup.join(F.broadcast(nation), sup.s_nationkey == nation.n_nationkey, "left")
               .join(F.broadcast(region), F.col("n_regionkey") == region.r_regionkey, "left"))
-    # supplier and part grow with the data: broadcast only while their scans are
-    # under the bound (the many-to-one nation/region joins add no rows), else
-    # shuffle joins, with adaptive skew splitting for hot keys.
-    geo = F.broadcast(geo) if is_bounded(sup) else geo
-    part = F.broadcast(part) if is_bounded(part) else part
+    # supplier and part grow with the data: no hint, the planner and adaptive execution choose
     x = (li.join(geo, li.l_suppkey == geo.s_suppkey, "left")
            .join(part, li.l_partkey == part.p_partkey, "left"))
 

@@ -4,7 +4,6 @@ import pytest
 
 from ledgerline import catalog
 from ledgerline.operators import reports
-from ledgerline.plans.joins import bounded_broadcast, is_bounded
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,10 +18,8 @@ def tables(spark):
     return catalog.warehouse(spark, SF)
 
 
-def test_rank_filter_gets_window_group_limit(tables, monkeypatch):
-    # inputs not proven small: only the top rows of each partition reach the single-partition window
-    import ledgerline.operators.common as common
-    monkeypatch.setattr(common, "is_bounded", lambda df, max_bytes=None: False)
+def test_rank_filter_gets_window_group_limit(tables):
+    # only the top rows of each partition reach the single-partition window
     plan = executed(reports.q1b_concentration(tables))
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
@@ -41,56 +38,24 @@ def test_broadcast_dims_join_map_side(tables):
     plan = executed(reports.q5_executive_quarter(tables))
     lines = plan.splitlines()
     join = next(i for i, s in enumerate(lines) if "BroadcastHashJoin" in s)
-    # the fact scan feeds the broadcast joins directly: no aggregate or shuffle below them
+    # small dimensions are broadcast by the planner, without a hint
     below = [s for s in lines[join:] if "BroadcastExchange" not in s]
     assert "SortMergeJoin" not in plan
     assert any("FileScan parquet" in s and "is_refund" in s for s in below)
 
 
-def test_fact_aggregated_before_large_dimension_join(tables, monkeypatch):
-    import ledgerline.operators.common as common
-    monkeypatch.setattr(common, "is_bounded", lambda df, max_bytes=None: False)
+def test_fact_aggregated_before_large_dimension_join(tables):
     plan = reports.q5_executive_quarter(tables)._jdf.queryExecution().optimizedPlan().toString()
     lines = plan.splitlines()
     join = next(i for i, s in enumerate(lines) if "Join Inner" in s)
     assert any("Aggregate [date_key" in s for s in lines[join:])  # fact aggregated on the keys first
 
 
-def test_bounded_broadcast(spark, tables):
-    assert is_bounded(tables.dim_entity)
-    assert not is_bounded(tables.dim_entity, max_bytes=0)
-    hinted = bounded_broadcast(tables.dim_entity)
-    plan = tables.fact.join(hinted, "entity_key")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" in plan
-    unhinted = bounded_broadcast(tables.dim_entity, max_bytes=0)
-    assert "ResolvedHint" not in unhinted._jdf.queryExecution().analyzed().toString()
-
-
-def test_large_group_path_matches_small(spark, tables, monkeypatch):
-    from ledgerline.operators import views
-    small = {n: sorted(map(tuple, f(tables).collect())) for n, f in
-             (("q1b", reports.q1b_concentration), ("q2c", reports.q2c_entity_groups),
-              ("d5", views.d5_topn_share), ("v2", views.v2_supplier_summary),
-              ("q1a", lambda t: reports.q1a_top_suppliers(t, limit=None)))}
-    import ledgerline.operators.common as common
-    import ledgerline.operators.ranking as ranking
-    monkeypatch.setattr(common, "is_bounded", lambda df, max_bytes=None: False)
-    monkeypatch.setattr(ranking, "is_bounded", lambda df, max_bytes=None: False)
-    large = {n: sorted(map(tuple, f(tables).collect())) for n, f in
-             (("q1b", reports.q1b_concentration), ("q2c", reports.q2c_entity_groups),
-              ("d5", views.d5_topn_share), ("v2", views.v2_supplier_summary),
-              ("q1a", lambda t: reports.q1a_top_suppliers(t, limit=None)))}
-    assert small == large
-    plan = executed(reports.q1b_concentration(tables))
-    assert "WindowGroupLimit" in plan
-
-
-def test_broadcast_bound_respects_config(spark, tables):
-    from ledgerline.plans.joins import _bytes, broadcast_bound
-    assert _bytes("10MB") == 10 << 20 and _bytes("-1") == -1 and _bytes("2g") == 2 << 30
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert broadcast_bound(tables.dim_entity) == -1 and not is_bounded(tables.dim_entity)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert is_bounded(tables.dim_entity)
+def test_building_a_report_starts_no_job(spark, tables):
+    tracker, group = spark.sparkContext.statusTracker(), "report-building"
+    spark.sparkContext.setJobGroup(group, "")
+    for fn in reports.REPORTS.values():
+        fn(tables)
+    jobs = list(tracker.getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("other", "")
+    assert not jobs

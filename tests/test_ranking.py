@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ledgerline.operators.ranking import distributed_rank, with_rank
+from ledgerline.operators.ranking import with_rank
 
 
 def test_distributed_rank_matches_window(spark):
@@ -9,7 +9,13 @@ def test_distributed_rank_matches_window(spark):
     df = spark.createDataFrame(rows, "id long, v long").repartition(7)
     want = {r.id: r.rank for r in df.withColumn(
         "rank", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last()))).collect()}
-    got = {r.id: r.rank for r in distributed_rank(df, "v").collect()}
+    got = {r.id: r.rank for r in with_rank(df, "v").collect()}
     assert got == want
-    small = {r.id: r.rank for r in with_rank(df, "v").collect()}
-    assert small == want
+
+
+def test_rank_of_signed_money(spark):
+    rows = [(i, None if i % 17 == 0 else f"{(i * 7919 % 401 - 200) * 10 ** (i % 7)}.{i % 2}") for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, t string").selectExpr("id", "CAST(t AS DECIMAL(18,2)) AS v")
+    for descending, order in ((True, F.col("v").desc_nulls_last()), (False, F.col("v").asc_nulls_last())):
+        want = {r.id: r.rank for r in df.withColumn("rank", F.rank().over(Window.orderBy(order))).collect()}
+        assert {r.id: r.rank for r in with_rank(df, "v", descending=descending).collect()} == want

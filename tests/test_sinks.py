@@ -43,6 +43,24 @@ def test_report_runner_isolates_failures(spark):
     assert out["q5_executive_quarter"].count() == 1
 
 
+def test_report_runner_isolates_execution_errors(spark):
+    t = small_tables(spark)
+
+    def act(df):
+        if "spend_rank" in df.columns:
+            return df.selectExpr("raise_error('broken')").collect()
+        return df.count()
+    out = reports.run_all(t, ["q1a_top_suppliers", "q5_executive_quarter"], action=act)
+    assert isinstance(out["q1a_top_suppliers"], Exception) and out["q5_executive_quarter"] == 1
+
+
+def test_describe_spread_of_close_amounts(spark):
+    from ledgerline.operators.profile import describe
+    for rows, want in (([("900000000.00",), ("900000000.01",)] * 500, 0.005), ([("0.10",)] * 11, 0.0)):
+        df = spark.createDataFrame(rows, "t string").selectExpr("CAST(t AS DECIMAL(18,2)) AS amount")
+        assert describe(df).first().std == want
+
+
 def test_display_formatting(spark):
     df = reports.q1a_top_suppliers(small_tables(spark))
     row = formatted(df, ["gross_spend"]).first()
