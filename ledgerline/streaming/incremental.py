@@ -31,8 +31,7 @@ def _load_batch(staging_path: str):
         files = batch.select("path", "length").collect()  # bounded by maxFilesPerTrigger
         if not files:
             return
-        ingest = read_files(batch.sparkSession, [r.path for r in files],
-                            total_bytes=sum(r.length for r in files))
+        ingest = read_files(batch.sparkSession, [r.path for r in files])
         raw = ingest.raw.withColumn(
             "_row_key", F.monotonically_increasing_id() + F.lit(batch_id).cast("long") * (1 << _BATCH_SHIFT))
         write_staging(clean(raw), staging_path)
