@@ -99,11 +99,12 @@ def duplicate_counts(df: DataFrame, cols: list[str], key: str) -> DataFrame:
 def duplicate_members(df: DataFrame, key: str, cols: list[str], top: int = 8, order: str = "row_id") -> DataFrame:
     """All rows whose ``key`` occurs more than once (first ``top`` by key, ``order``, then ``cols``).
 
-    Repeated keys come from an aggregate joined back (a hot key is split by the
-    adaptive skew join), never from a window holding a whole key group in one task.
+    A repeated key has two rows at least, so the first ``top`` rows lie within the ``top`` smallest repeated keys:
+    a few keys to look up, not a join of the whole table with itself.
     """
-    dup = df.groupBy(key).agg(F.count(one()).alias("k")).where(c("k") > 1).select(c(key).alias("_dup"))
-    rows = df.join(dup, df[key].eqNullSafe(dup["_dup"]), "left_semi").select(key, order, *cols)
+    dup = df.groupBy(key).agg(F.count(one()).alias("k")).where(c("k") > 1)
+    first = F.broadcast(dup.orderBy(c(key).asc_nulls_first()).limit(top).select(c(key).alias("_dup")))  # `top` rows
+    rows = df.join(first, df[key].eqNullSafe(first["_dup"]), "left_semi").select(key, order, *cols)
     return rows.orderBy(key, order, *cols).limit(top)  # every column breaks ties: a total order
 
 

@@ -298,6 +298,46 @@ REPORTS = {
 }
 
 
+# The report runner's own forms of six reports: fewer columns, shorter lists.
+
+def r1a_top_suppliers(t: Tables) -> DataFrame:
+    """1A for the runner: 15 suppliers with share and rank, without the refund columns."""
+    return q1a_top_suppliers(t, 15).select(
+        "supplier_name_clean", "supplier_type", "transaction_count", F.round("gross_spend", 2).alias("gross_spend"),
+        c("pct_of_total_spend").alias("pct_of_total"), "spend_rank")
+
+
+def r1b_concentration(t: Tables) -> DataFrame:
+    """1B for the runner: ranks up to 10."""
+    return q1b_concentration(t, 10)
+
+
+def r2a_expense_types(t: Tables) -> DataFrame:
+    """2A for the runner: 15 types, without the largest transaction."""
+    return q2a_expense_types(t, 15).drop("largest_transaction")
+
+
+def r2b_half_year_pattern(t: Tables) -> DataFrame:
+    """2B for the runner: 15 types, the difference and the short labels."""
+    return q2b_half_year_pattern(t, 15, PATTERN_LABELS_SHORT).select(
+        "expense_type", "h1_spend", "h2_spend", c("h2_vs_h1_delta").alias("delta"), c("budget_pattern").alias("pattern"))
+
+
+def r3a_monthly_trend(t: Tables) -> DataFrame:
+    """3A for the runner: the change in percent only."""
+    return q3a_monthly_trend(t).select("year", "month", "month_name", "transactions", "total_spend",
+                                       c("mom_change_pct").alias("mom_pct"))
+
+
+def r4a_refund_risk(t: Tables) -> DataFrame:
+    """4A for the runner: the 15 highest refund rates."""
+    return q4a_refund_risk(t, 15)
+
+
+RUNNER_REPORTS = {f.__name__: f for f in (r1a_top_suppliers, r1b_concentration, r2a_expense_types,
+                                          r2b_half_year_pattern, r3a_monthly_trend, r4a_refund_risk)}
+
+
 def run_all(t: Tables, names: list[str] | None = None, action=None, **params) -> dict:
     """Run every named report; one that fails is returned as its error, the rest still run.
 
