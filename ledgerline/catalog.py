@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.staging import clean
 from ledgerline.operators.warehouse import Tables, materialize_warehouse
+from ledgerline.plans.materialize import new_location
+from ledgerline.schema import STAGING_COLS
+from ledgerline.sources.csv_export import export_csv
+from ledgerline.sources.monthly_csv import Ingest, header_audit, read_monthly
 from ledgerline.sources.tables import raw_payments
 
 _LOCK = threading.Lock()
 _BUILT: dict[tuple[str, str], Tables] = {}
+_EXPORTED: dict[tuple[str, str], Ingest] = {}
 
 
 def staging_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,8 +37,9 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Tables:
 def forget(sf_dir: str) -> None:
     """Build the warehouse of ``sf_dir`` anew when it is next asked for (its tables have changed)."""
     with _LOCK:
-        for key in [k for k in _BUILT if k[1] == sf_dir.rstrip("/")]:
-            del _BUILT[key]
+        for cache in (_BUILT, _EXPORTED):
+            for key in [k for k in cache if k[1] == sf_dir.rstrip("/")]:
+                del cache[key]
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,17 +47,33 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse(spark, sf_dir).staging
 
 
+def exported(spark: SparkSession, sf_dir: str) -> Ingest:
+    """Raw payment rows written as CSV files (two header variants) once a session, opened by the CSV ingest."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _LOCK:
+        if key not in _EXPORTED:
+            path = new_location(spark, "csv-roundtrip")
+            export_csv(raw_payments(spark, sf_dir, null_markers=True), path, variant=F.col("_row_idx") % 2 == 1)
+            _EXPORTED[key] = read_monthly(spark, path)
+        return _EXPORTED[key]
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw payment rows written as CSV files (two header variants), read back by the CSV
-    ingest and cleaned; load-order columns are dropped (file names are part-file names)."""
-    from ledgerline.plans.materialize import new_location
-    from ledgerline.schema import STAGING_COLS
-    from ledgerline.sources.csv_export import export_csv
-    from ledgerline.sources.monthly_csv import read_monthly
-
-    path = new_location(spark, "csv-roundtrip")
-    raw = raw_payments(spark, sf_dir, null_markers=True)
-    export_csv(raw, path, variant=F.col("_row_idx") % 2 == 1)
-    stg = read_monthly(spark, path).staging()
+    """The exported rows read back and cleaned; load-order columns are dropped (file names are part-file names)."""
     skip = {"row_id", "_source_file", "_load_timestamp"}
-    return stg.select(*[c for c in STAGING_COLS if c not in skip])
+    return exported(spark, sf_dir).staging().select(*[c for c in STAGING_COLS if c not in skip])
+
+
+def row_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read back, and the files whose row positions are not exactly 0 to rows - 1."""
+    files = exported(spark, sf_dir).raw.groupBy("_source_file").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_row_idx").alias("low"), F.max("_row_idx").alias("high"),
+        F.count_distinct("_row_idx").alias("kinds"))
+    gaps = (F.col("low") != 0) | (F.col("high") != F.col("n") - 1) | (F.col("kinds") != F.col("n"))
+    return files.agg(F.sum("n").alias("rows"), F.count_if(gaps).alias("files_with_gaps"))
+
+
+def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised header names of the exported files, and whether every file has them."""
+    ingest = exported(spark, sf_dir)
+    return header_audit(ingest).select("column", (F.col("files") == len(ingest.files)).alias("in_every_file"))

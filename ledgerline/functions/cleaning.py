@@ -25,17 +25,29 @@ DATE_LAYOUTS = (
     (r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy"),
     (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
     (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
+    (r"^\d{1,2}-\d{1,2}-\d{2}$", "d-M-yy"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{2}$", "d.M.yy"),
     (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{8}$", "yyyyMMdd"),
     (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
     (r"^\d{1,2}-[A-Za-z]{3}-\d{2}$", "d-MMM-yy"),
     (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
     (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
+    (r"^\d{1,2}-[A-Za-z]{4,9}-\d{4}$", "d-MMMM-yyyy"),
 )
 DATETIME_LAYOUTS = (
     (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "d/M/yyyy H:mm"),
     (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "d/M/yyyy H:mm:ss"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}:\d{2}$", "yyyy-M-d H:mm:ss"),
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}$", "yyyy-M-d H:mm"),
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy-M-d H:mm:ss"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}$", "yyyy-M-d'T'H:mm"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}:\d{2}$", "yyyy-M-d'T'H:mm:ss"),
 )
+#: Money: exact sums of amounts up to 26 digits before the point.
+MONEY = "decimal(28,2)"
+#: Two-digit years up to this one lie in the 2000s, later ones in the 1900s.
+LAST_SHORT_YEAR = 2068
 # Shape of a plain decimal number (what the money cast accepts).
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
@@ -59,16 +71,28 @@ def parse_amount(c: Column) -> Column:
     """Remove thousands separators, strip, parse as money or NULL.
 
     ``1,234.50`` -> 1234.50, `` -5 `` -> -5.00; ``£5``, ``(5)``, ``12d`` -> NULL.
-    Parsed straight into DECIMAL(18,2) so sums are exact and order-independent.
+    Parsed straight into DECIMAL so sums are exact and order-independent; further decimals are
+    rounded half-up (:func:`is_rounded` tells which cells had any).
     """
-    s = strip_ws(F.replace(c, F.lit(","), F.lit("")))
-    return F.when(s.rlike(_NUMBER), s.try_cast("decimal(18,2)"))
+    s = _number_text(c)
+    return F.when(s.rlike(_NUMBER), s.try_cast(MONEY))
+
+
+def is_rounded(c: Column) -> Column:
+    """Whether :func:`parse_amount` rounds the cell: its number has more than two decimals that count."""
+    s = _number_text(c)
+    exact = F.when(s.rlike(_NUMBER), s.try_cast("decimal(38,10)"))
+    return F.coalesce(exact != parse_amount(c), F.lit(False))
+
+
+def _number_text(c: Column) -> Column:
+    return strip_ws(F.replace(c, F.lit(","), F.lit("")))
 
 
 def parse_uk_date(c: Column) -> Column:
     """Day-first date text -> DATE; unparseable (``31/02/2015``, ``abc``) -> NULL.
 
-    A two-digit year takes the century that puts it within 50 years of today
+    A two-digit year lies between 1969 and 2068, whenever the file is loaded
     (``1/4/95`` -> 1995, ``1/4/15`` -> 2015).
     """
     s = strip_ws(c)
@@ -76,17 +100,16 @@ def parse_uk_date(c: Column) -> Column:
     for shape, fmt in DATE_LAYOUTS:
         parsed = F.try_to_date(s, fmt)
         if fmt.endswith("yy") and not fmt.endswith("yyyy"):
-            parsed = _nearest_century(parsed)
+            parsed = _short_year(parsed)
         out = F.when(s.rlike(shape), parsed) if out is None else out.when(s.rlike(shape), parsed)
     for shape, fmt in DATETIME_LAYOUTS:
         out = out.when(s.rlike(shape), F.to_date(F.try_to_timestamp(s, F.lit(fmt))))
     return out
 
 
-def _nearest_century(d: Column) -> Column:
-    """Dates parsed as 20yy moved back a century when 50 or more years ahead of today."""
-    ahead = F.year(d) >= F.year(F.current_date()) + 50
-    return F.when(ahead, F.add_months(d, -1200)).otherwise(d)
+def _short_year(d: Column) -> Column:
+    """Dates parsed as 20yy, moved back a century after ``LAST_SHORT_YEAR``."""
+    return F.when(F.year(d) > LAST_SHORT_YEAR, F.add_months(d, -1200)).otherwise(d)
 
 
 def refund_flag(amount: Column) -> Column:

@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import calendar as cal
 from ledgerline.functions import cleaning as cl
+from ledgerline.operators.staging import drop_blank_rows
 from ledgerline.plans.materialize import spread
+from ledgerline.schema import CORE_COLS
+from ledgerline.sources.tables import raw_file_counts, raw_payments
 
 c = F.col
 
@@ -26,7 +29,7 @@ def amount_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """0 thousands separators, 1 padded, 2 currency sign, 3 parentheses, 4 trailing letter,
     5 negative with separators, 6 plain."""
     li = _li(spark, sf_dir, "l_orderkey", "l_linenumber", "l_extendedprice")
-    x = c("l_extendedprice").cast("decimal(18,2)")
+    x = c("l_extendedprice").cast(cl.MONEY)
     v = c("l_linenumber") % 7
     plain = x.cast("string")
     text = (F.when(v == 0, F.format_number(x, 2)).when(v == 1, F.concat(F.lit(" "), plain, F.lit(" ")))
@@ -51,6 +54,41 @@ def date_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
                      cl.parse_uk_date(text).alias("payment_date"))
 
 
+def amount_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """0 three decimals (rounded half-up), 1 twenty digits, 2 exponent form, 3 trailing zeros, with the rounding flag."""
+    li = _li(spark, sf_dir, "l_orderkey", "l_linenumber", "l_extendedprice")
+    x = c("l_extendedprice").cast("decimal(28,2)")
+    v = c("l_linenumber") % 4
+    wide = (x + F.lit("90000000000000000000").cast("decimal(28,2)")).cast("decimal(28,2)")
+    text = (F.when(v == 0, F.concat(x.cast("string"), F.lit("5"))).when(v == 1, F.format_number(wide, 2))
+             .when(v == 2, F.concat(c("l_linenumber").cast("string"), F.lit("e3")))
+             .otherwise(F.concat(x.cast("string"), F.lit("00"))))
+    return li.select("l_orderkey", "l_linenumber", v.alias("variant"), cl.parse_amount(text).alias("amount"),
+                     cl.is_rounded(text).alias("rounded"))
+
+
+def date_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rarer layouts: ISO with T and time, slashes, eight digits, full month names, two-digit years."""
+    li = _li(spark, sf_dir, "l_orderkey", "l_linenumber", "l_shipdate")
+    d = F.to_date("l_shipdate")
+    v = ((c("l_orderkey") + c("l_linenumber")) % 9).cast("int")
+    layouts = ("yyyy-MM-dd'T'00:00:00", "yyyy-MM-dd'T'09:30", "yyyy-MM-dd 23:59", "yyyy/MM/dd", "yyyyMMdd",
+               "d-MMMM-yyyy", "d-M-yy", "d.M.yy", "d MMMM yyyy")
+    text = F.element_at(F.array(*[F.date_format(d, f) for f in layouts]), v + 1)
+    return li.select("l_orderkey", "l_linenumber", v.alias("variant"), cl.parse_uk_date(text).alias("payment_date"))
+
+
+def blank_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blank-row filter per source file: line numbers 1 (mod 4) lose all core cells, 2 all but the amount."""
+    raw = raw_payments(spark, sf_dir)
+    kind = F.element_at(F.split("transaction_number", "-"), -1).cast("int") % 4
+    emptied = raw.withColumns({name: F.when(~kind.isin(1, 2), c(name)) for name in CORE_COLS if name != "amount"} | {
+        "amount": F.when(kind != 1, c("amount"))})
+    kept = drop_blank_rows(emptied).groupBy("_source_file").agg(F.count(F.lit(1)).alias("clean_rows"))
+    return raw_file_counts(spark, sf_dir).join(kept, "_source_file", "left").fillna(0, ["clean_rows"]).select(
+        c("_source_file").alias("file"), "raw_rows", "clean_rows", (c("raw_rows") - c("clean_rows")).alias("dropped"))
+
+
 def calendar_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar and fiscal attributes of every distinct order date."""
     d = c("d")
@@ -67,9 +105,9 @@ def refund_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refund flag of signed amounts, with zero and missing amounts."""
     li = _li(spark, sf_dir, "l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_tax",
              "l_discount")
-    x = c("l_extendedprice").cast("decimal(18,2)")
-    amount = (F.when(c("l_tax") == 0, F.lit(None).cast("decimal(18,2)"))
-               .when(c("l_returnflag") == "R", -x).when(c("l_discount") == 0, F.lit(0).cast("decimal(18,2)"))
+    x = c("l_extendedprice").cast(cl.MONEY)
+    amount = (F.when(c("l_tax") == 0, F.lit(None).cast(cl.MONEY))
+               .when(c("l_returnflag") == "R", -x).when(c("l_discount") == 0, F.lit(0).cast(cl.MONEY))
                .otherwise(x))
     return li.select("l_orderkey", "l_linenumber", cl.refund_flag(amount).cast("int").alias("is_refund"))
 
@@ -121,7 +159,8 @@ def null_token_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 VARIANTS = {
-    "c_amount": amount_variants, "c_date": date_variants, "c_calendar": calendar_attributes,
+    "c_amount": amount_variants, "c_amount_wide": amount_extremes, "c_date_layouts": date_layouts,
+    "p_blank_rows": blank_rows, "c_date": date_variants, "c_calendar": calendar_attributes,
     "c_refund_flag": refund_flags, "c_supplier_name": supplier_variants, "c_title_case": title_variants,
     "c_group_split": group_variants, "s_null_tokens": null_token_variants,
 }

@@ -65,21 +65,15 @@ def sign_counts(df: DataFrame, col: str = "amount") -> DataFrame:
 
 
 def describe(df: DataFrame, col: str = "amount") -> DataFrame:
-    """count, mean, sample std, min, 25/50/75 % (exact, linear), max of a money column."""
+    """count, mean, sample std, min, 25/50/75 % (exact, linear), max of a money column, as one lazy plan."""
     x = c(col)
-    s = df.agg(F.count(x).alias("n"), F.sum(x).alias("s1"), F.stddev_samp(x.cast("double")).alias("std"),
-               F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max")).first()
-    n = s["n"]
-    qs = exact_quantiles(df, col, [0.25, 0.5, 0.75], n)
-    spark = df.sparkSession
-    row = spark.createDataFrame(
-        [(n, s["s1"], s["std"], s["min"], qs[0], qs[1], qs[2], s["max"])],
-        "n long, s1 decimal(38,2), std double, min double, p25 double, p50 double, p75 double, "
-        "max double")
     r4 = lambda e: F.round(e.cast("decimal(38,10)"), 4).cast("double")
-    return row.select(
-        c("n").alias("count"), ratio(c("s1"), c("n"), 4).alias("mean"),
-        r4(c("std")).alias("std"), "min", r4(c("p25")).alias("p25"), r4(c("p50")).alias("p50"), r4(c("p75")).alias("p75"), "max")
+    whole = df.agg(F.count(x).alias("count"), F.sum(x).alias("s1"), F.stddev_samp(x.cast("double")).alias("std"),
+                   F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max"))
+    parts = exact_quantiles(df, col, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    return whole.join(F.broadcast(parts)).select(  # one row each
+        "count", ratio(c("s1"), c("count"), 4).alias("mean"), r4(c("std")).alias("std"), "min",
+        *[r4(c(q)).alias(q) for q in ("p25", "p50", "p75")], "max")
 
 
 def top_groups(df: DataFrame, key: str, value: str = "amount", top: int = 10) -> DataFrame:

@@ -1,11 +1,8 @@
-"""Exact quantiles without gathering a column into one task.
+"""Exact quantiles without gathering a column into one task, as one lazy plan.
 
-The column is range-partitioned and sorted within partitions, then cut
-off from its lineage with a reliable checkpoint (so the two passes below see
-the same partitioning). Per-partition row counts (one row per partition)
-give each partition's global offset; the rows holding the wanted ranks are
-then selected with a filter. Only the per-partition counts and the selected
-order statistics reach the driver.
+Equal values are counted first, so a value that a third of all rows have is one row;
+every value then knows how many rows come before it (``operators/ranking.py``), and the
+order statistics are picked by one aggregate over the values.
 
 Interpolation follows the usual "linear" rule: for quantile q over n sorted
 values v, position h = (n - 1) q, result v[floor h] + (h - floor h)(v[ceil h] - v[floor h]).
@@ -13,44 +10,27 @@ values v, position h = (n - 1) q, result v[floor h] + (h - floor h)(v[ceil h] -
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.session import scratch_dir
-
-_LOW_BITS = (1 << 33) - 1
-
-
-def order_statistics(df: DataFrame, col: str, ranks: set[int]) -> dict[int, object]:
-    """Values at the given 0-based ranks of the non-null ``col`` in ascending order."""
-    scratch_dir(df.sparkSession)  # makes sure a checkpoint folder is set
-    vals = df.select(F.col(col).alias("v")).where(F.col("v").isNotNull())
-    ordered = (vals.repartitionByRange("v").sortWithinPartitions("v")
-                   .withColumn("_id", F.monotonically_increasing_id()).checkpoint(eager=True))
-    pid = F.shiftright("_id", 33)
-    counts = ordered.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                        F.lit(0))
-    offsets = counts.withColumn("_off", before)  # one row per partition: bounded
-    ranked = (ordered.join(F.broadcast(offsets), pid == F.col("_pid"))
-                     .withColumn("_rank", F.col("_off") + F.col("_id").bitwiseAND(F.lit(_LOW_BITS))))
-    picked = ranked.where(F.col("_rank").isin(*sorted(ranks))).select("_rank", "v").collect()
-    return {r["_rank"]: r["v"] for r in picked}
-
-
-def exact_quantiles(df: DataFrame, col: str, qs: list[float], n: int | None = None) -> list[float | None]:
-    """Linear-interpolated quantiles of the non-null values of ``col``."""
-    if n is None:
-        n = df.where(F.col(col).isNotNull()).count()
-    if n == 0:
-        return [None for _ in qs]
-    pos = [(n - 1) * q for q in qs]
-    need = {int(math.floor(h)) for h in pos} | {int(math.ceil(h)) for h in pos}
-    stats = order_statistics(df, col, need)
-    out = []
-    for h in pos:
-        lo, hi = float(stats[int(math.floor(h))]), float(stats[int(math.ceil(h))])
-        out.append(lo + (h - math.floor(h)) * (hi - lo))
-    return out
+from ledgerline.operators.ranking import places
+
+
+def exact_quantiles(df: DataFrame, col: str, qs: dict[str, float]) -> DataFrame:
+    """One row: linear-interpolated quantiles of the non-null values of ``col``, named by ``qs`` (NULL without any)."""
+    known = df.where(F.col(col).isNotNull()).select(col)
+    placed = places(known, col, descending=False).withColumn("_rows", known.agg(F.count(F.lit(1))).scalar())
+
+    def at(rank):
+        holds = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))
+        return F.max(F.when(holds, F.col("_v").cast("double")))
+
+    def position(q):
+        return (F.col("_rows") - 1) * F.lit(float(q))
+
+    ends = [e for name, q in qs.items() for e in (
+        at(F.floor(position(q))).alias(f"_low_{name}"), at(F.ceil(position(q))).alias(f"_high_{name}"))]
+    picked = placed.agg(F.max("_rows").alias("_rows"), *ends)
+    return picked.select(*[
+        (F.col(f"_low_{name}") + (position(q) - F.floor(position(q))) * (F.col(f"_high_{name}") - F.col(f"_low_{name}")))
+        .alias(name) for name, q in qs.items()])

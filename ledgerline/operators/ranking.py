@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_rank(df: DataFrame, value: str, name: str = "rank", descending: bool = True) -> DataFrame:
-    """``df`` plus ``name`` = RANK() OVER (ORDER BY value [DESC] NULLS LAST)."""
+def places(df: DataFrame, value: str, descending: bool = True) -> DataFrame:
+    """(_v, _n, _before): every value of ``df``, how many rows have it and how many come before them, NULL last."""
     def order(col: str):
         return F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_last()
 
@@ -28,6 +28,11 @@ def with_rank(df: DataFrame, value: str, name: str = "rank", descending: bool =
     slots = counts.groupBy(F.col("_slot").alias("_s")).agg(F.sum("_n").alias("_m"))
     slots = slots.withColumn("_earlier", F.coalesce(F.sum("_m").over(before(Window.orderBy(order("_s")))), F.lit(0)))
     inside = F.coalesce(F.sum("_n").over(before(Window.partitionBy("_slot").orderBy(order("_v")))), F.lit(0))
-    ranks = counts.withColumn("_inside", inside).join(slots, F.col("_slot").eqNullSafe(F.col("_s")))
-    ranks = ranks.select("_v", (F.col("_earlier") + F.col("_inside") + 1).cast("long").alias(name))
+    placed = counts.withColumn("_inside", inside).join(slots, F.col("_slot").eqNullSafe(F.col("_s")))
+    return placed.select("_v", "_n", (F.col("_earlier") + F.col("_inside")).cast("long").alias("_before"))
+
+
+def with_rank(df: DataFrame, value: str, name: str = "rank", descending: bool = True) -> DataFrame:
+    """``df`` plus ``name`` = RANK() OVER (ORDER BY value [DESC] NULLS LAST)."""
+    ranks = places(df, value, descending).select("_v", (F.col("_before") + 1).alias(name))
     return df.join(ranks, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,18 +90,24 @@ def build_dim_entity(stg: DataFrame) -> DataFrame:
 
 def build_fact(stg: DataFrame, dim_supplier: DataFrame, dim_expense: DataFrame,
                dim_entity: DataFrame) -> DataFrame:
+    """Fact rows with their keys; rows that cannot match a dimension carry a salt, so that they share no shuffle key."""
     sup = dim_supplier.select(
-        "supplier_key", F.col("supplier_name_raw").alias("_s_raw"),
+        F.lit(0).alias("_s_salt"), "supplier_key", F.col("supplier_name_raw").alias("_s_raw"),
         F.col("supplier_postcode").alias("_s_pc"))
     exp = dim_expense.select(
-        "expense_key", F.col("expense_type").alias("_e_type"), F.col("expense_area").alias("_e_area"))
-    ent = dim_entity.select("entity_key", F.col("entity_name").alias("_n_area"))
+        F.lit(0).alias("_e_salt"), "expense_key", F.col("expense_type").alias("_e_type"), F.col("expense_area").alias("_e_area"))
+    ent = dim_entity.select(F.lit(0).alias("_n_salt"), "entity_key", F.col("entity_name").alias("_n_area"))
     s = F.col
-    f = (stg.join(sup, s("supplier_name").eqNullSafe(s("_s_raw"))
+
+    def salt(*names: str):
+        unmatched = reduce(lambda a, b: a & b, [s(n).isNull() for n in names])
+        return F.when(unmatched, F.hash("_row_key")).otherwise(F.lit(0))
+
+    f = (stg.join(sup, (salt("supplier_name") == s("_s_salt")) & s("supplier_name").eqNullSafe(s("_s_raw"))
                   & s("supplier_postcode").eqNullSafe(s("_s_pc")), "left")
-            .join(exp, s("expense_type").eqNullSafe(s("_e_type"))
+            .join(exp, (salt("expense_type", "expense_area") == s("_e_salt")) & s("expense_type").eqNullSafe(s("_e_type"))
                   & s("expense_area").eqNullSafe(s("_e_area")), "left")
-            .join(ent, s("expense_area") == s("_n_area"), "left"))
+            .join(ent, (salt("expense_area") == s("_n_salt")) & (s("expense_area") == s("_n_area")), "left"))
     return f.select(
         s("_row_key").alias("transaction_key"), "row_id",
         date_key(s("payment_date")).alias("date_key"),

@@ -26,6 +26,22 @@ def test_parse_uk_date(spark):
         dt.date(1995, 4, 1), dt.date(2015, 4, 1), dt.date(1999, 4, 3)]
 
 
+def test_wide_and_rounded_amounts(spark):
+    cells = ["1e20", "99999999999999999.99", "1.005", "1.50", "2.500", "x", None, "1e300"]
+    assert one_col(spark, cells, LF.parse_amount) == [
+        Decimal("1e20"), Decimal("99999999999999999.99"), Decimal("1.01"), Decimal("1.50"), Decimal("2.50"),
+        None, None, None]
+    assert one_col(spark, cells, LF.is_rounded) == [False, False, True, False, False, False, False, False]
+
+
+def test_more_date_layouts(spark):
+    cells = ["2015-04-03T00:00:00", "2015-04-03T10:30", "2015-04-03 00:00", "2015/04/03", "20150403", "3-April-2015",
+             "3-4-15", "3.4.15", "20151303"]
+    d = dt.date(2015, 4, 3)
+    assert one_col(spark, cells, LF.parse_uk_date) == [d] * 8 + [None]
+    assert one_col(spark, ["1/1/68", "1/1/69"], LF.parse_uk_date) == [dt.date(2068, 1, 1), dt.date(1969, 1, 1)]
+
+
 def test_fiscal_calendar(spark):
     dates = [dt.date(2015, 4, 1), dt.date(2015, 12, 31), dt.date(2016, 3, 31), dt.date(1999, 7, 1), None]
     df = spark.createDataFrame([(d,) for d in dates], "d date")

@@ -30,7 +30,7 @@ def test_filters_pushed_and_columns_pruned(tables):
     assert "PushedFilters: [IsNotNull(is_refund), EqualTo(is_refund,0)" in plan
     fact_scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "is_refund" in line]
     assert fact_scans and all("description" not in s and "row_id" not in s for s in fact_scans)
-    assert all("ReadSchema: struct<expense_key:bigint,amount:decimal(18,2),is_refund:int>" in s
+    assert all("ReadSchema: struct<expense_key:bigint,amount:decimal(28,2),is_refund:int>" in s
                for s in fact_scans)
 
 

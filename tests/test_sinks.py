@@ -71,4 +71,4 @@ def test_profile_dtypes(spark):
     from ledgerline.operators.profile import dtypes
     t = small_tables(spark)
     got = {r.column_name: r.data_type for r in dtypes(t.fact).collect()}
-    assert got["amount"] == "decimal(18,2)" and got["date_key"] == "int" and len(got) == 12
+    assert got["amount"] == "decimal(28,2)" and got["date_key"] == "int" and len(got) == 12
