@@ -4,8 +4,8 @@ Plan shape used throughout: the fact is first aggregated on the dimension
 keys the report needs (partial + final hash aggregate, so a hot key costs one
 row per map task), the much smaller result is joined to the dimensions, and
 only then grouped by the dimension attributes. Global windows (rank, running
-totals, month-on-month) run on these small aggregates; totals come from a
-one-row aggregate joined back, so ``rank <= k`` filters get a partial
+totals, month-on-month) run on these small aggregates; totals are scalar
+subqueries, so ``rank <= k`` filters get a partial
 window-group limit and only the top rows reach a single partition.
 """
 
