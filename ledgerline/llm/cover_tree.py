@@ -244,7 +244,7 @@ def dual(one: Tree, two: Tree, cosine: float, same: bool) -> tuple[np.ndarray, n
                 yield p + i, q + c, (c1[i:min(i + 256, b)] @ c2[c:d].T).ravel()
         few = n <= 50_000
         u, v, n = u[few], v[few], n[few]
-        cuts = np.unique(np.searchsorted(np.cumsum(n), np.arange(0, n.sum() + 50_000, 50_000)))
+        cuts = np.unique(np.append(np.searchsorted(np.cumsum(n), np.arange(0, n.sum(), 50_000)), len(n)))
         for i, j in zip(cuts[:-1], cuts[1:]):
             m, a, b = n[i:j], u[i:j], v[i:j]
             wide = np.repeat((s2 - f2)[b], m)

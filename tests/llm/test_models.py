@@ -40,6 +40,23 @@ def test_cover_tree_pairs(spark, monkeypatch):
     assert cover_tree.near_pairs(df.where("false")).count() == 0
 
 
+def test_dual_keeps_the_last_node_pair():
+    # 20 and 40 open pairs of 2,500 children each: exactly 50,000 and 100,000
+    r = np.random.default_rng(3)
+    for clusters in (20, 40):
+        trees = []
+        for _ in range(2):
+            x = np.repeat(np.eye(48)[:clusters], 50, axis=0) + r.normal(size=(50 * clusters, 48)) * 0.03
+            x /= np.sqrt((x * x).sum(1, keepdims=True))
+            trees.append(cover_tree.Tree(x, np.repeat(np.arange(clusters) * 50, 50)[:, None], np.ones(len(x))))
+        one, two = trees
+        link = one.x @ two.x.T >= 0.96
+        links1, links2, label = cover_tree.dual(one, two, 0.96, False)
+        assert link[-50:, -50:].any() and not link[-50:, -50:].all()
+        assert (links1 == link.sum(1)).all() and (links2 == link.sum(0)).all()
+        assert label.tolist() == brute.joined(2 * len(one.x), [(a, b + len(one.x)) for a, b in zip(*np.nonzero(link))])
+
+
 def test_automaton_finds_what_edit_distance_says():
     model = toxicity.Model([("moron", 5.0), ("worthless", 6.0), ("bad", 4.0), ("tête", 3.0)], [("lowei", 6.0)], frozenset())
     automaton = toxicity.Automaton(model)
