@@ -1,15 +1,18 @@
 """Cross-entropy difference: how much better a target model predicts a document than a background model.
 
-Both models are bigram models over one shared vocabulary, the most frequent words of all
-documents; other words are one unknown word. The target model counts the target documents,
-the background model all documents. Both are smoothed alike:
+Both models are bigram models over one shared vocabulary, all words of all documents. The target
+model counts the target documents, the background model all documents. Both are smoothed alike:
 
     P(w | h) = (c(h, w) + K p(w)) / (c(h) + K),   p(w) = (c(w) + 1) / (N + V - 1)
 
-A document's score is the mean over its words of -log P_target + log P_background: the lower,
-the more it is like the target. Word and bigram counts cover all documents and whole
-texts; each task adds up its own counts before the shuffle. The vocabulary bounds the model
-(VOCABULARY ** 2 cells), which is what reaches the driver and the tasks.
+V counts the words, the start of a text and one unknown word. A document's score is the mean over
+its words of -log P_target + log P_background: the lower, the more it is like the target.
+
+The counts grow with the corpus and are gathered nowhere. Documents are dealt into blocks by their
+ids; a block sends its distinct keys (words and bigrams, as 64-bit hashes) with their counts to
+buckets by ranges of the key; c(h) is how often h occurs less how often it ends a text. A bucket adds them up and answers every block with the counts
+of the keys it sent, in the order it sent them, and with its share of N and V. A hot word is
+one key a block. Blocks and buckets are bounded; their number grows with the text.
 """
 
 from __future__ import annotations
@@ -19,14 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import arrow_map, flat, slices, texts
-from ledgerline.llm.words import _LOWER, span_hashes, word_spans
+from ledgerline.llm.common import _shipped, arrow_map, flat, slices, texts
+from ledgerline.llm.words import _LOWER, mix, span_hashes, word_spans
 
-#: Size of the shared vocabulary, with the start of a text (0) and the unknown word (1).
+#: Size of the shared vocabulary of :func:`score_sql`, with the start of a text (0) and the unknown word (1).
 VOCABULARY = 1024
 #: Weight of the word frequencies against the bigram counts.
 K = 10.0
+#: Bytes of text a block has on average.
+BLOCK = 8 << 20
 _SLICE = 4 << 20
+_START, _UNKNOWN, _STEP = (np.uint64(x) for x in (0x8CB92BA72F3D8DD6, 0xABC98388FB8FAC03, 0xD6E8FEB86659FD93))
 
 
 def frequent_words(docs: DataFrame, size: int = VOCABULARY) -> list[bytes]:
@@ -47,60 +53,157 @@ def frequent_words(docs: DataFrame, size: int = VOCABULARY) -> list[bytes]:
     return [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(size - 2).collect()]
 
 
-class _Ids:
-    """Word ids of whole columns."""
+def _keys(data: np.ndarray, offsets: np.ndarray, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all words, of all words with the word before and of the start of every text with words; and each
+    text's first word (n + 1 values).
 
-    def __init__(self, words: list[bytes]):
-        joined = np.frombuffer(b" ".join(words), np.uint8)
-        starts, _, _ = word_spans(joined, np.array([0, len(joined)]))
-        hashes = span_hashes(joined, starts)
-        order = np.argsort(hashes)
-        self.hashes, self.ids = hashes[order], order + 2
+    Keys of words are odd, all others even. Words outside ``known`` (sorted hashes; None: all are known) are one.
+    """
+    starts, _, firsts = word_spans(data, offsets)
+    words = span_hashes(data, starts)
+    if known is not None and len(words):
+        at = np.minimum(np.searchsorted(known, words), max(0, len(known) - 1))
+        words = np.where(known[at] == words, words, _UNKNOWN) if len(known) else np.full(len(words), _UNKNOWN)
+    begin = firsts[:-1][np.diff(firsts) > 0]
+    before = np.empty_like(words)
+    before[1:] = words[:-1]
+    before[begin] = _START
+    pairs = mix(before * _STEP + words) & ~np.uint64(1)
+    return np.concatenate([words | np.uint64(1), pairs, np.full(len(begin), _START)]), firsts
 
-    def cells(self, data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """A cell (word before, word) for every word, and each text's first (n + 1 values)."""
-        starts, _, firsts = word_spans(data, offsets)
-        hashes = span_hashes(data, starts)
-        ids = np.ones(len(hashes), np.int64)
-        if len(self.hashes) and len(hashes):
-            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-            known = self.hashes[at] == hashes
-            ids[known] = self.ids[at[known]]
-        before = np.zeros(len(ids), np.int64)
-        before[1:] = ids[:-1]
-        before[firsts[:-1][firsts[:-1] < len(ids)]] = 0
-        return before * size + ids, firsts
 
+def _packed(values: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs, compressed; the first byte tells how many."""
+    own = values.astype(np.min_scalar_type(int(values.max(initial=0))))
+    return bytes([own.itemsize]) + pa.compress(own.tobytes(), codec="zstd", asbytes=True) if len(own) else b""
 
-def _bigrams(docs: DataFrame, ids: _Ids, size: int) -> np.ndarray:
-    """The (size, size) counts of all words of ``docs`` after the word before."""
 
-    def run(batches):
-        total = np.zeros(size * size, np.int64)
-        for batch in batches:
-            data, offsets = flat(batch.column(1))
-            for i, j in slices(offsets, _SLICE):
-                cells, _ = ids.cells(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], size)
-                total += np.bincount(cells, minlength=size * size)
-        seen = np.flatnonzero(total)
-        for i in range(0, len(seen), 100_000):
-            part = seen[i:i + 100_000]
-            yield pa.RecordBatch.from_pydict({"cell": pa.array(part), "n": pa.array(total[part])})
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.int64)
+    own = pa.decompress(raw[1:], raw[0] * n, codec="zstd", asbytes=True)
+    return np.frombuffer(own, f"u{raw[0]}").astype(np.int64)
+
+
+def _gaps(keys: np.ndarray) -> bytes:
+    """Sorted keys as the gaps between them, in as few bytes each as the largest after the first needs."""
+    if not len(keys):
+        return b""
+    gaps = np.diff(keys)
+    width = max(1, -(-int(gaps.max(initial=0)).bit_length() // 8))
+    return keys[:1].tobytes() + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _from_gaps(raw: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.uint64)
+    steps = np.zeros((n, 8), np.uint8)
+    steps[0] = np.frombuffer(raw[:8], np.uint8)
+    if n > 1:
+        width = (len(raw) - 8) // (n - 1)
+        steps[1:, :width] = np.frombuffer(raw, np.uint8, offset=8).reshape(n - 1, width)
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+
+
+#: Counts of a key: in all documents and in target documents, and for a word how often it ends one.
+_COUNTS = ("n", "t", "n_last", "t_last")
+
 
-    counts = arrow_map(docs, run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(size * size)
-    out[counts["cell"].to_numpy()] = counts["n"].to_numpy()  # at most size * size rows
-    return out.reshape(size, size)
+def _pieces(table: pa.Table):
+    """(ids, bytes, offsets) of bounded runs of rows of a block."""
+    ids, column = table["doc_id"].combine_chunks(), table["text"].combine_chunks()
+    data, offsets = flat(column)
+    for i, j in slices(offsets, _SLICE):
+        yield ids.slice(i, j - i), data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
 
 
-def log_probabilities(counts: np.ndarray) -> np.ndarray:
-    """log P(w | h) from bigram counts; every word has a probability above 0."""
-    seen = counts.sum(0)
-    single = (seen + 1) / (seen.sum() + len(counts) - 1)
-    return np.log((counts + K * single) / (counts.sum(1, keepdims=True) + K))
+def _sender(known, buckets: int):
+    """A block's distinct keys and their counts, one row a bucket."""
+    borders = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
 
+    def send(docs: pa.Table, wanted: pa.Table) -> pa.Table:
+        targets = wanted["doc_id"].combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64)
+        keys, counts = [np.zeros(0, np.uint64)], [np.zeros((4, 0))]
+        for ids, data, offsets in _pieces(docs):
+            own, firsts = _keys(data, offsets, known.value)
+            has = ids.is_valid().to_numpy(zero_copy_only=False) & np.isin(ids.fill_null(0).to_numpy(), targets)
+            distinct, at, n = np.unique(own, return_inverse=True, return_counts=True)
+            full, size = np.diff(firsts) > 0, len(distinct)
+            each, last = np.repeat(has, np.diff(firsts)), at[firsts[1:][full] - 1]
+            keys.append(distinct)
+            counts.append(np.stack([n, np.bincount(at, np.concatenate([each, each, has[full]]), size),
+                                    np.bincount(last, minlength=size), np.bincount(last, has[full], size)]))
+        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = [np.bincount(at, c, len(distinct)).astype(np.int64) for c in np.concatenate(counts, 1)]
+        cuts = [0, *np.searchsorted(distinct, borders).tolist(), len(distinct)]
+        spans = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:])] if len(docs) else []
+        block = docs["block"][0].as_py() if len(docs) else 0
+        return pa.table({"bucket": pa.array(range(len(spans)), pa.int64()),
+                         "block": pa.array([block] * len(spans), pa.int64()),
+                         "size": pa.array([x.stop - x.start for x in spans], pa.int64()),
+                         "keys": pa.array([_gaps(distinct[x]) for x in spans], pa.binary()),
+                         **{c: pa.array([_packed(v[x]) for x in spans], pa.binary()) for c, v in zip(_COUNTS, sums)}})
 
-def score(docs: DataFrame, target: DataFrame, size: int = VOCABULARY,
+    return send
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """The sums of every key that was sent to a bucket, for each block in its order, and the bucket's totals."""
+    sizes = table["size"].to_pylist()
+    keys = np.concatenate([_from_gaps(raw, n) for raw, n in zip(table["keys"].to_pylist(), sizes)])
+    distinct, at = np.unique(keys, return_inverse=True)
+    sums = {c: np.bincount(at, np.concatenate(list(map(_unpacked, table[c].to_pylist(), sizes))), len(distinct)
+                           ).astype(np.int64) for c in _COUNTS}
+    word = distinct & np.uint64(1) == 1
+    totals = [int(word.sum()), int(sums["n"][word].sum()), int(sums["t"][word].sum())]
+    own = np.split(at, np.cumsum(sizes)[:-1])
+    return pa.table({"bucket": table["bucket"], "block": table["block"], "size": table["size"],
+                     "totals": pa.array([totals] * len(own), pa.list_(pa.int64())),
+                     **{c: pa.array([_packed(v[x]) for x in own], pa.binary()) for c, v in sums.items()}})
+
+
+def _scorer(known, size: int | None):
+    """Losses of a block's documents from the answers of all buckets."""
+
+    def losses(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        answers = answers.sort_by("bucket")
+        sizes = answers["size"].to_pylist()
+        counts = {c: np.concatenate([np.zeros(0, np.int64), *map(_unpacked, answers[c].to_pylist(), sizes)]) for c in _COUNTS}
+        words, all_, target = np.array(answers["totals"].to_pylist(), np.int64).reshape(-1, 3).sum(0).tolist()
+        v = size or words + 2
+        # the same distinct keys in the same order as they were sent
+        parts = [(ids, *_keys(data, offsets, known.value)) for ids, data, offsets in _pieces(docs)]
+        distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(own) for _, own, _ in parts)]))
+        start = np.searchsorted(distinct, _START)
+        out = []
+        for ids, own, firsts in parts:
+            n = np.diff(firsts)
+            full = np.flatnonzero(n)
+            mine, at = np.unique(own, return_inverse=True)
+            at = np.searchsorted(distinct, mine)[at]
+            word, pair = at[:firsts[-1]], at[firsts[-1]:2 * firsts[-1]]
+            both = []
+            for seen, last, total in (("t", "t_last", target), ("n", "n_last", all_)):
+                loss = np.zeros(len(n))
+                if len(full):
+                    history = np.empty(len(word))
+                    history[1:] = (counts[seen][word] - counts[last][word])[:-1]
+                    history[firsts[full]] = counts[seen][start]
+                    single = (counts[seen][word] + 1) / (total + v - 1)
+                    logs = np.log((counts[seen][pair] + K * single) / (history + K))
+                    loss[full] = -np.add.reduceat(logs, firsts[full]) / n[full]
+                both.append(loss)
+            out.append(pa.table([ids, pa.array(n, pa.int64()), *map(pa.array, both), pa.array(both[0] - both[1])],
+                                names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"]))
+        if not out:
+            return pa.table({"doc_id": pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64()), **{
+                c: pa.array([], pa.float64()) for c in ("target_loss", "background_loss", "score")}})
+        return pa.concat_tables(out)
+
+    return losses
+
+
+def score(docs: DataFrame, target: DataFrame, size: int | None = None,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) of every row of ``docs``.
 
@@ -108,35 +211,29 @@ def score(docs: DataFrame, target: DataFrame, size: int = VOCABULARY,
     (null ids never are; repeated target ids count once, repeated documents as often as they occur).
     Losses are means over the words in nats; a null text or one without words has 0 tokens, losses
     and score 0. Without any target document the target model is uniform. Other columns are not read; an
-    empty table gives an empty result.
+    empty table gives an empty result. With a ``size`` the vocabulary is only the ``size`` - 2 most frequent
+    words, and all others are the unknown word.
     """
     own = texts(docs, id_col, text_col)
-    words = frequent_words(own, size)
-    ids = _Ids(words)
-    # target ids grow with the corpus: one plan at every size, never a broadcast
-    wanted = target.select(F.col(id_col).cast("long").alias("doc_id")).distinct().hint("merge")
-    models = docs.sparkSession.sparkContext.broadcast(
-        tuple(log_probabilities(_bigrams(part, ids, size)).ravel()
-              for part in (own.join(wanted, "doc_id", "left_semi"), own)))
-
-    def run(batches):
-        for batch in batches:
-            data, offsets = flat(batch.column(1))
-            for i, j in slices(offsets, _SLICE):
-                cells, firsts = ids.cells(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], size)
-                n = np.diff(firsts)
-                full = np.flatnonzero(n)
-                losses = []
-                for model in models.value:
-                    loss = np.zeros(len(n))
-                    if len(full):
-                        loss[full] = -np.add.reduceat(model[cells], firsts[full]) / n[full]
-                    losses.append(loss)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(n), *map(pa.array, losses), pa.array(losses[0] - losses[1])],
-                    names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return arrow_map(own, run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    sc = docs.sparkSession.sparkContext
+    _shipped(sc.applicationId, sc.addPyFile)
+    known = None
+    if size:
+        joined = np.frombuffer(b" ".join(frequent_words(own, size)), np.uint8)
+        known = np.sort(span_hashes(joined, word_spans(joined, np.array([0, len(joined)]))[0]))
+    known = sc.broadcast(known)
+    blocks = max(1, -(-(own.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK))
+    block = F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(blocks))
+    own = own.withColumn("block", block)
+    wanted = target.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id is not null").distinct() \
+        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
+    counts = ", ".join(f"{c} binary" for c in _COUNTS)
+    sent = own.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(
+        _sender(known, blocks), f"bucket long, block long, size long, keys binary, {counts}")
+    answers = sent.groupBy("bucket").applyInArrow(
+        _answer, f"bucket long, block long, size long, totals array<long>, {counts}")
+    return own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _scorer(known, size), "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
 
 
 def score_sql(size: int = VOCABULARY) -> str:

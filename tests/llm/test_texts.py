@@ -168,6 +168,28 @@ def test_language_model_scores(spark, docs, texts, empty):
     assert lm_score.score(empty, target).count() == 0
 
 
+def test_language_model_knows_every_word(spark, monkeypatch):
+    # two documents that differ only in a word beyond the 1,022 most frequent; the target holds one of the two words
+    monkeypatch.setattr(lm_score, "BLOCK", 4000)
+    monkeypatch.setattr(lm_score, "_SLICE", 1500)
+    usual = [" ".join(f"w{i:04d}" for i in range(k, k + 400)) for k in range(0, 1200, 400) for _ in range(3)]
+    own = [*usual, "w0001 rare w0002", "w0001 seldom w0002", "zz rare w0002", None, "", "w0001 rare w0002"]
+    ids = [*range(14), None]
+    docs = brute.frame(spark, own, ids)
+    target = spark.createDataFrame([(11,), (0,), (None,)], "doc_id long")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(zip(ids, own)))
+    con.execute("CREATE TABLE labels AS SELECT unnest([0, 11])::BIGINT AS doc_id, 1 AS quality")
+    whole = len({w for t in own if t for w in t.split()}) + 2  # a vocabulary that leaves no word out
+    want = {r[0]: r[1:] for r in con.execute(lm_score.score_sql(whole)).fetchall()}
+    rows = lm_score.score(docs, target).collect()
+    got = {r.doc_id: (r.n_tokens, r.target_loss, r.background_loss, r.score) for r in rows}
+    assert len(rows) == len(own) and got.keys() == want.keys()
+    assert all(np.allclose(got[i], want[i], atol=2e-6) for i in got)
+    assert got[9][3] < got[10][3] - 0.1
+
+
 def test_licences(spark, empty):
     s = licences.SENTENCES
     texts = [None, "", "Nothing here.", "Text.\nReleased under the MIT License.", "foo |\nLICENSED under   the Apache License, version 2.0.",
