@@ -1,12 +1,13 @@
 """Licence scans by sentence rules, in built-in DataFrame functions alone.
 
-A text is cut into sentences twice: line by line, and with line breaks read as
-spaces (licence texts are often wrapped). A sentence is normalised (ASCII letters
+A text is cut into sentences three times: line by line, and (licence texts are often wrapped)
+with line breaks read as spaces inside paragraphs, which a blank line ends, and
+everywhere. A known sentence that the cut parts is known by its pieces in a row. A sentence is normalised (ASCII letters
 lowered, everything but ASCII letters and digits a single space) and looked up in a
 table of known licence sentences. The identifiers found, in order, are matched
 against rules: a rule names a licence and the identifiers that must follow each other
 in that order with no other licence sentence between them. A licence is
-reported if a rule of it matches either sequence. Nothing is shuffled; texts without any
+reported if a rule of it matches any of the sequences. Nothing is shuffled; texts without any
 word that a known sentence needs are not cut at all.
 """
 
@@ -95,10 +96,34 @@ def triggers(sentences: dict[int, str]) -> list[str]:
     return sorted({max(normal(s).split(), key=len) for s in sentences.values()})
 
 
-def _ids(text: Column, known: Column) -> Column:
+def pieces(sentence: str) -> list[str]:
+    """Normalised pieces of a known sentence, cut by the same rule as texts in :func:`_ids`."""
+    return [p for p in map(normal, re.sub(r"([.!?:;])[ \t\r]+", r"\1\n", sentence).split("\n")) if p]
+
+
+def _known(sentences: dict[int, str]) -> tuple[Column, list[tuple[str, int]]]:
+    """A map from pieces to names, and the sentences of several pieces: their names in a row and identifier.
+
+    A piece that is a sentence has its identifier as name, others a letter and a number.
+    """
+    cut = {i: pieces(s) for i, s in sorted(sentences.items())}
+    names = {p[0]: str(i) for i, p in cut.items() if len(p) == 1}
+    for p in chain.from_iterable(cut.values()):
+        names.setdefault(p, f"p{len(names)}")
+    rows = [(",".join(names[p] for p in ps), i) for i, ps in cut.items() if len(ps) > 1]
+    known = F.create_map(*chain.from_iterable((F.lit(p), F.lit(n)) for p, n in names.items()))
+    return known, sorted(rows, key=lambda r: (-r[0].count(","), r[1]))
+
+
+def _ids(text: Column, known: Column, rows: list[tuple[str, int]]) -> Column:
     """Identifiers of the known sentences of ``text``, in order."""
     cut = F.split(F.regexp_replace(text, r"([.!?:;])[ \t\r]+", "$1\n"), "\n")
-    return F.filter(F.transform(cut, lambda s: F.element_at(known, _normal(s))), lambda i: i.isNotNull())
+    # a blank piece parts nothing; any other unknown piece parts the pieces of a sentence
+    cut = F.filter(F.transform(cut, _normal), lambda s: s != "")
+    line = F.array_join(F.transform(cut, lambda s: F.coalesce(F.element_at(known, s), F.lit("-"))), ",")
+    for row, i in rows:
+        line = F.regexp_replace(line, f"(?<![^,]){row}(?![^,])", str(i))
+    return F.filter(F.split(line, ","), lambda n: n.rlike("^[0-9]+$")).cast("array<int>")
 
 
 def _matched(ids: Column, rules: list[tuple[str, list[int]]]) -> Column:
@@ -118,17 +143,20 @@ def scan(docs: DataFrame, sentences: dict[int, str] | None = None,
     the two output names are replaced. An empty table gives an empty result.
     """
     sentences, rules = sentences or SENTENCES, rules or RULES
-    known = F.create_map(*chain.from_iterable((F.lit(normal(s)), F.lit(i)) for i, s in sorted(sentences.items())))
+    known, rows = _known(sentences)
     text = text_of(text_col)
     likely = F.translate(text, _UPPER, _LOWER).rlike("|".join(triggers(sentences)))
     none = F.array().cast("array<int>")
-    by_line = F.when(likely, _ids(text, known)).otherwise(none)
-    unwrapped = F.when(likely, _ids(F.regexp_replace(text, "[ \t\r]*\n[ \t\r]*", " "), known)).otherwise(none)
+    # blank lines stay as two line feeds
+    stripped = F.regexp_replace(text, "[ \t\r]*\n[ \t\r]*", "\n")
+    by_line, by_paragraph, unwrapped = (F.when(likely, _ids(form, known, rows)).otherwise(none) for form in (
+        text, F.regexp_replace(stripped, "(?<!\n)\n(?!\n)", " "), F.regexp_replace(text, "[ \t\r]*\n[ \t\r]*", " ")))
+    own = own_prefix(docs)
+    loose, close = f"{own}unwrapped", f"{own}paragraphs"
     out = docs.drop(ids_col, out_col).withColumn(ids_col, by_line)
-    loose = f"{own_prefix(docs)}unwrapped"
-    out = out.withColumn(loose, unwrapped)
-    found = F.array_sort(F.array_distinct(F.concat(_matched(F.col(ids_col), rules), _matched(F.col(loose), rules))))
-    return out.withColumn(out_col, found).drop(loose)
+    out = out.withColumn(loose, unwrapped).withColumn(close, by_paragraph)
+    found = F.array_sort(F.array_distinct(F.concat(*(_matched(F.col(c), rules) for c in (ids_col, close, loose)))))
+    return out.withColumn(out_col, found).drop(loose, close)
 
 
 def report(docs: DataFrame) -> DataFrame:

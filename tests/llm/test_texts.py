@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import sys
+import textwrap
 import zlib
 
 import duckdb
@@ -205,3 +206,18 @@ def test_licences(spark, empty):
     assert sorted(con.execute(licences.report_sql()).fetchall()) == sorted(map(tuple, licences.report(docs).collect()))
     assert licences.report(empty).count() == 0
     assert "Python" not in licences.report(docs)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_licence_rule_fires_on_its_wrapped_notice(spark):
+    s = licences.SENTENCES
+    for i, (name, rule) in enumerate(licences.RULES):
+        notice = "\n\n".join(textwrap.fill(s[k], 60) for k in rule)
+        whole = f"Some Heading\n\nCopyright (c) 2020 X\n\n{notice}\n\nTHE SOFTWARE IS PROVIDED AS IS.\n"
+        lines = "Some Heading\n" + "\n".join(s[k] for k in rule)
+        got = licences.report(brute.frame(spark, [whole, lines])).collect()
+        assert all(name in r.licenses.split(",") for r in got), (i, name)
+        assert {r.sentence_ids for r in got if r.doc_id == 1} == {",".join(map(str, rule))}
+    # half a sentence, or its pieces with something between them, is no sentence
+    half = s[19].split(": ")
+    got = licences.report(brute.frame(spark, [half[0] + ":", half[0] + ": no. " + half[1], "2.0."])).collect()
+    assert [(r.n_sentences, r.licenses) for r in got] == [(0, "")] * 3
