@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ledgerline.plans.materialize import new_location, write_table
 
@@ -51,10 +53,15 @@ def _shipped(application_id: str, add_file: Callable[[str], None]) -> None:
     add_file(archive)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once an application."""
+    sc = spark.sparkContext
+    _shipped(sc.applicationId, sc.addPyFile)
+
+
 def arrow_map(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``df.mapInArrow``, after this package's code was sent to the executors (once an application)."""
-    sc = df.sparkSession.sparkContext
-    _shipped(sc.applicationId, sc.addPyFile)
+    ship(df.sparkSession)
 
     def run(batches):
         yield from fn(batches)
@@ -63,6 +70,19 @@ def arrow_map(df: DataFrame, fn: Callable, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def arrow_pairs(one: DataFrame, two: DataFrame, keys: list[str], fn: Callable, schema: str) -> DataFrame:
+    """``fn(rows of one, rows of two)`` for every value of ``keys`` that occurs in both tables, as Arrow tables."""
+    ship(one.sparkSession)
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not len(a) or not len(b):
+            return empty
+        return fn(a, b)
+
+    empty = to_arrow_schema(StructType.fromDDL(schema)).empty_table()
+    return one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInArrow(run, schema)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: later steps reread it instead of recomputing."""
     return write_table(df, new_location(df.sparkSession, name))

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (byte_bpe, cover_tree, decontaminate, licences, lm_score, minhash, shards, suffix_dedup,
-                            token_files, toxicity)
+from ledgerline.llm import (byte_bpe, cover_tree, decontaminate, hard_negatives, inner_products, licences, lm_score, minhash,
+                            shards, suffix_dedup, token_files, toxicity, whitening)
 from ledgerline.llm.common import table, texts
 
 #: Production parameters.
@@ -64,11 +64,25 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.report(table(spark, sf_dir, "documents"))
 
 
+def op11_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inner_products.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, hard_negatives.shifted_label())
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_suffix_array, op2_byte_bpe, op3_decontaminate, op4_cover_tree, op5_toxicity, op6_minhash, op7_hash_tree,
-        op8_cross_entropy, op9_token_files, op10_licences)}
+        op8_cross_entropy, op9_token_files, op10_licences, op11_top_products, op12_hard_negatives, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_cross_entropy": lm_score.score_sql(), "op10_licences": licences.report_sql()}
+    return {"op8_cross_entropy": lm_score.score_sql(), "op10_licences": licences.report_sql(),
+            "op11_top_products": inner_products.top_products_sql(), "op12_hard_negatives": hard_negatives.mine_sql()}
