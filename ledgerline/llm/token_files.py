@@ -49,9 +49,7 @@ def local_folder(location: str) -> str:
 @functools.lru_cache(maxsize=4)
 def tokenizer(path: str) -> Tokenizer:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task a core
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
-    return t
+    return Tokenizer.from_file(path)
 
 
 def _ids_of(t: Tokenizer, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +115,8 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, location: str,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode every whole text, append ``end_id`` to each, write the files; the manifest with bases.
 
-    Null texts count as empty (only the end id). Documents are ordered by id, then
+    Texts are encoded as the library does without being asked for more: no token is added, and a special token's
+    own string in a text is that token. Null texts count as empty (only the end id). Documents are ordered by id, then
     text; null ids come first; repeated rows are written as often as they occur. An
     empty table gives an empty manifest and no file.
     """

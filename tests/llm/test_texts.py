@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(__file__))
 
@@ -59,8 +60,13 @@ def test_byte_bpe(docs, texts, empty):
     assert byte_bpe.digests(empty, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
-def test_token_files(spark, docs, texts, empty):
-    t = token_files.tokenizer(registry.WORD_TOKENIZER)
+def test_token_files(spark, texts, empty):
+    t = Tokenizer.from_file(registry.WORD_TOKENIZER)
+    special = ["<|endoftext|>", "a <|startoftext|>b<|endoftext|> c<|endoftext|><|endoftext|>", "<|ENDOFTEXT|> x", "<|endof text|>",
+               " <|startoftext|> \n", "e\u0301t\u00e9 <|endoftext|>\u0301 end", "word " * 60_000]
+    texts = [*texts, *special]
+    assert t.encode(special[0], add_special_tokens=False).ids == [t.token_to_id("<|endoftext|>")]
+    docs = brute.frame(spark, texts)
     got = {r.doc_id: r for r in token_files.roundtrip(spark, docs, registry.WORD_TOKENIZER).collect()}
     start = 0
     for i, text in enumerate(texts):
@@ -68,9 +74,13 @@ def test_token_files(spark, docs, texts, empty):
         assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
     assert token_files.roundtrip(spark, empty, registry.WORD_TOKENIZER).count() == 0
-    null = brute.frame(spark, ["b", "a b", None], [None, 5, None])
-    rows = sorted((r.start, r.n_tokens, r.doc_id) for r in token_files.roundtrip(spark, null, registry.WORD_TOKENIZER).collect())
-    assert [r[2] for r in rows] == [None, None, 5]
+    # null ids come first, and rows that repeat id and text are written as often as they occur
+    null = brute.frame(spark, ["b", "a b", None, "a b", "a b", "a b", ""], [None, 5, None, 5, 5, 4, -1])
+    rows = sorted((r.start, r.n_tokens, r.doc_id, r.ids_crc32) for r in token_files.roundtrip(spark, null, registry.WORD_TOKENIZER).collect())
+    assert [r[2] for r in rows] == [None, None, -1, 4, 5, 5, 5]
+    crc = {text: zlib.crc32(np.array(t.encode(text, add_special_tokens=False).ids + [2], "<u4").tobytes()) for text in ("", "b", "a b")}
+    assert [r[3] for r in rows[2:]] == [crc[""]] + [crc["a b"]] * 4 and {r[3] for r in rows[:2]} == {crc[""], crc["b"]}
+    assert [r[0] for r in rows[1:]] == np.cumsum([r[1] for r in rows])[:-1].tolist()
     with pytest.raises(ValueError):
         token_files.local_folder("hdfs://host/folder")
 
