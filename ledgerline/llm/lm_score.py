@@ -1,18 +1,25 @@
 """Cross-entropy difference: how much better a target model predicts a document than a background model.
 
-Both models are bigram models over one shared vocabulary, all words of all documents. The target
-model counts the target documents, the background model all documents. Both are smoothed alike:
+Both models are bigram models over one shared vocabulary, all words of all documents. The target model counts the target
+documents, the background model all others; neither counts the document that it scores. They are matched in size:
+the counts of the larger one are scaled down to as many words as the smaller one has, so that both weigh alike
+against the same smoothing. With c the scaled counts,
 
     P(w | h) = (c(h, w) + K p(w)) / (c(h) + K),   p(w) = (c(w) + 1) / (N + V - 1)
 
-V counts the words, the start of a text and one unknown word. A document's score is the mean over
-its words of -log P_target + log P_background: the lower, the more it is like the target.
+V counts the words, the start of a text and one unknown word, N the words of the model's documents. A document's score is
+the mean over its words of -log P_target + log P_background: the lower, the more it is like the target.
 
-The counts grow with the corpus and are gathered nowhere. Documents are dealt into blocks by their
-ids; a block sends its distinct keys (words and bigrams, as 64-bit hashes) with their counts to
-buckets by ranges of the key; c(h) is how often h occurs less how often it ends a text. A bucket adds them up and answers every block with the counts
-of the keys it sent, in the order it sent them, and with its share of N and V. A hot word is
-one key a block. Blocks and buckets are bounded; their number grows with the text.
+The counts grow with the corpus and are gathered nowhere. Documents are dealt into blocks; a block sends its distinct
+keys (words and bigrams, as 64-bit hashes) with their counts up a tree: every node of the tree adds up what some ``FAN``
+nodes below it send for its range of keys, and cuts the sums into as many smaller ranges. At the top a node has a
+narrow range of all blocks, which is what the sums need, and the answers go back the same way, each in the order of the keys
+that were sent. A block so exchanges messages with ``FAN`` nodes a level and not with every other block: messages grow
+with the text, and up to ``FAN`` blocks one level is enough. c(h) is how often h occurs less how often it ends
+a text. A hot word is one key a block.
+
+Blocks are dealt by document id, so that target ids meet their documents. Rows without an id, and ids that more than
+``HOT`` rows repeat, are dealt by id and text instead, after equal rows were made one with their number.
 """
 
 from __future__ import annotations
@@ -22,48 +29,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import _shipped, arrow_map, flat, slices, texts
-from ledgerline.llm.words import _LOWER, mix, span_hashes, word_spans
+from ledgerline.llm.common import arrow_pairs, flat, ship, slices, stored, texts
+from ledgerline.llm.words import mix, span_hashes, word_spans
 
-#: Size of the shared vocabulary of :func:`score_sql`, with the start of a text (0) and the unknown word (1).
-VOCABULARY = 1024
 #: Weight of the word frequencies against the bigram counts.
 K = 10.0
-#: Bytes of text a block has on average.
-BLOCK = 8 << 20
+#: Bytes of text a block has on average, nodes that a node exchanges messages with a level at most, rows of a usual id.
+BLOCK, FAN, HOT = 8 << 20, 256, 1000
 _SLICE = 4 << 20
-_START, _UNKNOWN, _STEP = (np.uint64(x) for x in (0x8CB92BA72F3D8DD6, 0xABC98388FB8FAC03, 0xD6E8FEB86659FD93))
-
-
-def frequent_words(docs: DataFrame, size: int = VOCABULARY) -> list[bytes]:
-    """The ``size`` - 2 most frequent words of all texts, ties in byte order; id 2 is the first."""
-
-    def run(batches):
-        for batch in batches:
-            data, offsets = flat(batch.column(1))
-            for i, j in slices(offsets, _SLICE):
-                own = data[offsets[i]:offsets[j]]
-                starts, ends, _ = word_spans(own, offsets[i:j + 1] - offsets[i])
-                _, first, counts = np.unique(span_hashes(own, starts), return_index=True, return_counts=True)
-                lowered = own.tobytes().translate(_LOWER)
-                words = [lowered[a:b] for a, b in zip(starts[first], ends[first])]
-                yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.binary()), "n": pa.array(counts, pa.int64())})
+_START, _STEP = (np.uint64(x) for x in (0x8CB92BA72F3D8DD6, 0xD6E8FEB86659FD93))
 
-    counts = arrow_map(docs, run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(size - 2).collect()]
 
-
-def _keys(data: np.ndarray, offsets: np.ndarray, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+def _keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all words, of all words with the word before and of the start of every text with words; and each
     text's first word (n + 1 values).
 
-    Keys of words are odd, all others even. Words outside ``known`` (sorted hashes; None: all are known) are one.
+    Keys of words are odd, all others even.
     """
     starts, _, firsts = word_spans(data, offsets)
     words = span_hashes(data, starts)
-    if known is not None and len(words):
-        at = np.minimum(np.searchsorted(known, words), max(0, len(known) - 1))
-        words = np.where(known[at] == words, words, _UNKNOWN) if len(known) else np.full(len(words), _UNKNOWN)
     begin = firsts[:-1][np.diff(firsts) > 0]
     before = np.empty_like(words)
     before[1:] = words[:-1]
@@ -105,164 +89,262 @@ def _from_gaps(raw: bytes, n: int) -> np.ndarray:
     return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
 
 
-#: Counts of a key: in all documents and in target documents, and for a word how often it ends one.
-_COUNTS = ("n", "t", "n_last", "t_last")
+#: Counts of a key: in background and target documents, and for a word how often it ends one.
+_COUNTS = ("b", "t", "b_last", "t_last")
+_MESSAGE = "up long, span long, child long, size long, keys binary, " + ", ".join(f"{c} binary" for c in _COUNTS)
+_ANSWER = "up long, span long, part long, size long, totals array<long>, " + ", ".join(f"{c} binary" for c in _COUNTS)
+_DOCS = "block long, doc_id long, text binary, copies long, hot_target boolean"
 
 
-def _pieces(table: pa.Table):
-    """(ids, bytes, offsets) of bounded runs of rows of a block."""
-    ids, column = table["doc_id"].combine_chunks(), table["text"].combine_chunks()
+def _pieces(table: pa.Table, targets: np.ndarray):
+    """(rows, bytes, offsets, is a target) of bounded runs of rows of a block."""
+    table = table.combine_chunks()
+    ids, column = table["doc_id"].chunk(0), table["text"].chunk(0)
+    hot = table["hot_target"].chunk(0).fill_null(False).to_numpy(zero_copy_only=False)
+    target = hot | (ids.is_valid().to_numpy(zero_copy_only=False) & np.isin(ids.fill_null(0).to_numpy(), targets))
     data, offsets = flat(column)
     for i, j in slices(offsets, _SLICE):
-        yield ids.slice(i, j - i), data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
+        yield table.slice(i, j - i), data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], target[i:j]
+
+
+def _cut(distinct: np.ndarray, sums: list[np.ndarray], node: int, span: int, fan: int, spans: int) -> pa.Table:
+    """A node's sums as messages to the nodes above, one for each of ``fan`` parts of its range.
+
+    ``spans`` ranges of equal width make up all keys on the level above.
+    """
+    own = [span * fan + k for k in range(fan)]
+    cuts = [0, *np.searchsorted(distinct, np.array([(k << 64) // spans for k in own[1:]], np.uint64)).tolist(), len(distinct)]
+    parts = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:])]
+    return pa.table({"up": pa.array([node // fan] * fan, pa.int64()), "span": pa.array(own, pa.int64()),
+                     "child": pa.array([node] * fan, pa.int64()),
+                     "size": pa.array([x.stop - x.start for x in parts], pa.int64()),
+                     "keys": pa.array([_gaps(distinct[x]) for x in parts], pa.binary()),
+                     **{c: pa.array([_packed(v[x]) for x in parts], pa.binary()) for c, v in zip(_COUNTS, sums)}})
 
 
-def _sender(known, buckets: int):
-    """A block's distinct keys and their counts, one row a bucket."""
-    borders = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
+def _sender(fan: int):
+    """A block's distinct keys and their counts, as messages to the first level."""
 
     def send(docs: pa.Table, wanted: pa.Table) -> pa.Table:
         targets = wanted["doc_id"].combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64)
         keys, counts = [np.zeros(0, np.uint64)], [np.zeros((4, 0))]
-        for ids, data, offsets in _pieces(docs):
-            own, firsts = _keys(data, offsets, known.value)
-            has = ids.is_valid().to_numpy(zero_copy_only=False) & np.isin(ids.fill_null(0).to_numpy(), targets)
-            distinct, at, n = np.unique(own, return_inverse=True, return_counts=True)
-            full, size = np.diff(firsts) > 0, len(distinct)
-            each, last = np.repeat(has, np.diff(firsts)), at[firsts[1:][full] - 1]
+        for rows, data, offsets, target in _pieces(docs, targets) if len(docs) else ():
+            own, firsts = _keys(data, offsets)
+            distinct, at = np.unique(own, return_inverse=True)
+            n, copies = np.diff(firsts), rows["copies"].to_numpy().astype(float)
+            full, size = n > 0, len(distinct)
+            last, in_t, in_b = at[firsts[1:][full] - 1], copies * target, copies * ~target
             keys.append(distinct)
-            counts.append(np.stack([n, np.bincount(at, np.concatenate([each, each, has[full]]), size),
-                                    np.bincount(last, minlength=size), np.bincount(last, has[full], size)]))
+            of = [np.concatenate([np.repeat(x, n), np.repeat(x, n), x[full]]) for x in (in_b, in_t)]
+            counts.append(np.stack([*(np.bincount(at, x, size) for x in of),
+                                    *(np.bincount(last, x[full], size) for x in (in_b, in_t))]))
         distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
         sums = [np.bincount(at, c, len(distinct)).astype(np.int64) for c in np.concatenate(counts, 1)]
-        cuts = [0, *np.searchsorted(distinct, borders).tolist(), len(distinct)]
-        spans = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:])] if len(docs) else []
-        block = docs["block"][0].as_py() if len(docs) else 0
-        return pa.table({"bucket": pa.array(range(len(spans)), pa.int64()),
-                         "block": pa.array([block] * len(spans), pa.int64()),
-                         "size": pa.array([x.stop - x.start for x in spans], pa.int64()),
-                         "keys": pa.array([_gaps(distinct[x]) for x in spans], pa.binary()),
-                         **{c: pa.array([_packed(v[x]) for x in spans], pa.binary()) for c, v in zip(_COUNTS, sums)}})
+        return _cut(distinct, sums, docs["block"][0].as_py() if len(docs) else 0, 0, fan, fan).slice(0, fan if len(docs) else 0)
 
     return send
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """The sums of every key that was sent to a bucket, for each block in its order, and the bucket's totals."""
-    sizes = table["size"].to_pylist()
-    keys = np.concatenate([_from_gaps(raw, n) for raw, n in zip(table["keys"].to_pylist(), sizes)])
+def _gathered(messages: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, list[int]]:
+    """All distinct keys of some messages, their sums, the place of each key sent and the messages' sizes."""
+    sizes = messages["size"].to_pylist()
+    keys = np.concatenate([_from_gaps(raw, n) for raw, n in zip(messages["keys"].to_pylist(), sizes)])
     distinct, at = np.unique(keys, return_inverse=True)
-    sums = {c: np.bincount(at, np.concatenate(list(map(_unpacked, table[c].to_pylist(), sizes))), len(distinct)
-                           ).astype(np.int64) for c in _COUNTS}
-    word = distinct & np.uint64(1) == 1
-    totals = [int(word.sum()), int(sums["n"][word].sum()), int(sums["t"][word].sum())]
+    sums = [np.bincount(at, np.concatenate(list(map(_unpacked, messages[c].to_pylist(), sizes))), len(distinct)).astype(np.int64)
+            for c in _COUNTS]
+    return distinct, sums, at, sizes
+
+
+def _answers(messages: pa.Table, counts: list[np.ndarray], at: np.ndarray, sizes: list[int], totals: list[int],
+             fan: int) -> pa.Table:
+    """To every child that sent a message, the counts of its keys in the order in which they were sent."""
     own = np.split(at, np.cumsum(sizes)[:-1])
-    return pa.table({"bucket": table["bucket"], "block": table["block"], "size": table["size"],
+    span = messages["span"][0].as_py()
+    return pa.table({"up": messages["child"], "span": pa.array([span // fan] * len(own), pa.int64()),
+                     "part": pa.array([span % fan] * len(own), pa.int64()), "size": messages["size"],
                      "totals": pa.array([totals] * len(own), pa.list_(pa.int64())),
-                     **{c: pa.array([_packed(v[x]) for x in own], pa.binary()) for c, v in sums.items()}})
+                     **{c: pa.array([_packed(v[x]) for x in own], pa.binary()) for c, v in zip(_COUNTS, counts)}})
+
+
+def _merger(fan: int, spans: int):
+    """A node's sums, as messages to the next level."""
+
+    def merge(messages: pa.Table) -> pa.Table:
+        distinct, sums, _, _ = _gathered(messages)
+        return _cut(distinct, sums, messages["up"][0].as_py(), messages["span"][0].as_py(), fan, spans)
+
+    return merge
+
+
+def _top(fan: int):
+    """At the top a node's sums are those of all blocks."""
+
+    def answer(messages: pa.Table) -> pa.Table:
+        distinct, sums, at, sizes = _gathered(messages)
+        word = distinct & np.uint64(1) == 1
+        totals = [int(word.sum()), int(sums[0][word].sum()), int(sums[1][word].sum())]
+        return _answers(messages, sums, at, sizes, totals, fan)
+
+    return answer
+
+
+def _returned(answers: pa.Table) -> tuple[list[np.ndarray], list[int]]:
+    """The counts of a node's keys, from the parts of its range in order, and the totals of all parts."""
+    answers = answers.sort_by("part")
+    sizes = answers["size"].to_pylist()
+    counts = [np.concatenate([np.zeros(0, np.int64), *map(_unpacked, answers[c].to_pylist(), sizes)]) for c in _COUNTS]
+    return counts, np.array(answers["totals"].to_pylist(), np.int64).reshape(-1, 3).sum(0).tolist()
+
+
+def _passer(fan: int):
+    """Answers from above, handed on to the children."""
+
+    def hand_on(messages: pa.Table, answers: pa.Table) -> pa.Table:
+        _, _, at, sizes = _gathered(messages)
+        counts, totals = _returned(answers)
+        return _answers(messages, counts, at, sizes, totals, fan)
+
+    return hand_on
+
+
+def _times(owner: np.ndarray, what: np.ndarray) -> np.ndarray:
+    """For each token how often its document holds the same thing."""
+    code = owner * (int(what.max(initial=0)) + 1) + what
+    _, at, n = np.unique(code, return_inverse=True, return_counts=True)
+    return n[at]
 
 
-def _scorer(known, size: int | None):
-    """Losses of a block's documents from the answers of all buckets."""
+def _scorer():
+    """Losses of a block's documents from the answers of the first level."""
 
-    def losses(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        answers = answers.sort_by("bucket")
-        sizes = answers["size"].to_pylist()
-        counts = {c: np.concatenate([np.zeros(0, np.int64), *map(_unpacked, answers[c].to_pylist(), sizes)]) for c in _COUNTS}
-        words, all_, target = np.array(answers["totals"].to_pylist(), np.int64).reshape(-1, 3).sum(0).tolist()
-        v = size or words + 2
+    def losses(docs: pa.Table, both: pa.Table) -> pa.Table:
+        answers = both.filter(both["part"].is_valid())
+        targets = both["doc_id"].drop_null().to_numpy()
+        counts, (words, n_b, n_t) = _returned(answers)
+        counts = dict(zip(_COUNTS, counts))
+        even = float(min(n_b, n_t))
         # the same distinct keys in the same order as they were sent
-        parts = [(ids, *_keys(data, offsets, known.value)) for ids, data, offsets in _pieces(docs)]
-        distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(own) for _, own, _ in parts)]))
+        parts = [(rows, target, *_keys(data, offsets)) for rows, data, offsets, target in _pieces(docs, targets)]
+        distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(own) for *_, own, _ in parts)]))
         start = np.searchsorted(distinct, _START)
         out = []
-        for ids, own, firsts in parts:
+        for rows, target, own, firsts in parts:
             n = np.diff(firsts)
             full = np.flatnonzero(n)
             mine, at = np.unique(own, return_inverse=True)
             at = np.searchsorted(distinct, mine)[at]
             word, pair = at[:firsts[-1]], at[firsts[-1]:2 * firsts[-1]]
-            both = []
-            for seen, last, total in (("t", "t_last", target), ("n", "n_last", all_)):
+            owner = np.repeat(np.arange(len(n)), n)
+            own_word, own_pair = _times(owner, word), _times(owner, pair)
+            first, final = firsts[full], firsts[full + 1] - 1
+            # how often the document holds the word before with another one after it
+            last_word = np.empty(len(n), np.int64)
+            last_word[full] = word[final]
+            followed = own_word - (word == last_word[owner])
+            both_losses = []
+            for seen, last, total, inside in (("t", "t_last", n_t, target), ("b", "b_last", n_b, ~target)):
                 loss = np.zeros(len(n))
                 if len(full):
+                    mask = inside[owner]
+                    before = (counts[seen][word] - counts[last][word] - followed * mask)[:-1]
                     history = np.empty(len(word))
-                    history[1:] = (counts[seen][word] - counts[last][word])[:-1]
-                    history[firsts[full]] = counts[seen][start]
-                    single = (counts[seen][word] + 1) / (total + v - 1)
-                    logs = np.log((counts[seen][pair] + K * single) / (history + K))
-                    loss[full] = -np.add.reduceat(logs, firsts[full]) / n[full]
-                both.append(loss)
-            out.append(pa.table([ids, pa.array(n, pa.int64()), *map(pa.array, both), pa.array(both[0] - both[1])],
-                                names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"]))
-        if not out:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64()), **{
-                c: pa.array([], pa.float64()) for c in ("target_loss", "background_loss", "score")}})
+                    history[1:] = before
+                    history[first] = counts[seen][start] - inside[full]
+                    scale = even / total if even else 1.0
+                    single = (scale * (counts[seen][word] - own_word * mask) + 1) / (
+                        scale * (total - n[owner] * mask) + words + 1)
+                    logs = np.log((scale * (counts[seen][pair] - own_pair * mask) + K * single) / (scale * history + K))
+                    loss[full] = -np.add.reduceat(logs, first) / n[full]
+                both_losses.append(loss)
+            out.append(pa.table([rows["doc_id"], rows["copies"], pa.array(n, pa.int64()), *map(pa.array, both_losses),
+                                 pa.array(both_losses[0] - both_losses[1])],
+                                names=["doc_id", "copies", "n_tokens", "target_loss", "background_loss", "score"]))
         return pa.concat_tables(out)
 
     return losses
 
 
-def score(docs: DataFrame, target: DataFrame, size: int | None = None,
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def levels(blocks: int) -> tuple[int, int]:
+    """How many levels the tree over ``blocks`` blocks has, and how many nodes a node exchanges messages with a level."""
+    count = 1
+    while FAN ** count < blocks:
+        count += 1
+    fan = max(1, round(blocks ** (1 / count)))
+    return count, fan if fan ** count >= blocks else fan + 1
+
+
+def _dealt(docs: DataFrame, target: DataFrame, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """Documents and target ids by block."""
+    rows = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT)
+    hot = stored(rows.select("doc_id").join(target.withColumn("hot_target", F.lit(True)), "doc_id", "left")
+                 .withColumn("hot", F.lit(True)), "hot-ids")
+    marked = docs.join(hot, "doc_id", "left")
+    usual = marked.where("doc_id is not null and hot is null").select(
+        F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"), "doc_id", "text", F.lit(1).cast("long").alias("copies"),
+        F.lit(False).alias("hot_target"))
+    crowd = marked.where("doc_id is null or hot").groupBy("doc_id", "text", "hot_target").agg(F.count(F.lit(1)).alias("copies"))
+    crowd = crowd.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), "doc_id", "text", "copies",
+                         F.coalesce("hot_target", F.lit(False)).alias("hot_target"))
+    wanted = target.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"), "doc_id")
+    return usual.unionAll(crowd), wanted
+
+
+def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) of every row of ``docs``.
 
     ``target`` has an ``id_col`` column: rows of ``docs`` with one of these ids are the target documents
-    (null ids never are; repeated target ids count once, repeated documents as often as they occur).
-    Losses are means over the words in nats; a null text or one without words has 0 tokens, losses
-    and score 0. Without any target document the target model is uniform. Other columns are not read; an
-    empty table gives an empty result. With a ``size`` the vocabulary is only the ``size`` - 2 most frequent
-    words, and all others are the unknown word.
+    (null ids never are; repeated target ids count once, repeated documents as often as they occur, and a
+    document's copies count when it is scored). Losses are means over the words in nats; a null text or one without
+    words has 0 tokens, losses and score 0. A model without documents is uniform. Other columns are not read; an
+    empty table gives an empty result.
     """
     own = texts(docs, id_col, text_col)
-    sc = docs.sparkSession.sparkContext
-    _shipped(sc.applicationId, sc.addPyFile)
-    known = None
-    if size:
-        joined = np.frombuffer(b" ".join(frequent_words(own, size)), np.uint8)
-        known = np.sort(span_hashes(joined, word_spans(joined, np.array([0, len(joined)]))[0]))
-    known = sc.broadcast(known)
+    ship(docs.sparkSession)
     blocks = max(1, -(-(own.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK))
-    block = F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(blocks))
-    own = own.withColumn("block", block)
-    wanted = target.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id is not null").distinct() \
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
-    counts = ", ".join(f"{c} binary" for c in _COUNTS)
-    sent = own.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(
-        _sender(known, blocks), f"bucket long, block long, size long, keys binary, {counts}")
-    answers = sent.groupBy("bucket").applyInArrow(
-        _answer, f"bucket long, block long, size long, totals array<long>, {counts}")
-    return own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _scorer(known, size), "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
-
-
-def score_sql(size: int = VOCABULARY) -> str:
+    wanted = target.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    rows, wanted = _dealt(own, wanted, blocks)
+    count, fan = levels(blocks)
+    sent = [rows.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(_sender(fan), _MESSAGE)]
+    for level in range(1, count):
+        sent[-1] = stored(sent[-1], "messages")  # read again on the way back
+        sent.append(sent[-1].groupBy("up", "span").applyInArrow(_merger(fan, fan ** (level + 1)), _MESSAGE))
+    answers = sent.pop().groupBy("up", "span").applyInArrow(_top(fan), _ANSWER)
+    while sent:
+        answers = arrow_pairs(sent.pop(), answers, ["up", "span"], _passer(fan), _ANSWER)
+    both = answers.withColumn("block", F.col("up")).withColumn("doc_id", F.lit(None).cast("long")).unionByName(
+        wanted, allowMissingColumns=True)
+    scored = arrow_pairs(rows, both, ["block"], _scorer(), "doc_id long, copies long, n_tokens long, target_loss double,"
+                         " background_loss double, score double")
+    return scored.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copy", "copies")
+
+
+def score_sql() -> str:
     """DuckDB SQL for the scores of ``documents`` against those labelled quality 1, rounded to 6 digits."""
+    def log_p(m: str, own: str) -> str:
+        """log P of a token by model ``m``; ``own`` is 1 where the token's document is one of the model's."""
+        scale = f"(CASE WHEN least(n_t, n_b) > 0 THEN least(n_t, n_b)::DOUBLE / n_{m} ELSE 1 END)"
+        single = f"({scale} * (w_{m} - {own} * own_w) + 1) / ({scale} * (n_{m} - {own} * n) + v - 1)"
+        return (f"ln(({scale} * (p_{m} - {own} * own_p) + {K} * {single})"
+                f" / ({scale} * (h_{m} - {own} * own_h) + {K}))")
+    both = "count(*) FILTER (NOT tgt) AS {0}_b, count(*) FILTER (tgt) AS {0}_t"
     return f"""
 WITH src AS (SELECT row_number() OVER () AS rid, doc_id,
+                    coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL), false) AS tgt,
                     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                                                 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws
+                                                 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
              FROM documents),
-tok AS (SELECT rid, doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM src),
-vocab AS (SELECT w, row_number() OVER (ORDER BY n DESC, w) + 1 AS id
-          FROM (SELECT w, count(*) AS n FROM tok GROUP BY w) QUALIFY id <= {size - 1}),
-ids AS (SELECT rid, doc_id, i, coalesce(id, 1) AS id FROM tok LEFT JOIN vocab USING (w)),
-pairs AS (SELECT rid, doc_id, id, coalesce(lag(id) OVER (PARTITION BY rid ORDER BY i), 0) AS h FROM ids),
-wanted AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
-bg AS (SELECT 0 AS m, h, id, count(*) AS n FROM pairs GROUP BY h, id
-       UNION ALL SELECT 1, h, id, count(*) FROM pairs WHERE doc_id IN (SELECT doc_id FROM wanted) GROUP BY h, id),
-hist AS (SELECT m, h, sum(n) AS n FROM bg GROUP BY m, h),
-uni AS (SELECT m, id, sum(n) AS n FROM bg GROUP BY m, id),
-tot AS (SELECT m, sum(n) AS n FROM bg GROUP BY m UNION ALL
-        SELECT 1, 0 WHERE NOT EXISTS (SELECT 1 FROM bg WHERE m = 1)),
-cells AS (SELECT DISTINCT h, id FROM pairs),
-logp AS (SELECT tot.m, cells.h, cells.id,
-                ln((coalesce(bg.n, 0) + {K} * (coalesce(uni.n, 0) + 1) / (tot.n + {size} - 1))
-                   / (coalesce(hist.n, 0) + {K})) AS lp
-         FROM cells, tot LEFT JOIN bg ON bg.m = tot.m AND bg.h = cells.h AND bg.id = cells.id
-         LEFT JOIN uni ON uni.m = tot.m AND uni.id = cells.id LEFT JOIN hist ON hist.m = tot.m AND hist.h = cells.h),
-loss AS (SELECT rid, -avg(lp) FILTER (m = 1) AS t, -avg(lp) FILTER (m = 0) AS b
-         FROM pairs JOIN logp USING (h, id) GROUP BY rid)
+tok AS (SELECT rid, tgt, len(ws) AS n, unnest(ws) AS w, unnest(list_concat([' '], ws[:-2])) AS h
+        FROM src WHERE len(ws) > 0),
+pairs AS (SELECT h, w, {both.format("p")} FROM tok GROUP BY h, w),
+words AS (SELECT w, {both.format("w")} FROM tok GROUP BY w),
+hist AS (SELECT h, {both.format("h")} FROM tok GROUP BY h),
+tot AS (SELECT {both.format("n")}, count(DISTINCT w) + 2 AS v FROM tok),
+own_p AS (SELECT rid, h, w, count(*) AS own_p FROM tok GROUP BY rid, h, w),
+own_w AS (SELECT rid, w, count(*) AS own_w FROM tok GROUP BY rid, w),
+own_h AS (SELECT rid, h, count(*) AS own_h FROM tok GROUP BY rid, h),
+loss AS (SELECT rid, -avg({log_p("t", "tgt::INT")}) AS t, -avg({log_p("b", "(NOT tgt)::INT")}) AS b
+         FROM tok JOIN pairs USING (h, w) JOIN words USING (w) JOIN hist USING (h) JOIN own_p USING (rid, h, w)
+         JOIN own_w USING (rid, w) JOIN own_h USING (rid, h), (SELECT n_b, n_t, v FROM tot) GROUP BY rid)
 SELECT doc_id, len(ws)::BIGINT AS n_tokens, round(coalesce(t, 0), 6) + 0.0 AS target_loss,
        round(coalesce(b, 0), 6) + 0.0 AS background_loss, round(coalesce(t - b, 0), 6) + 0.0 AS score
 FROM src LEFT JOIN loss USING (rid)

@@ -165,40 +165,68 @@ def test_shards(spark, docs, texts, empty):
     assert all(after[i] < 12 for i in before if after[i] != before[i])
 
 
-def test_language_model_scores(spark, docs, texts, empty):
-    target = spark.createDataFrame([(0,), (5,), (5,), (None,)], "doc_id long")
+def by_sql(rows, good):
+    """Scores of (doc_id, text) rows by the registered SQL."""
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
-    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
-    con.execute("CREATE TABLE labels AS SELECT unnest([0, 5, 5])::BIGINT AS doc_id, 1 AS quality")
-    want = {r[0]: r[1:] for r in con.execute(lm_score.score_sql(40)).fetchall()}
-    got = {r.doc_id: (r.n_tokens, round(r.target_loss, 6), round(r.background_loss, 6), round(r.score, 6))
-           for r in lm_score.score(docs, target, 40).collect()}
-    assert got.keys() == want.keys()
-    assert all(np.allclose(got[i], want[i], atol=2e-6) for i in got)
-    assert lm_score.score(empty, target).count() == 0
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    con.execute("CREATE TABLE labels (doc_id BIGINT, quality INTEGER)")
+    con.executemany("INSERT INTO labels VALUES (?, ?)", [(i, 1) for i in good] + [(1, 0), (None, 0)])
+    return sorted(con.execute(lm_score.score_sql()).fetchall(), key=repr)
+
+
+def rounded(df):
+    return sorted(((r.doc_id, r.n_tokens, *(round(x, 6) + 0.0 for x in r[2:])) for r in df.collect()), key=repr)
+
+
+def same_scores(got, want):
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert all(np.allclose(a[2:], b[2:], atol=2e-6) for a, b in zip(got, want))
 
 
-def test_language_model_knows_every_word(spark, monkeypatch):
-    # two documents that differ only in a word beyond the 1,022 most frequent; the target holds one of the two words
-    monkeypatch.setattr(lm_score, "BLOCK", 4000)
+@pytest.mark.parametrize("block, fan", [(8 << 20, 256), (600, 256), (600, 3)])
+def test_language_model_scores(spark, texts, empty, monkeypatch, block, fan):
+    monkeypatch.setattr(lm_score, "BLOCK", block)
+    monkeypatch.setattr(lm_score, "FAN", fan)
+    monkeypatch.setattr(lm_score, "HOT", 3)
     monkeypatch.setattr(lm_score, "_SLICE", 1500)
-    usual = [" ".join(f"w{i:04d}" for i in range(k, k + 400)) for k in range(0, 1200, 400) for _ in range(3)]
-    own = [*usual, "w0001 rare w0002", "w0001 seldom w0002", "zz rare w0002", None, "", "w0001 rare w0002"]
-    ids = [*range(14), None]
-    docs = brute.frame(spark, own, ids)
-    target = spark.createDataFrame([(11,), (0,), (None,)], "doc_id long")
-    con = duckdb.connect()
-    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
-    con.executemany("INSERT INTO documents VALUES (?, ?)", list(zip(ids, own)))
-    con.execute("CREATE TABLE labels AS SELECT unnest([0, 11])::BIGINT AS doc_id, 1 AS quality")
-    whole = len({w for t in own if t for w in t.split()}) + 2  # a vocabulary that leaves no word out
-    want = {r[0]: r[1:] for r in con.execute(lm_score.score_sql(whole)).fetchall()}
-    rows = lm_score.score(docs, target).collect()
-    got = {r.doc_id: (r.n_tokens, r.target_loss, r.background_loss, r.score) for r in rows}
-    assert len(rows) == len(own) and got.keys() == want.keys()
-    assert all(np.allclose(got[i], want[i], atol=2e-6) for i in got)
-    assert got[9][3] < got[10][3] - 0.1
+    # ids that many rows repeat, with equal texts and others, targets or not; rows without an id
+    extra = [(900, t) for t in [texts[0], texts[0], texts[1], texts[2], None]] + [(901, texts[3])] * 6
+    extra += [(None, texts[0])] * 4 + [(None, None), (902, "only once said"), (903, "only once said"), (5, texts[7])]
+    rows = [*enumerate(texts), *extra]
+    docs = brute.frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    for good in ([0, 5, 5, 900, 12], []):
+        target = spark.createDataFrame([(i,) for i in [*good, None]], "doc_id long")
+        same_scores(rounded(lm_score.score(docs, target)), by_sql(rows, good))
+    assert lm_score.score(empty, target).count() == 0
+
+
+def test_language_model_leaves_the_document_out(spark):
+    """A text that occurs once does not know itself; one that occurs twice knows its copy."""
+    rows = [(i, " ".join(f"w{(7 * i + 13 * k) % 97}" for k in range(40))) for i in range(30)]
+    rows += [(100, "aa bb cc dd ee ff gg"), (101, "hh ii jj kk ll mm nn"), (102, "hh ii jj kk ll mm nn")]
+    docs = brute.frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    got = {r.doc_id: r for r in lm_score.score(docs, spark.range(15).toDF("doc_id")).collect()}
+    assert got[101].background_loss == got[102].background_loss < got[100].background_loss - 0.5
+
+
+def test_language_model_messages_follow_the_text(spark, monkeypatch):
+    """The number of messages a block is bounded by the fan and grows only with the depth of the tree."""
+    seen = {}
+    for blocks in (14, 1400):
+        monkeypatch.setattr(lm_score, "BLOCK", 64)
+        monkeypatch.setattr(lm_score, "FAN", 8)
+        text = " ".join(f"w{i % 11}" for i in range(4))
+        docs = spark.range(blocks * 64 // len(text)).selectExpr("id AS doc_id", f"'{text}' AS text")
+        counts = []
+        real = lm_score.stored
+        monkeypatch.setattr(lm_score, "stored", lambda df, name: (out := real(df, name), name == "messages" and counts.append(out.count()))[0])
+        lm_score.score(docs, docs.where("doc_id % 3 = 0")).count()
+        monkeypatch.setattr(lm_score, "stored", real)
+        n, fan = lm_score.levels(blocks)
+        assert fan <= 8 and fan ** n >= blocks and len(counts) == n - 1
+        seen[blocks] = max(counts) / blocks
+    assert max(seen.values()) <= 8 and seen[1400] <= 2 * seen[14]
 
 
 def test_licences(spark, empty):
