@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.common import as_double, by_keys, dim, m_count, m_sum, money, one
 from ledgerline.operators.warehouse import Tables
+from ledgerline.schema import ROUNDED_AMOUNT, UNPARSED_AMOUNT, UNPARSED_DATE
 
 c = F.col
 KEYS = ("date_key", "supplier_key", "expense_key", "entity_key")
@@ -62,23 +63,33 @@ def k5_load_totals(staging: DataFrame) -> DataFrame:
         F.count_if(c("is_refund")).alias("refund_rows"))
 
 
-def k6_load_quality(staging: DataFrame, raw_counts: DataFrame | None = None) -> DataFrame:
-    """Per source file: raw and clean rows, blank rows dropped, refunds, unparseable amounts
-    and dates, net spend. ``raw_counts`` holds (``_source_file``, ``raw_rows``) counted before
-    blank rows were dropped; without it every staged row counts as a raw row."""
-    g = staging.groupBy("_source_file").agg(
-        F.count(one()).alias("clean_rows"), F.count_if(c("is_refund")).alias("refunds"),
-        F.count_if(c("amount").isNull()).alias("null_amounts"),
-        F.count_if(c("payment_date").isNull()).alias("bad_dates"),
-        F.sum("amount").alias("net"))
+def k6_load_quality(staging: DataFrame, raw_counts: DataFrame | None = None, added: DataFrame | None = None) -> DataFrame:
+    """Per source file: raw and clean rows, blank rows dropped, refunds, missing, unparseable and rounded amounts,
+    missing and unparseable dates, columns added and net spend.
+
+    What cleaning did to the cells was noted during the load (``_flags``) and is only added up here. ``raw_counts`` holds
+    (``_source_file``, ``raw_rows``) counted before blank rows were dropped, also of files without any clean
+    row; without it every staged row counts as a raw row. ``added`` holds (``file``, ``columns_added``); without
+    it that column is left out.
+    """
+    def flagged(bit: int):
+        return F.count_if(c("_flags").bitwiseAND(bit) != 0)
+
+    counts = {"clean_rows": F.count(one()), "refunds": F.count_if(c("is_refund")),
+              "null_amounts": F.count_if(c("amount").isNull()), "unparsed_amounts": flagged(UNPARSED_AMOUNT),
+              "rounded_amounts": flagged(ROUNDED_AMOUNT), "bad_dates": F.count_if(c("payment_date").isNull()),
+              "unparsed_dates": flagged(UNPARSED_DATE)}
+    g = staging.groupBy("_source_file").agg(*[x.alias(n) for n, x in counts.items()], F.sum("amount").alias("net"))
     if raw_counts is not None:
-        g = raw_counts.join(g, "_source_file", "left").fillna(0, ["clean_rows", "refunds", "null_amounts",
-                                                                   "bad_dates"])
+        g = raw_counts.select("_source_file", "raw_rows").join(g, "_source_file", "left").fillna(0, list(counts))
     else:
         g = g.withColumn("raw_rows", c("clean_rows"))
+    extra = []
+    if added is not None:
+        g, extra = g.join(added.withColumnRenamed("file", "_source_file"), "_source_file", "left"), ["columns_added"]
     return g.select(c("_source_file").alias("file"), "raw_rows", "clean_rows",
-                    (c("raw_rows") - c("clean_rows")).alias("dropped"), "refunds", "null_amounts",
-                    "bad_dates", as_double(c("net")).alias("total_net_spend")).orderBy("file")
+                    (c("raw_rows") - c("clean_rows")).alias("dropped"), *list(counts)[1:], *extra,
+                    as_double(c("net")).alias("total_net_spend")).orderBy("file")
 
 
 def warnings(t: Tables) -> list[str]:

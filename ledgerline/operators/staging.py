@@ -7,10 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions import (fiscal_quarter, fiscal_year, month_name, normalize_supplier,
+from ledgerline.functions import (fiscal_quarter, fiscal_year, is_rounded, month_name, normalize_supplier,
                                   null_tokens, parse_amount, parse_uk_date, refund_flag, strip_ws,
                                   title_case)
-from ledgerline.schema import CANONICAL_COLS, CORE_COLS, ORDER_COLS, STAGING_COLS
+from ledgerline.schema import (CANONICAL_COLS, CORE_COLS, ORDER_COLS, ROUNDED_AMOUNT, STAGING_COLS, UNPARSED_AMOUNT,
+                               UNPARSED_DATE)
 
 
 def add_missing_columns(df: DataFrame) -> DataFrame:
@@ -37,7 +38,8 @@ def clean(raw: DataFrame) -> DataFrame:
 
     ``raw`` holds canonical text columns (any subset), ``_source_file`` and
     ``_row_idx``; null tokens must already be NULL and blank rows dropped.
-    ``_row_key`` is added when absent (unique per row within this plan).
+    ``_row_key`` is added when absent (unique per row within this plan). ``_flags`` tells what cleaning did to
+    the row's cells, for the load's counters.
     """
     df = add_missing_columns(raw)
     if "_row_key" not in df.columns:
@@ -46,7 +48,10 @@ def clean(raw: DataFrame) -> DataFrame:
         df = df.withColumn("_load_timestamp", F.current_timestamp())
     amount = parse_amount(F.col("amount"))
     pay = parse_uk_date(F.col("payment_date"))
-    df = df.withColumns({"amount": amount, "payment_date": pay})
+    flags = {UNPARSED_AMOUNT: F.col("amount").isNotNull() & amount.isNull(),
+             UNPARSED_DATE: F.col("payment_date").isNotNull() & pay.isNull(), ROUNDED_AMOUNT: is_rounded(F.col("amount"))}
+    df = df.withColumns({"amount": amount, "payment_date": pay,
+                         "_flags": sum((F.when(on, F.lit(bit)).otherwise(0) for bit, on in flags.items()), F.lit(0))})
     d = F.col("payment_date")
     df = df.withColumns({
         "payment_year": F.year(d),

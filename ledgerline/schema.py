@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
 # Header text (after strip + lower-case) -> canonical column name.
 COLUMN_MAP = {
     "department": "department",
@@ -39,5 +43,31 @@ STAGING_COLS = (
 )
 
 # Load-order columns carried next to the staging layout: position of the row
-# within its source file (after blank rows are dropped) and a unique row key.
-ORDER_COLS = ("_row_idx", "_row_key")
+# within its source file (after blank rows are dropped) and its key, unique and rising in load order;
+# and what cleaning did to its cells, a sum of the bits below.
+ORDER_COLS = ("_row_idx", "_row_key", "_flags")
+UNPARSED_AMOUNT, UNPARSED_DATE, ROUNDED_AMOUNT = 1, 2, 4
+
+
+def load_key(file_number: Column, position: Column, position_bits: int = 40) -> Column:
+    """One number that orders rows by file, then position, which takes the lower ``position_bits``."""
+    return F.shiftleft(file_number.cast("long"), position_bits) + position
+
+
+# The stored tables, their columns in order and their types.
+TABLE_SCHEMAS = {
+    "dim_date": ("date_key int, full_date date, day int, month int, month_name string, quarter_name string, year int,"
+                 " uk_fiscal_year string, uk_fiscal_quarter string, half_year string"),
+    "dim_supplier": ("supplier_key bigint, supplier_name_raw string, supplier_name_clean string, supplier_postcode string,"
+                     " supplier_type string"),
+    "dim_expense": "expense_key bigint, expense_type string, expense_area string, expenditure_type string",
+    "dim_entity": "entity_key bigint, department string, entity_name string, entity_group string, entity_subgroup string",
+    "fact_transactions": ("transaction_key bigint, row_id string, date_key int, supplier_key bigint, expense_key bigint,"
+                          " entity_key bigint, transaction_number string, amount decimal(28,2), is_refund int,"
+                          " description string, source_file string, load_timestamp timestamp, fiscal_start int"),
+}
+
+
+def table_schema(name: str) -> StructType:
+    """The declared schema of a stored table."""
+    return StructType.fromDDL(TABLE_SCHEMAS[name])

@@ -1,34 +1,47 @@
 """Write raw payment rows as CSV files in the original style (a sink, and a round-trip source).
 
-Rows are split into two header variants: one with all fourteen columns under
-upper-case headers padded with spaces, one without contract number and
-project code, in reverse order, under title-case headers. Every part file
-carries its header; text keeps its surrounding spaces; missing values are
-written as empty cells.
+Files come in two header variants: one with all fourteen columns under upper-case headers padded with spaces, one
+without contract number and project code, in reverse order, under title-case headers. Every file
+carries its header; text keeps its surrounding spaces; missing values are written as empty cells.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.schema import COLUMN_MAP
-from ledgerline.sources.monthly_csv import CSV_OPTIONS
 
-_WRITE_OPTIONS = {"header": "true", "encoding": CSV_OPTIONS["encoding"], "quote": '"', "escape": '"',
+# Writer options for the usual CSV quoting rules (doubled quotes inside quoted fields).
+_WRITE_OPTIONS = {"header": "true", "encoding": "ISO-8859-1", "quote": '"', "escape": '"',
                   "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def export_csv(raw: DataFrame, path: str, variant: F.Column | None = None) -> None:
+def _layouts(raw: DataFrame, short: Column) -> list[DataFrame]:
+    """The rows of either header variant under its headers; other columns stay beside them."""
+    headers = {canon: text for text, canon in COLUMN_MAP.items()}
+    full_cols = [c for c in COLUMN_MAP.values() if c in raw.columns]
+    short_cols = [c for c in reversed(full_cols) if c not in ("contract_number", "project_code")]
+    extra = [c for c in raw.columns if c.startswith("source")]
+    return [raw.where(~short).select(*[F.col(c).alias(f" {headers[c].upper()} ") for c in full_cols], *extra),
+            raw.where(short).select(*[F.col(c).alias(headers[c].title()) for c in short_cols], *extra)]
+
+
+def export_csv(raw: DataFrame, path: str, variant: Column | None = None) -> None:
     """Write ``raw`` (canonical text columns) as CSV files with original-style headers.
 
     ``variant`` (boolean Column) picks the rows written with the short header.
     """
-    headers = {canon: text for text, canon in COLUMN_MAP.items()}
-    short = variant if variant is not None else F.lit(False)
-    full_cols = [c for c in COLUMN_MAP.values() if c in raw.columns]
-    short_cols = [c for c in reversed(full_cols) if c not in ("contract_number", "project_code")]
-    full = raw.where(~short).select(*[F.col(c).alias(f" {headers[c].upper()} ") for c in full_cols])
-    part = raw.where(short).select(*[F.col(c).alias(headers[c].title()) for c in short_cols])
-    full.write.mode("overwrite").options(**_WRITE_OPTIONS).csv(path)
-    part.write.mode("append").options(**_WRITE_OPTIONS).csv(path)
+    for i, df in enumerate(_layouts(raw, variant if variant is not None else F.lit(False))):
+        df.write.mode("append" if i else "overwrite").options(**_WRITE_OPTIONS).csv(path)
+
+
+def export_months(raw: DataFrame, path: str, source: Column, short: Column, *order: str) -> None:
+    """Write ``raw`` as one CSV file for each value of ``source``, in a folder of its own, rows sorted by ``order``.
+
+    ``short`` (true or false for a whole file) picks the files with the short header. A value of ``source`` must not
+    hold more rows than a task can write.
+    """
+    rows = raw.withColumn("source", source).repartition("source").sortWithinPartitions("source", *order)
+    for i, df in enumerate(_layouts(rows, short)):
+        df.write.mode("append" if i else "overwrite").partitionBy("source").options(**_WRITE_OPTIONS).csv(path)

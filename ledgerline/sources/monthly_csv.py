@@ -1,159 +1,171 @@
 """Monthly payment CSV files -> raw rows -> staging.
 
-Files are latin-1 text with a header row; their headers vary (12-14 of the 14
-canonical columns, stray spaces, mixed case, blank header cells, different
-order). CSV binds columns by *position*, so files are grouped by their
-normalised header and each group is read with its own all-string schema;
-the groups are then unioned *by name*, which also adds missing canonical
-columns as NULL.
-
-Per file, rows whose core fields are all missing (blank and footer rows) are
-dropped, and every remaining row gets its 0-based position in the file,
-computed from per-split row counts (one row per split), so it stays exact
-whether a file is read whole (``multiLine``, needed for quoted newlines) or
-split across tasks.
+Files are latin-1 text with a header row; headers vary (12-14 of the 14 canonical columns, stray spaces, mixed
+case, blank header cells, different order). All files are cut into records together (:mod:`csv_records`), large ones by
+several tasks, quoted newlines included. The first record of each file is its header: one small table says for every
+file which field holds which canonical column, and every record picks its fields by it. The number of jobs does not
+depend on the number of files or of different headers.
+
+A file that cannot be read (nothing in it, or two headers that mean the same column) is set aside with a status, and
+the others are loaded. Rows whose core fields are all missing (blank and footer rows) are dropped; every remaining row
+gets its 0-based position in the file, from counts per run of rows (one number a run), and a load-order key: files in
+the order of their names, then positions.
 """
 
 from __future__ import annotations
 
 import posixpath
-from concurrent.futures import ThreadPoolExecutor
+import re
+from collections import Counter
 from dataclasses import dataclass
-from functools import reduce
+from urllib.parse import unquote, urlparse
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from ledgerline.functions.cleaning import strip_ws
-from ledgerline.operators.staging import apply_null_tokens, clean, drop_blank_rows
-from ledgerline.schema import CANONICAL_COLS, COLUMN_MAP
+from ledgerline.functions.cleaning import null_tokens, strip_ws
+from ledgerline.operators.staging import clean, drop_blank_rows
+from ledgerline.plans.materialize import new_location, write_table
+from ledgerline.schema import CANONICAL_COLS, COLUMN_MAP, load_key
+from ledgerline.sources.csv_records import file_id, joined_records, land, whole_records
 
-# Reader options that reproduce the usual CSV quoting rules
-# (doubled quotes inside quoted fields, newlines inside quotes).
-CSV_OPTIONS = {"header": "true", "encoding": "ISO-8859-1", "multiLine": "true", "quote": '"',
-               "escape": '"', "mode": "PERMISSIVE"}
+#: What the audit says of a file.
+OK, EMPTY, REPEATED = "ok", "empty", "repeated header"
+
+
+_PLACES = [f"at_{c}" for c in CANONICAL_COLS]
+#: Files that one load may have: their numbers take the upper bits of a load-order key.
+MOST_FILES = 1 << 23
 
 
 @dataclass(frozen=True)
 class Ingest:
-    raw: DataFrame          # canonical text columns, ``_source_file``, ``_row_idx``
-    raw_counts: DataFrame   # (``_source_file``, ``raw_rows``) before blank rows are dropped
+    raw: DataFrame          # canonical text columns, ``_source_file``, ``_row_idx``, ``_row_key``
+    raw_counts: DataFrame   # (``_source_file``, ``raw_rows``, ``blank_rows``) of the files that were loaded
     headers: DataFrame      # (``file``, ``ordinal``, ``column``, ``canonical``)
+    audit: DataFrame        # (``file``, ``path``, ``status``, ``columns``, ``columns_added``, ``detail``), one row a file
     files: list[str]
 
     def staging(self) -> DataFrame:
         return clean(self.raw)
 
 
-def list_csv_files(spark: SparkSession, src_dir: str) -> list[str]:
-    """``*.csv`` paths under ``src_dir`` (case-sensitive suffix), sorted by file name."""
-    return list(csv_file_sizes(spark, src_dir))
-
-
-def csv_file_sizes(spark: SparkSession, src_dir: str) -> dict[str, int]:
-    """``*.csv`` paths under ``src_dir`` with their sizes in bytes, sorted by file name.
-
-    Listed by a file-metadata scan: only paths and lengths are read, never contents.
-    """
-    rows = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-                 .load(src_dir).select("path", "length").collect())
-    ordered = sorted(rows, key=lambda r: (posixpath.basename(r.path), r.path))
-    return {r.path: r.length for r in ordered}
-
+def _scan(spark: SparkSession, src: str | list[str]) -> DataFrame:
+    return spark.read.option("pathGlobFilter", "*.csv").text(src)
 
-def normalise_header(cols: list[str]) -> list[str]:
-    """strip + lower-case, then canonical names; unknown headers are kept (dropped later)."""
-    out = [COLUMN_MAP.get(c.strip().lower(), c.strip().lower()) for c in cols]
-    dupes = sorted({c for c in out if out.count(c) > 1})
-    if dupes:
-        raise ValueError(f"headers collide after normalisation: {dupes}")
-    return out
 
+def labels(paths: list[str]) -> list[tuple[str, str, int]]:
+    """(path, label, number) in load order: by file name, then path. The label is the name, or where names
+    repeat the path below the folder that all files share."""
+    def parts(p: str) -> list[str]:
+        return unquote(urlparse(p).path).strip("/").split("/")
+    split = {p: parts(p) for p in paths}
+    many = {n for n, k in Counter(x[-1] for x in split.values()).items() if k > 1}
+    shared = len(posixpath.commonprefix([x[:-1] for x in split.values()])) if many else 0
+    ordered = sorted(paths, key=lambda p: (split[p][-1], p))
+    return [(p, "/".join(split[p][shared:]) if split[p][-1] in many else split[p][-1], i) for i, p in enumerate(ordered)]
 
-def _as_written(cols: list[str]) -> list[str]:
-    """Headers without the position that the reader appends to a repeated one, if it is a known header."""
-    bases = [c.removesuffix(str(i)) if c.endswith(str(i)) else c for i, c in enumerate(cols)]
-    known = [b.strip().lower() in COLUMN_MAP for b in bases]
-    return [b if k and b != c and bases.count(b) > 1 else c for b, c, k in zip(bases, cols, known)]
 
+def list_csv_files(df: DataFrame) -> list[str]:
+    """The files of a scan, empty ones included, as the scan's rows name them."""
+    return [re.sub(r"^([\w+.-]+):///", r"\1:/", p) for p in df.inputFiles()]
 
-def read_headers(spark: SparkSession, files: list[str], parallelism: int = 16) -> dict[str, list[str]]:
-    """Header row of every file (one small first-record read per file, run concurrently)."""
-    def header(path: str) -> list[str]:
-        return _as_written(spark.read.options(**CSV_OPTIONS).csv(path).columns)
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(files)))) as pool:
-        return dict(zip(files, pool.map(header, files)))
 
+def _normal(header: Column) -> Column:
+    """strip + lower-case."""
+    return F.lower(strip_ws(header))
 
-def _read_group(spark: SparkSession, files: list[str], names: list[str], multiline: bool) -> DataFrame:
-    schema = StructType([StructField(f"_col{i}", StringType()) for i in range(len(names))])
-    opts = {**CSV_OPTIONS, "multiLine": "true" if multiline else "false"}
-    df = spark.read.options(**opts).schema(schema).csv(files)
-    keep = [(f"_col{i}", n) for i, n in enumerate(names) if n in CANONICAL_COLS]
-    return df.select(*[F.col(p).alias(n) for p, n in keep],
-                     F.col("_metadata.file_name").alias("_source_file"), F.col("_metadata.file_path").alias("_path"),
-                     F.col("_metadata.file_block_start").alias("_block"))
 
+def _canonical(header: Column) -> Column:
+    """The canonical column that a header means, or null."""
+    known = F.create_map(*[F.lit(x) for pair in COLUMN_MAP.items() for x in pair])
+    return F.try_element_at(known, _normal(header))
 
-def read_monthly(spark: SparkSession, src_dir: str, multiline: bool = True) -> Ingest:
-    """Raw rows of every ``*.csv`` file under ``src_dir``.
 
-    ``multiline`` (default) honours newlines inside quoted fields, which makes
-    each file one task. Files known to have none can be read with
-    ``multiline=False``: large files are then split across tasks and row
-    positions stay exact.
-    """
-    sizes = csv_file_sizes(spark, src_dir)
-    if not sizes:
-        raise FileNotFoundError(f"no *.csv files under {src_dir}")
-    return read_files(spark, list(sizes), multiline)
+def _file_table(spark: SparkSession, files: list[str], header: DataFrame) -> DataFrame:
+    """One row a file: id, path, label, number, status, its header and where each canonical column is in it."""
+    named = spark.createDataFrame(labels(files), "path string, label string, number long").withColumn("file", file_id(F.col("path")))
+    own = header.select("file", F.col("fields").alias("header"),
+                        F.transform("fields", _canonical).alias("canon"),
+                        F.filter(F.transform("fields", _normal), lambda n: n != "").alias("names"))
+    repeated = F.array_sort(F.filter(F.array_distinct("names"), lambda n: F.size(
+        F.filter(F.col("names"), lambda m: m == n)) > 1))
+    places = [(F.array_position("canon", c) - 1).cast("int").alias(f"at_{c}") for c in CANONICAL_COLS]
+    out = named.join(own.select("file", "header", repeated.alias("repeated"), *places), "file", "left")
+    status = F.when(F.col("header").isNull(), EMPTY).when(F.size("repeated") > 0, REPEATED).otherwise(OK)
+    return out.withColumn("status", status).withColumn("layout", F.xxhash64(*_PLACES))
 
 
-def _row_positions(rows: DataFrame) -> DataFrame:
-    """0-based position of each row within its file, from ``_pos`` (ids increasing in file
-    order within a split) and ``_block`` (the split's start offset in the file).
-
-    Rows of one split are read in order by one task, so a row's position is the
-    number of rows in earlier splits of its file plus its id minus the split's
-    smallest id. Files are told by their whole path: names may repeat in other folders.
-    """
-    splits = rows.groupBy("_path", "_block").agg(F.min("_pos").alias("_pos0"),
-                                                       F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    return (rows.join(splits.drop("_n"), ["_path", "_block"])
-                .withColumn("_row_idx", F.col("_before") + F.col("_pos") - F.col("_pos0"))
-                .drop("_pos", "_pos0", "_before", "_block", "_path"))
+def read_monthly(spark: SparkSession, src_dir: str) -> Ingest:
+    """Raw rows of every ``*.csv`` file (case-sensitive suffix) under ``src_dir``, quoted newlines included."""
+    return _read(spark, src_dir, f"no *.csv files under {src_dir}")
 
 
-def read_files(spark: SparkSession, files: list[str], multiline: bool = True) -> Ingest:
+def read_files(spark: SparkSession, files: list[str]) -> Ingest:
     """Raw rows of the given CSV files (any order; load order is by file name)."""
-    files = sorted(files, key=lambda p: (posixpath.basename(p), p))
-    raw_headers = read_headers(spark, files)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        groups.setdefault(tuple(normalise_header(raw_headers[f])), []).append(f)
-
-    parts, counts = [], []
-    for names, group_files in groups.items():
-        df = apply_null_tokens(_read_group(spark, group_files, list(names), multiline))
-        counts.append(df.groupBy("_source_file").agg(F.count(F.lit(1)).alias("raw_rows")))
-        parts.append(drop_blank_rows(df).withColumn("_pos", F.monotonically_increasing_id()))
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    raw = _row_positions(rows)
-    raw_counts = reduce(lambda a, b: a.unionByName(b), counts)
-
-    header_rows = [(posixpath.basename(f), i, h, COLUMN_MAP.get(h.strip().lower()))
-                   for f in files for i, h in enumerate(raw_headers[f])]
-    headers = spark.createDataFrame(header_rows, "file string, ordinal int, column string, canonical string")
-    return Ingest(raw, raw_counts, headers, files)
+    return _read(spark, files, "no files")
+
+
+def _read(spark: SparkSession, src: str | list[str], nothing: str) -> Ingest:
+    scan = _scan(spark, src)
+    paths = list_csv_files(scan)
+    if not paths:
+        raise FileNotFoundError(nothing)
+    if len(paths) >= MOST_FILES:
+        raise ValueError(f"{len(paths)} files: load fewer than {MOST_FILES} at once")
+    landed = land(scan)
+    whole, joined = whole_records(landed), joined_records(landed)
+    first = (F.col("block") == 0) & (F.col("pos") == 0)
+    header = whole.where(first).unionByName(joined.where(first))
+    files = write_table(_file_table(spark, paths, header), new_location(spark, "csv-files"))
+    good = files.where(F.col("status") == OK)
+    # rows stay in file order: both sides that they are joined with are broadcast, three numbers a file of at most
+    # MOST_FILES, and the places of the columns once for every different header
+    of_file, layouts = good.select("file", "number", "layout"), good.select("layout", *_PLACES).distinct()
+
+    def rows(records: DataFrame) -> DataFrame:
+        """Records of good files with their canonical columns, missing values as null."""
+        field = {c: F.when(F.col(f"at_{c}") >= 0, F.get("fields", F.col(f"at_{c}"))) for c in CANONICAL_COLS}
+        return records.where(~first).join(F.broadcast(of_file), "file").join(F.broadcast(layouts), "layout").select(
+            "number", "block", "pos", *[null_tokens(x).alias(c) for c, x in field.items()])
+
+    def kept(records: DataFrame, place: Column) -> DataFrame:
+        """Rows that are not blank; ``place`` numbers them in order within a partition."""
+        return drop_blank_rows(rows(records)).withColumn("place", place).withColumn("run", F.shiftright("place", 33))
+
+    order = F.monotonically_increasing_id()
+    both = kept(whole, order).unionByName(kept(joined, F.lit(-1).cast("long")))
+    # rows of one split in one partition are a run of consecutive positions
+    runs = both.groupBy("number", "block", "run").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("place0"),
+                                                      F.min("pos").alias("pos0"))
+    earlier = Window.partitionBy("number").orderBy("block", "pos0").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    runs = write_table(runs.select("number", "block", "run", "place0", "before", "n"), new_location(spark, "csv-runs"))
+    position = F.col("before") + F.col("place") - F.col("place0")
+    names = good.select("number", F.col("label").alias("_source_file"))
+    raw = both.join(runs.drop("n"), ["number", "block", "run"]).withColumn("_row_idx", position).join(names, "number") \
+        .withColumn("_row_key", load_key(F.col("number"), F.col("_row_idx"))) \
+        .select(*CANONICAL_COLS, "_source_file", "_row_idx", "_row_key")
+
+    counted = whole.select("file", "block", "pos").unionByName(joined.select("file", "block", "pos")).where(~first) \
+        .groupBy("file").agg(F.count(F.lit(1)).alias("raw_rows"))
+    clean_rows = runs.groupBy("number").agg(F.sum("n").alias("clean_rows"))
+    raw_counts = good.select("file", "number", F.col("label").alias("_source_file")).join(counted, "file", "left") \
+        .join(clean_rows, "number", "left").fillna(0, ["raw_rows", "clean_rows"]).select(
+            "_source_file", "raw_rows", (F.col("raw_rows") - F.col("clean_rows")).alias("blank_rows"))
+
+    headers = files.select(F.col("label").alias("file"), F.posexplode("header").alias("ordinal", "column")).withColumn(
+        "canonical", _canonical(F.col("column")))
+    present = sum(((F.col(at) >= 0).cast("int") for at in _PLACES), F.lit(0))
+    audit = files.select(F.col("label").alias("file"), "path", "status", F.coalesce(F.size("header"), F.lit(0)).alias("columns"),
+                         F.when(F.col("status") == OK, F.lit(len(CANONICAL_COLS)) - present).alias("columns_added"),
+                         F.when(F.col("status") == REPEATED, F.array_join("repeated", ", ")).alias("detail"))
+    return Ingest(raw, raw_counts, headers, audit, [p for p, _, _ in labels(paths)])
 
 
 def header_audit(ingest: Ingest) -> DataFrame:
     """Distinct normalised header names over all files, with how many files carry each."""
-    norm = F.lower(strip_ws(F.col("column")))
-    return (ingest.headers.groupBy(norm.alias("column"))
+    return (ingest.headers.groupBy(_normal(F.col("column")).alias("column"))
                   .agg(F.count_distinct("file").alias("files")).orderBy("column"))
 
 
@@ -174,7 +186,5 @@ def write_staging(staging: DataFrame, path: str, replace_files_only: bool = True
 
 
 def columns_added(ingest: Ingest) -> DataFrame:
-    """Per file: canonical columns its header lacks (added as NULL by reconciliation)."""
-    present = (ingest.headers.where(F.col("canonical").isNotNull())
-                     .groupBy("file").agg(F.count_distinct("canonical").alias("present")))
-    return present.select("file", (F.lit(len(CANONICAL_COLS)) - F.col("present")).alias("columns_added"))
+    """Per loaded file: canonical columns its header lacks (added as NULL by reconciliation)."""
+    return ingest.audit.where(F.col("status") == OK).select("file", F.col("columns_added").cast("long").alias("columns_added"))

@@ -9,7 +9,8 @@ schema reconciliation) runs over every row at every scale.
 Mapping (fixed, mirrored by the SQL oracle in ``__spark_entry__``):
 
 * monthly source file      ``<month name>_<year>.csv`` of the ship date
-* row position in file     ``l_orderkey * 8 + l_linenumber``
+* row position in file     ``(l_orderkey * 8 + l_linenumber) * 64`` plus the number, from 0, among the line items
+                           that repeat both keys
 * department / entity      region name / nation name of the supplier
 * payment date             ship date as ``dd/MM/yyyy`` (``d/M/yyyy`` on line 3),
                            ``n/a`` when quantity is 13 and line status is O
@@ -34,11 +35,16 @@ Contract number and project code are absent, as in files that lack them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import calendar
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.staging import apply_null_tokens
-from ledgerline.plans.materialize import spread
+from ledgerline.schema import load_key
+
+#: Bits of a load-order key that hold the position: order keys go far beyond a file's rows.
+POSITION_BITS = 49
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -46,14 +52,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 
 def raw_payments(spark: SparkSession, sf_dir: str, null_markers: bool = False) -> DataFrame:
-    """Raw payment rows (text columns + ``_source_file`` + ``_row_idx``).
+    """Raw payment rows (text columns + ``_source_file`` + ``_row_idx`` + ``_row_key``).
 
     Missing-value markers (``NA``, ``n/a``) become NULL as a CSV reader would
     treat them, unless ``null_markers`` keeps them as text (for writing files).
     """
-    li = spread(_read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-               "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-               "l_linestatus", "l_shipdate"), "l_orderkey", "l_linenumber", "l_partkey")
+    keys, others = ("l_orderkey", "l_linenumber"), ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+                                                    "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    # line items that repeat both keys are told apart by their other columns
+    li = _read(spark, sf_dir, "lineitem", *keys, *others).withColumn(
+        "_copy", F.row_number().over(Window.partitionBy(*keys).orderBy(*others)) - 1)
     sup = _read(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     part = _read(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
     nation = _read(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
@@ -70,9 +78,10 @@ def raw_payments(spark: SparkSession, sf_dir: str, null_markers: bool = False) -
     refund = (F.col("l_returnflag") == "R") & (F.col("l_quantity") <= F.col("l_suppkey") % 20)
     price = F.format_number(F.col("l_extendedprice"), 2)
     col = F.col
+    position = (col("l_orderkey") * 8 + col("l_linenumber")) * 64 + col("_copy")
     out = x.select(
         _source_file(ship).alias("_source_file"),
-        (col("l_orderkey") * 8 + col("l_linenumber")).alias("_row_idx"),
+        position.alias("_row_idx"), load_key(_file_number(ship), position, POSITION_BITS).alias("_row_key"),
         col("r_name").alias("department"),
         col("n_name").alias("entity"),
         F.when((col("l_quantity") == 13) & (col("l_linestatus") == "O"), F.lit("n/a"))
@@ -100,6 +109,13 @@ def raw_payments(spark: SparkSession, sf_dir: str, null_markers: bool = False) -
         if null_markers else apply_null_tokens(out)
 
 
+def _file_number(ship):
+    """Numbers that order the source files by name: by the month's name, then the year (1900 to 2299)."""
+    names = [calendar.month_name[m] for m in range(1, 13)]
+    rank = F.array(*[F.lit(sorted(names).index(n)) for n in names])
+    return F.get(rank, F.month(ship) - 1) * 400 + F.year(ship) - 1900
+
+
 def _source_file(ship):
     return F.concat(F.lower(F.date_format(ship, "MMMM")), F.lit("_"), F.year(ship).cast("string"), F.lit(".csv"))
 

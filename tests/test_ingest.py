@@ -1,14 +1,20 @@
 """CSV ingest on hand-made monthly files (latin-1, ragged headers, quoting, footers)."""
 
+import csv
 import datetime as dt
+import io
 import os
+import random
 from decimal import Decimal
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from ledgerline.operators import checks
 from ledgerline.operators.warehouse import materialize_warehouse
-from ledgerline.sources.monthly_csv import columns_added, header_audit, normalise_header, read_monthly
+from ledgerline.sources.csv_records import ends_inside, parsed
+from ledgerline.sources.monthly_csv import columns_added, header_audit, read_files, read_monthly
 
 APRIL = (
     b' Department ,ENTITY,Date of Payment,Expense Type,Expense Area,Supplier,Transaction Number,'
@@ -43,18 +49,65 @@ def write_fixtures(d):
     return d
 
 
-def test_repeated_header_is_an_error():
-    from ledgerline.sources.monthly_csv import _as_written
-    read = _as_written(["Supplier", "Amount1", "Line2", "Amount3"])
-    assert read == ["Supplier", "Amount", "Line2", "Amount"]
-    with pytest.raises(ValueError):
-        normalise_header(read)
+def write(folder, **files):
+    for name, data in files.items():
+        path = os.path.join(folder, *name.split("__")) + ".csv"
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as f:
+            f.write(data)
 
 
-def test_normalise_header_collision():
-    import pytest
-    with pytest.raises(ValueError):
-        normalise_header(["Amount", " amount "])
+def test_bad_files_are_set_aside(spark, tmpdir_path):
+    write(tmpdir_path, good=AUGUST, nothing=b"", blank=b"\n \n\r\n", twice=b"Amount, amount ,Supplier\n1,2,x\n",
+          headers=b"Department,Supplier,Amount,Date of Payment\n")
+    ing = read_monthly(spark, tmpdir_path)
+    audit = {r.file: (r.status, r.columns, r.columns_added, r.detail) for r in ing.audit.collect()}
+    assert audit == {"good.csv": ("ok", 12, 2, None), "nothing.csv": ("empty", 0, None, None), "blank.csv": ("empty", 0, None, None),
+                     "twice.csv": ("repeated header", 3, None, "amount"), "headers.csv": ("ok", 4, 10, None)}
+    assert len(ing.files) == 5
+    assert [r.row_id for r in ing.staging().collect()] == ["good_0"]
+    counts = {r._source_file: (r.raw_rows, r.blank_rows) for r in ing.raw_counts.collect()}
+    assert counts == {"good.csv": (1, 0), "headers.csv": (0, 0)}
+    only_bad = os.path.join(tmpdir_path, "bad")
+    write(only_bad, twice=b"Amount,amount\n1,2\n")
+    assert read_monthly(spark, only_bad).staging().count() == 0
+    with pytest.raises(FileNotFoundError):
+        os.mkdir(os.path.join(tmpdir_path, "none"))
+        read_monthly(spark, os.path.join(tmpdir_path, "none"))
+
+
+def test_files_of_one_name_stay_apart(spark, tmpdir_path):
+    body = b"Department,Supplier,Amount,Date of Payment\nD,S,1,01/04/2015\nD,S,2,01/04/2015\n"
+    files = [os.path.join(tmpdir_path, d, "a_2015.csv") for d in ("north", "south")]
+    write(tmpdir_path, north__a_2015=body, south__a_2015=body)
+    ing = read_files(spark, files)
+    stg = ing.staging()
+    rows = sorted((r._source_file, r.row_id, r._row_idx) for r in stg.collect())
+    assert rows == [(f"{d}/a_2015.csv", f"{d}/a_2015_{i}", i) for d in ("north", "south") for i in (0, 1)]
+    quality = {r.file: (r.raw_rows, r.clean_rows) for r in checks.k6_load_quality(stg, ing.raw_counts).collect()}
+    assert quality == {f"{d}/a_2015.csv": (2, 2) for d in ("north", "south")}
+
+
+def test_the_number_of_jobs_does_not_follow_the_files(spark, tmpdir_path):
+    tracker, jobs = spark.sparkContext.statusTracker(), {}
+    for n in (2, 12):
+        folder = os.path.join(tmpdir_path, str(n))
+        write(folder, **{f"f{i}": b"Department,Supplier,Amount,Date of Payment%s\nD,S,%d,01/04/2015\n" % (b",Extra%d" % i, i)
+                         for i in range(n)})
+        spark.sparkContext.setJobGroup(f"files-{n}", "")
+        assert read_monthly(spark, folder).staging().count() == n
+        jobs[n] = len(tracker.getJobIdsForGroup(f"files-{n}"))
+    spark.sparkContext.setJobGroup("other", "")
+    assert jobs[2] == jobs[12]
+
+
+def test_counters_of_the_load(spark, tmpdir_path):
+    write(tmpdir_path, m=b"Department,Supplier,Amount,Date of Payment\nD,S,1.005,01/04/2015\n,,,\nD,S,0.00000000001,31/02/2015\n"
+          b"D,S,1.500,n/a\nD,S,\xa35,01/04/2015\nD,S,NA,01/04/2015\nD,S,12345e-3,01/04/2015\nD,S,100e-4,01/04/2015\n")
+    ing = read_monthly(spark, tmpdir_path)
+    r = checks.k6_load_quality(ing.staging(), ing.raw_counts, columns_added(ing)).first()
+    assert (r.raw_rows, r.clean_rows, r.dropped, r.columns_added) == (8, 7, 1, 10)
+    assert (r.null_amounts, r.unparsed_amounts, r.rounded_amounts, r.bad_dates, r.unparsed_dates) == (2, 1, 3, 2, 1)
 
 
 def test_ingest_fixtures(spark, tmpdir_path):
@@ -101,17 +154,85 @@ def test_csv_to_warehouse_keep_first(spark, tmpdir_path):
     assert ent == {"Growth - Regional": ("Growth", "Regional"), "Growth": ("Growth", None)}
 
 
+HEADER = b"Department,Supplier,Amount,Date of Payment,Description\n"
+
+
+def read_in_pieces(spark, folder, size):
+    """Rows of the folder's files, read in splits of about ``size`` bytes, and the number of splits."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        splits = spark.read.text(folder).rdd.getNumPartitions()
+        return read_monthly(spark, folder).raw.collect(), splits
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_quoted_newlines_across_splits(spark, tmpdir_path):
+    """Splits that start, end or lie inside quoted fields: every record and position as by one reader."""
+    r = random.Random(5)
+    long = '"' + "\n".join("one, two \"\"three" for _ in range(400)) + '"'
+    cells = ['"a\nb"', '"x, ""y"", z"', "plain", '5" pipe', '"two\r\nlines"', '""', long, '"end"s', "", '"\n"', '"a ""\n"" b"']
+    for name, ending in (("first", "\n"), ("second", "\r\n")):
+        body = []
+        for i in range(3000):
+            body.append(f"DEPT,S{i},{i},01/04/2015,{r.choice(cells)}")
+            if i % 97 == 0:
+                body.append(",,,,")
+            if i % 113 == 0:
+                body.append("")
+        write(tmpdir_path, **{name: (HEADER.decode() + ending.join(body) + (ending if name == "first" else "")).encode("latin-1")})
+    rows, splits = read_in_pieces(spark, tmpdir_path, 20_000)
+    assert splits > 8
+    for name in ("first", "second"):
+        text = open(os.path.join(tmpdir_path, f"{name}.csv"), newline="").read().replace("\r\n", "\n")
+        want = [x for x in csv.reader(io.StringIO(text, newline="")) if x and any(x[:4])][1:]
+        own = sorted((x for x in rows if x._source_file == f"{name}.csv"), key=lambda x: x._row_idx)
+        assert [x._row_idx for x in own] == list(range(3000))
+        assert [(x.supplier_name, x.amount, x.description) for x in own] == [(x[1], x[2], x[4] or None) for x in want]
+    # the same rows as Spark's own reader, which gives a file to one task
+    usual, folder = ['"a\nb"', '"x, ""y"", z"', "plain", long, ""], os.path.join(tmpdir_path, "usual")
+    body = [f"DEPT,S{i},{i},01/04/2015,{r.choice(usual)}" for i in range(2000)]
+    write(folder, a=HEADER + "\n".join(body[:1500]).encode(), b=HEADER + "\n".join(body[1500:]).encode())
+    rows, splits = read_in_pieces(spark, folder, 20_000)
+    own = spark.read.options(header=True, multiLine=True, escape='"', encoding="ISO-8859-1").csv(folder)
+    got = sorted((x.supplier_name, x.amount, x.description or "") for x in rows)
+    assert splits > 8 and got == sorted((x.Supplier, x.Amount, x.Description or "") for x in own.collect())
+
+
+def test_a_field_that_is_never_closed_ends_with_its_file(spark, tmpdir_path):
+    write(tmpdir_path, a=HEADER + b'D,S1,1,01/04/2015,x\nD,S2,2,01/04/2015,"open\nD,S3,3,01/04/2015,y\n' * 1, b=HEADER + b"D,T,4,01/04/2015,z")
+    for size in (1 << 20, 30):
+        rows, _ = read_in_pieces(spark, tmpdir_path, size)
+        assert sorted((x.supplier_name, x._row_idx) for x in rows) == [("S1", 0), ("S2", 1), ("T", 0)]
+
+
+@given(st.lists(st.sampled_from(['"', ",", "\n", "a", '""', '","', "b c"]), max_size=30))
+@settings(max_examples=400, deadline=None)
+def test_lines_end_inside_as_the_usual_reader_says(parts):
+    """A text is one record exactly if no line before its last leaves a quoted field open."""
+    text = "".join(parts)
+    inside, records, now = False, [], []
+    for line in text.split("\n"):
+        now.append(line)
+        inside = ends_inside(line, inside)
+        if not inside:
+            records.append("\n".join(now))
+            now = []
+    if now:
+        records.append("\n".join(now))
+    want = [x for x in csv.reader(io.StringIO(text, newline="")) if x]
+    assert [parsed(x) for x in records if x] == want
+
+
 def test_split_files_keep_exact_positions(spark, tmpdir_path):
-    """A file split across several tasks (no quoted newlines) keeps exact per-file positions."""
+    """A file split across several tasks keeps exact per-file positions."""
     header = b"Department,Supplier,Amount,Date of Payment\n"
     body = b"".join(b"DEPT,S%d,%d,01/04/2015\n" % (i, i) for i in range(30000))
     with open(os.path.join(tmpdir_path, "big_2015.csv"), "wb") as f:
         f.write(header + body)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
-    try:
-        ing = read_monthly(spark, tmpdir_path, multiline=False)
-        assert ing.raw.rdd.getNumPartitions() > 1
-        got = {r.supplier_name: r._row_idx for r in ing.raw.select("supplier_name", "_row_idx").collect()}
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert len(got) == 30000 and all(got[f"S{i}"] == i for i in range(30000))
+    rows, splits = read_in_pieces(spark, tmpdir_path, 65536)
+    got = {r.supplier_name: r._row_idx for r in rows}
+    assert splits > 4 and len(got) == 30000 and all(got[f"S{i}"] == i for i in range(30000))
+    assert len({r._row_key for r in rows}) == 30000

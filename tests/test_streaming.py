@@ -5,7 +5,7 @@ import shutil
 
 from test_ingest import APRIL, AUGUST, MAY
 
-from ledgerline.streaming.incremental import load_new_files, refresh_warehouse
+from ledgerline.streaming.incremental import in_load_order, load_new_files, refresh_warehouse
 
 
 def test_incremental_load(spark, tmpdir_path):
@@ -23,6 +23,7 @@ def test_incremental_load(spark, tmpdir_path):
     load_new_files(spark, landing, staging, ckpt)  # only the new file is loaded
     stg = spark.read.parquet(staging)
     assert stg.count() == 7
-    assert stg.select("_row_key").distinct().count() == 7
+    assert stg.select("_source_file", "_row_idx").distinct().count() == 7
+    assert stg.count() == in_load_order(stg).select("_row_key").distinct().count()
     t = refresh_warehouse(spark, staging)
     assert t.fact.count() == 7 and t.fact.where("supplier_key IS NULL").count() == 0
