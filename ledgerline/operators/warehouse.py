@@ -1,28 +1,30 @@
 """Star schema build: four dimensions and one fact from the staging rows.
 
-Dimensions are built with hash aggregates (partial aggregation absorbs hot
-keys before the shuffle). "Keep first" picks, per dimension grain, the row
-that comes first in load order: source file name, then row position, then
-the attribute values themselves (so ties are deterministic). The surrogate
-key of a dimension row is the unique row key of that first row: unique,
-stable for a given staging table, and obtained without a global sort.
-
-Fact rows resolve their keys with left joins; the supplier and expense joins
-are NULL-safe (NULL post code matches NULL post code), so no row is dropped
-and none fans out (each dimension is unique on its join key).
+"Keep first" picks, per dimension grain, the row that comes first in load order. The order is one number a row
+(``_row_key``: file, then position), so the first row of a grain value is a plain minimum in a hash aggregate, which
+combines map-side and needs no sort; the attributes are then looked up by that number.
+
+Surrogate keys are dense: members are numbered from 1 in the order in which they were first seen. The numbers
+come from sums per range of the order, never from one sorted task. A key map (grain to key) is stored beside the
+tables; a later load that is given it leaves every known member its key, members that have gone keep theirs in
+the map, and only new members are numbered, after the largest key.
+
+Fact rows resolve their keys with left joins; the supplier and expense joins are NULL-safe (NULL post code matches
+NULL post code), so no row is dropped and none fans out (each dimension is unique on its join key).
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import (date_key, fiscal_quarter, fiscal_year, half_year, month_name,
                                   quarter_name, split_group)
+from ledgerline.operators.ranking import before
 from ledgerline.plans.materialize import new_location, write_table
 
 
@@ -34,6 +36,8 @@ class Tables:
     dim_expense: DataFrame
     dim_entity: DataFrame
     staging: DataFrame | None = None
+    #: Key maps: by dimension, the key of every grain value that was ever loaded.
+    keys: dict[str, DataFrame] = field(default_factory=dict)
 
     def register(self, prefix: str = "") -> None:
         """Expose the five tables as temp views (``fact_transactions``, ``dim_*``)."""
@@ -42,12 +46,60 @@ class Tables:
             getattr(self, name).createOrReplaceTempView(f"{prefix}{name}")
 
 
-def _first_seen(stg: DataFrame, grain: list[str], attrs: list[str]) -> DataFrame:
-    """One row per ``grain`` value with the attributes of its first row in load order."""
-    first = F.min(F.struct("_source_file", "_row_idx", *attrs, "_row_key")).alias("_first")
-    agg = stg.groupBy(*grain).agg(first)
-    return agg.select(*grain, *[F.col(f"_first.{a}").alias(a) for a in attrs],
-                      F.col("_first._row_key").alias("_key"))
+@dataclass(frozen=True)
+class Grain:
+    """What a dimension has one row of, which rows it is built from and which attributes its first row gives."""
+
+    key: str
+    columns: tuple[str, ...]
+    attributes: tuple[str, ...]
+
+    def rows(self, stg: DataFrame) -> DataFrame:
+        """Staging rows with a member: suppliers need a name, the others any grain column."""
+        needed = self.columns[:1] if self.key == "supplier_key" else self.columns
+        return stg.where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in needed]))
+
+
+GRAINS = {
+    "dim_supplier": Grain("supplier_key", ("supplier_name", "supplier_postcode"), ("supplier_name_clean", "supplier_type")),
+    "dim_expense": Grain("expense_key", ("expense_type", "expense_area"), ("expenditure_type",)),
+    "dim_entity": Grain("entity_key", ("expense_area",), ("department",)),
+}
+
+
+def _same(one: DataFrame, two: DataFrame, columns: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a & b, [one[c].eqNullSafe(two[c]) for c in columns])
+
+
+def members(stg: DataFrame, grain: Grain) -> DataFrame:
+    """The grain's values with ``_first``, the load-order number of the first row that has it."""
+    return grain.rows(stg).groupBy(*grain.columns).agg(F.min("_row_key").alias("_first"))
+
+
+def number_members(found: DataFrame, grain: Grain, known: DataFrame | None = None) -> DataFrame:
+    """``found`` with keys: those of the key map ``known``, and new ones in first-seen order after its largest."""
+    if known is None:
+        return before(found, "_first").withColumn(grain.key, F.col("_before") + 1).drop("_before")
+    old = known.select(*grain.columns, F.col(grain.key))
+    largest = F.coalesce(known.agg(F.max(grain.key)).scalar(), F.lit(0))
+    new = before(found.join(old, _same(found, old, grain.columns), "left_anti"), "_first")
+    kept = found.join(old, _same(found, old, grain.columns)).select(*[found[c] for c in found.columns], old[grain.key])
+    return kept.unionByName(new.withColumn(grain.key, largest + F.col("_before") + 1).drop("_before"))
+
+
+def key_map(numbered: DataFrame, grain: Grain, known: DataFrame | None = None) -> DataFrame:
+    """Keys of all members of this load, and of earlier ones that it lacks."""
+    now = numbered.select(*grain.columns, grain.key)
+    if known is None:
+        return now
+    old = known.select(*grain.columns, grain.key)
+    return now.unionByName(old.join(now, _same(old, now, grain.columns), "left_anti"))
+
+
+def _with_attributes(stg: DataFrame, numbered: DataFrame, grain: Grain) -> DataFrame:
+    """Members with the attributes of their first row."""
+    first = grain.rows(stg).select(F.col("_row_key").alias("_first"), *[F.col(a) for a in grain.attributes])
+    return first.join(numbered, "_first").drop("_first")
 
 
 def build_dim_date(stg: DataFrame) -> DataFrame:
@@ -63,29 +115,17 @@ def build_dim_date(stg: DataFrame) -> DataFrame:
     )
 
 
-def build_dim_supplier(stg: DataFrame) -> DataFrame:
-    rows = stg.where(F.col("supplier_name").isNotNull())
-    first = _first_seen(rows, ["supplier_name", "supplier_postcode"],
-                        ["supplier_name_clean", "supplier_type"])
-    return first.select(F.col("_key").alias("supplier_key"),
-                        F.col("supplier_name").alias("supplier_name_raw"),
-                        "supplier_name_clean", "supplier_postcode", "supplier_type")
-
-
-def build_dim_expense(stg: DataFrame) -> DataFrame:
-    rows = stg.where(F.col("expense_type").isNotNull() | F.col("expense_area").isNotNull())
-    first = _first_seen(rows, ["expense_type", "expense_area"], ["expenditure_type"])
-    return first.select(F.col("_key").alias("expense_key"), "expense_type", "expense_area",
-                        "expenditure_type")
-
-
-def build_dim_entity(stg: DataFrame) -> DataFrame:
-    rows = stg.where(F.col("expense_area").isNotNull())
-    first = _first_seen(rows, ["expense_area"], ["department"])
+def build_dimension(name: str, stg: DataFrame, numbered: DataFrame) -> DataFrame:
+    """A dimension's columns from its numbered members."""
+    df = _with_attributes(stg, numbered, GRAINS[name])
+    if name == "dim_supplier":
+        return df.select("supplier_key", F.col("supplier_name").alias("supplier_name_raw"), "supplier_name_clean",
+                         "supplier_postcode", "supplier_type")
+    if name == "dim_expense":
+        return df.select("expense_key", "expense_type", "expense_area", "expenditure_type")
     group, subgroup = split_group(F.col("expense_area"))
-    return first.select(F.col("_key").alias("entity_key"), "department",
-                        F.col("expense_area").alias("entity_name"),
-                        group.alias("entity_group"), subgroup.alias("entity_subgroup"))
+    return df.select("entity_key", "department", F.col("expense_area").alias("entity_name"),
+                     group.alias("entity_group"), subgroup.alias("entity_subgroup"))
 
 
 def build_fact(stg: DataFrame, dim_supplier: DataFrame, dim_expense: DataFrame,
@@ -117,35 +157,71 @@ def build_fact(stg: DataFrame, dim_supplier: DataFrame, dim_expense: DataFrame,
     )
 
 
-def build_warehouse(stg: DataFrame) -> Tables:
+def build_warehouse(stg: DataFrame, keys: dict[str, DataFrame] | None = None) -> Tables:
     """Lazy star schema over a staging DataFrame that carries ``_row_key``.
 
     The staging input must be stable under recomputation (a stored table, or
     a small local relation); use :func:`materialize_warehouse` for real loads.
     """
-    dsup, dexp, dent = build_dim_supplier(stg), build_dim_expense(stg), build_dim_entity(stg)
-    return Tables(build_fact(stg, dsup, dexp, dent), build_dim_date(stg), dsup, dexp, dent, stg)
+    known = keys or {}
+    numbered = {n: number_members(members(stg, g), g, known.get(n)) for n, g in GRAINS.items()}
+    dims = {n: build_dimension(n, stg, x) for n, x in numbered.items()}
+    maps = {n: key_map(x, GRAINS[n], known.get(n)) for n, x in numbered.items()}
+    return Tables(build_fact(stg, *dims.values()), build_dim_date(stg), *dims.values(), stg, maps)
 
 
-def materialize_warehouse(spark: SparkSession, staging: DataFrame, location: str | None = None) -> Tables:
-    """Full refresh: write staging, then the dimensions, then the fact; read all back.
+def materialize_warehouse(spark: SparkSession, staging: DataFrame, location: str | None = None,
+                          keys: dict[str, DataFrame] | None = None) -> Tables:
+    """Full refresh: write staging, then keys and dimensions, then the fact; read all back.
 
-    The staging write fixes ``_row_key`` once, so dimension keys and fact keys
-    agree even if a task is retried later. Dimensions are read back before the
+    ``keys`` are the key maps of an earlier load (``Tables.keys``): members known there keep their keys. The staging
+    write fixes the rows once. Dimensions are read back before the
     fact is built, which gives the fact joins real (file-based) size estimates.
     """
-    base = location or new_location(spark, "warehouse")
+    base, known = location or new_location(spark, "warehouse"), keys or {}
     stg = write_table(staging, f"{base}/stg_transactions")
-    builders = {"dim_supplier": build_dim_supplier, "dim_expense": build_dim_expense,
-                "dim_entity": build_dim_entity, "dim_date": build_dim_date}
-    # the four dimension jobs are independent: submit them together so their
+
+    def dimension(name: str) -> tuple[DataFrame, DataFrame]:
+        grain = GRAINS[name]
+        found = write_table(members(stg, grain), f"{base}/members_{name}")
+        numbered = write_table(number_members(found, grain, known.get(name)), f"{base}/numbered_{name}")
+        own = numbered if name not in known else write_table(key_map(numbered, grain, known[name]), f"{base}/keys_{name}")
+        return write_table(build_dimension(name, stg, numbered), f"{base}/{name}"), own
+
+    # the dimensions are independent: submit them together so their
     # scans and aggregations share the cluster instead of running back to back
-    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-        futures = {n: pool.submit(write_table, b(stg), f"{base}/{n}") for n, b in builders.items()}
-        dims = {n: f.result() for n, f in futures.items()}
-    dsup, dexp, dent, ddate = (dims[n] for n in builders)
-    fact = write_table(build_fact(stg, dsup, dexp, dent), f"{base}/fact_transactions")
-    return Tables(fact, ddate, dsup, dexp, dent, stg)
+    with ThreadPoolExecutor(max_workers=len(GRAINS) + 1) as pool:
+        dates = pool.submit(write_table, build_dim_date(stg), f"{base}/dim_date")
+        futures = {n: pool.submit(dimension, n) for n in GRAINS}
+        built = {n: f.result() for n, f in futures.items()}
+        ddate = dates.result()
+    dims = [d for d, _ in built.values()]
+    fact = write_table(build_fact(stg, *dims), f"{base}/fact_transactions")
+    return Tables(fact, ddate, *dims, stg, {n: m for n, (_, m) in built.items()})
+
+
+def dense_keys(t: Tables) -> DataFrame:
+    """(dimension, name1, name2, member_key): the key of every member of every dimension."""
+    parts = [_named(name, t.keys[name], grain) for name, grain in GRAINS.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _named(name: str, keyed: DataFrame, grain: Grain, *others: str) -> DataFrame:
+    names = [F.col(c) for c in grain.columns] + [F.lit(None).cast("string")]
+    return keyed.select(F.lit(name).alias("dimension"), names[0].alias("name1"), names[1].alias("name2"), *others,
+                        F.col(grain.key).alias("member_key"))
+
+
+def keys_after_reload(t: Tables, before_file: str = "m") -> DataFrame:
+    """Keys when the files named before ``before_file`` were loaded first and all files after them, with the first load's
+    key maps: (dimension, name1, name2, is_new, member_key)."""
+    parts = []
+    for name, grain in GRAINS.items():
+        known = key_map(number_members(members(t.staging.where(F.col("_source_file") < before_file), grain), grain), grain)
+        numbered = number_members(members(t.staging, grain), grain, known)
+        largest = known.agg(F.max(grain.key)).scalar()
+        parts.append(_named(name, numbered.withColumn("is_new", F.col(grain.key) > F.coalesce(largest, F.lit(0))), grain, "is_new"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def fact_with_natural_keys(t: Tables) -> DataFrame:
