@@ -6,6 +6,8 @@ codegen and never raises under ANSI mode (``try_*`` forms everywhere).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,33 +19,26 @@ NA_TOKENS = (
     "n/a", "nan", "null",
 )
 
-# Day-first date layouts accepted for the payment date, each
-# with the text shape it applies to; a text is parsed only by the layout
-# whose shape it has (a failed parse is costly, so none is tried blindly).
-DATE_LAYOUTS = (
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
-    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
-    (r"^\d{1,2}-\d{1,2}-\d{2}$", "d-M-yy"),
-    (r"^\d{1,2}\.\d{1,2}\.\d{2}$", "d.M.yy"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
-    (r"^\d{8}$", "yyyyMMdd"),
-    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
-    (r"^\d{1,2}-[A-Za-z]{3}-\d{2}$", "d-MMM-yy"),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
-    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
-    (r"^\d{1,2}-[A-Za-z]{4,9}-\d{4}$", "d-MMMM-yyyy"),
-)
-DATETIME_LAYOUTS = (
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "d/M/yyyy H:mm"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "d/M/yyyy H:mm:ss"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}$", "yyyy-M-d H:mm"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy-M-d H:mm:ss"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}$", "yyyy-M-d'T'H:mm"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}:\d{2}$", "yyyy-M-d'T'H:mm:ss"),
-)
+# Day-first date layouts accepted for the payment date, most usual first.
+DATE_LAYOUTS = ("d/M/yyyy", "d/M/yy", "d-M-yyyy", "d.M.yyyy", "d-M-yy", "d.M.yy", "yyyy-M-d", "yyyy/M/d", "yyyyMMdd",
+                "d-MMM-yyyy", "d-MMM-yy", "d MMM yyyy", "d MMM yy", "d-MMMM-yyyy", "d-MMMM-yy", "d MMMM yyyy", "d MMMM yy")
+# A time after the date: hours and minutes, then maybe seconds, their decimals and the zero zone.
+_TIME = r"[ T](?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d{1,9})?)?Z?$"
+_DIGITS = "0123456789"
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+
+def shapes(layout: str) -> list[str]:
+    """The shapes that texts of a layout can have, digits as 9 and letters as a: day and month with one digit or
+    two, full month names with four letters to nine."""
+    widths = {"d": (1, 2), "M": (1, 2), "MM": (2,), "dd": (2,), "yy": (2,), "yyyy": (4,), "MMM": (3,), "MMMM": range(4, 10)}
+    out = [""]
+    for part in re.findall(r"d+|M+|y+|.", layout):
+        ends = [("a" if part in ("MMM", "MMMM") else "9") * n for n in widths[part]] if part in widths else [part]
+        out = [x + e for x in out for e in ends]
+    return out
+
+
 #: Money: exact sums of amounts up to 26 digits before the point.
 MONEY = "decimal(28,2)"
 #: Two-digit years up to this one lie in the 2000s, later ones in the 1900s.
@@ -79,10 +74,20 @@ def parse_amount(c: Column) -> Column:
 
 
 def is_rounded(c: Column) -> Column:
-    """Whether :func:`parse_amount` rounds the cell: its number has more than two decimals that count."""
+    """Whether :func:`parse_amount` rounds the cell: its number has more than two decimals that count.
+
+    Told from the digits themselves, so no number is too small or too large: decimals written, less the exponent,
+    less zeros at the end.
+    """
     s = _number_text(c)
-    exact = F.when(s.rlike(_NUMBER), s.try_cast("decimal(38,10)"))
-    return F.coalesce(exact != parse_amount(c), F.lit(False))
+    digits = F.regexp_replace(F.regexp_replace(s, "[eE].*$", ""), r"[^\d]", "")
+    written = F.length(F.regexp_extract(s, r"\.(\d*)", 1))
+    exponent = F.coalesce(F.regexp_extract(s, r"[eE]([+-]?\d+)$", 1).try_cast("int"), F.lit(0))
+    counting = F.rtrim(digits, F.lit("0"))
+    decimals = written - exponent - (F.length(digits) - F.length(counting))
+    # only numbers with a third decimal or an exponent need the closer look
+    return F.coalesce(F.when(s.rlike(r"\.\d{3}|[eE]") & parse_amount(c).isNotNull(), (counting != "") & (decimals > 2)),
+                      F.lit(False))
 
 
 def _number_text(c: Column) -> Column:
@@ -92,18 +97,20 @@ def _number_text(c: Column) -> Column:
 def parse_uk_date(c: Column) -> Column:
     """Day-first date text -> DATE; unparseable (``31/02/2015``, ``abc``) -> NULL.
 
-    A two-digit year lies between 1969 and 2068, whenever the file is loaded
-    (``1/4/95`` -> 1995, ``1/4/15`` -> 2015).
+    A time of day after the date is checked and dropped. The rest is reduced to its shape once, which
+    tells the only layout that it can have; that layout is parsed and no other. A two-digit year lies between 1969 and 2068,
+    whenever the file is loaded (``1/4/95`` -> 1995, ``1/4/15`` -> 2015).
     """
     s = strip_ws(c)
+    s = F.when(F.contains(s, F.lit(":")), F.when(s.rlike(_TIME), F.regexp_replace(s, _TIME, ""))).otherwise(s)
+    shape = F.translate(s, _DIGITS + _LETTERS, "9" * len(_DIGITS) + "a" * len(_LETTERS))
     out = None
-    for shape, fmt in DATE_LAYOUTS:
-        parsed = F.try_to_date(s, fmt)
-        if fmt.endswith("yy") and not fmt.endswith("yyyy"):
+    for layout in DATE_LAYOUTS:
+        parsed = F.try_to_date(s, layout)
+        if layout.endswith("yy") and not layout.endswith("yyyy"):
             parsed = _short_year(parsed)
-        out = F.when(s.rlike(shape), parsed) if out is None else out.when(s.rlike(shape), parsed)
-    for shape, fmt in DATETIME_LAYOUTS:
-        out = out.when(s.rlike(shape), F.to_date(F.try_to_timestamp(s, F.lit(fmt))))
+        fits = shape.isin(*shapes(layout))
+        out = F.when(fits, parsed) if out is None else out.when(fits, parsed)
     return out
 
 

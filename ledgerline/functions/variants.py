@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ledgerline.functions import calendar as cal
 from ledgerline.functions import cleaning as cl
 from ledgerline.operators.staging import drop_blank_rows
-from ledgerline.plans.materialize import spread
 from ledgerline.schema import CORE_COLS
 from ledgerline.sources.tables import raw_file_counts, raw_payments
 
@@ -22,7 +21,7 @@ c = F.col
 
 
 def _li(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*cols), "l_orderkey", "l_linenumber")
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*cols)
 
 
 def amount_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,12 +67,14 @@ def amount_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def date_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rarer layouts: ISO with T and time, slashes, eight digits, full month names, two-digit years."""
+    """The rarer layouts: ISO with T, seconds, decimals or zone, slashes, eight digits, month names, two-digit years, each
+    with and without a time of day; the last one has an hour that does not exist."""
     li = _li(spark, sf_dir, "l_orderkey", "l_linenumber", "l_shipdate")
     d = F.to_date("l_shipdate")
-    v = ((c("l_orderkey") + c("l_linenumber")) % 9).cast("int")
     layouts = ("yyyy-MM-dd'T'00:00:00", "yyyy-MM-dd'T'09:30", "yyyy-MM-dd 23:59", "yyyy/MM/dd", "yyyyMMdd",
-               "d-MMMM-yyyy", "d-M-yy", "d.M.yy", "d MMMM yyyy")
+               "d-MMMM-yyyy", "d-M-yy", "d.M.yy", "d MMMM yyyy", "dd-MM-yyyy 10:00", "dd/MM/yy 10:00",
+               "yyyy-MM-dd'T'09:30:00'Z'", "yyyy-MM-dd 09:30:00.000", "d MMMM yy", "d MMM yy 7:05", "d-MMM-yy", "dd/MM/yyyy 24:10")
+    v = ((c("l_orderkey") + c("l_linenumber")) % len(layouts)).cast("int")
     text = F.element_at(F.array(*[F.date_format(d, f) for f in layouts]), v + 1)
     return li.select("l_orderkey", "l_linenumber", v.alias("variant"), cl.parse_uk_date(text).alias("payment_date"))
 
@@ -150,12 +151,14 @@ def group_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def null_token_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Missing-value markers become NULL; padded markers and other text stay."""
+    """Every missing-value marker becomes NULL; markers with a blank before them, in other case or inside text stay."""
     li = _li(spark, sf_dir, "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    v = c("l_linenumber") % 5
-    text = (F.when(v == 0, F.lit("NA")).when(v == 1, F.lit("n/a")).when(v == 2, F.lit(" NA"))
-             .when(v == 3, F.lit("NULL")).otherwise(F.concat(c("l_returnflag"), c("l_linestatus"))))
-    return li.select("l_orderkey", "l_linenumber", v.alias("variant"), cl.null_tokens(text).alias("value"))
+    marks = F.array(*[F.lit(t) for t in cl.NA_TOKENS])
+    which = (c("l_orderkey") % len(cl.NA_TOKENS)).cast("int")
+    mark, v = F.get(marks, which), c("l_linenumber") % 5
+    text = (F.when(v < 2, mark).when(v == 2, F.concat(F.lit(" "), mark)).when(v == 3, F.concat(mark, c("l_returnflag")))
+             .otherwise(F.concat(c("l_returnflag"), c("l_linestatus"))))
+    return li.select("l_orderkey", "l_linenumber", which.alias("marker"), cl.null_tokens(text).alias("value"))
 
 
 VARIANTS = {

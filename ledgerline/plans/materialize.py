@@ -25,18 +25,3 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread ``df`` over all cores when its scan yields fewer splits than cores.
-
-    Small files with few row groups give few splits, which leaves most cores
-    idle during CPU-heavy cleaning. Large inputs already have many splits and
-    are returned unchanged, so no shuffle is added at scale. With ``keys``
-    (near-unique columns) rows are hash-partitioned, which is deterministic on
-    task retry without the sort that a retry-safe round-robin needs.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys) if keys else df.repartition(cores)
