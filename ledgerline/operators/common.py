@@ -49,6 +49,12 @@ def formatted(df: DataFrame, money_cols: list[str], digits: int = 2) -> DataFram
     return df.withColumns({m: F.format_number(F.col(m), digits) for m in money_cols})
 
 
+def quarter_number(date_key: Column) -> Column:
+    """A number for the fiscal quarter of a date key (year, month, day): whole quarters since year 0."""
+    month = F.floor(date_key / 100)
+    return F.floor((F.floor(month / 100) * 12 + month % 100 - 1) / 3).cast("int")
+
+
 # ---------------------------------------------------------------- eager aggregation
 # A measure is (aggregate over a key group, equivalent value of a single row).
 # Re-summing either form with F.sum / F.max gives the same result.

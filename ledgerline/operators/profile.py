@@ -84,9 +84,18 @@ def top_groups(df: DataFrame, key: str, value: str = "amount", top: int = 10) ->
 
 
 def duplicate_counts(df: DataFrame, cols: list[str], key: str) -> DataFrame:
-    """Rows beyond the first of each identical row, and of each repeated ``key`` value."""
-    full = df.groupBy(*cols).agg(F.count(one()).alias("k")).agg(F.sum(c("k") - 1).alias("duplicate_rows"))
-    keyed = df.groupBy(key).agg(F.count(one()).alias("k")).agg(F.sum(c("k") - 1).alias("duplicate_keys"))
+    """Rows beyond the first of each identical row, and of each repeated ``key`` value.
+
+    Rows are told apart by 128-bit fingerprints, so two numbers a row are shuffled and not all its cells. Only
+    rows whose fingerprint occurs again are then grouped by their cells, which makes the count exact.
+    """
+    nulls = F.concat(*[F.when(c(x).isNull(), "1").otherwise("0") for x in cols])  # hashing passes over NULL
+    prints = {"_f1": F.xxhash64(nulls, *[c(x) for x in cols]), "_f2": F.xxhash64(F.lit(1), nulls, *[c(x) for x in cols])}
+    rows = df.select(*cols, *[x.alias(n) for n, x in prints.items()])
+    again = rows.groupBy(*prints).agg(F.count(one()).alias("_k")).where(c("_k") > 1).select(*prints)
+    full = (rows.join(again, list(prints), "left_semi").groupBy(*cols).agg(F.count(one()).alias("_k"))
+                .agg(F.coalesce(F.sum(c("_k") - 1), F.lit(0)).alias("duplicate_rows")))
+    keyed = df.groupBy(key).agg(F.count(one()).alias("_k")).agg(F.sum(c("_k") - 1).alias("duplicate_keys"))
     return full.withColumn("duplicate_keys", keyed.scalar())  # two one-row aggregates
 
 
@@ -96,7 +105,7 @@ def duplicate_members(df: DataFrame, key: str, cols: list[str], top: int = 8, or
     A repeated key has two rows at least, so the first ``top`` rows lie within the ``top`` smallest repeated keys:
     a few keys to look up, not a join of the whole table with itself.
     """
-    dup = df.groupBy(key).agg(F.count(one()).alias("k")).where(c("k") > 1)
+    dup = df.groupBy(key).agg(F.count(one()).alias("_k")).where(c("_k") > 1)
     first = F.broadcast(dup.orderBy(c(key).asc_nulls_first()).limit(top).select(c(key).alias("_dup")))  # `top` rows
     rows = df.join(first, df[key].eqNullSafe(first["_dup"]), "left_semi").select(key, order, *cols)
     return rows.orderBy(key, order, *cols).limit(top)  # every column breaks ties: a total order

@@ -12,12 +12,14 @@ window-group limit and only the top rows reach a single partition.
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.common import (as_double, by_keys, dim, m_count, m_count_if, m_count_of, m_max,
-                                         m_sum, money, pct, ratio, when_refund, with_total)
+from ledgerline.functions import half_year
+from ledgerline.operators.common import (as_double, by_keys, dim, formatted, m_count, m_count_if, m_count_of, m_max,
+                                         m_sum, money, pct, quarter_number, ratio, when_refund, with_total)
 from ledgerline.operators.ranking import with_rank
 from ledgerline.operators.warehouse import Tables
 
@@ -36,6 +38,19 @@ def _non_refund(t: Tables) -> DataFrame:
     return t.fact.where(c("is_refund") == 0)
 
 
+def _dated(t: Tables) -> DataFrame:
+    """Facts with a date: a date key is year, month and day, so calendar attributes follow from it without a join."""
+    return t.fact.where(c("date_key").isNotNull())
+
+
+def _month_of() -> Column:
+    return F.floor(c("date_key") / 100).cast("int") % 100
+
+
+def _quarter_label() -> Column:
+    return F.concat(F.lit("Q"), (F.floor((_month_of() + 8) % 12 / 3) + 1).cast("string"))
+
+
 def _supplier_spend(t: Tables, by: list[str]) -> DataFrame:
     """Non-refund count and spend per supplier attribute set ``by``."""
     sup = dim(t.dim_supplier, "supplier_key", *sorted(set(by)))
@@ -94,10 +109,10 @@ def q1c_supplier_quarter(t: Tables, top: int = 10) -> DataFrame:
                .limit(top).select("supplier_name_clean"))
     sup = dim(t.dim_supplier, "supplier_key", "supplier_name_clean").join(
         F.broadcast(leaders), "supplier_name_clean", "left_semi")  # `top` rows: bounded
-    dd = dim(t.dim_date, "date_key", "uk_fiscal_quarter")
-    per_key = by_keys(_non_refund(t), ["supplier_key", "date_key"],
-                      {"n": m_count(), "spend": m_sum(c("amount"))})
-    rows = per_key.join(sup, "supplier_key").join(dd, "date_key")
+    # a supplier's four quarters over all years are all that is shuffled
+    per_key = by_keys(_dated(t).where(c("is_refund") == 0).withColumn("uk_fiscal_quarter", _quarter_label()),
+                      ["supplier_key", "uk_fiscal_quarter"], {"n": m_count(), "spend": m_sum(c("amount"))})
+    rows = per_key.join(sup, "supplier_key")
     return rows.groupBy("supplier_name_clean", "uk_fiscal_quarter").agg(
         F.sum("n").alias("transactions"), money(F.sum("spend")).alias("quarterly_spend"),
     ).orderBy("supplier_name_clean", "uk_fiscal_quarter")
@@ -131,13 +146,12 @@ def q2a_expense_types(t: Tables, limit: int | None = 20) -> DataFrame:
 
 def _half_year_pivot(t: Tables) -> DataFrame:
     exp = dim(t.dim_expense.where(c("expense_type").isNotNull()), "expense_key", "expense_type")
-    dd = dim(t.dim_date, "date_key", "half_year")
-    per_key = by_keys(_non_refund(t), ["expense_key", "date_key"], {"spend": m_sum(c("amount"))})
-    hy = (per_key.join(exp, "expense_key").join(dd, "date_key")
-                 .groupBy("expense_type", "half_year").agg(F.sum("spend").alias("spend")))
-    return hy.groupBy("expense_type").agg(
-        F.sum(F.when(c("half_year") == "H1", c("spend")).otherwise(F.lit(0))).alias("h1"),
-        F.sum(F.when(c("half_year") == "H2", c("spend")).otherwise(F.lit(0))).alias("h2"))
+    first = half_year(_month_of()) == "H1"
+    # both halves are sums beside each other: one row a key is shuffled
+    per_key = by_keys(_dated(t).where(c("is_refund") == 0), ["expense_key"], {
+        "h1": m_sum(F.when(first, c("amount")).otherwise(F.lit(0))),
+        "h2": m_sum(F.when(~first, c("amount")).otherwise(F.lit(0)))})
+    return per_key.join(exp, "expense_key").groupBy("expense_type").agg(F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
 
 
 def _pattern(labels: tuple[str, str, str, str]):
@@ -201,10 +215,12 @@ def q3a_monthly_trend(t: Tables) -> DataFrame:
 
 def q3b_entity_rank_movement(t: Tables, max_rank: int = 10) -> DataFrame:
     """3B: top cost centres per month, with rank movement vs the previous top-k month."""
-    dd = dim(t.dim_date, "date_key", "year", "month", "month_name")
+    months = t.dim_date.select(F.floor(c("date_key") / 100).cast("int").alias("_month"), "year", "month", "month_name").distinct()
     ent = dim(t.dim_entity, "entity_key", "entity_name", "entity_group")
-    per_key = by_keys(_non_refund(t), ["entity_key", "date_key"], {"spend": m_sum(c("amount"))})
-    m = (per_key.join(dd, "date_key").join(ent, "entity_key")
+    # a date key holds its month: months, not days, are shuffled
+    per_key = by_keys(_dated(t).where(c("is_refund") == 0).withColumn("_month", F.floor(c("date_key") / 100).cast("int")),
+                      ["entity_key", "_month"], {"spend": m_sum(c("amount"))})
+    m = (per_key.join(months, "_month").join(ent, "entity_key")
                 .groupBy("year", "month", "month_name", "entity_name", "entity_group")
                 .agg(F.sum("spend").alias("spend")))
     by_month = Window.partitionBy("year", "month").orderBy(c("spend").desc_nulls_last())
@@ -263,17 +279,19 @@ def q4b_monthly_anomaly(t: Tables) -> DataFrame:
 
 def q5_executive_quarter(t: Tables) -> DataFrame:
     """5: per fiscal year and quarter: volume, distinct suppliers, gross, refunds, net, refund rate."""
-    dd = dim(t.dim_date, "date_key", "uk_fiscal_year", "uk_fiscal_quarter")
-    sup = dim(t.dim_supplier, "supplier_key", "supplier_name_clean")
-    per_key = by_keys(t.fact, ["date_key", "supplier_key"], {
+    named = dim(t.dim_supplier, "supplier_key", "supplier_name_clean")
+    known = _dated(t).where(c("supplier_key").isNotNull()).withColumn("_quarter", quarter_number(c("date_key")))
+    quarters = t.dim_date.select(quarter_number(c("date_key")).alias("_quarter"), "uk_fiscal_year", "uk_fiscal_quarter").distinct()
+    flows = by_keys(known, ["_quarter"], {
         "n": m_count(), "gross": m_sum(when_refund(c("amount"), 0)),
         "refunds": m_sum(when_refund(c("amount"), 1)), "net": m_sum(c("amount")),
         "refund_count": m_sum(c("is_refund"))})
-    rows = per_key.join(dd, "date_key").join(sup, "supplier_key")
-    g = rows.groupBy("uk_fiscal_year", "uk_fiscal_quarter").agg(
-        F.sum("n").alias("n"), F.count_distinct("supplier_name_clean").alias("unique_suppliers"),
-        F.sum("gross").alias("gross"), F.sum("refunds").alias("refunds"), F.sum("net").alias("net"),
-        F.sum("refund_count").alias("refund_count"))
+    # (quarter, supplier) pairs are made distinct map-side, names are looked up for them only
+    pairs = known.select("_quarter", "supplier_key").distinct().join(named, "supplier_key")
+    suppliers = pairs.where(c("supplier_name_clean").isNotNull()).select("_quarter", "supplier_name_clean").distinct() \
+        .groupBy("_quarter").agg(F.count(F.lit(1)).alias("unique_suppliers"))
+    g = flows.join(F.broadcast(quarters), "_quarter").join(F.broadcast(suppliers), "_quarter", "left").fillna(
+        0, ["unique_suppliers"])  # one row a quarter
     return g.select(
         "uk_fiscal_year", "uk_fiscal_quarter", c("n").alias("total_transactions"),
         "unique_suppliers", money(c("gross")).alias("gross_spend"),
@@ -338,8 +356,12 @@ RUNNER_REPORTS = {f.__name__: f for f in (r1a_top_suppliers, r1b_concentration,
                                           r2b_half_year_pattern, r3a_monthly_trend, r4a_refund_risk)}
 
 
+ALL_REPORTS = {**REPORTS, **RUNNER_REPORTS}
+
+
 def run_all(t: Tables, names: list[str] | None = None, action=None, **params) -> dict:
-    """Run every named report; one that fails is returned as its error, the rest still run.
+    """Run every named report (by default all, the runner's forms included); one that fails is returned as its
+    error, the rest still run.
 
     ``action`` (for instance ``lambda df: df.collect()``) runs a report, inside the same guard, and its result is
     returned; without it the lazy DataFrames are.
@@ -347,10 +369,25 @@ def run_all(t: Tables, names: list[str] | None = None, action=None, **params) ->
     ``params`` maps a report name to its keyword arguments, e.g. ``q1a_top_suppliers={"limit": 15}``.
     """
     out: dict = {}
-    for name in names or list(REPORTS):
+    for name in names or list(ALL_REPORTS):
         try:
-            df = REPORTS[name](t, **params.get(name, {}))
+            df = ALL_REPORTS[name](t, **params.get(name, {}))
             out[name] = action(df) if action else df
         except Exception as e:  # noqa: BLE001 - isolate one report's failure
             out[name] = e
     return out
+
+
+def report_rows(t: Tables) -> DataFrame:
+    """(report, rows): one run of every report, and how many rows each gives."""
+    counted = run_all(t, action=lambda df: df.agg(F.count(F.lit(1)).alias("rows")))
+    failed = {n: e for n, e in counted.items() if isinstance(e, Exception)}
+    if failed:
+        raise RuntimeError(f"reports that cannot be built: {failed}")
+    return reduce(DataFrame.unionByName, [df.select(F.lit(n).alias("report"), "rows") for n, df in counted.items()])
+
+
+def display_expense_types(t: Tables) -> DataFrame:
+    """2A as it is printed: money with thousands separators."""
+    money_cols = ["total_spend", "avg_transaction", "largest_transaction"]
+    return formatted(q2a_expense_types(t, limit=None), money_cols).select("expense_type", *money_cols)

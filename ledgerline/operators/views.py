@@ -7,11 +7,13 @@ under its view name, with row counts reported like a view build log.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.common import (as_double, by_keys, dim, m_count, m_count_if, m_count_of, m_sum,
-                                         one, pct, ratio, when_refund, with_total)
+                                         one, pct, quarter_number, ratio, when_refund, with_total)
 from ledgerline.operators.ranking import with_rank
 from ledgerline.operators.reports import _supplier_spend
 from ledgerline.operators.warehouse import Tables
@@ -27,10 +29,6 @@ def _flows() -> dict:
             "refund_sum": m_sum(c("is_refund"))}
 
 
-def _resum() -> list:
-    return [F.sum(x).alias(x) for x in ("n", "n_pay", "n_ref", "gross", "refunds", "net", "refund_sum")]
-
-
 def _by_month(t: Tables, key: str) -> DataFrame:
     """Flows per ``key`` and month, with ``_month`` = year * 100 + month.
 
@@ -110,18 +108,27 @@ def v5_refund_rows(t: Tables) -> DataFrame:
 
 
 def v6_executive_summary(t: Tables) -> DataFrame:
-    """vw_executive_summary: fiscal year x quarter x half, over rows with date, supplier and entity."""
-    dd = dim(t.dim_date, "date_key", "uk_fiscal_year", "uk_fiscal_quarter", "half_year")
-    sup = dim(t.dim_supplier, "supplier_key", "supplier_name_clean")
-    ent = dim(t.dim_entity, "entity_key", "entity_name")
-    measures = {**_flows(), "n_pay_amount": m_count_of(F.when(c("is_refund") == 0, c("amount")))}
-    # the distinct-count expansion works on key combinations, not on fact rows
-    per_key = by_keys(t.fact, ["date_key", "supplier_key", "entity_key"], measures)
-    rows = per_key.join(dd, "date_key").join(sup, "supplier_key").join(ent, "entity_key")
-    g = rows.groupBy("uk_fiscal_year", "uk_fiscal_quarter", "half_year").agg(
-        *_resum(), F.sum("n_pay_amount").alias("n_pay_amount"),
-        F.count_distinct("supplier_name_clean").alias("unique_suppliers"),
-        F.count_distinct("entity_name").alias("active_cost_centers"))
+    """vw_executive_summary: fiscal year x quarter x half, over rows with date, supplier and entity.
+
+    The quarter follows from the date key, so measures and both distinct counts are aggregates of their own over
+    narrow columns: (quarter, key) pairs are made distinct map-side, and a supplier's names are looked up for
+    those pairs only.
+    """
+    known = t.fact.where(c("date_key").isNotNull() & c("supplier_key").isNotNull() & c("entity_key").isNotNull()) \
+        .withColumn("_quarter", quarter_number(c("date_key")))
+    quarters = t.dim_date.select(quarter_number(c("date_key")).alias("_quarter"), "uk_fiscal_year", "uk_fiscal_quarter", "half_year").distinct()
+    flows = by_keys(known, ["_quarter"], {**_flows(), "n_pay_amount": m_count_of(F.when(c("is_refund") == 0, c("amount")))})
+
+    def distinct(key: str, table: DataFrame, name: str, alias: str) -> DataFrame:
+        pairs = known.select("_quarter", key).distinct().join(dim(table, key, name), key)
+        return pairs.where(c(name).isNotNull()).select("_quarter", name).distinct().groupBy("_quarter").agg(F.count(one()).alias(alias))
+
+    suppliers = distinct("supplier_key", t.dim_supplier, "supplier_name_clean", "unique_suppliers")
+    centres = distinct("entity_key", t.dim_entity, "entity_name", "active_cost_centers")
+    g = flows
+    for other, how in ((quarters, "inner"), (suppliers, "left"), (centres, "left")):
+        g = g.join(F.broadcast(other), "_quarter", how)  # one row a quarter
+    g = g.fillna(0, ["unique_suppliers", "active_cost_centers"])
     return g.select(
         "uk_fiscal_year", "uk_fiscal_quarter", "half_year", c("n").alias("total_transactions"),
         "unique_suppliers", "active_cost_centers", as_double(c("gross")).alias("gross_spend"),
@@ -140,6 +147,12 @@ VIEWS = {
 }
 
 
+def view_rows(t: Tables) -> DataFrame:
+    """(view, rows): every view built and counted, as one query."""
+    counts = [fn(t).agg(F.count(one()).alias("rows")).select(F.lit(name).alias("view"), "rows") for name, fn in VIEWS.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def register_views(t: Tables, count: bool = False) -> dict[str, int | None]:
     """Create or replace every view as a temp view; optionally count rows (one job each)."""
     counts: dict[str, int | None] = {}

@@ -45,10 +45,17 @@ def test_broadcast_dims_join_map_side(tables):
 
 
 def test_fact_aggregated_before_large_dimension_join(tables):
-    plan = reports.q5_executive_quarter(tables)._jdf.queryExecution().optimizedPlan().toString()
+    plan = reports.q1c_supplier_quarter(tables)._jdf.queryExecution().optimizedPlan().toString()
     lines = plan.splitlines()
     join = next(i for i, s in enumerate(lines) if "Join Inner" in s)
-    assert any("Aggregate [date_key" in s for s in lines[join:])  # fact aggregated on the keys first
+    assert any("Aggregate [supplier_key" in s for s in lines[join:])  # fact aggregated on the keys first
+
+
+def test_calendar_attributes_need_no_daily_rows(tables):
+    """Quarter, half year and month follow from the date key: no report but the daily ones groups by day."""
+    for name in ("q1c_supplier_quarter", "q2b_half_year_pattern", "q3b_entity_rank_movement", "q5_executive_quarter"):
+        plan = reports.REPORTS[name](tables)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate [date_key" not in plan and "date_key#" in plan, name
 
 
 def test_building_a_report_starts_no_job(spark, tables):
