@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from ledgerline.plans.materialize import new_location, write_table
+from ledgerline.plans.workers import arrow_map, ship  # noqa: F401 (arrow_map: for the operators)
 
 #: Bytes of text that one vectorised step holds at once (working arrays are a few times eight bytes a byte).
 SLICE_BYTES = 1 << 20
@@ -43,33 +40,6 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).cast("binary").alias("text"))
 
 
-@functools.lru_cache(maxsize=None)
-def _shipped(application_id: str, add_file: Callable[[str], None]) -> None:
-    package = Path(__file__).resolve().parents[1]
-    archive = f"{tempfile.mkdtemp(prefix='ledgerline-code-')}/ledgerline.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for p in sorted(package.rglob("*.py")):
-            z.write(p, p.relative_to(package.parent))
-    add_file(archive)
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once an application."""
-    sc = spark.sparkContext
-    _shipped(sc.applicationId, sc.addPyFile)
-
-
-def arrow_map(df: DataFrame, fn: Callable, schema) -> DataFrame:
-    """``df.mapInArrow``, after this package's code was sent to the executors (once an application)."""
-    ship(df.sparkSession)
-
-    def run(batches):
-        yield from fn(batches)
-        pa.default_memory_pool().release_unused()  # the worker lives on and serves other operators
-
-    return df.mapInArrow(run, schema)
-
-
 def arrow_pairs(one: DataFrame, two: DataFrame, keys: list[str], fn: Callable, schema: str) -> DataFrame:
     """``fn(rows of one, rows of two)`` for every value of ``keys`` that occurs in both tables, as Arrow tables."""
     ship(one.sparkSession)

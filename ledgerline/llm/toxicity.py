@@ -3,9 +3,9 @@
 Learning takes a bounded sample of labelled documents. Words and word stems that
 occur in toxic documents far more often than chance allows form a lexicon with weights
 (log odds). It is laid out as a trie, and the Levenshtein automata of all its terms are
-intersected with it: a state is a set of (trie node, edits so far). Made deterministic
-once, the result is a table that reads all words of a column side by side, one
-character a step. Terms of four characters and more may have one edit, of nine and more two;
+intersected with it: a state is a set of (trie node, edits so far). A table reads all words of a
+column side by side, one character a step; its states are worked out when a text first needs them, so that
+the table follows the words that are met and not the size of the lexicon. Terms of four characters and more may have one edit, of nine and more two;
 stems are matched exactly and may be continued.
 
 A match counts in full, with an edit for less, and hardly at all if its window of characters shows
@@ -16,6 +16,8 @@ Labels, language, source and id are inputs of no score.
 
 from __future__ import annotations
 
+import bisect
+import collections
 import functools
 import math
 import re
@@ -30,8 +32,11 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import arrow_map, flat, lists, own_prefix, slices, stored, texts
 from ledgerline.llm.words import mix, shingles, span_hashes, word_spans
 
-#: Labelled documents that are learned from (about; chosen by a hash of the id), terms and stems kept at most.
-SAMPLE, MAX_TERMS, MAX_STEMS, MAX_CANDIDATES = 20_000, 400, 60, 4_000
+#: Labelled documents that are learned from (about; chosen by a hash of the id). All else follows from them: every
+#: entry that is significant in them is kept.
+SAMPLE = 20_000
+#: States that a worker remembers at most; then it starts anew.
+REMEMBERED = 100_000
 #: What a match with one or two edits and a quoted match count, and the characters looked at on either side.
 EDITED, QUOTED, WINDOW = (1.0, 0.7, 0.5), 0.12, 48
 #: Minima that tell near copies in the sample.
@@ -58,19 +63,33 @@ class Model:
 
 # ------------------------------------------------------------------ characters and words
 
+_DIVIDERS = frozenset(".,;:/\\()[]{}<>|=?" + MARKS)
+
+
+def _character(c: int) -> tuple[int, bool, bool]:
+    """Lower case of a code point, whether it is white space or a divider, and whether it is a letter, digit or mark."""
+    s = chr(c)
+    if 0xD800 <= c < 0xE000:
+        return c, False, False
+    low = s.lower()
+    return (ord(low) if len(low) == 1 else c), s.isspace() or s in _DIVIDERS, s.isalnum() or unicodedata.category(s) == "Mn"
+
+
 @functools.lru_cache(maxsize=1)
 def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For the code points of the basic plane: lower case, is white space or a divider, is a letter or digit."""
-    low, gap, alnum = np.arange(65536, dtype=np.uint32), np.zeros(65536, bool), np.zeros(65536, bool)
-    for c in range(65536):
-        s = chr(c)
-        if 0xD800 <= c < 0xE000:
-            continue
-        alnum[c] = s.isalnum() or unicodedata.category(s) == "Mn"
-        gap[c] = s.isspace() or s in ".,;:/\\()[]{}<>|=?" + MARKS
-        if len(s.lower()) == 1:
-            low[c] = ord(s.lower())
-    return low, gap, alnum
+    """:func:`_character` of all code points of the basic plane."""
+    low, gap, alnum = zip(*map(_character, range(65536)))
+    return np.array(low, np.uint32), np.array(gap), np.array(alnum)
+
+
+def _classified(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`_character` of many code points; those beyond the basic plane are looked up one by one."""
+    low, gap, alnum = _characters()
+    if not (code >= 65536).any():
+        return low[code], gap[code], alnum[code]
+    far, at = np.unique(code, return_inverse=True)
+    own = [_character(int(c)) for c in far]
+    return tuple(np.array(x, t)[at] for x, t in zip(zip(*own), (np.uint32, bool, bool)))
 
 
 def tokens(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -79,120 +98,140 @@ def tokens(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     A word runs from a letter or digit to the last one before white space or a dividing mark, and
     may hold other marks inside.
     """
-    low, gap, alnum = _characters()
-    code = np.frombuffer("".join(strings).encode("utf-32-le", "replace"), np.uint32)
-    code = np.where(code < 65536, code, 0xFFFD)
+    code, gaps, alnum = _classified(np.frombuffer("".join(strings).encode("utf-32-le", "replace"), np.uint32))
     first = np.concatenate([[0], np.cumsum([len(s) for s in strings])])
-    gaps = gap[code]
     part = np.cumsum(gaps)
     edge = np.zeros(len(code) + 1, np.int64)
     np.add.at(edge, first[:-1], 1)
     part = part + np.cumsum(edge)[:-1]
-    at = np.flatnonzero(alnum[code] & ~gaps)
+    at = np.flatnonzero(alnum & ~gaps)
     new = np.ones(len(at), bool)
     new[1:] = part[at[1:]] != part[at[:-1]]
     starts = at[new]
     ends = at[np.append(np.flatnonzero(new)[1:] - 1, len(at) - 1)] + 1 if len(at) else at
-    return low[code], starts, ends, np.searchsorted(first, starts, "right") - 1
+    return code, starts, ends, np.searchsorted(first, starts, "right") - 1
 
 
 # ------------------------------------------------------------------ automata and trie
 
 class Automaton:
-    """The deterministic intersection of the lexicon trie with the Levenshtein automata of its terms."""
+    """The intersection of the lexicon trie with the Levenshtein automata of its terms, made deterministic on demand."""
 
     def __init__(self, model: Model):
         self.weights = [w for _, w in model.terms] + [w for _, w in model.stems]
-        children: list[dict[str, int]] = [{}]
-        ends: list[tuple[int, int, bool] | None] = [None]  # entry, edits allowed, may be continued
-        reach: list[int] = [0]  # most edits that any entry below allows
-        entries = [(t, False) for t, _ in model.terms] + [(t, True) for t, _ in model.stems]
-        for i, (term, stem) in enumerate(entries):
+        self.children: list[dict[str, int]] = [{}]
+        #: For each node the entries that end there: (entry, edits allowed, may be continued).
+        self.ends: list[list[tuple[int, int, bool]]] = [[]]
+        self.reach: list[int] = [0]  # most edits that any entry below allows
+        for i, (term, stem) in enumerate([(t, False) for t, _ in model.terms] + [(t, True) for t, _ in model.stems]):
             allowed = 0 if stem or i in model.exact or len(term) < 4 else 1 if len(term) < 9 else 2
             node = 0
-            reach[0] = max(reach[0], allowed)
+            self.reach[0] = max(self.reach[0], allowed)
             for c in term:
-                if c not in children[node]:
-                    children[node][c] = len(children)
-                    children.append({})
-                    ends.append(None)
-                    reach.append(0)
-                node = children[node][c]
-                reach[node] = max(reach[node], allowed)
-            if ends[node] is None or not stem:
-                ends[node] = (i, allowed, stem)
-        letters = sorted({c for kids in children for c in kids})
-        self.classes = np.zeros(65536, np.int64)
-        for k, c in enumerate(letters):
-            self.classes[ord(c)] = k + 1
-        width = len(letters) + 1
-        number = {c: k + 1 for k, c in enumerate(letters)}
-
-        def closed(pairs):
-            """Also skip letters of the lexicon; keep the fewest edits for each node."""
-            best, todo = {}, sorted(pairs, key=lambda p: p[1])
-            while todo:
-                node, e = todo.pop(0)
-                if best.get(node, 9) <= e or e > reach[node] and node >= 0:
-                    continue
-                best[node] = e
-                if node >= 0:
-                    todo += [(kid, e + 1) for kid in children[node].values() if e < reach[kid]]
-            return frozenset(best.items())
-
-        def step(state, c):
-            out = []
-            for node, e in state:
-                if node < 0:  # inside the rest of a matched stem
-                    out.append((node, e))
-                    continue
-                for letter, kid in children[node].items():
-                    if letter == c:
-                        out.append((kid, e))
-                    elif e < reach[kid]:
-                        out.append((kid, e + 1))
-                if e < reach[node]:
-                    out.append((node, e + 1))
-                if ends[node] and ends[node][2] and e <= ends[node][1]:
-                    out.append((-1 - ends[node][0], e))
-            return closed(out)
-
-        def verdict(state):
-            """(entry, edits) of the best match if the word ends here."""
-            found = [(e, -self.weights[-1 - n], -1 - n) for n, e in state if n < 0]
-            found += [(e, -self.weights[ends[n][0]], ends[n][0]) for n, e in state
-                      if n >= 0 and ends[n] and e <= ends[n][1]]
-            return (min(found)[2], min(found)[0]) if found else (-1, 0)
-
-        start = closed([(0, 0)])
-        index, states, rows = {frozenset(): 0, start: 1}, [frozenset(), start], []
-        k = 0
-        while k < len(states):
-            state = states[k]
-            near = {c for node, _ in state if node >= 0 for c in children[node]}
-
-            def target(c):
-                nxt = step(state, c)
-                if nxt not in index:
-                    index[nxt] = len(states)
-                    states.append(nxt)
-                return index[nxt]
-
-            row = np.full(width, target(None))
-            for c in near:
-                row[number[c]] = target(c)
-            rows.append(row)
-            k += 1
-        self.table = np.array(rows)
-        self.final = np.array([verdict(s) for s in states]).reshape(-1, 2)
+                if c not in self.children[node]:
+                    self.children[node][c] = len(self.children)
+                    self.children.append({})
+                    self.ends.append([])
+                    self.reach.append(0)
+                node = self.children[node][c]
+                self.reach[node] = max(self.reach[node], allowed)
+            self.ends[node].append((i, allowed, stem))
+        self.letters = sorted({c for kids in self.children for c in kids})
+        self._forget()
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("classes", "states", "index", "other", "table", "final")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._forget()
+
+    def _forget(self) -> None:
+        """No state but the empty one (0) and the start (1)."""
+        self.classes = np.zeros(0x110000, np.int32)  # 0: a character that no entry has
+        self.classes[[ord(c) for c in self.letters]] = np.arange(1, len(self.letters) + 1)
+        self.states, self.index, self.other = [], {}, []
+        self.table = np.full((1024, len(self.letters) + 1), -1, np.int32)
+        self.final = np.full((1024, 2), -1, np.int64)
+        self._number(frozenset())
+        self.table[0] = 0
+        self._number(self._closed([(0, 0)]))
+
+    def _number(self, state: frozenset) -> int:
+        at = self.index.setdefault(state, len(self.states))
+        if at == len(self.states):
+            self.states.append(state)
+            self.other.append(-1)
+            if at == len(self.table):
+                self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
+                self.final = np.concatenate([self.final, np.full_like(self.final, -1)])
+            self.final[at] = self._verdict(state)
+        return at
+
+    def _closed(self, pairs) -> frozenset:
+        """Also skip letters of the lexicon; keep the fewest edits for each node."""
+        best, todo = {}, collections.deque(sorted(pairs, key=lambda p: p[1]))
+        while todo:
+            node, e = todo.popleft()
+            if best.get(node, 9) <= e or node >= 0 and e > self.reach[node]:
+                continue
+            best[node] = e
+            if node >= 0:
+                todo += [(kid, e + 1) for kid in self.children[node].values() if e < self.reach[kid]]
+        return frozenset(best.items())
+
+    def _step(self, state: frozenset, c: str | None) -> frozenset:
+        out = []
+        for node, e in state:
+            if node < 0:  # inside the rest of a matched stem
+                out.append((node, e))
+                continue
+            for letter, kid in self.children[node].items():
+                if letter == c:
+                    out.append((kid, e))
+                elif e < self.reach[kid]:
+                    out.append((kid, e + 1))
+            if e < self.reach[node]:
+                out.append((node, e + 1))
+            out += [(-1 - entry, e) for entry, allowed, stem in self.ends[node] if stem and e <= allowed]
+        return self._closed(out)
+
+    def _verdict(self, state: frozenset) -> tuple[int, int]:
+        """(entry, edits) of the best match if the word ends here."""
+        found = [(e, -self.weights[-1 - n], -1 - n) for n, e in state if n < 0]
+        found += [(e, -self.weights[entry], entry) for n, e in state if n >= 0
+                  for entry, allowed, _ in self.ends[n] if e <= allowed]
+        return (min(found)[2], min(found)[0]) if found else (-1, 0)
+
+    def _target(self, at: int, letter: int) -> int:
+        """The state after ``letter``; all letters that no node of the state goes on with lead to the same one."""
+        state, c = self.states[at], self.letters[letter - 1] if letter else None
+        if c is not None and any(n >= 0 and c in self.children[n] for n, _ in state):
+            return self._number(self._step(state, c))
+        if self.other[at] < 0:
+            self.other[at] = self._number(self._step(state, None))
+        return self.other[at]
+
+    def _next(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        out = self.table[state, letter]
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            width = len(self.letters) + 1
+            for code in np.unique(state[new] * width + letter[new]).tolist():
+                target = self._target(*divmod(code, width))
+                self.table[divmod(code, width)] = target  # after the target may have enlarged the table
+            out = self.table[state, letter]
+        return out
 
     def matches(self, code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word number, entry, edits) of the words that are in the lexicon or close to it."""
+        if len(self.states) > REMEMBERED:
+            self._forget()
         letter = self.classes[code]
         alive, state, at = np.arange(len(starts)), np.ones(len(starts), np.int64), starts.copy()
         out = [(np.zeros(0, np.int64), np.zeros((0, 2), np.int64))]
         while len(alive):
-            state = self.table[state, letter[at]]
+            state = self._next(state, letter[at]).astype(np.int64)
             at = at + 1
             over = at >= ends[alive]
             if over.any():
@@ -304,7 +343,7 @@ def _lexicon(sample: DataFrame) -> Model:
                 code, starts, ends, owner = tokens(strings)
                 text = code.astype(np.uint32).tobytes().decode("utf-32-le", "replace")
                 counts: dict[str, list[int]] = {}
-                for d, w in {(d, text[a:b]) for d, a, b in zip(owner.tolist(), starts.tolist(), ends.tolist()) if b - a < 40}:
+                for d, w in {(d, text[a:b]) for d, a, b in zip(owner.tolist(), starts.tolist(), ends.tolist())}:
                     counts.setdefault(w, [0, 0])[toxic[i + d]] += 1
                 yield pa.RecordBatch.from_pydict({
                     "word": list(counts), "clean": pa.array([c for c, _ in counts.values()], pa.int64()),
@@ -316,30 +355,39 @@ def _lexicon(sample: DataFrame) -> Model:
     letters = F.col("word").rlike(r"^[\p{L}\p{M}]{3,}$")
 
     def candidates(table: DataFrame):
-        """Entries far more frequent in toxic documents, and how many of that frequency there are in all."""
+        """Entries that are more frequent in toxic documents than chance allows among all that were tested.
+
+        All come from the sample, which bounds their number.
+        """
         tested = table.where("toxic + clean >= 3").count()
         rows = table.withColumn("odds", odds).where("toxic >= 3").where(F.col("odds") > math.log(8)) \
-            .orderBy(F.desc(F.col("toxic") * F.col("odds")), "word").limit(MAX_CANDIDATES).collect()
+            .orderBy(F.desc(F.col("toxic") * F.col("odds")), "word").collect()
         bound = math.log(CHANCE / max(1, tested))
         return [r for r in rows if _log_chance(r.toxic, r.clean, base) < bound]
 
     def weight(r):
         return min(_MAX_WEIGHT, r.odds)
 
-    terms = [(r.word, weight(r)) for r in candidates(words.where(letters))[:MAX_TERMS]]
+    terms = [(r.word, weight(r)) for r in candidates(words.where(letters))]
     prefixes = words.where(letters).where(F.length("word") > 4).select(
         F.explode(F.transform(F.sequence(F.lit(4), F.least(F.length("word") - 1, F.lit(9))),
                               lambda k: F.substring("word", F.lit(1), k))).alias("stem"), "clean", "toxic")
     grouped = prefixes.groupBy(F.col("stem").alias("word")).agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("kinds"))
-    stems: list[tuple[str, float]] = []
     found = {r.word: r for r in candidates(grouped.where("kinds >= 3"))}
+    return Model(terms, [(w, weight(found[w])) for w in shortest_stems({w: r.toxic for w, r in found.items()})])
+
+
+def shortest_stems(found: dict[str, int]) -> list[str]:
+    """Of stems with their numbers of toxic documents those that say most: not one whose longer stem says the
+    same, and none that a shorter one holds. Shorter ones first."""
+    ordered, stems = sorted(found), set()
     for word in sorted(found, key=lambda w: (len(w), w)):
-        longer = [r for w, r in found.items() if w != word and w.startswith(word)]
-        if any(r.toxic == found[word].toxic for r in longer) or any(word.startswith(s) for s, _ in stems):
-            continue  # the longer stem says the same, or a shorter one already holds it
-        stems.append((word, weight(found[word])))
-    return Model(terms, stems[:MAX_STEMS])
+        longer = ordered[bisect.bisect_right(ordered, word):bisect.bisect_left(ordered, word + chr(0x10FFFF))]
+        if any(found[w] == found[word] for w in longer) or any(word[:k] in stems for k in range(1, len(word))):
+            continue
+        stems.add(word)
+    return sorted(stems, key=lambda w: (len(w), w))
 
 
 def _unreliable(sample: DataFrame, model: Model) -> frozenset:
@@ -430,7 +478,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows scored as toxic; rows and columns are otherwise unchanged."""
+    """``docs`` without the rows scored as toxic; rows and columns are otherwise unchanged.
+
+    Null and empty texts match nothing and stay; repeated rows stay or go together; an empty table gives an empty one.
+    """
     model = learn(texts(docs), labels)
     shared = docs.sparkSession.sparkContext.broadcast(Automaton(model))
     bias, slope = model.bias, model.slope

@@ -3,6 +3,8 @@
 import os
 import random
 import sys
+import unicodedata
+import zlib
 
 import numpy as np
 
@@ -80,6 +82,94 @@ def test_automaton_finds_what_edit_distance_says():
             assert found[i] == (min(want)[2], min(want)[0]), w
 
 
+def plain_strength(text, model):
+    """The matches' sum of a text, by edit distance to every term and a plain look at the words around."""
+    entries = [(t, w, False) for t, w in model.terms] + [(t, w, True) for t, w in model.stems]
+    used, told, at, words = 0.0, 0.0, 0, []
+    gap = lambda c: c.isspace() or c in ".,;:/\\()[]{}<>|=?" + toxicity.MARKS
+    alnum = lambda c: c.isalnum() or unicodedata.category(c) == "Mn"
+    while at < len(text):
+        stop = at
+        while stop < len(text) and not gap(text[stop]):
+            stop += 1
+        inside = [i for i in range(at, stop) if alnum(text[i])]
+        if inside:
+            words.append((inside[0], inside[-1] + 1))
+        at = stop + 1
+    for a, b in words:
+        word = "".join(c.lower() if len(c.lower()) == 1 else c for c in text[a:b])
+        found = []
+        for k, (term, weight, stem) in enumerate(entries):
+            allowed = 0 if stem or k in model.exact or len(term) < 4 else 1 if len(term) < 9 else 2
+            e = 0 if stem and word.startswith(term) else brute.edits(word, term)
+            if e <= allowed:
+                found.append((e, -weight, k))
+        if found:
+            e, weight, _ = min(found)
+            value = -weight * toxicity.EDITED[e]
+            if toxicity.quoted(text, a, b):
+                told = max(told, toxicity.QUOTED * value)
+            else:
+                used += value
+    return used + told
+
+
+def test_scores_are_those_of_a_plain_reading(spark):
+    model = toxicity.Model([("moron", 5.0), ("worthless", 6.0), ("bad", 4.0), ("lowei", 2.5), ("\U0001d4d0head", 3.0), ("tête", 3.5),
+                            ("scumbag", 4.5), ("idiot", 5.5)], [("lowei", 6.0), ("idio", 1.0)], frozenset([6]), -2.0, 5.0)
+    r = random.Random(11)
+    parts = ["moron", "m0ron", "Moron!", "worthles", "wrthles", "bad", "bade", "lowei", "lowie", "loweichen", "\U0001d4d0head", "\U0001d4d0hexd",
+             "\U0001d4d1head", "tete", "scumbag", "scumbug", "idiotic", "idoit", "fine", "day,", '"', "“", "”", "he said", "the word", "\n", ".",
+             "'", "x" * 60, "\U00010400moron", "\U0001f600"]
+    texts = [" ".join(r.choice(parts) for _ in range(r.randint(0, 25))) for _ in range(200)] + ["", None]
+    automaton = toxicity.Automaton(model)
+    want = [plain_strength(t or "", model) for t in texts]
+    assert np.allclose(toxicity.strengths([t or "" for t in texts], automaton), want) and max(want) > 10
+    got = {x.doc_id: x.score for x in toxicity.score(brute.frame(spark, texts), model).collect()}
+    logistic = [1 / (1 + np.exp(2.0 - 5.0 * w / (w + 4.0))) for w in want]
+    assert all(abs(got[i] - p) < 1e-12 for i, p in enumerate(logistic))
+
+
+def test_a_word_can_be_term_and_stem():
+    model = toxicity.Model([("lowei", 6.0)], [("lowei", 5.0)], frozenset([0]))
+    words = ["lowei", "loweichen", "lowe", "loweis"]
+    code, starts, ends, owner = toxicity.tokens(words)
+    assert {words[owner[k]] for k in toxicity.Automaton(model).matches(code, starts, ends)[0]} == {"lowei", "loweichen", "loweis"}
+
+
+def test_states_are_forgotten_and_found_again(monkeypatch):
+    monkeypatch.setattr(toxicity, "REMEMBERED", 3)
+    automaton = toxicity.Automaton(toxicity.Model([("moron", 5.0), ("worthless", 6.0)], [], frozenset()))
+    first = [toxicity.strengths(["you moron, wrthless", "morons and words"], automaton).tolist() for _ in range(3)]
+    assert first[0] == first[1] == first[2] and first[0][0] > 0
+
+
+def test_every_significant_word_is_learned(spark):
+    """A thousand planted words, each in eight toxic documents, one of them very long: none is lost."""
+    r = random.Random(12)
+    planted = sorted({"".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(1000)} | {"long" * 13})
+    usual = ["".join(r.choice("aeioumnrst") for _ in range(5)) for _ in range(300)]
+    ids = [i for i in range(10_000) if zlib.crc32(str(i).encode()) % 5]
+    rows = []
+    for d in range(len(planted)):
+        own = [planted[(8 * d + k) % len(planted)] for k in range(8)] + [r.choice(usual) for _ in range(12)]
+        r.shuffle(own)  # no two documents share a passage
+        rows.append((ids[d], " ".join(own), 1))
+    for d in range(len(planted), 5 * len(planted)):
+        rows.append((ids[d], " ".join(r.choice(usual) for _ in range(20)), 0))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.learn(texts(df), df.select("doc_id", "toxic"))
+    assert set(planted) <= {t for t, _ in model.terms}
+    scored = toxicity.score(df, model).groupBy("predicted").count().collect()
+    assert {x.predicted: x["count"] for x in scored} == {1: len(planted), 0: 4 * len(planted)}
+
+
+def test_shortest_stems():
+    found = {"abcd": 9, "abcde": 9, "abcdef": 4, "xyzw": 5, "xyzwv": 3, "xyz": 5, "q": 1}
+    # abcd and xyz say no more than abcde and xyzw do; abcdef and xyzwv are held by those
+    assert toxicity.shortest_stems(found) == ["q", "xyzw", "abcde"]
+
+
 def test_quotation_is_told_from_abuse():
     say = lambda t, w: toxicity.quoted(t, t.index(w), t.index(w) + len(w))
     assert say('He wrote "you moron" to me.', "moron")
@@ -120,7 +210,7 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in after} == set(low.values())
     before, after = (x.orderBy("doc_id").collect() for x in seen["repeated_passages"])
     want = brute.without_repeats([r.text.encode() for r in before])
-    assert all(r.text == w[3].decode("utf-8", "replace") or "�" in r.text for r, w in zip(after, want))
+    assert all(r.text == w[3].decode("utf-8", "replace") for r, w in zip(after, want))
     before, after = seen["benchmark_leaks"]
     items = [r.text for r in table(spark, sf, "benchmark").collect()]
     rows = before.collect()
