@@ -298,7 +298,7 @@ def test_every_licence_rule_fires_on_its_wrapped_notice(spark):
 
 def test_rows_that_repeat_id_and_text_count_one_by_one(spark, texts):
     """Repeated rows, null ids and a very long text: every row has its result."""
-    long = " ".join(f"w{i}" for i in range(60_000)) + " Released under the MIT License."
+    long = " ".join(f"w{i}" for i in range(60_000)) + ". Released under the MIT License."
     item = " ".join(texts[0].split()[:12])
     own = [texts[0], texts[0], texts[0], texts[1], None, None, "", long, texts[2], "All rights reserved.", "All rights reserved."]
     ids = [4, 4, None, None, None, None, 5, 6, 6, 7, 7]
