@@ -14,12 +14,16 @@
    few are few enough. Either way the rows grow with the members and not with their square.
    Pairs estimated far below the threshold, and those whose parity sketches show too many unshared
    shingles, are dropped. Of the others the likeliest of each of the few with each other component is confirmed first, the
-   components are built again, and then all pairs that are still apart are confirmed. A link between two different texts is
-   therefore lost only if too few bands propose it or the estimate is off by more than SIGMAS
+   components are built again, and then all pairs that are still apart are confirmed.
+6. Cutting up parts pairs that share no later band, or only crowded ones. So all members of the buckets that were cut up are
+   compared once more, by their rarest shingles: of two sets at the threshold, the rarest ones of each (a fifth of the set
+   and one more at 80 %) have one in common, whatever is common in the texts. Members of different components that share one
+   meet, however many they are; their pairs are confirmed with those of step 5. A link between two different texts is
+   therefore lost only if no band proposes it or the estimate is off by more than SIGMAS
    standard errors, and it matters only if nothing else joins the two.
 
-With 48 bands of 6 rows a pair at the threshold 0.8 shares no band with probability 5e-7 and
-fewer than two with 8e-6; it shares 12.6 on average. At 0.85 these are 2e-10 and 4e-9.
+With 48 bands of 6 rows a pair at the threshold 0.8 shares no band with probability 5e-7; it shares 12.6 on
+average. At 0.85 it is 2e-10.
 """
 
 from __future__ import annotations
@@ -43,6 +47,8 @@ SIGMAS = 5.0
 #: Members of a bucket that are compared with each other at once, members of a piece that the few of a bucket are
 #: compared with, and how many members outside its largest component a bucket has at most without being cut up.
 PIECE, WIDE, FEW = 256, 1024, 256
+#: Counters that tell rare shingles from common ones; shingles that share a counter count together.
+COUNTERS = 1 << 18
 _LOW = np.uint64((1 << BITS) - 1)
 _ODD = int("01" * PER_LONG, 2)
 
@@ -115,25 +121,18 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                      " bands array<long>, sig array<long>, parity array<long>")
 
 
-def estimate(a: str, b: str) -> Column:
-    """Similarity from two packed signatures: the share of equal fields, less what chance makes equal."""
-    unequal = None
-    for i in range(SIGNATURE_LONGS):
-        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
-        bits = F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(_ODD)))
-        unequal = bits if unequal is None else unequal + bits
-    equal = 1 - unequal / float(BANDS * ROWS)
+def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Similarity from packed signatures: the share of equal fields, less what chance makes equal."""
+    x = a ^ b
+    unequal = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(_ODD)).sum(-1, dtype=np.int64)
     chance = 2.0 ** -BITS
-    return (equal - chance) / (1 - chance)
+    return (1 - unequal / float(BANDS * ROWS) - chance) / (1 - chance)
 
 
-def possible(percent: int) -> Column:
-    """False only for pairs (n_a, n_b, parity_a, parity_b) that cannot reach the threshold, for sure."""
-    unshared = None
-    for i in range(PARITY_BITS // 64):
-        bits = F.bit_count(F.col("parity_a")[i].bitwiseXOR(F.col("parity_b")[i]))
-        unshared = bits if unshared is None else unshared + bits
-    return unshared * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+def possible(n_a: np.ndarray, n_b: np.ndarray, parity_a: np.ndarray, parity_b: np.ndarray, percent: int) -> np.ndarray:
+    """False only for pairs that cannot reach the threshold, for sure."""
+    unshared = np.bitwise_count(parity_a ^ parity_b).sum(-1, dtype=np.int64)
+    return unshared * (100 + percent) <= (n_a + n_b) * (100 - percent)
 
 
 def floor_of(percent: int, sigmas: float = SIGMAS) -> float:
@@ -143,12 +142,16 @@ def floor_of(percent: int, sigmas: float = SIGMAS) -> float:
     return j - sigmas * (equal * (1 - equal) / (BANDS * ROWS)) ** 0.5 / (1 - chance)
 
 
+def _class_texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(cid, text): a text of each of the classes ``wanted`` (cid)."""
+    names = classes.join(wanted, "cid").select("cid", F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    return stored(docs.join(names, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")))
+                  .select("cid", "text").dropDuplicates(["cid"]), "class-texts")
+
+
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose full shingle sets reach the threshold."""
-    wanted = pairs.select("a").unionAll(pairs.select("b")).distinct().withColumnRenamed("a", "cid")
-    names = classes.join(wanted, "cid").select("cid", F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-    own = stored(docs.join(names, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")))
-                 .select("cid", "text").dropDuplicates(["cid"]), "class-texts")
+    own = _class_texts(pairs.select("a").unionAll(pairs.select("b")).distinct().withColumnRenamed("a", "cid"), classes, docs)
     both = (pairs.select("a", "b").join(own.select(F.col("cid").alias("a"), F.col("text").alias("text_a")), "a")
             .join(own.select(F.col("cid").alias("b"), F.col("text").alias("text_b")), "b"))
 
@@ -263,7 +266,13 @@ def _links(reps: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     comp = components(links).withColumnRenamed("node", "cid")
     rooted = stored(members.join(comp, "cid", "left")
                     .withColumn("root", F.coalesce("root", "cid")), "rooted")
-    likely = stored(_across(rooted, reps, percent), "pairs")
+    keys = stored(_open_keys(rooted.select("cid", "root", F.col("band").alias("key"))), "open-buckets")
+    likely = _across(rooted, reps, percent, keys)
+    crowds = keys.where(F.col("few") > FEW).select(F.col("key").alias("band"))
+    if not crowds.isEmpty():
+        crowded = stored(rooted.join(crowds, "band").select("cid", "root").distinct(), "crowded")
+        likely = likely.unionAll(_across_rare(crowded, reps, docs, n, percent))
+    likely = stored(likely, "pairs")
     # one link joins two components: first the likeliest pair of each of the few with each other component
     best = stored(likely.groupBy("few", "other").agg(F.max(F.struct("value", "a", "b")).alias("top"))
                   .select("top.a", "top.b").distinct(), "pairs")
@@ -281,18 +290,21 @@ def _piece(size: int) -> Column:
     return F.pmod(F.xxhash64("cid"), F.ceil(F.col("n") / size)).cast("int")
 
 
-def _across(rooted: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of different components that share a bucket, from (cid, number, band, root) of all members."""
+def _across(rooted: DataFrame, reps: DataFrame, percent: int, keys: DataFrame | None = None) -> DataFrame:
+    """Likely pairs of different components that share a bucket, from (cid, number, band, root) of all members.
+
+    ``keys`` are the open buckets, if known. Pairs that share crowded buckets only are left to :func:`_across_rare`.
+    """
     level = rooted.select("cid", "root", "number", F.col("band").alias("key"), F.array("band").alias("path"))
     pairs = None
     while True:
-        keys = stored(_open_keys(level), "open-buckets")
+        keys = keys if keys is not None else stored(_open_keys(level), "open-buckets")
         here = level.join(keys, "key")
         found = _meet(here.where(F.col("few") <= FEW), reps, percent)
         pairs = found if pairs is None else pairs.unionAll(found)
         if keys.where(F.col("few") > FEW).isEmpty():
             return pairs
-        level = stored(_cut_up(here.where(F.col("few") > FEW), reps), "cut-buckets")
+        level, keys = stored(_cut_up(here.where(F.col("few") > FEW), reps), "cut-buckets"), None
 
 
 def _open_keys(level: DataFrame) -> DataFrame:
@@ -312,15 +324,71 @@ def _cut_up(crowded: DataFrame, reps: DataFrame) -> DataFrame:
                         F.concat("path", F.array(band)).alias("path"))
 
 
+def _shingle_sets(batch: pa.RecordBatch, n: int):
+    """(row, hashes of its distinct shingles) of the texts of a batch (cid, text)."""
+    data, offsets = flat(batch.column(1))
+    for i, j in slices(offsets):
+        own = data[offsets[i]:offsets[j]]
+        starts, _, words = word_spans(own, offsets[i:j + 1] - offsets[i])
+        hashes, at = shingles(span_hashes(own, starts), words, n)
+        for row, (a, b) in enumerate(zip(at[:-1], at[1:]), i):
+            yield row, np.unique(hashes[a:b])
+
+
+def _rarest(own: DataFrame, n: int, percent: int) -> DataFrame:
+    """(cid, key): of each text (cid, text) its rarest shingles, so many that two texts at the threshold share one.
+
+    Sets that reach the threshold have ``percent`` % of either in common at least, so that not all of these can be among
+    the others of a set. Any order common to all texts would do; with the rarest first, few texts share one.
+    """
+    def count(batches):
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for _, hashes in _shingle_sets(batch, n):
+                np.add.at(total, (hashes % np.uint64(COUNTERS)).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"at": pa.array(at), "n": pa.array(total[at])})
+
+    counted = arrow_map(own, count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(COUNTERS, np.int64)  # of fixed size, whatever the texts
+    total[counted["at"].to_numpy()] = counted["n"].to_numpy()
+
+    def pick(batches):
+        for batch in batches:
+            rows, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            for row, hashes in _shingle_sets(batch, n):
+                often = total[(hashes % np.uint64(COUNTERS)).astype(np.int64)]
+                first = np.lexsort((hashes, often))[:len(hashes) - (percent * len(hashes) + 99) // 100 + 1]
+                first = first[often[first] > 1]  # the others are in no other text
+                rows.append(np.full(len(first), row))
+                keys.append(hashes[first])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(rows))), longs(np.concatenate(keys))],
+                                             names=["cid", "key"])
+
+    return arrow_map(own, pick, "cid long, key long")
+
+
+def _across_rare(crowded: DataFrame, reps: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Likely pairs of different components among all of ``crowded`` (cid, root), by the rarest shingles that they share."""
+    rare = _rarest(_class_texts(crowded.select("cid"), reps, docs), n, percent)
+    level = stored(rare.join(crowded, "cid").select("cid", "root", "key", F.lit(0).alias("number"),
+                                                    F.array().cast("array<bigint>").alias("path")), "rare-shingles")
+    keys = stored(_open_keys(level), "open-shingles")
+    return _meet(level.join(keys, "key"), reps, percent).distinct()
+
+
 def _members(here: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The few of every bucket, once a piece of it, and all its members, each in its own piece."""
+    """The few of every bucket, once a piece of it, and all its members, each in its own piece, once a chunk of the few."""
     sets = reps.select("cid", "n_shingles", "sig", "parity", "bands")
     # bands before the last one that they meet in, without those that they are known to share
     before = F.array_except(F.slice("bands", F.lit(1), F.col("number")), F.col("path"))
-    rows = here.join(sets, "cid").select("key", "cid", "root", "n", (F.col("root") != F.col("major")).alias("is_few"),
+    rows = here.join(sets, "cid").select("key", "cid", "root", "n", "few", (F.col("root") != F.col("major")).alias("is_few"),
                                          "n_shingles", "sig", "parity", before.alias("before"))
-    few = rows.where("is_few").withColumn("piece", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / WIDE).cast("int") - 1)))
-    return few.drop("n"), rows.withColumn("piece", _piece(WIDE)).drop("n")
+    pieces = F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / WIDE).cast("int") - 1))
+    chunks = F.ceil(F.col("few") / WIDE).cast("int")
+    few = rows.where("is_few").withColumn("piece", pieces).withColumn("chunk", F.pmod(F.xxhash64("cid"), chunks).cast("int"))
+    all_ = rows.withColumn("piece", _piece(WIDE)).withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    return few.drop("n", "few"), all_.drop("n", "few")
 
 
 def _meet(here: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -329,18 +397,57 @@ def _meet(here: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     (a, b, few, other, value): ``few`` is the one of the two outside the largest component, ``other`` the component of
     its mate, ``value`` the estimated similarity.
     """
-    one, two = ([F.col(c).alias(f"{c if c != 'n_shingles' else 'n'}_{k}")
-                 for c in ("cid", "root", "is_few", "n_shingles", "sig", "parity", "before")] for k in "ab")
     few, all_ = _members(here, reps)
-    both = few.select("key", "piece", *one).join(all_.select("key", "piece", *two), ["key", "piece"])
-    # two of the few meet in the pieces of both
-    once = ~F.col("is_few_b") | (F.col("cid_a") < F.col("cid_b"))
-    new = ~F.arrays_overlap("before_a", "before_b")
-    value = estimate("sig_a", "sig_b")
-    return both.where((F.col("root_a") != F.col("root_b")) & once & possible(percent)
-                      & (value >= floor_of(percent)) & new).select(
-        F.greatest("cid_a", "cid_b").alias("a"), F.least("cid_a", "cid_b").alias("b"), F.col("cid_a").alias("few"),
-        F.col("root_b").alias("other"), value.alias("value"))
+    keys, low = ["key", "piece", "chunk"], floor_of(percent)
+    rows = few.withColumn("copy", F.lit(True)).unionByName(all_.withColumn("copy", F.lit(False))).select(
+        *keys, "copy", "cid", "root", "is_few", "n_shingles", "sig", "parity", "before")
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys)
+
+    def solve(batch: pa.RecordBatch, starts: np.ndarray):
+        copy, is_few = (batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 6))
+        cid, root, size = (batch.column(k).to_numpy() for k in (4, 5, 7))
+        sig, parity = (batch.column(k).flatten().to_numpy().view(np.uint64).reshape(len(cid), -1) for k in (8, 9))
+        before, at = batch.column(10).flatten().to_numpy(), batch.column(10).value_lengths().to_numpy()
+        at = np.concatenate([[0], np.cumsum(at)])
+        pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for i, j in zip(starts[:-1], starts[1:]):
+            one, two = i + np.flatnonzero(copy[i:j]), i + np.flatnonzero(~copy[i:j])
+            if not len(one) or not len(two):
+                continue
+            step = max(1, (1 << 15) // len(two))
+            for k in range(0, len(one), step):
+                x = one[k:k + step, None]
+                # two of the few meet in the pieces of both
+                x, y = np.nonzero((root[x] != root[two]) & (~is_few[two] | (cid[x] < cid[two])))
+                x, y = one[k + x], two[y]
+                may = possible(size[x], size[y], parity[x], parity[y], percent)
+                x, y = x[may], y[may]
+                value = estimate(sig[x], sig[y])
+                may = value >= low
+                pairs.append((x[may], y[may], value[may]))
+        x, y, value = (np.concatenate(c) for c in zip(*pairs))
+        new = np.array([not len(before[at[p]:at[p + 1]]) or not np.isin(before[at[p]:at[p + 1]], before[at[q]:at[q + 1]]).any()
+                        for p, q in zip(x, y)], bool)
+        x, y, value = x[new], y[new], value[new]
+        return pa.RecordBatch.from_pydict({"a": np.maximum(cid[x], cid[y]), "b": np.minimum(cid[x], cid[y]),
+                                           "few": cid[x], "other": root[y], "value": value})
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([held, batch] if held is not None else [batch]).combine_chunks()
+            if not table.num_rows:
+                continue
+            batch = table.to_batches()[0]
+            key = [batch.column(k).to_numpy() for k in range(3)]
+            cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+            if len(cuts):
+                yield solve(batch.slice(0, cuts[-1]), np.concatenate([[0], cuts]))
+            held = batch.slice(cuts[-1]) if len(cuts) else batch
+        if held is not None:
+            yield solve(held, np.array([0, held.num_rows]))
+
+    return arrow_map(rows, run, "a long, b long, few long, other long, value double")
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

@@ -127,3 +127,20 @@ def test_repeated_rows_and_null_ids(spark):
     assert got == sorted(want, key=repr)
     kept = minhash.keep_one(brute.frame(spark, texts, ids))
     assert sorted((x.doc_id or 0 for x in kept.collect())) == [0, 0, 0, 4, 4, 7, 7, 11]
+
+
+def test_pairs_that_share_only_one_crowded_bucket(spark, monkeypatch):
+    """All texts share the last band and no other: cutting it up by later bands leaves nothing, yet no link is lost."""
+    for name, value in (("FEW", 6), ("WIDE", 16), ("PIECE", 2)):
+        monkeypatch.setattr(minhash, name, value)
+    r = random.Random(11)
+    common, texts = say(r, 40), []
+    for _ in range(40):
+        words = say(r, 200) + common
+        texts += [" ".join(words), changed(r, words, r.choice((1, 3, 5)), 5)]
+    docs = minhash.texts(brute.frame(spark, texts)).withColumn("text_key", F.xxhash64("text"))
+    own = F.transform(F.sequence(F.lit(1), F.lit(minhash.BANDS - 1)), lambda k: F.xxhash64(k, "doc_id"))
+    reps = minhash.stored(minhash.signatures(docs, 5).withColumn("cid", F.col("doc_id")).withColumn(
+        "bands", F.concat(own, F.array(F.lit(7).cast("long")))), "test-signatures")
+    links = {(x.b, x.a) for x in minhash._links(reps, docs, 5, 80).collect()}
+    assert links == {(i, i + 1) for i in range(0, len(texts), 2)}
