@@ -42,6 +42,12 @@ def test_more_date_layouts(spark):
     assert one_col(spark, ["1/1/68", "1/1/69"], LF.parse_uk_date) == [dt.date(2068, 1, 1), dt.date(1969, 1, 1)]
 
 
+def test_usual_dates_and_texts_like_them(spark):
+    cells = ["03/04/2015", "3/4/2015", " 3/4/2015 ", "3/4/2015\n", "\xa03/4/2015", "29/02/2015", "00/04/2015", "3/4/02015", "٣/٤/٢٠١٥"]
+    d = dt.date(2015, 4, 3)
+    assert one_col(spark, cells, LF.parse_uk_date) == [d] * 5 + [None] * 4
+
+
 def test_fiscal_calendar(spark):
     dates = [dt.date(2015, 4, 1), dt.date(2015, 12, 31), dt.date(2016, 3, 31), dt.date(1999, 7, 1), None]
     df = spark.createDataFrame([(d,) for d in dates], "d date")

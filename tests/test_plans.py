@@ -66,3 +66,18 @@ def test_building_a_report_starts_no_job(spark, tables):
     jobs = list(tracker.getJobIdsForGroup(group))
     spark.sparkContext.setJobGroup("other", "")
     assert not jobs
+
+
+def test_long_methods_are_cut_for_the_jvm_to_compile(spark):
+    from ledgerline.plans.materialize import compiled_methods
+    name = "spark.sql.codegen.hugeMethodLimit"
+    kept = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        compiled_methods(spark)
+        assert spark.conf.get(name) == "8000"
+        spark.conf.set(name, "5000")  # the session's own limit
+        compiled_methods(spark)
+        assert spark.conf.get(name) == "5000"
+    finally:
+        spark.conf.set(name, kept) if kept else spark.conf.unset(name)
