@@ -81,3 +81,57 @@ def test_long_methods_are_cut_for_the_jvm_to_compile(spark):
         assert spark.conf.get(name) == "5000"
     finally:
         spark.conf.set(name, kept) if kept else spark.conf.unset(name)
+
+
+@pytest.fixture
+def no_automatic_broadcast(spark):
+    """What the planner does with tables that it takes to be large."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, kept)
+
+
+def test_repeated_rows_are_found_without_shuffling_all_cells(spark, no_automatic_broadcast):
+    from ledgerline.operators import profile
+    rows = [("a", None, "1"), ("a", None, "1"), ("a", None, "2"), (None, "a", "1"), (None, "a", None)]
+    df = profile.duplicate_counts(spark.createDataFrame(rows, "x string, y string, k string"), ["x", "y", "k"], "k")
+    assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in df.collect()] == [(1, 2)]
+
+
+def test_facts_are_not_shuffled_to_small_dimensions(spark, no_automatic_broadcast, monkeypatch):
+    from conftest import raw_rows
+    from ledgerline.operators import warehouse
+    from ledgerline.operators.staging import clean
+    plans = []
+
+    def noted(df, path, *args, **kwargs):
+        plans.append((path, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, path, *args, **kwargs)
+
+    write = warehouse.write_table
+    monkeypatch.setattr(warehouse, "write_table", noted)
+    rows = [{"supplier_name": n, "supplier_postcode": p, "expense_type": e, "expense_area": "A - B", "amount": "1", "payment_date": "1/4/2015"}
+            for n, p, e in [("x", None, "t"), ("x", "N1", "t"), (None, "N1", None), ("x", None, "u")]]
+    t = warehouse.materialize_warehouse(spark, clean(raw_rows(spark, rows)))
+    fact = next(p for path, p in plans if path.endswith("fact_transactions"))
+    assert fact.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in fact
+    got = sorted((r.supplier_key, r.expense_key, r.entity_key) for r in t.fact.where("supplier_key is not null").collect())
+    assert got == [(1, 1, 1), (1, 3, 1), (2, 1, 1)] and t.fact.where("supplier_key is null").count() == 1
+
+
+def test_reload_reads_the_rows_once_a_dimension(spark):
+    from pyspark.sql import functions as F
+    from conftest import raw_rows
+    from ledgerline.operators import warehouse
+    from ledgerline.operators.staging import clean
+    early = raw_rows(spark, [{"supplier_name": n, "expense_area": "A"} for n in ("b", "a")], "april_2015.csv")
+    late = raw_rows(spark, [{"supplier_name": n, "expense_area": "A"} for n in ("c", "a", "0")], "may_2015.csv")
+    stg = clean(early.unionByName(late.withColumn("_row_key", F.col("_row_key") + (1 << 40))))
+    t = warehouse.materialize_warehouse(spark, stg)
+    out = warehouse.keys_after_reload(t)
+    assert not any("stg_transactions" in f for f in out.inputFiles())
+    got = {(r.name1, r.is_new, r.member_key) for r in out.where("dimension = 'dim_supplier'").collect()}
+    assert got == {("b", False, 1), ("a", False, 2), ("c", True, 3), ("0", True, 4)}
