@@ -2,15 +2,20 @@
 
 import csv
 import datetime as dt
+import gzip
 import io
 import os
 import random
+from collections import Counter
 from decimal import Decimal
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
+from ledgerline import catalog
 from ledgerline.operators import checks
 from ledgerline.operators.warehouse import materialize_warehouse
 from ledgerline.sources.csv_records import ends_inside, parsed
@@ -236,3 +241,69 @@ def test_split_files_keep_exact_positions(spark, tmpdir_path):
     got = {r.supplier_name: r._row_idx for r in rows}
     assert splits > 4 and len(got) == 30000 and all(got[f"S{i}"] == i for i in range(30000))
     assert len({r._row_key for r in rows}) == 30000
+
+
+def test_compressed_files_are_read_where_named(spark, tmpdir_path):
+    write_fixtures(tmpdir_path)
+    packed = os.path.join(tmpdir_path, "packed")
+    os.mkdir(packed)
+    for name, data in (("april_2015.csv.gz", APRIL), ("may_2015.csv.gz", MAY)):
+        with gzip.open(os.path.join(packed, name), "wb") as f:
+            f.write(data)
+    with pytest.raises(FileNotFoundError):
+        read_monthly(spark, packed)
+
+    def rows(ingest, names):
+        got = ingest.raw.where(F.col("_source_file").isin(*names)).drop("_source_file", "_row_key")
+        return sorted(map(repr, got.collect()))
+
+    plain, zipped = read_monthly(spark, tmpdir_path), read_monthly(spark, packed, "*.csv.gz")
+    assert rows(zipped, ["april_2015.csv.gz", "may_2015.csv.gz"]) == rows(plain, ["april_2015.csv", "may_2015.csv"])
+    assert zipped.raw_counts.count() == 2
+    assert all(".zstd." in f for f in zipped.raw.inputFiles() if "/csv-records-" in f)
+
+
+def payment_tables(spark, folder):
+    """Benchmark tables with 40 line items of 8 orders; some repeat both keys."""
+    li = [(o, (o * 7 + n) % 5, o % 3, n % 4 + 1, float(n), 1000.5 + n, n % 2 / 10, o % 2 / 10, "R" if n % 3 else "N", "O" if n % 2 else "F",
+           dt.datetime(1996 + o % 2, 3, 1 + n)) for o in range(8, 16) for n in range(5)]
+    tables = {"lineitem": (li, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+                               " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"),
+              "supplier": ([(s, f"Supplier#{s}", s) for s in range(3)], "s_suppkey long, s_name string, s_nationkey int"),
+              "part": ([(p, f"part {p}", f"Brand#{p}", "LARGE", p) for p in range(5)],
+                       "p_partkey long, p_name string, p_brand string, p_type string, p_size int"),
+              "nation": ([(n, f"NATION_{n}", 0) for n in range(3)], "n_nationkey int, n_name string, n_regionkey int"),
+              "region": ([(0, "REGION")], "r_regionkey int, r_name string")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(os.path.join(folder, f"{name}.parquet"))
+    return li
+
+
+def test_monthly_files_are_dealt_before_their_texts_are_made(spark, tmpdir_path, monkeypatch):
+    li, plans = payment_tables(spark, tmpdir_path), []
+    export = catalog.export_months
+
+    def noted(raw, *args, **kwargs):
+        plans.append(raw._jdf.queryExecution().optimizedPlan().toString())
+        return export(raw, *args, **kwargs)
+
+    monkeypatch.setattr(catalog, "export_months", noted)
+    got = catalog.landed(spark, tmpdir_path)
+    # line items are numbered once, for both headers; they are shuffled to their files without texts
+    (plan,) = plans
+    above, below = plan.split("RepartitionByExpression")
+    assert "Window" not in plan and "Join" not in plan
+    assert "format_number" in above and "format_number" not in below and "Sort" in above
+    assert all(f.endswith(".csv.gz") for f in got.ingest.files)
+    # places in a file follow the orders, then the lines, then the copies
+    want, place = [], Counter()
+    for o, *rest, ship in sorted(li, key=lambda r: (r[0], r[3], r[1], r[2], r[4:])):
+        month = f"march_{ship.year}-0"
+        want.append((month, place[month], f"{o}-{rest[2]}"))
+        place[month] += 1
+    rows = catalog.row_positions(spark, tmpdir_path).collect()
+    assert sorted((r.file, r.position, r.transaction_number) for r in rows) == sorted(want)
+    assert {r.file: r.rows for r in catalog.file_audit(spark, tmpdir_path).collect()} == {**place, "unreadable": 0}
+    # order 10 has two first lines, each with a blank row after it
+    assert {r.file: r.dropped for r in catalog.load_quality(spark, tmpdir_path).collect()} == {"march_1996-0": 2, "march_1997-0": 0}
+    assert catalog.csv_roundtrip(spark, tmpdir_path).count() == len(li)

@@ -135,3 +135,25 @@ def test_reload_reads_the_rows_once_a_dimension(spark):
     assert not any("stg_transactions" in f for f in out.inputFiles())
     got = {(r.name1, r.is_new, r.member_key) for r in out.where("dimension = 'dim_supplier'").collect()}
     assert got == {("b", False, 1), ("a", False, 2), ("c", True, 3), ("0", True, 4)}
+
+
+def test_shuffle_files_go_with_their_query(spark, tmpdir_path):
+    import os
+    from ledgerline.plans.materialize import shuffles_removed, write_table
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    folder = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {f for d in folder for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+    kept, df = spark.conf.get(name, None), spark.range(1000).repartition("id")
+    before = files()
+    with shuffles_removed(spark):
+        with shuffles_removed(spark):
+            pass
+        stored = write_table(df, f"{tmpdir_path}/a")
+        assert stored.count() == 1000 and df.count() == 1000  # a frame can be used again
+    assert spark.conf.get(name, None) == kept
+    assert files() <= before
+    write_table(spark.range(1000).repartition("id"), f"{tmpdir_path}/b")
+    assert files() - before  # as the session has it
